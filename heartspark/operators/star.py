@@ -66,13 +66,24 @@ def published_dim(spark: SparkSession, base: DataFrame, table: str) -> DataFrame
     return unknown.unionByName(codebook_dim(spark, table))
 
 
-def build_fact(spark: SparkSession, base: DataFrame) -> DataFrame:
-    """31-column fact: seven LEFT joins to the dimensions, unmatched codes -> -1."""
-    fact = base.alias("ab")
-    for table, key, src, _, _ in S.DIMENSIONS:
-        dim = F.broadcast(codebook_dim(spark, table).select(key))
-        fact = fact.join(dim, fact[src] == dim[key], "left").withColumn(key, F.coalesce(F.col(key), F.lit(S.UNKNOWN_KEY)))
-    return fact.select(*S.FACT_COLUMNS)
+def build_fact(spark: SparkSession, base: DataFrame, via: str = "join") -> DataFrame:
+    """31-column fact: unmatched codes -> -1.
+
+    ``via="join"``: seven LEFT joins to the broadcast dimensions (the star
+    build). ``via="codebook"``: the dimension key equals the source code, so
+    the join only tests membership; ``CASE WHEN code IN (codebook)`` gives the
+    same key as a projection that Catalyst prunes column by column.
+    """
+    fact = base
+    for table, key, src, _, members in S.DIMENSIONS:
+        if via == "codebook":
+            fact = fact.withColumn(key, F.when(F.col(src).isin(list(members)), F.col(src).cast("int"))
+                                   .otherwise(F.lit(S.UNKNOWN_KEY)))
+        else:
+            dim = F.broadcast(codebook_dim(spark, table).select(key))
+            fact = fact.join(dim, fact[src] == dim[key], "left").withColumn(
+                key, F.coalesce(F.col(key), F.lit(S.UNKNOWN_KEY)))
+    return fact.select(*[c for c in S.FACT_COLUMNS if c in fact.columns])
 
 
 def dimension_join(spark: SparkSession, base: DataFrame, table: str) -> DataFrame:

@@ -76,15 +76,24 @@ def attach_profile_counts(df: DataFrame, cols: list[str], name: str = "profile_n
     return df.join(counts, cond, "left").drop(*keys)
 
 
-def add_flags(df: DataFrame) -> DataFrame:
-    """Extreme BMI, duplicated profile (22 columns incl. target, keep=False), incoherent health."""
-    cols = [c for c in S.SOURCE_COLUMNS if c in df.columns]
-    with_n = attach_profile_counts(df, cols, "_dup_n")
-    return with_n.withColumns({
+def add_row_flags(df: DataFrame) -> DataFrame:
+    """Row-local quality flags: extreme BMI, incoherent perceived health (narrow)."""
+    return df.withColumns({
         "flag_bmi_extreme": C.flag((F.col("bmi") > S.BMI_MAX_PLAUSIBLE) | (F.col("bmi") < S.BMI_MIN_PLAUSIBLE)),
-        "flag_profil_duplique": C.flag(F.col("_dup_n") > 1),
         "flag_sante_incoherente": C.flag((F.col("gen_hlth") >= 4) & (F.col("total_unhealthy_days") == 0)),
-    }).drop("_dup_n")
+    })
+
+
+def add_dup_flag(df: DataFrame) -> DataFrame:
+    """Duplicated profile: equal to another row on the 22 source columns (target included, keep=False)."""
+    cols = [c for c in S.SOURCE_COLUMNS if c in df.columns]
+    with_n = attach_profile_counts(df, cols, "_dup_n")
+    return with_n.withColumn("flag_profil_duplique", C.flag(F.col("_dup_n") > 1)).drop("_dup_n")
+
+
+def add_flags(df: DataFrame) -> DataFrame:
+    """All three quality flags."""
+    return add_dup_flag(add_row_flags(df))
 
 
 def with_source_position(df: DataFrame) -> DataFrame:
@@ -115,16 +124,20 @@ def dense_row_id(df: DataFrame, name: str = "respondent_id") -> DataFrame:
     return out.drop("_mid", "_mid0", "_off", "_n", *part)
 
 
-def transform_all(raw: DataFrame, id_col: str | None = None) -> DataFrame:
+def transform_all(raw: DataFrame, id_col: str | None = None, dup_flag: bool = True) -> DataFrame:
     """Whole chain to the 31-column analytical table.
 
     ``id_col`` names an existing respondent id to keep; otherwise the dense
-    file-order id is assigned.
+    file-order id is assigned. ``dup_flag=False`` leaves out the one wide step
+    (and its column) for consumers that never read it, since Catalyst cannot
+    prune an outer join it cannot prove key-preserving.
     """
     df = raw.transform(rename).transform(cast_types)
     if id_col is None:
         df = dense_row_id(df)
     elif id_col != "respondent_id":
         df = df.withColumnRenamed(id_col, "respondent_id")
-    df = df.transform(add_bmi_class).transform(add_derived).transform(add_flags)
-    return df.select(*S.ANALYTICAL_COLUMNS)
+    df = df.transform(add_bmi_class).transform(add_derived).transform(add_row_flags)
+    if dup_flag:
+        return df.transform(add_dup_flag).select(*S.ANALYTICAL_COLUMNS)
+    return df.select(*[c for c in S.ANALYTICAL_COLUMNS if c != "flag_profil_duplique"])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions import columns as C
 from ..operators import measures as M
-from ..sources.tables import fact
+from ..sources.tables import report_fact as fact
 from .common import Registry
 from .sqlbase import dim_values, with_fact
 

@@ -8,7 +8,7 @@ from .. import schema as S
 from ..functions import columns as C
 from ..operators import transform as TR
 from ..sources import fixture
-from ..sources.tables import analytical_base
+from ..sources.tables import survey_base as analytical_base
 from .common import Registry
 from .sqlbase import ctes
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..operators import star
-from ..sources.tables import analytical_base, fact
+from ..sources.tables import fact, survey_base as analytical_base
 from .common import Registry
 from .sqlbase import ctes, dim_values, with_fact
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["etl", "star", "bi", "quality", "dups", "stats"]
+MODULES = ["etl", "star", "bi", "quality", "dups", "stats", "evaluation", "scoring"]
 
 
 def _registries():

@@ -191,3 +191,31 @@ SCORECARD_POINTS = {
     "stroke": 12, "diff_walk": 5, "diabetes": 3, "sex": 5,
 }
 SCORECARD_DIVISOR = 20000.0
+
+# Display names of the model variables (unknown names show as themselves).
+VARIABLE_NAMES = {
+    "bmi": "Indice de masse corporelle",
+    "ment_hlth_days": "Jours de mal-être mental",
+    "phys_hlth_days": "Jours de mal-être physique",
+    "gen_hlth": "État de santé perçu",
+    "age_group": "Tranche d'âge",
+    "education": "Niveau d'études",
+    "income": "Revenu du foyer",
+    "diabetes": "Diabète",
+    "high_bp": "Hypertension",
+    "high_chol": "Cholestérol élevé",
+    "chol_check": "Dosage du cholestérol",
+    "smoker": "Tabagisme",
+    "stroke": "Antécédent d'AVC",
+    "phys_activity": "Activité physique",
+    "fruits": "Consommation de fruits",
+    "veggies": "Consommation de légumes",
+    "hvy_alcohol": "Consommation d'alcool excessive",
+    "any_healthcare": "Couverture santé",
+    "no_doc_cost": "Renoncement aux soins (coût)",
+    "diff_walk": "Difficulté à marcher",
+    "sex": "Sexe",
+}
+
+# Fixed value: published decision threshold of the deployed model.
+DECISION_THRESHOLD = 0.12684148102998732

@@ -148,7 +148,7 @@ def sc_population(spark, sf):
         lab.groupBy("cluster").agg(F.avg("bmi").alias("mean_bmi"), ((1 - F.avg("any_healthcare")) * 100).alias("uninsured_pct")), "cluster")
     profiles = prof.agg(F.sort_array(F.collect_list(F.struct("profile", "n", "share_pct", "target_pct", "mean_bmi", "uninsured_pct"))).alias("profiles"))
     by_age = base.groupBy("age_group").agg((F.avg("risk") * 100).alias("v")).agg(
-        F.map_from_entries(F.collect_list(F.struct("age_group", "v"))).alias("mean_risk_by_age"))
+        F.map_from_entries(F.collect_list(F.struct(F.col("age_group").cast("string"), "v"))).alias("mean_risk_by_age"))
     by_sex = base.groupBy("sex").agg((F.avg("risk") * 100).alias("v")).agg(
-        F.map_from_entries(F.collect_list(F.struct("sex", "v"))).alias("mean_risk_by_sex"))
+        F.map_from_entries(F.collect_list(F.struct(F.col("sex").cast("string"), "v"))).alias("mean_risk_by_sex"))
     return tot.crossJoin(profiles).crossJoin(by_age).crossJoin(by_sex)

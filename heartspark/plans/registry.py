@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["etl", "star", "bi", "quality", "dups", "stats", "evaluation", "scoring", "text", "ml", "mining"]
+MODULES = ["etl", "star", "bi", "quality", "dups", "stats", "evaluation", "scoring", "text", "ml", "mining", "io"]
 
 
 def _registries():

@@ -152,13 +152,21 @@ def prevalence_by(df: DataFrame, segments: list[str], labels: dict | None = None
 
 
 def corr_pairs(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Pearson correlation of every pair (i <= j) in one aggregation pass."""
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    one = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}__{b}") for a, b in pairs])
-    stack = ", ".join(f"'{a}', '{b}', `{a}__{b}`" for a, b in pairs)
-    long = one.selectExpr(f"stack({len(pairs)}, {stack}) AS (var1, var2, corr)")
-    both = long.unionByName(long.where("var1 != var2").selectExpr("var2 AS var1", "var1 AS var2", "corr"))
-    return both.select("var1", "var2", F.round("corr", DIGITS).alias("corr"))
+    """Pearson matrix of ``cols`` in long form (var1, var2, corr).
+
+    Spark ML ``Correlation.corr`` computes the d x d Gram matrix in one
+    tree-aggregated pass (BLAS on dense vectors); only the d x d result
+    (bounded by the number of variables, not rows) reaches the driver to be
+    reshaped. One ``corr`` aggregate per pair would carry 6 buffers per pair
+    and fall out of whole-stage codegen past ~100 fields.
+    """
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+    v = VectorAssembler(inputCols=cols, outputCol="_v", handleInvalid="skip").transform(
+        df.select(*[F.col(c).cast("double").alias(c) for c in cols]))
+    m = Correlation.corr(v, "_v", "pearson").first()[0].toArray()
+    rows = [(a, b, round(float(m[i, j]), DIGITS)) for i, a in enumerate(cols) for j, b in enumerate(cols)]
+    return df.sparkSession.createDataFrame(rows, "var1 string, var2 string, corr double")
 
 
 def corr_target(df: DataFrame, cols: list[str], target: str = S.TARGET) -> DataFrame:

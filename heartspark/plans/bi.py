@@ -106,7 +106,7 @@ _by_dim("bi_p5_count_by_income", "dim_income", ["nb_repondants"])
 _by_dim("bi_p6_count_by_health", "dim_genhlth", ["nb_repondants"])
 _by_dim("bi_p6_unhealthy_by_age", "dim_age", ["jours_malaise_moyens"])
 # Page-3 slicer on sex (Femme): the filter sits below the aggregate and reaches the scan.
-_by_dim("flt_slicer_sex", "dim_age", ["taux_maladie"], where=F.col("sex_key") == 0, where_sql="sex_key = 0")
+_by_dim("flt_slicer_sex", "dim_age", ["taux_maladie"], where="sex_key = 0", where_sql="sex_key = 0")
 
 _STATUS_SQL = f"CASE WHEN heart_disease = 1 THEN '{S.STATUS_SICK}' ELSE '{S.STATUS_HEALTHY}' END"
 

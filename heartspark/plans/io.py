@@ -217,3 +217,62 @@ def sink_model(spark, sf):
     m.write().overwrite().save(path)
     loaded = PipelineModel.load(path)
     return MD.score(loaded, test).select("respondent_id", "score")
+
+
+@q("src_ref_parquet", ctes() + f"SELECT age_group, sex, CAST(COUNT(*) AS BIGINT) AS n, ROUND(AVG({C.scorecard_risk_sql()}), 9) AS mean_risk "
+   "FROM base GROUP BY 1, 2")
+def src_ref_parquet(spark, sf):
+    """Read the stored reference sample (Parquet) and aggregate the peers it holds per (age, sex)."""
+    path = _tmp(spark, "ref_sample_read")
+    b = survey_base(spark, sf).select("respondent_id", "age_group", "sex", "bmi", "gen_hlth", S.TARGET,
+                                      C.scorecard_risk().alias("risque"))
+    IO.write_parquet(b, path)
+    ref = spark.read.parquet(path)
+    return ref.groupBy("age_group", "sex").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("risque"), 9).alias("mean_risk"))
+
+
+@q("src_ref_json")
+def src_ref_json(spark, sf):
+    """Read the population JSON document with its declared nested schema and flatten the profiles array."""
+    from .mining import sc_population
+    path = _tmp(spark, "ref_json_read")
+    doc = sc_population(spark, sf)
+    IO.write_json_doc(doc, path)
+    back = IO.read_json_doc(spark, path, doc.schema)
+    return back.select(F.explode("profiles").alias("p")).select("p.*")
+
+
+@q("src_model")
+def src_model(spark, sf):
+    """Load a saved pipeline and score the whole table with it."""
+    from pyspark.ml import PipelineModel
+    from ..operators import models as MD
+    from .ml import BEST, _split
+    train, _ = _split(spark, sf)
+    path = _tmp(spark, "model_src")
+    MD.fit(train, "tree", BEST["tree"]).write().overwrite().save(path)
+    loaded = PipelineModel.load(path)
+    return MD.score(loaded, survey_base(spark, sf).select("respondent_id", *S.FEATURES), "risk").select("respondent_id", "risk")
+
+
+@q("ml_results")
+def ml_results(spark, sf):
+    """Nested results document (test metrics, confusion, irreducible error, baseline) written as JSON and read back."""
+    from ..operators import curves as CV
+    from ..operators import duplicates as D
+    from ..operators import models as MD
+    from .ml import BEST, _split
+    train, test = _split(spark, sf)
+    m = MD.fit(train, "logreg", BEST["logreg"])
+    sc = MD.score(m, test)
+    th = CV.pick_threshold(sc, "score", S.TARGET, S.TARGET_RECALL)
+    conf = CV.threshold_metrics(sc.crossJoin(F.broadcast(th.select(F.col("threshold").alias("_t")))), "score", S.TARGET, F.col("_t"))
+    met = MD.metrics(sc)
+    irr = D.irreducible(survey_base(spark, sf))
+    base_acc = survey_base(spark, sf).agg((1 - F.avg(S.TARGET)).alias("majority_accuracy"))
+    doc = (met.select(F.struct("*").alias("test")).crossJoin(th.select(F.struct("*").alias("threshold")))
+           .crossJoin(conf.select(F.struct("*").alias("confusion"))).crossJoin(irr.select(F.struct("*").alias("irreducible_error")))
+           .crossJoin(base_acc.select(F.struct("*").alias("baseline"))).withColumn("model", F.lit("logreg")))
+    path = _tmp(spark, "results_json")
+    IO.write_json_doc(doc, path)
+    return IO.read_json_doc(spark, path, doc.schema)

@@ -48,6 +48,18 @@ def stratified_folds(train: DataFrame, k: int = S.N_FOLDS, seed: int = S.SEED +
     return r.withColumn("fold", ((F.col("class_rank") - 1) % k).cast("int")).drop("_nc", "class_rank")
 
 
+def split_with_folds(df: DataFrame, test_pct: int = int(S.TEST_SHARE * 100), k: int = S.N_FOLDS,
+                     seed: int = S.SEED, cls: str = S.TARGET) -> DataFrame:
+    """Split and folds from one per-class hash rank: the first ceil(test_pct %) rows of each
+    class are the test part, the rest go round robin to k folds (``fold`` is null on test rows).
+    One distributed rank instead of two."""
+    r = rank_in_class(df, seed, cls)
+    n_test = F.floor((F.col("_nc") * test_pct + 99) / 100)
+    is_test = F.col("class_rank") <= n_test
+    return r.select(*df.columns, F.when(is_test, F.lit("test")).otherwise(F.lit("train")).alias("split"),
+                    F.when(is_test, F.lit(None)).otherwise((F.col("class_rank") - n_test - 1) % k).cast("int").alias("fold"))
+
+
 def stratified_subsample(df: DataFrame, size: int, seed: int = S.SEED, cls: str = S.TARGET) -> DataFrame:
     """Fixed-size stratified sample; the input itself when it is not larger than ``size``."""
     r = rank_in_class(df, seed, cls)
@@ -71,7 +83,10 @@ def split_sql(seed: int = S.SEED, test_pct: int = 20, src: str = "base") -> str:
             f"FLOOR((COUNT(*) OVER (PARTITION BY heart_disease) * {test_pct} + 99) / 100) THEN 'test' ELSE 'train' END AS split FROM {src}")
 
 
-def folds_sql(seed: int = S.SEED + 1, k: int = S.N_FOLDS, src: str = "train") -> str:
+def split_folds_sql(seed: int = S.SEED, test_pct: int = 20, k: int = S.N_FOLDS, src: str = "base") -> str:
+    """SQL (oracle) of ``split_with_folds``."""
     h = arith_hash_sql("respondent_id", seed)
-    return (f"SELECT *, CAST((ROW_NUMBER() OVER (PARTITION BY heart_disease ORDER BY {h}, respondent_id) - 1) % {k} AS BIGINT) "
-            f"AS fold FROM {src}")
+    return (f"SELECT *, CASE WHEN r <= nt THEN 'test' ELSE 'train' END AS split, "
+            f"CASE WHEN r > nt THEN CAST((r - nt - 1) % {k} AS BIGINT) END AS fold FROM ("
+            f"SELECT *, ROW_NUMBER() OVER (PARTITION BY heart_disease ORDER BY {h}, respondent_id) AS r, "
+            f"FLOOR((COUNT(*) OVER (PARTITION BY heart_disease) * {test_pct} + 99) / 100) AS nt FROM {src}) z")

@@ -45,12 +45,11 @@ def ml_split_summary(spark, sf):
                                   (F.avg(S.TARGET) * 100).alias("prevalence_pct"))
 
 
-@q("ml_folds", ctes(f"sp AS ({SP.split_sql()}), train AS (SELECT respondent_id, heart_disease FROM sp WHERE split = 'train'), "
-                    f"fo AS ({SP.folds_sql()})") + "SELECT respondent_id, heart_disease, fold FROM fo")
+@q("ml_folds", ctes(f"sf AS ({SP.split_folds_sql()})") + "SELECT respondent_id, heart_disease, fold FROM sf WHERE split = 'train'")
 def ml_folds(spark, sf):
-    """5 stratified folds over the training part (class-wise round robin in hash order)."""
-    s = SP.stratified_split(survey_base(spark, sf).select("respondent_id", S.TARGET))
-    return SP.stratified_folds(s.where("split = 'train'").drop("split"))
+    """5 stratified folds over the training part: after the test rows, class-wise round robin in hash order."""
+    s = SP.split_with_folds(survey_base(spark, sf).select("respondent_id", S.TARGET))
+    return s.where("split = 'train'").select("respondent_id", S.TARGET, "fold")
 
 
 def _subsample_sql(size):

@@ -26,16 +26,19 @@ BEST = {
 LOGREG_GRID = [{"C": c} for c in (0.001, 0.01, 0.1, 1, 10)]
 
 
-def _split(spark, sf):
-    """Train / test parts, materialised once (lineage cut) since every model reads them many times."""
+def _prepared(spark, sf):
+    """Features with split and fold columns, materialised once (lineage cut): every model reads them many times."""
     b = survey_base(spark, sf).select("respondent_id", *S.FEATURES, S.TARGET)
-    s = MD.materialize(SP.stratified_split(b))
-    return s.where("split = 'train'").drop("split"), s.where("split = 'test'").drop("split")
+    return MD.materialize(SP.split_with_folds(b))
+
+
+def _split(spark, sf):
+    s = _prepared(spark, sf)
+    return s.where("split = 'train'").drop("split", "fold"), s.where("split = 'test'").drop("split", "fold")
 
 
 def _folds(spark, sf):
-    train, _ = _split(spark, sf)
-    return MD.materialize(SP.stratified_folds(train))
+    return _prepared(spark, sf).where("split = 'train'").drop("split")
 
 
 @q("ml_preprocess", ctes(f"sp AS ({SP.split_sql()})") + " UNION ALL ".join(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as TX
 from ..operators import textmatch as TM
-from ..sources.tables import table
+from ..sources.tables import spread, table
 from .common import Registry
 
 R = Registry()
@@ -23,13 +23,13 @@ def tx_normalise(spark, sf):
 @q("tx_match", TM.match_sql("conversations", "text", ["conv_id", "turn"]))
 def tx_match(spark, sf):
     """Best knowledge-base entry for every conversation turn (also jn_faq_keys)."""
-    return TM.match(table(spark, sf, "conversations"), "text", ["conv_id", "turn"])
+    return TM.match(spread(table(spark, sf, "conversations")), "text", ["conv_id", "turn"])
 
 
 @q("tx_match_documents", TM.match_sql("documents", "text", ["doc_id"]))
 def tx_match_documents(spark, sf):
     """The same matching over whole documents (up to 20 000 words each)."""
-    return TM.match(table(spark, sf, "documents"), "text", ["doc_id"])
+    return TM.match(spread(table(spark, sf, "documents")), "text", ["doc_id"])
 
 
 @q("tx_match_summary", "WITH m AS (" + TM.match_sql("documents", "text", ["doc_id"]) + ") "
@@ -37,7 +37,7 @@ def tx_match_documents(spark, sf):
    "FROM m LEFT JOIN labels l USING (doc_id) GROUP BY faq_id")
 def tx_match_summary(spark, sf):
     """Documents per matched entry, with the label coverage and mean quality label of each group."""
-    m = TM.match(table(spark, sf, "documents"), "text", ["doc_id"])
+    m = TM.match(spread(table(spark, sf, "documents")), "text", ["doc_id"])
     lab = table(spark, sf, "labels").select("doc_id", "quality", F.col("doc_id").alias("_labelled"))
     j = m.join(lab, "doc_id", "left")
     return j.groupBy("faq_id").agg(F.count(F.lit(1)).alias("n_docs"), F.avg("quality").alias("mean_quality"),

@@ -25,7 +25,12 @@ def score_counts(df: DataFrame, score: str, label: str) -> DataFrame:
 
 def curve(df: DataFrame, score: str, label: str) -> DataFrame:
     """One point per distinct threshold, descending: tp, fp (score >= threshold), tpr, fpr, precision, recall."""
-    c = score_counts(df, score, label).withColumn("_k", -F.col("score"))
+    return curve_from_counts(score_counts(df, score, label))
+
+
+def curve_from_counts(counts: DataFrame) -> DataFrame:
+    """The curve from a (score, pos, neg) table, one row per distinct score."""
+    c = counts.withColumn("_k", -F.col("score"))
     cum = ordering.running_sum(c, [F.col("_k")], ["pos", "neg"])
     tot = c.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     x = cum.crossJoin(F.broadcast(tot))
@@ -39,7 +44,11 @@ def curve(df: DataFrame, score: str, label: str) -> DataFrame:
 
 def auc_ap(df: DataFrame, score: str, label: str) -> DataFrame:
     """ROC-AUC (Mann-Whitney, ties count one half) and average precision (step sum)."""
-    c = curve(df, score, label)
+    return auc_ap_from_counts(score_counts(df, score, label))
+
+
+def auc_ap_from_counts(counts: DataFrame) -> DataFrame:
+    c = curve_from_counts(counts)
     return c.agg(
         F.round(F.sum(F.col("neg") * (F.col("tp") - F.col("pos") * 0.5)) / (F.first("P") * F.first("N")), DIGITS).alias("roc_auc"),
         F.round(F.sum(F.col("pos") / F.col("P") * F.col("precision")), DIGITS).alias("average_precision"))
@@ -59,6 +68,20 @@ def threshold_metrics(df: DataFrame, score: str, label: str, threshold) -> DataF
         "f1", F.coalesce(F.try_divide(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")), F.lit(0.0)))
 
 
+def summary_from_counts(counts: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """ROC-AUC, PR-AUC and precision / recall / F1 of ``score >= threshold`` from one (score, pos, neg) table."""
+    a = auc_ap_from_counts(counts).withColumnRenamed("average_precision", "pr_auc")
+    t = counts.agg(F.sum(F.when(F.col("score") >= threshold, F.col("pos")).otherwise(0)).alias("tp"),
+                   F.sum(F.when(F.col("score") >= threshold, F.col("neg")).otherwise(0)).alias("fp"),
+                   F.sum("pos").alias("P"))
+    prec = F.coalesce(F.try_divide(F.col("tp").cast("double"), (F.col("tp") + F.col("fp")).cast("double")), F.lit(0.0))
+    rec = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("P").cast("double")), F.lit(0.0))
+    t = t.select(prec.alias("precision"), rec.alias("recall"))
+    t = t.withColumn("f1", F.coalesce(F.try_divide(2 * F.col("precision") * F.col("recall"),
+                                                   F.col("precision") + F.col("recall")), F.lit(0.0)))
+    return a.crossJoin(t)
+
+
 def pick_threshold(df: DataFrame, score: str, label: str, target_recall: float) -> DataFrame:
     """Highest threshold whose recall reaches ``target_recall`` (from the PR points)."""
     c = curve(df, score, label).where(F.col("recall") >= target_recall)

@@ -98,10 +98,14 @@ def score(model: PipelineModel, df: DataFrame, name: str = "score") -> DataFrame
 
 
 def metrics(scored: DataFrame, score_col: str = "score", label: str = S.TARGET, threshold: float = 0.5) -> DataFrame:
-    """ROC-AUC, PR-AUC (average precision), precision, recall, F1 (at ``threshold``) in one row."""
-    a = CV.auc_ap(scored, score_col, label).withColumnRenamed("average_precision", "pr_auc")
-    t = CV.threshold_metrics(scored, score_col, label, threshold).select("precision", "recall", "f1")
-    return a.crossJoin(t)
+    """ROC-AUC, PR-AUC (average precision), precision, recall, F1 (at ``threshold``) in one row.
+
+    The scored rows are reduced once to (score, pos, neg) -- one pass, so the
+    model transform runs once -- and every metric is read from that table
+    (kept in memory: one row per distinct score, recomputable from lineage).
+    """
+    counts = CV.score_counts(scored, score_col, label).cache()
+    return CV.summary_from_counts(counts, threshold)
 
 
 def evaluate(train: DataFrame, test: DataFrame, family: str, params: dict, weighted: bool = True,

@@ -114,9 +114,19 @@ def class_report(conf: DataFrame) -> DataFrame:
 
 def reliability(df: DataFrame, score: str, label: str, bins: int = 10) -> DataFrame:
     """Quantile bins of the score (a value on an inner edge goes to the lower bin):
-    mean predicted and observed rate per non-empty bin."""
+    mean predicted and observed rate per non-empty bin.
+
+    The inner edges are exact quantiles read from the per-score counts and
+    their running sum (no buffer of all distinct scores in one task).
+    """
     probs = [i / bins for i in range(1, bins)]
-    edges = df.agg(F.percentile(F.col(score).cast("double"), probs).alias("_e"))
+    names = [f"e{i}" for i in range(1, bins)]
+    c = score_counts(df, score, label).select("score", (F.col("pos") + F.col("neg")).alias("c"))
+    cum = ordering.running_sum(c, [F.col("score")], ["c"])
+    n = c.agg(F.sum("c").alias("_n"))
+    cum = cum.crossJoin(F.broadcast(n)).withColumn("_grp", F.lit(0))
+    edges = ordering.quantiles_from_cumulative(cum, ["_grp"], "score", "c", "cum_c", "_n", probs, names)
+    edges = edges.select(F.array(*names).alias("_e"))
     x = df.crossJoin(F.broadcast(edges))
     s = F.col(score).cast("double")
     x = x.withColumn("bin", F.size(F.filter("_e", lambda e: e < s)))

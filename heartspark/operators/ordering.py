@@ -73,3 +73,28 @@ def top_k_per_group(df: DataFrame, k: int, group: list[str], order: list[Column]
     """First k rows per group (used where a group is one row's small set of values)."""
     w = Window.partitionBy(*group).orderBy(*order)
     return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= k)
+
+
+def quantiles_from_cumulative(cum: DataFrame, group: list[str], value: str, count: str, cum_col: str, n_col: str,
+                              probs: list[float], names: list[str]) -> DataFrame:
+    """Exact linear-interpolation quantiles from a table of distinct values per group.
+
+    ``cum`` holds one row per (group, value) with its row count, the inclusive
+    cumulative count within the group (ascending value) and the group size.
+    For p, h = p (n - 1); the value at 0-based position k is the smallest value
+    whose cumulative count exceeds k. Every quantile is a grouped ``min``
+    (partial aggregation), so no group's values are ever buffered together.
+    """
+    aggs = []
+    for p, name in zip(probs, names):
+        h = F.lit(p) * (F.col(n_col) - 1)
+        lo = F.floor(h)
+        aggs.append(F.min(F.when(F.col(cum_col) > lo, F.col(value))).alias(f"_lo_{name}"))
+        aggs.append(F.min(F.when(F.col(cum_col) > lo + 1, F.col(value))).alias(f"_hi_{name}"))
+        aggs.append(F.first(h - lo).alias(f"_fr_{name}"))
+    g = cum.groupBy(*group).agg(*aggs)
+    out = []
+    for name in names:
+        lo, hi, fr = F.col(f"_lo_{name}"), F.coalesce(F.col(f"_hi_{name}"), F.col(f"_lo_{name}")), F.col(f"_fr_{name}")
+        out.append(F.when(fr == 0, lo).otherwise(lo + (hi - lo) * fr).alias(name))
+    return g.select(*group, *out)

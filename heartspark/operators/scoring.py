@@ -85,8 +85,9 @@ def peer_position(scored: DataFrame, risk: str = "risk") -> DataFrame:
 
     Strictly-lower counts come from cumulative counts of distinct (group, risk)
     pairs (pre-aggregated, bucketed running sum); the key ``group * 2 + risk``
-    keeps groups in disjoint ranges because risk lies in [0, 1].
-    Median per group: exact ``percentile`` (value->count buffer).
+    keeps groups in disjoint ranges because risk lies in [0, 1]. The median
+    per group is read from the same cumulative table (grouped ``min``), so a
+    group's scores are never buffered in one task.
     """
     base = scored.select("respondent_id", "age_group", "sex", F.col(risk).cast("double").alias("r"))
     grains = {
@@ -99,10 +100,13 @@ def peer_position(scored: DataFrame, risk: str = "risk") -> DataFrame:
         x = base.withColumn("_g", gid)
         cnt = x.groupBy("_g", "r").agg(F.count(F.lit(1)).alias("_c"))
         cum = ordering.running_sum(cnt.withColumn("_key", F.col("_g") * 2 + F.col("r")), [F.col("_key")], ["_c"])
-        grp = x.groupBy("_g").agg(F.count(F.lit(1)).alias(f"n_{g}"), F.round(F.avg("r"), 9).alias(f"mean_{g}"),
-                                  F.percentile("r", 0.5).alias(f"median_{g}"))
+        grp = x.groupBy("_g").agg(F.count(F.lit(1)).alias(f"n_{g}"), F.round(F.avg("r"), 9).alias(f"mean_{g}"))
         start = cum.groupBy("_g").agg(F.min(F.col("cum__c") - F.col("_c")).alias("_start"))
-        below = cum.join(start, "_g").select("_g", "r", (F.col("cum__c") - F.col("_c") - F.col("_start")).alias(f"below_{g}"))
+        within = cum.join(start, "_g").join(grp, "_g").select(
+            "_g", "r", "_c", (F.col("cum__c") - F.col("_start")).alias("_cum"), F.col(f"n_{g}").alias("_n"))
+        med = ordering.quantiles_from_cumulative(within, ["_g"], "r", "_c", "_cum", "_n", [0.5], [f"median_{g}"])
+        grp = grp.join(med.select("_g", F.round(f"median_{g}", 9).alias(f"median_{g}")), "_g")
+        below = within.select("_g", "r", (F.col("_cum") - F.col("_c")).alias(f"below_{g}"))
         out = out.withColumn("_g", gid).join(below, ["_g", "r"], "left").join(F.broadcast(grp), "_g", "left").drop("_g")
     pick = F.when(F.col("n_age_sex") >= S.MIN_PEERS, F.lit("age_sex")).when(F.col("n_age") >= S.MIN_PEERS, F.lit("age")).otherwise(F.lit("all"))
     out = out.withColumn("grain", pick)

@@ -114,10 +114,10 @@ def sc_top_decoded(spark, sf):
 _POS_SQL = (
     "p AS (SELECT respondent_id, age_group, sex, risk, "
     "RANK() OVER (PARTITION BY age_group, sex ORDER BY risk) - 1 AS b_as, COUNT(*) OVER (PARTITION BY age_group, sex) AS n_as, "
-    "ROUND(AVG(risk) OVER (PARTITION BY age_group, sex), 9) AS m_as, MEDIAN(risk) OVER (PARTITION BY age_group, sex) AS md_as, "
+    "ROUND(AVG(risk) OVER (PARTITION BY age_group, sex), 9) AS m_as, ROUND(MEDIAN(risk) OVER (PARTITION BY age_group, sex), 9) AS md_as, "
     "RANK() OVER (PARTITION BY age_group ORDER BY risk) - 1 AS b_a, COUNT(*) OVER (PARTITION BY age_group) AS n_a, "
-    "ROUND(AVG(risk) OVER (PARTITION BY age_group), 9) AS m_a, MEDIAN(risk) OVER (PARTITION BY age_group) AS md_a, "
-    "RANK() OVER (ORDER BY risk) - 1 AS b_all, COUNT(*) OVER () AS n_all, ROUND(AVG(risk) OVER (), 9) AS m_all, MEDIAN(risk) OVER () AS md_all FROM sc), "
+    "ROUND(AVG(risk) OVER (PARTITION BY age_group), 9) AS m_a, ROUND(MEDIAN(risk) OVER (PARTITION BY age_group), 9) AS md_a, "
+    "RANK() OVER (ORDER BY risk) - 1 AS b_all, COUNT(*) OVER () AS n_all, ROUND(AVG(risk) OVER (), 9) AS m_all, ROUND(MEDIAN(risk) OVER (), 9) AS md_all FROM sc), "
     f"g AS (SELECT *, CASE WHEN n_as >= {S.MIN_PEERS} THEN 'age_sex' WHEN n_a >= {S.MIN_PEERS} THEN 'age' ELSE 'all' END AS grain FROM p)"
 )
 

@@ -24,6 +24,8 @@ BEST = {
     "svm": {"C": 1.0},
 }
 LOGREG_GRID = [{"C": c} for c in (0.001, 0.01, 0.1, 1, 10)]
+TREE_GRID = [{"max_depth": d, "min_samples_leaf": m} for d in (3, 5, 7, 10) for m in (20, 100)]
+SVM_GRID = [{"C": c} for c in (0.01, 0.1, 1)]
 
 
 def _prepared(spark, sf):
@@ -75,6 +77,18 @@ def ml_grid(spark, sf):
     return MD.grid(_folds(spark, sf), "logreg", LOGREG_GRID)
 
 
+@q("ml_grid_tree")
+def ml_grid_tree(spark, sf):
+    """Cross-validated grid of the decision-tree family (depth 3/5/7/10 x leaf 20/100)."""
+    return MD.grid(_folds(spark, sf), "tree", TREE_GRID)
+
+
+@q("ml_grid_svm")
+def ml_grid_svm(spark, sf):
+    """Cross-validated grid of the linear SVM (C .01/.1/1), sigmoid-calibrated on each training fold."""
+    return MD.grid(_folds(spark, sf), "svm", SVM_GRID)
+
+
 @q("ml_pick_strategy")
 def ml_pick_strategy(spark, sf):
     """Class weighting vs no re-weighting by cross-validated ROC-AUC; weighting wins ties."""

@@ -64,13 +64,24 @@ def kmeans_best(x: DataFrame, k: int = 4, seeds=range(10), max_iter: int = 100):
     return best
 
 
-def choose_k(x: DataFrame, ks=range(2, 9), seed: int = S.SEED) -> list[tuple]:
+def choose_k(x: DataFrame, ks=range(2, 9), seeds=range(10), parallelism: int = 8) -> list[tuple]:
+    """For each k: the best of ``len(seeds)`` k-means runs (lowest cost), its cost and silhouette.
+
+    The (k, seed) fits are independent distributed jobs, submitted concurrently from driver threads.
+    """
+    from concurrent.futures import ThreadPoolExecutor
     ev = ClusteringEvaluator(featuresCol="features", predictionCol="cluster", metricName="silhouette",
                              distanceMeasure="squaredEuclidean")
+
+    def one(k, s):
+        m = KMeans(k=k, seed=int(s), featuresCol="features", predictionCol="cluster").fit(x)
+        return k, m, float(m.summary.trainingCost)
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        fits = list(pool.map(lambda ks_: one(*ks_), [(k, s) for k in ks for s in seeds]))
     out = []
     for k in ks:
-        m = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(x)
-        out.append((k, float(m.summary.trainingCost), float(ev.evaluate(m.transform(x)))))
+        _, m, cost = min((f for f in fits if f[0] == k), key=lambda f: f[2])
+        out.append((k, cost, float(ev.evaluate(m.transform(x)))))
     return out
 
 

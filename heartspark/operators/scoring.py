@@ -83,41 +83,38 @@ def top_decoded(scored: DataFrame, risk: str, k: int = 10) -> DataFrame:
 def peer_position(scored: DataFrame, risk: str = "risk") -> DataFrame:
     """Each row against its peers: (age, sex) if that group has >= 30 rows, else age, else everyone.
 
-    Strictly-lower counts come from cumulative counts of distinct (group, risk)
-    pairs (pre-aggregated, bucketed running sum); the key ``group * 2 + risk``
-    keeps groups in disjoint ranges because risk lies in [0, 1]. The median
-    per group is read from the same cumulative table (grouped ``min``), so a
-    group's scores are never buffered in one task.
+    One pass for the three peer grains: every row adds itself to its three
+    peer groups (group ids 100 + 2 age + sex, 200 + age, 300) through one
+    exploded, pre-aggregated (group, risk) count table. A bucketed running sum
+    over ``group * 2 + risk`` (groups in disjoint ranges, risk in [0, 1]) gives
+    strictly-lower counts; group size, mean and median (grouped ``min`` over
+    the cumulative counts) come from the same table; each row then joins the
+    statistics of the group it uses. No group's scores are buffered in one task.
     """
     base = scored.select("respondent_id", "age_group", "sex", F.col(risk).cast("double").alias("r"))
-    grains = {
-        "age_sex": (F.col("age_group") * 2 + F.col("sex")).cast("long"),
-        "age": F.col("age_group").cast("long"),
-        "all": F.lit(0).cast("long"),
-    }
-    out = base
-    for g, gid in grains.items():
-        x = base.withColumn("_g", gid)
-        cnt = x.groupBy("_g", "r").agg(F.count(F.lit(1)).alias("_c"))
-        cum = ordering.running_sum(cnt.withColumn("_key", F.col("_g") * 2 + F.col("r")), [F.col("_key")], ["_c"])
-        grp = x.groupBy("_g").agg(F.count(F.lit(1)).alias(f"n_{g}"), F.round(F.avg("r"), 9).alias(f"mean_{g}"))
-        start = cum.groupBy("_g").agg(F.min(F.col("cum__c") - F.col("_c")).alias("_start"))
-        within = cum.join(start, "_g").join(grp, "_g").select(
-            "_g", "r", "_c", (F.col("cum__c") - F.col("_start")).alias("_cum"), F.col(f"n_{g}").alias("_n"))
-        med = ordering.quantiles_from_cumulative(within, ["_g"], "r", "_c", "_cum", "_n", [0.5], [f"median_{g}"])
-        grp = grp.join(med.select("_g", F.round(f"median_{g}", 9).alias(f"median_{g}")), "_g")
-        below = within.select("_g", "r", (F.col("_cum") - F.col("_c")).alias(f"below_{g}"))
-        out = out.withColumn("_g", gid).join(below, ["_g", "r"], "left").join(F.broadcast(grp), "_g", "left").drop("_g")
-    pick = F.when(F.col("n_age_sex") >= S.MIN_PEERS, F.lit("age_sex")).when(F.col("n_age") >= S.MIN_PEERS, F.lit("age")).otherwise(F.lit("all"))
-    out = out.withColumn("grain", pick)
-
-    def by_grain(prefix: str) -> Column:
-        return (F.when(F.col("grain") == "age_sex", F.col(f"{prefix}_age_sex"))
-                .when(F.col("grain") == "age", F.col(f"{prefix}_age")).otherwise(F.col(f"{prefix}_all")))
-    n = by_grain("n")
-    return out.select("respondent_id", "grain", (by_grain("below") / n * 100).alias("percentile_pct"),
-                      by_grain("mean").alias("peers_mean"), by_grain("median").alias("peers_median"),
-                      n.cast("long").alias("peers_n"), F.col("r").alias("risk"))
+    g_as = (F.lit(100) + F.col("age_group") * 2 + F.col("sex")).cast("long")
+    g_a = (F.lit(200) + F.col("age_group")).cast("long")
+    g_all = F.lit(300).cast("long")
+    cnt = base.select(F.explode(F.array(g_as, g_a, g_all)).alias("_g"), "r").groupBy("_g", "r").agg(
+        F.count(F.lit(1)).alias("_c"))
+    cum = ordering.running_sum(cnt.withColumn("_key", F.col("_g") * 2 + F.col("r")), [F.col("_key")], ["_c"])
+    grp = cum.groupBy("_g").agg(F.min(F.col("cum__c") - F.col("_c")).alias("_start"), F.sum("_c").alias("_n"),
+                                (F.sum(F.col("_c") * F.col("r")) / F.sum("_c")).alias("_mean"))
+    within = cum.join(F.broadcast(grp), "_g").select(
+        "_g", "r", "_c", "_n", "_mean", (F.col("cum__c") - F.col("_start")).alias("_cum"))
+    med = ordering.quantiles_from_cumulative(within, ["_g"], "r", "_c", "_cum", "_n", [0.5], ["_median"])
+    stats = within.join(F.broadcast(med), "_g").select(
+        "_g", "r", (F.col("_cum") - F.col("_c")).alias("_below"), "_n", "_mean", "_median")
+    sizes_as = base.groupBy("age_group", "sex").agg(F.count(F.lit(1)).alias("_n_as"))
+    sizes_a = base.groupBy("age_group").agg(F.count(F.lit(1)).alias("_n_a"))
+    x = base.join(F.broadcast(sizes_as), ["age_group", "sex"]).join(F.broadcast(sizes_a), "age_group")
+    grain = F.when(F.col("_n_as") >= S.MIN_PEERS, F.lit("age_sex")).when(F.col("_n_a") >= S.MIN_PEERS, F.lit("age")).otherwise(F.lit("all"))
+    x = x.withColumn("grain", grain).withColumn(
+        "_g", F.when(F.col("grain") == "age_sex", g_as).when(F.col("grain") == "age", g_a).otherwise(g_all))
+    out = x.join(stats, ["_g", "r"])
+    return out.select("respondent_id", "grain", (F.col("_below") / F.col("_n") * 100).alias("percentile_pct"),
+                      F.round("_mean", 9).alias("peers_mean"), F.round("_median", 9).alias("peers_median"),
+                      F.col("_n").cast("long").alias("peers_n"), F.col("r").alias("risk"))
 
 
 def vs_peers(p: Column, peers_mean: Column) -> Column:

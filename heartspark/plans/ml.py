@@ -173,3 +173,24 @@ def sc_score_model(spark, sf):
     train, _ = _split(spark, sf)
     m = MD.fit(train, "boosting", BEST["boosting"])
     return MD.score(m, survey_base(spark, sf).select("respondent_id", *S.FEATURES), "risk").select("respondent_id", "risk")
+
+
+def _tree_contrib(spark, sf):
+    from ..operators import treeshap as TS
+    train, _ = _split(spark, sf)
+    m = MD.fit(train, "boosting", BEST["boosting"])
+    return TS.contributions(m, survey_base(spark, sf).select("respondent_id", *S.FEATURES), MD.SCALED + MD.PASSTHROUGH)
+
+
+@q("ml_contrib_tree")
+def ml_contrib_tree(spark, sf):
+    """Exact path-dependent SHAP contributions (log-odds) of the boosting model for every row, long format."""
+    return _tree_contrib(spark, sf)
+
+
+@q("ml_importance_tree")
+def ml_importance_tree(spark, sf):
+    """Mean absolute SHAP contribution per variable of the boosting model, ranked (the published SHAP ranking)."""
+    from pyspark.sql import Window
+    g = _tree_contrib(spark, sf).groupBy("variable").agg(F.avg(F.abs("value")).alias("mean_abs"))
+    return g.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("mean_abs"), "variable")))

@@ -115,17 +115,26 @@ def ml_fit_gap(spark, sf):
 
 @q("ml_learning_curve")
 def ml_learning_curve(spark, sf):
-    """Validation ROC-AUC at 10..100 % of the training folds (nested hash prefixes of each class), mean and std over folds."""
+    """Validation ROC-AUC at 10..100 % of the training folds (stratified hash prefixes), mean and std over folds.
+
+    The 30 (fraction, fold) fits are independent distributed jobs, submitted concurrently.
+    """
+    from concurrent.futures import ThreadPoolExecutor
     folds = _folds(spark, sf)
+    sizes = {r["fold"]: r["count"] for r in folds.groupBy("fold").count().collect()}
+    total = sum(sizes.values())
+    fracs = (0.1, 0.28, 0.46, 0.64, 0.82, 1.0)
+
+    def one(frac, f):
+        tr, va = folds.where(F.col("fold") != f), folds.where(F.col("fold") == f)
+        sub = SP.stratified_subsample(tr, max(1, int((total - sizes[f]) * frac)))
+        m = MD.fit(sub, "logreg", BEST["logreg"])
+        return frac, MD.metrics(MD.score(m, va)).first()["roc_auc"]
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        res = list(pool.map(lambda a: one(*a), [(fr, f) for fr in fracs for f in range(S.N_FOLDS)]))
     rows = []
-    for frac in (0.1, 0.28, 0.46, 0.64, 0.82, 1.0):
-        aucs = []
-        for f in range(S.N_FOLDS):
-            tr, va = folds.where(F.col("fold") != f), folds.where(F.col("fold") == f)
-            n = tr.count()
-            sub = SP.stratified_subsample(tr, max(1, int(n * frac)))
-            m = MD.fit(sub, "logreg", BEST["logreg"])
-            aucs.append(MD.metrics(MD.score(m, va)).first()["roc_auc"])
+    for frac in fracs:
+        aucs = [a for fr, a in res if fr == frac]
         mean = sum(aucs) / len(aucs)
         std = (sum((a - mean) ** 2 for a in aucs) / len(aucs)) ** 0.5
         rows.append((frac, mean, std))

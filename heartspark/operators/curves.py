@@ -130,5 +130,5 @@ def reliability(df: DataFrame, score: str, label: str, bins: int = 10) -> DataFr
     x = df.crossJoin(F.broadcast(edges))
     s = F.col(score).cast("double")
     x = x.withColumn("bin", F.size(F.filter("_e", lambda e: e < s)))
-    return x.groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(s), DIGITS).alias("mean_predicted"),
+    return x.groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(s), 12).alias("mean_predicted"),
                                 F.avg(F.col(label).cast("double")).alias("observed_rate"))

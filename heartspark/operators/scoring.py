@@ -52,7 +52,7 @@ def batch_kpis(scored: DataFrame, risk: str, threshold: float) -> DataFrame:
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col(risk) >= threshold).alias("flagged"),
         (F.count_if(F.col(risk) >= threshold) / F.count(F.lit(1))).alias("flagged_share"),
-        F.round(F.avg(risk), 9).alias("mean_risk"))
+        F.round(F.avg(risk), 12).alias("mean_risk"))
 
 
 def band_distribution(scored: DataFrame, risk: str) -> DataFrame:
@@ -67,7 +67,7 @@ def band_distribution(scored: DataFrame, risk: str) -> DataFrame:
 def calibration_by_band(scored: DataFrame, risk: str, target: str = S.TARGET) -> DataFrame:
     """Mean estimated risk and real rate (%) per non-empty band."""
     return scored.where(C.risk_band(risk).isNotNull()).groupBy(C.risk_band(risk).alias("band")).agg(
-        F.round(F.avg(risk) * 100, 9).alias("mean_risk_pct"), (F.avg(F.col(target).cast("double")) * 100).alias("real_rate_pct"))
+        F.round(F.avg(risk) * 100, 10).alias("mean_risk_pct"), (F.avg(F.col(target).cast("double")) * 100).alias("real_rate_pct"))
 
 
 def top_decoded(scored: DataFrame, risk: str, k: int = 10) -> DataFrame:
@@ -113,7 +113,7 @@ def peer_position(scored: DataFrame, risk: str = "risk") -> DataFrame:
         "_g", F.when(F.col("grain") == "age_sex", g_as).when(F.col("grain") == "age", g_a).otherwise(g_all))
     out = x.join(stats, ["_g", "r"])
     return out.select("respondent_id", "grain", (F.col("_below") / F.col("_n") * 100).alias("percentile_pct"),
-                      F.round("_mean", 9).alias("peers_mean"), F.round("_median", 9).alias("peers_median"),
+                      F.round("_mean", 12).alias("peers_mean"), F.round("_median", 12).alias("peers_median"),
                       F.col("_n").cast("long").alias("peers_n"), F.col("r").alias("risk"))
 
 

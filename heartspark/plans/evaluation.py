@@ -198,7 +198,7 @@ def ml_class_report(spark, sf):
 @q("ml_reliability", ctes(_SCORED_CTE + ", e AS (SELECT " + ", ".join(
     f"QUANTILE_CONT(risk, {i / 10}) AS e{i}" for i in range(1, 10)) + " FROM sc)") +
    "SELECT CAST(" + " + ".join(f"CASE WHEN e{i} < risk THEN 1 ELSE 0 END" for i in range(1, 10)) + " AS BIGINT) AS bin, "
-   "CAST(COUNT(*) AS BIGINT) AS n, ROUND(AVG(risk), 9) AS mean_predicted, AVG(CAST(heart_disease AS DOUBLE)) AS observed_rate FROM sc CROSS JOIN e GROUP BY 1")
+   "CAST(COUNT(*) AS BIGINT) AS n, ROUND(AVG(risk), 12) AS mean_predicted, AVG(CAST(heart_disease AS DOUBLE)) AS observed_rate FROM sc CROSS JOIN e GROUP BY 1")
 def ml_reliability(spark, sf):
     """Reliability diagram data: 10 quantile bins of the score, mean predicted vs observed rate."""
     return CV.reliability(_scored(spark, sf), "risk", S.TARGET)

@@ -53,7 +53,7 @@ def prj_vs_reference(spark, sf):
 
 
 @q("sc_batch_kpis", ctes(SC_CTE) + f"SELECT CAST(COUNT(*) AS BIGINT) AS n, CAST(COUNT(*) FILTER (WHERE risk >= {THR}) AS BIGINT) AS flagged, "
-   f"CAST(COUNT(*) FILTER (WHERE risk >= {THR}) AS DOUBLE) / COUNT(*) AS flagged_share, ROUND(AVG(risk), 9) AS mean_risk FROM sc")
+   f"CAST(COUNT(*) FILTER (WHERE risk >= {THR}) AS DOUBLE) / COUNT(*) AS flagged_share, ROUND(AVG(risk), 12) AS mean_risk FROM sc")
 def sc_batch_kpis(spark, sf):
     """Rows, flagged rows, flagged share, mean risk of a scored batch."""
     return SC.batch_kpis(_scored(spark, sf), "risk", THR)
@@ -69,21 +69,21 @@ def sc_band_distribution(spark, sf):
     return SC.band_distribution(_scored(spark, sf), "risk")
 
 
-@q("sc_calibration_by_band", ctes(SC_CTE) + f"SELECT CAST({C.risk_band_sql('risk')} AS BIGINT) AS band, ROUND(AVG(risk) * 100, 9) AS mean_risk_pct, "
+@q("sc_calibration_by_band", ctes(SC_CTE) + f"SELECT CAST({C.risk_band_sql('risk')} AS BIGINT) AS band, ROUND(AVG(risk) * 100, 10) AS mean_risk_pct, "
    f"AVG(CAST(heart_disease AS DOUBLE)) * 100 AS real_rate_pct FROM sc WHERE {C.risk_band_sql('risk')} IS NOT NULL GROUP BY 1")
 def sc_calibration_by_band(spark, sf):
     """Mean estimated risk and real rate per non-empty band."""
     return SC.calibration_by_band(_scored(spark, sf), "risk")
 
 
-@q("sc_risk_by_age", ctes(SC_CTE) + "SELECT age_group, ROUND(AVG(risk) * 100, 9) AS mean_risk_pct FROM sc GROUP BY 1")
+@q("sc_risk_by_age", ctes(SC_CTE) + "SELECT age_group, ROUND(AVG(risk) * 100, 10) AS mean_risk_pct FROM sc GROUP BY 1")
 def sc_risk_by_age(spark, sf):
-    return _scored(spark, sf).groupBy("age_group").agg(F.round(F.avg("risk") * 100, 9).alias("mean_risk_pct"))
+    return _scored(spark, sf).groupBy("age_group").agg(F.round(F.avg("risk") * 100, 10).alias("mean_risk_pct"))
 
 
-@q("sc_risk_by_sex", ctes(SC_CTE) + "SELECT sex, ROUND(AVG(risk) * 100, 9) AS mean_risk_pct FROM sc GROUP BY 1")
+@q("sc_risk_by_sex", ctes(SC_CTE) + "SELECT sex, ROUND(AVG(risk) * 100, 10) AS mean_risk_pct FROM sc GROUP BY 1")
 def sc_risk_by_sex(spark, sf):
-    return _scored(spark, sf).groupBy("sex").agg(F.round(F.avg("risk") * 100, 9).alias("mean_risk_pct"))
+    return _scored(spark, sf).groupBy("sex").agg(F.round(F.avg("risk") * 100, 10).alias("mean_risk_pct"))
 
 
 def _top_sql(k):
@@ -114,10 +114,10 @@ def sc_top_decoded(spark, sf):
 _POS_SQL = (
     "p AS (SELECT respondent_id, age_group, sex, risk, "
     "RANK() OVER (PARTITION BY age_group, sex ORDER BY risk) - 1 AS b_as, COUNT(*) OVER (PARTITION BY age_group, sex) AS n_as, "
-    "ROUND(AVG(risk) OVER (PARTITION BY age_group, sex), 9) AS m_as, ROUND(MEDIAN(risk) OVER (PARTITION BY age_group, sex), 9) AS md_as, "
+    "ROUND(AVG(risk) OVER (PARTITION BY age_group, sex), 12) AS m_as, ROUND(MEDIAN(risk) OVER (PARTITION BY age_group, sex), 12) AS md_as, "
     "RANK() OVER (PARTITION BY age_group ORDER BY risk) - 1 AS b_a, COUNT(*) OVER (PARTITION BY age_group) AS n_a, "
-    "ROUND(AVG(risk) OVER (PARTITION BY age_group), 9) AS m_a, ROUND(MEDIAN(risk) OVER (PARTITION BY age_group), 9) AS md_a, "
-    "RANK() OVER (ORDER BY risk) - 1 AS b_all, COUNT(*) OVER () AS n_all, ROUND(AVG(risk) OVER (), 9) AS m_all, ROUND(MEDIAN(risk) OVER (), 9) AS md_all FROM sc), "
+    "ROUND(AVG(risk) OVER (PARTITION BY age_group), 12) AS m_a, ROUND(MEDIAN(risk) OVER (PARTITION BY age_group), 12) AS md_a, "
+    "RANK() OVER (ORDER BY risk) - 1 AS b_all, COUNT(*) OVER () AS n_all, ROUND(AVG(risk) OVER (), 12) AS m_all, ROUND(MEDIAN(risk) OVER (), 12) AS md_all FROM sc), "
     f"g AS (SELECT *, CASE WHEN n_as >= {S.MIN_PEERS} THEN 'age_sex' WHEN n_a >= {S.MIN_PEERS} THEN 'age' ELSE 'all' END AS grain FROM p)"
 )
 

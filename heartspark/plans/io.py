@@ -219,7 +219,7 @@ def sink_model(spark, sf):
     return MD.score(loaded, test).select("respondent_id", "score")
 
 
-@q("src_ref_parquet", ctes() + f"SELECT age_group, sex, CAST(COUNT(*) AS BIGINT) AS n, ROUND(AVG({C.scorecard_risk_sql()}), 9) AS mean_risk "
+@q("src_ref_parquet", ctes() + f"SELECT age_group, sex, CAST(COUNT(*) AS BIGINT) AS n, ROUND(AVG({C.scorecard_risk_sql()}), 12) AS mean_risk "
    "FROM base GROUP BY 1, 2")
 def src_ref_parquet(spark, sf):
     """Read the stored reference sample (Parquet) and aggregate the peers it holds per (age, sex)."""
@@ -228,7 +228,7 @@ def src_ref_parquet(spark, sf):
                                       C.scorecard_risk().alias("risque"))
     IO.write_parquet(b, path)
     ref = spark.read.parquet(path)
-    return ref.groupBy("age_group", "sex").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("risque"), 9).alias("mean_risk"))
+    return ref.groupBy("age_group", "sex").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("risque"), 12).alias("mean_risk"))
 
 
 @q("src_ref_json")

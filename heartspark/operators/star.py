@@ -66,6 +66,32 @@ def published_dim(spark: SparkSession, base: DataFrame, table: str) -> DataFrame
     return unknown.unionByName(codebook_dim(spark, table))
 
 
+def published_dims(spark: SparkSession, base: DataFrame) -> dict:
+    """All seven published dimensions from ONE aggregation pass over the base.
+
+    The pass yields seven (dimension, needs-unknown) flags -- a bounded result --
+    and each dimension is its codebook plus, only where needed, the unknown member.
+    """
+    need = {r["dimension"]: bool(r["need_unknown"]) for r in need_unknown(base).collect()}
+    out = {}
+    for table, key, _, label, _ in S.DIMENSIONS:
+        d = codebook_dim(spark, table)
+        if need.get(table):
+            unknown = spark.createDataFrame([(S.UNKNOWN_KEY, S.UNKNOWN_LABEL)], d.schema)
+            d = unknown.unionByName(d)
+        out[table] = d
+    return out
+
+
+def orphans_against(fact: DataFrame, dims: dict) -> DataFrame:
+    """Fact keys absent from the given (published) dimensions, per dimension."""
+    parts = []
+    for table, key, _, _, _ in S.DIMENSIONS:
+        n = fact.select(key).join(F.broadcast(dims[table].select(key)), key, "left_anti").agg(F.count(F.lit(1)).alias("orphans"))
+        parts.append(n.select(F.lit(table).alias("dimension"), F.col("orphans").cast("long")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def build_fact(spark: SparkSession, base: DataFrame, via: str = "join") -> DataFrame:
     """31-column fact: unmatched codes -> -1.
 

@@ -84,8 +84,7 @@ def scan_full(spark, sf):
 
 def _star_tables(spark, sf):
     base = analytical_base(spark, sf)
-    dims = {t: star.published_dim(spark, base, t) for t, *_ in S.DIMENSIONS}
-    return dims, star.build_fact(spark, base)
+    return star.published_dims(spark, base), star.build_fact(spark, base)
 
 
 def _inventory_sql():

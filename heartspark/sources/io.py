@@ -53,8 +53,10 @@ def export_star(dims: dict, fact: DataFrame, root: str) -> list[str]:
         write_csv(d, f"{root}/csv/{name}", single_file=True)
         write_parquet(d, f"{root}/parquet/{name}", single_file=True)
         names.append(name)
-    write_csv(fact, f"{root}/csv/fact_respondent")
+    fact = fact.persist()  # written twice; recomputable from lineage if an executor is lost
     write_parquet(fact, f"{root}/parquet/fact_respondent")
+    write_csv(fact, f"{root}/csv/fact_respondent")
+    fact.unpersist()
     return names + ["fact_respondent"]
 
 

@@ -35,13 +35,18 @@ def flag(cond: Column) -> Column:
     return cond.cast("int")
 
 
-def risk_band(p: Column | str) -> Column:
-    """Right-closed bands (0,.05], (.05,.10], (.10,.20], (.20,.40], (.40,1]; 0 and out of range -> null."""
+def risk_band(p: Column | str, include_zero: bool = False) -> Column:
+    """Right-closed bands (0,.05], (.05,.10], (.10,.20], (.20,.40], (.40,1]; out of range -> null.
+
+    Faithful default: a risk of exactly 0 gets no band (an isotonic calibrator
+    can emit 0); ``include_zero=True`` puts it in the first band.
+    """
     c = F.col(p) if isinstance(p, str) else p
     e = S.RISK_BAND_EDGES
     expr = None
     for i in range(1, len(e)):
-        cond = (c > F.lit(e[i - 1])) & (c <= F.lit(e[i]))
+        lower_ok = (c >= F.lit(e[0])) if (i == 1 and include_zero) else (c > F.lit(e[i - 1]))
+        cond = lower_ok & (c <= F.lit(e[i]))
         expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
     return expr.cast("int")
 

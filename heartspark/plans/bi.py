@@ -146,3 +146,18 @@ def bi_p3_rate_by_age_sex(spark, sf):
     agg = agg.join(F.broadcast(star.codebook_dim(spark, "dim_age")), "age_key", "left")
     agg = agg.join(F.broadcast(star.codebook_dim(spark, "dim_sex")), "sex_key", "left")
     return agg.select("age_key", "tranche_age", "sex_key", "sexe", "taux_maladie").orderBy("age_key", "sex_key")
+
+
+@q("bi_p3_rate_by_age_sex_pivot", with_fact() + "SELECT a.age_key, d.tranche_age, a.Femme, a.Homme FROM (SELECT age_key, "
+   "CAST(SUM(CASE WHEN sex_key = 0 THEN heart_disease END) AS DOUBLE) / NULLIF(COUNT(CASE WHEN sex_key = 0 THEN 1 END), 0) AS Femme, "
+   "CAST(SUM(CASE WHEN sex_key = 1 THEN heart_disease END) AS DOUBLE) / NULLIF(COUNT(CASE WHEN sex_key = 1 THEN 1 END), 0) AS Homme "
+   f"FROM fact GROUP BY age_key) a LEFT JOIN {dim_values('dim_age')} d ON a.age_key = d.age_key")
+def bi_p3_rate_by_age_sex_pivot(spark, sf):
+    """Rate by age with one column per sex label (pivot over the fixed sex codebook: no extra pass)."""
+    from ..operators import star
+    f = fact(spark, sf)
+    sex_label = C.map_lookup(S.LABELS_SEX, "sex_key")
+    p = f.withColumn("sexe", sex_label).groupBy("age_key").pivot("sexe", list(S.LABELS_SEX.values())).agg(
+        M.disease_rate())
+    return p.join(F.broadcast(star.codebook_dim(spark, "dim_age")), "age_key", "left").select(
+        "age_key", "tranche_age", *S.LABELS_SEX.values())

@@ -258,3 +258,22 @@ def agg_eda_report(spark, sf):
     t = D.totals(b).select("redundant_rows", "rows_in_groups")
     dd = D.dedup_impact(b).select(F.col("rate_without_pct").alias("rate_dedup_pct"))
     return o.crossJoin(t).crossJoin(dd)
+
+
+@q("agg_overview_approx")
+def agg_overview_approx(spark, sf):
+    """Per column: approximate distinct count (HyperLogLog++, 1 % relative error) and missing values:
+    the bounded-memory mode of agg_overview for very large tables."""
+    b = analytical_base(spark, sf)
+    long = ST.unpivot(b, S.ANALYTICAL_COLUMNS)
+    return long.groupBy("column_name").agg(F.approx_count_distinct("value", 0.01).alias("n_distinct_approx"),
+                                           F.count_if(F.col("value").isNull()).cast("long").alias("n_missing"))
+
+
+@q("agg_tail_quantiles_approx")
+def agg_tail_quantiles_approx(spark, sf):
+    """Upper bmi quantiles with the bounded-memory sketch (percentile_approx, accuracy 10 000)."""
+    probs = [0.95, 0.99, 0.999, 1.0]
+    one = survey_base(spark, sf).agg(F.percentile_approx(F.col("bmi").cast("double"), probs, 10000).alias("q"))
+    return one.select(F.posexplode("q").alias("i", "value")).select(
+        F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("i") + 1).alias("prob"), "value")

@@ -120,3 +120,9 @@ def test_text_tie_first_entry(spark):
     # 'masse' belongs to 'imc' (3rd) and 'scoring_lot' (13th): equal scores -> first entry.
     df = spark.createDataFrame([(1, "masse")], "id long, text string")
     assert TM.match(df, "text", ["id"]).first().faq_id == "imc"
+
+
+def test_risk_band_include_zero(spark):
+    df = spark.createDataFrame([(0.0,), (0.03,)], "p double")
+    assert [r.b for r in df.select(C.risk_band("p", include_zero=True).alias("b")).collect()] == [1, 1]
+    assert [r.b for r in df.select(C.risk_band("p").alias("b")).collect()] == [None, 1]

@@ -129,8 +129,8 @@ def rate_by_size(base: DataFrame, fractions=FRACTIONS, seeds=SEEDS) -> DataFrame
     """Duplicate rate (keep first, %) of hash samples of 5 sizes, mean over 3 seeds.
 
     Sample (f, s) = the floor(n*f) rows with the smallest key_s = (hash_s(id), id).
-    The cut key of each sample is the row whose rank is the sample size (an
-    exact distributed rank over the id column only, one per seed). A profile
+    The cut key of each sample is the row at position = sample size, found by
+    an exact selection that sorts only the buckets holding those positions. A profile
     is in the sample iff its smallest key is within the cut, so one grouped
     min per seed and 15 conditional counts finish it.
     """
@@ -138,12 +138,11 @@ def rate_by_size(base: DataFrame, fractions=FRACTIONS, seeds=SEEDS) -> DataFrame
     n_all = ids.agg(F.count(F.lit(1)).alias("n_all"))
     cuts = None
     for s in seeds:
-        r = ordering.global_rank(ids.withColumn("_h", arith_hash("respondent_id", s)),
-                                 [F.col("_h"), F.col("respondent_id")], "_rank")
         sizes = n_all.select(F.explode(F.array(*[
             F.struct(F.lit(i).alias("fi"), F.floor(F.col("n_all") * F.lit(f)).cast("long").alias("size"))
             for i, f in enumerate(fractions)])).alias("x")).select("x.*")
-        c = r.join(F.broadcast(sizes), F.col("_rank") == F.col("size")).select(
+        c = ordering.kth_smallest(ids.withColumn("_h", arith_hash("respondent_id", s)),
+                                  [F.col("_h"), F.col("respondent_id")], sizes, pos_col="size").select(
             "fi", "size", F.lit(s).alias("seed"), F.struct("_h", "respondent_id").alias("cut"))
         cuts = c if cuts is None else cuts.unionByName(c)
     keyed = base.select(*PROFILE22, *[F.struct(arith_hash("respondent_id", s).alias("_h"),

@@ -98,3 +98,24 @@ def quantiles_from_cumulative(cum: DataFrame, group: list[str], value: str, coun
         lo, hi, fr = F.col(f"_lo_{name}"), F.coalesce(F.col(f"_hi_{name}"), F.col(f"_lo_{name}")), F.col(f"_fr_{name}")
         out.append(F.when(fr == 0, lo).otherwise(lo + (hi - lo) * fr).alias(name))
     return g.select(*group, *out)
+
+
+def kth_smallest(df: DataFrame, order: list[Column], positions: DataFrame, pos_col: str = "pos",
+                 n: int | None = None) -> DataFrame:
+    """Rows at given 1-based positions of a total order, without ranking every row.
+
+    Per-bucket counts and their running total locate the bucket holding each
+    requested position; only rows of those buckets (at most one bucket per
+    position) are sorted. ``positions`` is a small table with column ``pos_col``.
+    """
+    x = bucketize(df, order[0], n)
+    cnt = x.groupBy("_bkt").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    cnt = cnt.select("_bkt", "_n", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    want = positions.crossJoin(F.broadcast(cnt)).where(
+        (F.col(pos_col) > F.col("_off")) & (F.col(pos_col) <= F.col("_off") + F.col("_n"))).select(
+        *positions.columns, "_bkt", (F.col(pos_col) - F.col("_off")).alias("_local"))
+    hit = x.join(F.broadcast(want.select("_bkt").distinct()), "_bkt")
+    wi = Window.partitionBy("_bkt").orderBy(*order)
+    ranked = hit.withColumn("_local", F.row_number().over(wi))
+    return ranked.join(F.broadcast(want), ["_bkt", "_local"]).drop("_bkt", "_local")

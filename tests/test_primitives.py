@@ -65,3 +65,11 @@ def test_confusion_sums(spark):
     m = CV.threshold_metrics(b, "risk", S.TARGET, 0.1).first()
     assert m["tp"] + m["fn"] == b.where(f"{S.TARGET} = 1").count()
     assert m["tp"] + m["fn"] + m["fp"] + m["tn"] == b.count()
+
+
+def test_kth_smallest_matches_sort(spark):
+    df = spark.range(0, 4000).withColumn("k", (F.col("id") * 7919) % 2003)
+    pos = spark.createDataFrame([(1,), (17,), (2000,), (4000,)], "pos long")
+    got = {r["pos"]: r["id"] for r in ordering.kth_smallest(df, [F.col("k"), F.col("id")], pos, n=6).collect()}
+    srt = df.toPandas().sort_values(["k", "id"]).reset_index(drop=True)
+    assert got == {p: int(srt.loc[p - 1, "id"]) for p in (1, 17, 2000, 4000)}

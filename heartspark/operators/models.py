@@ -77,8 +77,8 @@ def estimator(family: str, params: dict, weighted: bool = True, sum_weights: flo
     raise ValueError(family)
 
 
-def fit(train: DataFrame, family: str, params: dict, weighted: bool = True) -> PipelineModel:
-    counts = class_counts(train)
+def fit(train: DataFrame, family: str, params: dict, weighted: bool = True, counts: dict | None = None) -> PipelineModel:
+    counts = counts or class_counts(train)
     tr = with_class_weight(train, counts=counts) if weighted else train
     # Balanced weights sum to n, like the unweighted row count.
     sw = float(sum(counts.values()))
@@ -140,9 +140,9 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def _fold_metrics(folds: DataFrame, family: str, p: dict, weighted: bool, f: int) -> dict:
+def _fold_metrics(folds: DataFrame, family: str, p: dict, weighted: bool, f: int, counts: dict | None = None) -> dict:
     tr, va = folds.where(F.col("fold") != f), folds.where(F.col("fold") == f)
-    m = fit(tr, family, p, weighted)
+    m = fit(tr, family, p, weighted, counts)
     sc = score(m, va)
     if family == "svm":
         sc = platt(m, tr, sc)
@@ -159,10 +159,15 @@ def grid(folds: DataFrame, family: str, settings: list[dict], weighted: bool = T
     from concurrent.futures import ThreadPoolExecutor
     spark = folds.sparkSession
     folds = materialize(folds)
+    # Class counts of every training part from one (fold, class) count: total minus the held-out fold.
+    per = {(int(r["fold"]), int(r[S.TARGET])): int(r["count"]) for r in folds.groupBy("fold", S.TARGET).count().collect()}
+    labels = sorted({c for _, c in per})
+    train_counts = {f: {c: sum(v for (g, cc), v in per.items() if cc == c and g != f) for c in labels} for f in range(k)}
     tasks = [(i, f) for i in range(len(settings)) for f in range(k)]
     started = time.time()
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(tasks)))) as pool:
-        futs = {(i, f): pool.submit(_fold_metrics, folds, family, settings[i], weighted, f) for i, f in tasks}
+        futs = {(i, f): pool.submit(_fold_metrics, folds, family, settings[i], weighted, f, train_counts[f])
+                for i, f in tasks}
         res = {key: fu.result() for key, fu in futs.items()}
     elapsed = time.time() - started
     rows = []

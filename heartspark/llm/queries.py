@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import byte_bpe, token_count
+from . import byte_bpe, chat, oracles, quality, secrets, token_count
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,14 +24,36 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_digests(_table(spark, sf_dir, "documents"), rank_file(), public_tokenizers.PATTERN)
 
 
+def op4_chat_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
+    both = "</s>[INST] ok [/INST]"
+    added = spark.createDataFrame([(-7, 0, "user", both), (-7, 1, "assistant", both)], table.schema)
+    turns = chat.paths(chat.linear_tree(table.unionByName(added)))
+    return chat.digests(chat.format_paths(turns))
+
+
+def op5_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    findings, _ = secrets.scan(_table(spark, sf_dir, "documents"))
+    return secrets.digests(findings)
+
+
+def op6_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(_table(spark, sf_dir, "documents")).drop("excess")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.token_counts(
         _table(spark, sf_dir, "documents"), rank_file("byte_bpe_50k.json").decode(), public_tokenizers.PATTERN)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_byte_bpe, op10_token_counts)
+    f.__name__: f for f in (op1_byte_bpe, op4_chat_trees, op5_secret_ledger, op6_quality_divergence, op10_token_counts)
 }
 
 #: DuckDB SQL of those that SQL can express.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op4_chat_trees": oracles.CHAT,
+    "op5_secret_ledger": oracles.secrets(),
+    "op6_quality_divergence": oracles.quality(),
+}

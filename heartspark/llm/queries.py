@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat, oracles, quality, secrets, token_count
+from . import byte_bpe, chat, html_text, language_id, oracles, quality, secrets, token_count
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_digests(_table(spark, sf_dir, "documents"), rank_file(), public_tokenizers.PATTERN)
 
 
+def op3_html_min_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(_table(spark, sf_dir, "pages"))
+
+
 def op4_chat_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _table(spark, sf_dir, "conversations").select(
         F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
@@ -42,13 +46,20 @@ def op6_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_table(spark, sf_dir, "documents")).drop("excess")
 
 
+def op8_language_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    out = F.coalesce(language_id.held_out(), F.lit(False))
+    learned = language_id.learn(docs.where(~out).select("text", "lang"))
+    return language_id.predict(docs, learned).select("doc_id", out.alias("held_out"), "lang_pred", "score")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.token_counts(
         _table(spark, sf_dir, "documents"), rank_file("byte_bpe_50k.json").decode(), public_tokenizers.PATTERN)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_byte_bpe, op4_chat_trees, op5_secret_ledger, op6_quality_divergence, op10_token_counts)
+    f.__name__: f for f in (op1_byte_bpe, op3_html_min_cut, op4_chat_trees, op5_secret_ledger, op6_quality_divergence, op8_language_filters, op10_token_counts)
 }
 
 #: DuckDB SQL of those that SQL can express.

@@ -106,3 +106,29 @@ judged AS (SELECT b.*, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS ba
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,
   n_repeat_words::BIGINT AS n_repeat_words, base_failed, NOT base_failed AND NOT apart AS kept FROM judged
 """
+
+
+WARC = r"""
+WITH a AS (
+  SELECT page_id, coalesce(html, '') AS b, coalesce(page_id, 0) AS m, regexp_replace(trim(coalesce(url, '')), '#.*$', '') AS u0, url FROM pages
+), c AS (
+  SELECT *, regexp_replace(u0, '^([Hh][Tt][Tt][Pp][Ss]?:)?//', '') AS u FROM a
+), d AS (
+  SELECT *, regexp_replace(regexp_replace(regexp_replace(lower(regexp_extract(u, '^([^/?]*)', 1)), '^.*@', ''), ':(80|443)$', ''), '^(www[0-9]*|m)\.', '')
+    || regexp_replace(regexp_extract(substr(u, length(regexp_extract(u, '^([^/?]*)', 1)) + 1), '^([^?]*)', 1), '/+$', '') AS place,
+    list_sort([p FOR p IN string_split(regexp_extract(u, '\?(.*)$', 1), '&')
+      IF p <> '' AND NOT regexp_matches(lower(p), '^(utm_[a-z]+|gclid|fbclid|ref|phpsessid|jsessionid|sid)(=|$)')]) AS params
+  FROM c
+), k AS (
+  SELECT *, place || CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END AS key,
+    '"' || left(sha256(b), 16) || '"' AS tag, 1600000000 + 60 * m AS s FROM d
+), r AS (SELECT key, s, max(page_id::VARCHAR) AS id FROM k GROUP BY key, s),
+v AS (SELECT *, 1600000000 + 60 * (m + ('0x' || left(sha256(coalesce(url, '')), 4))::BIGINT % 4001 - 1000) AS s2 FROM k),
+j AS (SELECT v.page_id, v.key, v.s2, v.tag, r.id FROM v ASOF LEFT JOIN r ON v.key = r.key AND v.s2 > r.s),
+t AS (SELECT j.*, k.tag AS their, octet_length(encode(k.b)) AS n FROM j LEFT JOIN k ON j.id = k.page_id::VARCHAR)
+SELECT page_id, key AS canonical_url, id::BIGINT AS target_page_id,
+  CASE WHEN id IS NULL THEN 'missing' WHEN tag = their THEN 'resolved' ELSE 'mismatch' END AS outcome,
+  CASE WHEN id IS NOT NULL AND tag = their THEN concat_ws(chr(10), 'cache-control: max-age=120', 'content-length: ' || n,
+    'content-type: text/html; charset=utf-8', 'date: ' || s2, 'etag: W/' || tag) END AS headers
+FROM t
+"""

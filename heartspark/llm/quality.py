@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .rows import cut, pick, text_or_empty
+from .rows import cut, let, pick, text_or_empty
 
 WORD_GAP = r"[\x20\x09-\x0D]+"
 
@@ -96,11 +96,6 @@ def n_repeat_words(words: Column) -> Column:
     return F.when(n < 3, F.lit(0).cast("long")).when(n < (1 << bits), by_hash(words, starts)).otherwise(by_string(words, starts))
 
 
-def let(value: Column, f) -> Column:
-    """``f(value)`` with ``value`` computed once, however often ``f`` mentions it."""
-    return F.get(F.transform(F.array(value), f), F.lit(0))
-
-
 def _removed(c: Column, pattern: str) -> Column:
     return F.regexp_replace(c, pattern, "")
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat, html_text, language_id, oracles, quality, secrets, token_count
+from . import byte_bpe, chat, html_text, language_id, oracles, quality, secrets, token_count, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,18 +53,47 @@ def op8_language_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, learned).select("doc_id", out.alias("held_out"), "lang_pred", "score")
 
 
+def warc_of_pages(pages: DataFrame) -> DataFrame:
+    """WARC records made of pages: a full response each, and a revisit some time before or after it."""
+    body = F.coalesce("html", F.lit(""))
+    tag = F.concat(F.lit('"'), F.substring(F.sha2(body, 256), 1, 16), F.lit('"'))
+    minute = F.coalesce("page_id", F.lit(0))
+    shift = F.conv(F.substring(F.sha2(F.coalesce("url", F.lit("")), 256), 1, 4), 16, 10).cast("long") % 4001 - 1000
+    rows = pages.select("page_id", "url", body.alias("body"), tag.alias("tag"),
+                        (1_600_000_000 + 60 * minute).alias("s"), (1_600_000_000 + 60 * (minute + shift)).alias("s2"))
+    response = F.concat(
+        F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.octet_length("body").cast("string"),
+        F.lit("\r\nCache-Control: max-age=60\r\nDate: "), F.col("s").cast("string"), F.lit("\r\nETag: "), F.col("tag"), F.lit("\r\n\r\n"), F.col("body"))
+    revisit = F.concat(
+        F.lit("HTTP/1.1 304 Not Modified\r\nContent-Length: 0\r\nCache-Control: max-age=120\r\nDate: "), F.col("s2").cast("string"),
+        F.lit("\r\nETag: W/"), F.col("tag"), F.lit("\r\n\r\n"))
+
+    def record(kind: str, second: str, http):
+        return warc.write_record(F.lit(kind), F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.col("url"), F.timestamp_seconds(second), http)
+
+    return rows.select(F.explode(F.array(record("response", "s", response), record("revisit", "s2", revisit))).alias("record"))
+
+
+def op9_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = warc.resolve(warc.parse_records(warc_of_pages(_table(spark, sf_dir, "pages"))))
+    return done.select(F.col("record_id").cast("long").alias("page_id"), "canonical_url", F.col("target_id").cast("long").alias("target_page_id"),
+                       "outcome", "headers")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.token_counts(
         _table(spark, sf_dir, "documents"), rank_file("byte_bpe_50k.json").decode(), public_tokenizers.PATTERN)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_byte_bpe, op3_html_min_cut, op4_chat_trees, op5_secret_ledger, op6_quality_divergence, op8_language_filters, op10_token_counts)
+    f.__name__: f for f in (op1_byte_bpe, op3_html_min_cut, op4_chat_trees, op5_secret_ledger, op6_quality_divergence, op8_language_filters,
+    op9_warc_revisits, op10_token_counts)
 }
 
 #: DuckDB SQL of those that SQL can express.
 SQL: dict[str, str] = {
     "op4_chat_trees": oracles.CHAT,
     "op5_secret_ledger": oracles.secrets(),
+    "op9_warc_revisits": oracles.WARC,
     "op6_quality_divergence": oracles.quality(),
 }

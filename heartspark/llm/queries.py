@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat, html_text, language_id, oracles, quality, secrets, token_count, warc
+from . import byte_bpe, chat, decontaminate, html_text, language_id, oracles, quality, secrets, token_count, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_digests(_table(spark, sf_dir, "documents"), rank_file(), public_tokenizers.PATTERN)
 
 
+def op2_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op3_html_min_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(_table(spark, sf_dir, "pages"))
 
@@ -86,7 +90,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_byte_bpe, op3_html_min_cut, op4_chat_trees, op5_secret_ledger, op6_quality_divergence, op8_language_filters,
+    f.__name__: f for f in (op1_byte_bpe, op2_spaced_seeds, op3_html_min_cut, op4_chat_trees, op5_secret_ledger, op6_quality_divergence, op8_language_filters,
     op9_warc_revisits, op10_token_counts)
 }
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat, decontaminate, html_text, language_id, oracles, quality, secrets, token_count, warc
+from . import byte_bpe, chat, decontaminate, html_text, language_id, near_dups, oracles, quality, secrets, token_count, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,6 +50,10 @@ def op6_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_table(spark, sf_dir, "documents")).drop("excess")
 
 
+def op7_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op8_language_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     out = F.coalesce(language_id.held_out(), F.lit(False))
@@ -90,7 +94,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_byte_bpe, op2_spaced_seeds, op3_html_min_cut, op4_chat_trees, op5_secret_ledger, op6_quality_divergence, op8_language_filters,
+    f.__name__: f for f in (op1_byte_bpe, op2_spaced_seeds, op3_html_min_cut, op4_chat_trees, op5_secret_ledger, op6_quality_divergence, op7_bag_minhash, op8_language_filters,
     op9_warc_revisits, op10_token_counts)
 }
 

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .decontaminate import tokens
-from .rows import cut, pick
+from .rows import col, col_of, cut, pick
 
 WIDTH = 5
 #: At a similarity of 0.8 all BANDS miss with a probability of (1 - 0.8 ** ROWS) ** BANDS = 7e-6.
@@ -243,5 +243,5 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8) -> DataFrame:
     """The rows of ``docs`` whose id is the least of its class, with their own columns."""
     found = near_duplicates(docs, id_col, text_col, similarity)
-    least = found.where(F.col("class_id").eqNullSafe(F.col(id_col))).select(F.col(id_col).alias("kept_id"))
-    return docs.join(least, F.col(id_col).eqNullSafe(F.col("kept_id")), "left_semi")
+    least = found.where(F.col("class_id").eqNullSafe(col(id_col))).select(col(id_col).alias("kept_id"))
+    return docs.alias("d").join(least.alias("k"), col_of("d", id_col).eqNullSafe(F.col("k.kept_id")), "left_semi")

@@ -21,6 +21,11 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def col_of(alias: str, name: str) -> Column:
+    """The column of exactly this name of an aliased frame."""
+    return F.col(f"{alias}.`" + name.replace("`", "``") + "`")
+
+
 def pick(df: DataFrame, **names: str) -> DataFrame:
     """``pick(df, doc_id="id")`` selects column ``id`` as ``doc_id``."""
     return df.select(*[col(old).alias(new) for new, old in names.items()])

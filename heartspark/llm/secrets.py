@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .rows import pick, text_or_empty
+from .rows import col, pick, text_or_empty
 
 
 @dataclass(frozen=True)
@@ -156,3 +156,14 @@ def redact(text: Column, spans: Column, mark: str = "[REDACTED]") -> Column:
     whole = F.aggregate(spans, F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out")), merge, lambda acc: F.concat(
         acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.length(text))))
     return F.when(F.size(spans) > 0, whole).otherwise(text)
+
+
+def redacted(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES, mark: str = "[REDACTED]") -> DataFrame:
+    """``docs`` with the found secrets replaced in ``text_col``; texts without secrets, null ones too, stay as they are."""
+    blob = F.sha2(text_or_empty(col(text_col)), 256)
+    _, scanned = scan(docs.select(blob.alias("id"), col(text_col).alias("text")), None, "id", "text", rules)
+    found = scanned.where(F.size("spans") > 0).select(F.col("blob").alias("found_blob"), by_start(F.col("spans")).alias("found_spans"))
+    both = docs.select(F.struct(*[col(k) for k in docs.columns]).alias("row"), blob.alias("row_blob")).join(
+        found, F.col("row_blob") == F.col("found_blob"), "left")
+    text = F.when(F.col("found_spans").isNull(), F.col("row")[text_col]).otherwise(redact(F.col("row")[text_col], F.col("found_spans"), mark))
+    return both.select(*[text.alias(k) if k == text_col else F.col("row")[k].alias(k) for k in docs.columns])

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .rows import cut, let, pick, text_or_empty
+from .rows import col, col_of, cut, let, pick, text_or_empty
 
 #: Fixed masks of weight 6 and span 9: 1 counts, 0 is ignored.
 MASKS = ("110110101", "101011011", "111001101")
@@ -51,23 +51,29 @@ def seeds(t: Column, masks: tuple[str, ...] = MASKS) -> Column:
         F.concat(*[under(t, k, m) for k, m in enumerate(masks)])))
 
 
-def best_overlap(doc: Column, item: Column, shift: Column, at: Column, stretch: int, span: int) -> Column:
+def around(t: Column, at: Column, stretch: int, span: int) -> Column:
+    """The tokens that stretches over the window at ``at`` can reach: all that verification needs of a text, however long."""
+    low = F.greatest(F.lit(0), at - (stretch - 1))
+    return F.slice(t, low + 1, at + span + stretch - 1 - low)
+
+
+def best_overlap(near: Column, item: Column, at: Column, item_at: Column, stretch: int, span: int) -> Column:
     """Most equal tokens in a stretch of the alignment that overlaps the seed's window, as a share of the stretch.
 
-    ``shift``: position in the document less position in the item; ``at``: the window's start in the document.
+    ``near``: what around() gives; ``at`` and ``item_at``: the window's start in the document and in the item.
     """
     length = F.least(F.lit(stretch), F.size(item))
-    low = F.greatest(at - length + 1, shift, F.lit(0))
-    high = F.least(at + span - 1, shift + F.size(item) - length, F.size(doc) - length)
-    same = lambda first: F.transform(F.sequence(first, high + length - 1), lambda p: (
-        F.get(doc, p) == F.get(item, p - shift)).cast("int"))
+    first = F.least(at, F.lit(stretch - 1))  # the window's start in ``near``
+    shift = first - item_at
+    low = F.greatest(first - length + 1, shift, F.lit(0))
+    high = F.least(first + span - 1, shift + F.size(item) - length, F.size(near) - length)
+    same = F.transform(F.sequence(low, high + length - 1), lambda p: (F.get(near, p) == F.get(item, p - shift)).cast("int"))
 
     def most(equal: Column) -> Column:
-        starts = F.sequence(F.lit(0), high - low)
-        sums = F.transform(starts, lambda s: F.aggregate(F.slice(equal, s + 1, length), F.lit(0), lambda a, x: a + x))
+        sums = F.transform(F.sequence(F.lit(0), high - low), lambda s: F.aggregate(F.slice(equal, s + 1, length), F.lit(0), lambda a, x: a + x))
         return F.array_max(sums)
 
-    return F.when(high < low, F.lit(0.0)).otherwise(let(same(low), most) / length)
+    return F.when(high < low, F.lit(0.0)).otherwise(let(same, most) / length)
 
 
 def classes(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -97,13 +103,15 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     item_seeds = exploded(items.withColumn("t", c("item")), "item_id").withColumnRenamed("pos", "item_pos").distinct()
     size = items.agg(F.coalesce(F.sum(F.size("item")), F.lit(0))).first()[0]
     rows = pick(docs, id=id_col, text=text_col).select("id", tokens(F.col("text")).alias("t"))
-    share = best_overlap(c("t"), c("item"), c("pos") - c("item_pos"), c("pos"), stretch, span)
+    hit = [c("id"), c("item_id"), c("pos"), c("item_pos"), around(c("t"), c("pos"), stretch, span).alias("near")]
     if len(masks) * size <= most_seeds and size <= most_tokens:
-        hits = exploded(rows, "id", "t").join(F.broadcast(item_seeds), "seed").join(F.broadcast(items), "item_id")
+        # Compiled into one pass: of a text only the tokens around its hits leave it.
+        hits = exploded(rows, "id", "t").join(F.broadcast(item_seeds), "seed").select(*hit).join(F.broadcast(items), "item_id")
     else:
         met = exploded(rows, "id").join(item_seeds, "seed").select("id", "item_id", "pos", "item_pos").distinct()
-        near = met.join(items, "item_id")
-        hits = near.alias("h").join(rows.distinct().alias("r"), c("h.id").eqNullSafe(c("r.id"))).select("h.*", "r.t")
+        texts = rows.withColumnRenamed("id", "doc").distinct()
+        hits = met.join(texts, c("id").eqNullSafe(c("doc"))).select(*hit).join(items, "item_id")
+    share = best_overlap(c("near"), c("item"), c("pos"), c("item_pos"), stretch, span)
     verified = hits.select("id", "item_id", "pos", "item_pos", share.alias("share")).where(c("share") >= least_share)
     return verified.groupBy("id", "item_id").agg(
         F.countDistinct("pos", "item_pos").alias("n_hits"), F.max("share").alias("share")).withColumnRenamed("id", id_col)
@@ -111,5 +119,5 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The rows of ``docs`` without a verified overlap, with their own columns."""
-    found = overlaps(docs, benchmark, id_col, **options).select(F.col(id_col).alias("found")).distinct()
-    return docs.join(found, F.col(id_col).eqNullSafe(F.col("found")), "left_anti")
+    found = overlaps(docs, benchmark, id_col, **options).select(col(id_col).alias("found")).distinct()
+    return docs.alias("d").join(found.alias("k"), col_of("d", id_col).eqNullSafe(F.col("k.found")), "left_anti")

@@ -168,9 +168,9 @@ def count_grams(rows: DataFrame) -> DataFrame:
                     held[lang] = h, n
                     if len(h) > PIECE:
                         del held[lang]
-                        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(h)), pa.array(h.view(np.int64)), pa.array(n)], names=["lang", "h", "n"])
+                        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(h), pa.string()), pa.array(h.view(np.int64)), pa.array(n)], names=["lang", "h", "n"])
         for lang, (h, n) in held.items():
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(h)), pa.array(h.view(np.int64)), pa.array(n)], names=["lang", "h", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(h), pa.string()), pa.array(h.view(np.int64)), pa.array(n)], names=["lang", "h", "n"])
 
     return rows.mapInArrow(run, "lang string, h bigint, n bigint").groupBy("lang", "h").agg(F.sum("n").alias("n"))
 

@@ -80,9 +80,10 @@ def paths(messages: DataFrame, best: int | None = None) -> DataFrame:
     reach = [up]
     while (1 << (len(reach) - 1)) <= most and reach[-1].where("to is not null").limit(1).count():
         u = reach[-1]
-        reach.append(cut(spark, u.alias("u").join(u.alias("a"), same("u", "a") & (c("u.to") == c("a.msg_id")), "left").select(
-            "u.conv_id", "u.msg_id", "a.to", (c("u.total") + F.coalesce("a.total", F.lit(0.0))).alias("total"),
-            (c("u.steps") + F.coalesce("a.steps", F.lit(0))).alias("steps"))))
+        # Messages whose pointer has passed the root are done and take no part in further joins.
+        further = u.where("to is not null").alias("u").join(u.alias("a"), same("u", "a") & (c("u.to") == c("a.msg_id"))).select(
+            "u.conv_id", "u.msg_id", "a.to", (c("u.total") + c("a.total")).alias("total"), (c("u.steps") + c("a.steps")).alias("steps"))
+        reach.append(cut(spark, further.unionByName(u.where("to is null"))))
     full = reach[-1].where("to is null")
     ranked = (leaves.alias("l").join(full.alias("f"), same("l", "f") & (c("l.leaf_id") == c("f.msg_id")))
               .select("l.conv_id", "l.leaf_id", c("f.total").alias("path_score"), c("f.steps").alias("depth")))

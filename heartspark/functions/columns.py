@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import chain
 
 from pyspark.sql import Column
@@ -72,17 +73,14 @@ def risk_level_sql(col: str) -> str:
     return "CASE " + " ".join(parts) + f" ELSE '{S.RISK_LEVEL_TOP}' END"
 
 
-def scorecard_points(df_cols=None) -> Column:
-    """Integer points of the deterministic scorecard (test-data contract)."""
-    terms = [F.col(c).cast("long") * F.lit(w) for c, w in S.SCORECARD_POINTS.items()]
-    out = terms[0]
-    for t in terms[1:]:
-        out = out + t
-    return out
+def scorecard_points(values: dict | None = None) -> Column:
+    """Points of a row; ``values`` puts other Columns in place of some of its own."""
+    terms = [F.lit(w) * (values or {}).get(c, F.col(c)).cast("long") for c, w in S.SCORECARD_POINTS.items()]
+    return reduce(lambda a, b: a + b, terms)
 
 
-def scorecard_risk() -> Column:
-    p = scorecard_points()
+def scorecard_risk(values: dict | None = None) -> Column:
+    p = scorecard_points(values)
     return (p * p).cast("double") / F.lit(S.SCORECARD_DIVISOR)
 
 

@@ -3,47 +3,74 @@
 ``global_rank`` numbers rows 1..n in a total order and ``running_sum`` gives
 prefix sums, both in three steps that keep every task bounded:
 
-1. bucket each row by its leading order key against ``nb - 1`` approximate
-   quantile bounds (one small aggregate, broadcast to every row) - the bucket
-   is a pure function of the row, so a recomputed task after an executor loss
-   lands every row in the same bucket again (unlike a sampled range
-   partitioner re-run under a new shuffle id);
-2. per-bucket counts or sums (``nb`` rows, proven small) and their running
-   total give each bucket's carry-in;
+1. bucket each row by its leading order key against approximate quantile
+   bounds, found by one small aggregate and looked up by binary search - the
+   bucket is a pure function of the row, so a recomputed task after an
+   executor loss lands every row in the same bucket again (unlike a sampled
+   range partitioner re-run under a new shuffle id); the number of buckets
+   follows the number of rows, so a bucket's size does not;
+2. per-bucket counts or sums (one row a bucket, proven small) and their
+   running total give each bucket's carry-in;
 3. inside a bucket a window partitioned by bucket numbers or sums the rows.
 
 The leading key should be near-unique (a hash, a pre-aggregated score); ties
-in it stay in one bucket.
+in it stay in one bucket. Where the order starts with several exact columns
+whose combination is only approximate in one double, that double is passed as
+``lead`` and the exact columns as the order.
 """
 
 from __future__ import annotations
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Rows of a bucket, about, and the most buckets.
+ROWS_PER_BUCKET = 10_000
+MOST_BUCKETS = 10_000
 
-def _n_buckets(df: DataFrame, n: int | None) -> int:
-    if n:
-        return n
-    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+
+def n_buckets(rows: int) -> int:
+    """Buckets for so many rows: one up to ROWS_PER_BUCKET, then in proportion."""
+    return max(1, min(MOST_BUCKETS, -(-rows // ROWS_PER_BUCKET)))
+
+
+def bounds_of(df: DataFrame, lead: Column, n: int | None = None) -> list[float]:
+    """Increasing bounds between buckets of about equal size (at most MOST_BUCKETS numbers come to the driver).
+
+    Two levels of precision in one pass: a sketch of as many points as there can be buckets, thinned
+    to the number that the row count asks for.
+    """
+    points = n or 1_000
+    probs = [i / points for i in range(1, points)]
+    key = lead.cast("double")
+    if n is None:
+        row = df.agg(F.count(F.lit(1)), F.percentile_approx(key, probs, 10 * points)).first()
+        wanted = n_buckets(row[0])
+        if wanted > points:  # rare: a finer sketch in a second pass
+            return bounds_of(df, lead, wanted)
+        cuts = row[1] or []
+        step = points / wanted
+        cuts = [cuts[min(len(cuts) - 1, round(k * step) - 1)] for k in range(1, wanted)] if cuts else []
+    else:
+        cuts = (df.agg(F.percentile_approx(key, probs, 10 * points)).first()[0] or []) if probs else []
+    return sorted({c for c in cuts if c is not None and c == c and abs(c) != float("inf")})
 
 
 def bucketize(df: DataFrame, lead: Column, n: int | None = None, name: str = "_bkt") -> DataFrame:
-    """Add ``name`` = number of quantile bounds strictly below the leading key (0..nb-1)."""
-    nb = _n_buckets(df, n)
-    if nb == 1:
+    """Add ``name`` = number of quantile bounds at or below the leading key, by binary search; nulls come first, NaN last."""
+    cuts = bounds_of(df, lead, n)
+    if not cuts:
         return df.withColumn(name, F.lit(0))
-    probs = [i / nb for i in range(1, nb)]
-    bounds = df.agg(F.percentile_approx(lead.cast("double"), probs, 10000).alias("_bounds"))
-    x = df.crossJoin(F.broadcast(bounds))
-    key = lead.cast("double")
-    x = x.withColumn(name, F.size(F.array_distinct(F.filter(F.col("_bounds"), lambda b: b < key))))
-    return x.drop("_bounds")
+    low, high = float("-inf"), float("inf")
+    keyed = df.withColumn("_lead", F.coalesce(lead.cast("double"), F.lit(low)))
+    found = Bucketizer(splits=[low, *cuts, high], inputCol="_lead", outputCol=name, handleInvalid="keep").transform(keyed)
+    return found.withColumn(name, F.col(name).cast("int")).drop("_lead")
 
 
-def global_rank(df: DataFrame, order: list[Column], name: str = "rank", n: int | None = None) -> DataFrame:
+def global_rank(df: DataFrame, order: list[Column], name: str = "rank", n: int | None = None, lead: Column | None = None) -> DataFrame:
     """1-based position in ``order`` (make it total: end with a unique key)."""
-    x = bucketize(df, order[0], n)
+    x = bucketize(df, order[0] if lead is None else lead, n)
     cnt = x.groupBy("_bkt").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
     cnt = cnt.select("_bkt", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
@@ -53,9 +80,9 @@ def global_rank(df: DataFrame, order: list[Column], name: str = "rank", n: int |
 
 
 def running_sum(df: DataFrame, order: list[Column], value_cols: list[str], prefix: str = "cum_",
-                n: int | None = None) -> DataFrame:
+                n: int | None = None, lead: Column | None = None) -> DataFrame:
     """Inclusive running sums of ``value_cols`` along ``order`` (a total order)."""
-    x = bucketize(df, order[0], n)
+    x = bucketize(df, order[0] if lead is None else lead, n)
     tot = x.groupBy("_bkt").agg(*[F.sum(c).alias(f"_t_{c}") for c in value_cols])
     w = Window.orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
     tot = tot.select("_bkt", *[F.coalesce(F.sum(f"_t_{c}").over(w), F.lit(0)).alias(f"_c_{c}") for c in value_cols])

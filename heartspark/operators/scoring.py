@@ -7,11 +7,14 @@ projection, no join, no Python per row.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions import columns as C
+from ..session import cut_lineage
 from . import ordering
 
 # ---------------------------------------------------------------------------
@@ -83,21 +86,22 @@ def top_decoded(scored: DataFrame, risk: str, k: int = 10) -> DataFrame:
 def peer_position(scored: DataFrame, risk: str = "risk") -> DataFrame:
     """Each row against its peers: (age, sex) if that group has >= 30 rows, else age, else everyone.
 
-    One pass for the three peer grains: every row adds itself to its three
-    peer groups (group ids 100 + 2 age + sex, 200 + age, 300) through one
-    exploded, pre-aggregated (group, risk) count table. A bucketed running sum
-    over ``group * 2 + risk`` (groups in disjoint ranges, risk in [0, 1]) gives
-    strictly-lower counts; group size, mean and median (grouped ``min`` over
-    the cumulative counts) come from the same table; each row then joins the
-    statistics of the group it uses. No group's scores are buffered in one task.
+    The table is read twice: once for the counts of (group, risk) at the three
+    grains (group ids 100 + 2 age + sex, 200 + age, 300; pre-aggregated, then
+    kept), once for the result. A bucketed running sum along (group, risk)
+    gives strictly-lower counts; group size, mean and median (grouped ``min``
+    over the cumulative counts) come from the same table. Rows join the
+    statistics of their (group, risk); both sides of that join are exchanged
+    for it alone, so Spark can split a risk that many rows share.
     """
     base = scored.select("respondent_id", "age_group", "sex", F.col(risk).cast("double").alias("r"))
     g_as = (F.lit(100) + F.col("age_group") * 2 + F.col("sex")).cast("long")
     g_a = (F.lit(200) + F.col("age_group")).cast("long")
     g_all = F.lit(300).cast("long")
-    cnt = base.select(F.explode(F.array(g_as, g_a, g_all)).alias("_g"), "r").groupBy("_g", "r").agg(
-        F.count(F.lit(1)).alias("_c"))
-    cum = ordering.running_sum(cnt.withColumn("_key", F.col("_g") * 2 + F.col("r")), [F.col("_key")], ["_c"])
+    cnt = cut_lineage(base.select(F.explode(F.array(g_as, g_a, g_all)).alias("_g"), "r").groupBy("_g", "r").agg(
+        F.count(F.lit(1)).alias("_c")))
+    # One double leads the rows to buckets; inside a bucket the exact pair orders them.
+    cum = cut_lineage(ordering.running_sum(cnt, [F.col("_g"), F.col("r")], ["_c"], lead=F.col("_g") * 2 + F.col("r")))
     grp = cum.groupBy("_g").agg(F.min(F.col("cum__c") - F.col("_c")).alias("_start"), F.sum("_c").alias("_n"),
                                 (F.sum(F.col("_c") * F.col("r")) / F.sum("_c")).alias("_mean"))
     within = cum.join(F.broadcast(grp), "_g").select(
@@ -105,12 +109,14 @@ def peer_position(scored: DataFrame, risk: str = "risk") -> DataFrame:
     med = ordering.quantiles_from_cumulative(within, ["_g"], "r", "_c", "_cum", "_n", [0.5], ["_median"])
     stats = within.join(F.broadcast(med), "_g").select(
         "_g", "r", (F.col("_cum") - F.col("_c")).alias("_below"), "_n", "_mean", "_median")
-    sizes_as = base.groupBy("age_group", "sex").agg(F.count(F.lit(1)).alias("_n_as"))
-    sizes_a = base.groupBy("age_group").agg(F.count(F.lit(1)).alias("_n_a"))
-    x = base.join(F.broadcast(sizes_as), ["age_group", "sex"]).join(F.broadcast(sizes_a), "age_group")
+    # One row per group: (age, sex), age and everyone, some tens in all.
+    sizes = grp.select("_g", F.col("_n").alias("_size"))
+    x = base.withColumns({"_g_as": g_as, "_g_a": g_a})
+    x = x.join(F.broadcast(sizes.select(F.col("_g").alias("_g_as"), F.col("_size").alias("_n_as"))), "_g_as", "left")
+    x = x.join(F.broadcast(sizes.select(F.col("_g").alias("_g_a"), F.col("_size").alias("_n_a"))), "_g_a", "left")
     grain = F.when(F.col("_n_as") >= S.MIN_PEERS, F.lit("age_sex")).when(F.col("_n_a") >= S.MIN_PEERS, F.lit("age")).otherwise(F.lit("all"))
     x = x.withColumn("grain", grain).withColumn(
-        "_g", F.when(F.col("grain") == "age_sex", g_as).when(F.col("grain") == "age", g_a).otherwise(g_all))
+        "_g", F.when(F.col("grain") == "age_sex", F.col("_g_as")).when(F.col("grain") == "age", F.col("_g_a")).otherwise(g_all))
     out = x.join(stats, ["_g", "r"])
     return out.select("respondent_id", "grain", (F.col("_below") / F.col("_n") * 100).alias("percentile_pct"),
                       F.round("_mean", 12).alias("peers_mean"), F.round("_median", 12).alias("peers_median"),
@@ -123,54 +129,62 @@ def vs_peers(p: Column, peers_mean: Column) -> Column:
         F.lit("comparable"))
 
 
-def _apply(changes: dict) -> dict:
-    return {c: F.lit(v) for c, v in changes.items()}
+def scorecard_variant(df: DataFrame, changes: dict, name: str) -> DataFrame:
+    """Adds the scorecard risk of each row with some of its columns replaced (column -> Column)."""
+    return df.withColumn(name, C.scorecard_risk(changes))
+
+
+def model_variant(model) -> Callable[[DataFrame, dict, str], DataFrame]:
+    """The same for a fitted pipeline: the changed columns stand in while it scores, then the row's own return."""
+    def variant(df: DataFrame, changes: dict, name: str) -> DataFrame:
+        from . import models as MD
+        own = {f"_own_{c}": F.col(c) for c in changes}
+        x = df.withColumns(own) if own else df
+        x = x.withColumns({c: v.cast(df.schema[c].dataType) for c, v in changes.items()}) if changes else x
+        x = MD.score(model, x, name)
+        return x.withColumns({c: F.col(f"_own_{c}") for c in changes}).drop(*own) if own else x
+    return variant
+
 
+def _changes(cond: str, changes: dict, df: DataFrame) -> dict:
+    return {c: F.when(F.expr(cond), F.lit(v)).otherwise(F.col(c)).cast(df.schema[c].dataType) for c, v in changes.items() if c in df.columns}
 
-def scenarios(df: DataFrame, risk_fn, risk: str = "risk") -> DataFrame:
+
+def scenarios(df: DataFrame, variant=scorecard_variant, risk: str = "risk") -> DataFrame:
     """For each row and each applicable scenario: new risk and delta, ranked by delta ascending.
 
-    ``risk_fn(DataFrame) -> Column`` rescoring the modified columns (scorecard
-    or a fitted model wrapper). Explode then rescore: one narrow pipeline.
+    ``variant`` rescores rows with replaced columns (scorecard or fitted model).
+    All scenarios of a row are scored next to each other and ranked inside the
+    row before they are exploded, so nothing is shuffled.
     """
-    feats = sorted({c for _, _, ch in SCENARIOS for c in ch} | set(S.SCORECARD_POINTS))
-    cols = [c for c in df.columns if c in feats or c in ("respondent_id", risk)]
-    structs = []
-    for i, (cond, label, changes) in enumerate(SCENARIOS):
-        fields = [F.lit(i + 1).alias("scenario_id"), F.lit(label).alias("scenario"), F.expr(cond).alias("applies")]
-        for c in feats:
-            if c in df.columns:
-                v = changes.get(c)
-                fields.append((F.lit(v) if v is not None else F.col(c)).cast(df.schema[c].dataType).alias(c))
-        structs.append(F.struct(*fields))
-    x = df.select(*cols, F.explode(F.filter(F.array(*structs), lambda s: s["applies"])).alias("s"))
-    mod = x.select("respondent_id", F.col(risk).alias("risk_current"), "s.*").drop("applies")
-    mod = mod.withColumn("risk_new", risk_fn(mod))
-    from pyspark.sql import Window
-    w = Window.partitionBy("respondent_id").orderBy("delta", "scenario_id")
-    return mod.select("respondent_id", "scenario_id", "scenario", "risk_current", "risk_new",
-                      (F.col("risk_new") - F.col("risk_current")).alias("delta")).withColumn("rank", F.row_number().over(w))
-
-
-def scenario_all(df: DataFrame, risk_fn, risk: str = "risk") -> DataFrame:
+    x = df
+    for i, (cond, _, changes) in enumerate(SCENARIOS):
+        x = variant(x, _changes(cond, changes, df), f"_risk_{i}")
+    found = F.array(*[F.struct((F.col(f"_risk_{i}") - F.col(risk)).alias("delta"), F.lit(i + 1).alias("scenario_id"),
+                               F.lit(label).alias("scenario"), F.col(f"_risk_{i}").alias("risk_new"), F.expr(cond).alias("applies"))
+                      for i, (cond, label, _) in enumerate(SCENARIOS)])
+    ranked = F.array_sort(F.filter(found, lambda s: s["applies"]))
+    out = x.select("respondent_id", F.col(risk).alias("risk_current"), F.posexplode(ranked).alias("_k", "s"))
+    return out.select("respondent_id", "s.scenario_id", "s.scenario", "risk_current", "s.risk_new", "s.delta",
+                      (F.col("_k") + 1).alias("rank"))
+
+
+def scenario_all(df: DataFrame, variant=scorecard_variant, risk: str = "risk") -> DataFrame:
     """All applicable changes at once: attainable risk and the number of changed variables."""
     changed = {}
     for cond, _, changes in SCENARIOS:
         for c, v in changes.items():
             changed.setdefault(c, []).append((cond, v))
-    mod = df
-    n_changed = F.lit(0)
+    new, n_changed = {}, F.lit(0)
     for c, opts in changed.items():
-        cond = " OR ".join(f"({o})" for o, _ in opts)
-        new = None
-        for o, v in reversed(opts):  # later scenarios win, like successive dict updates
-            new = F.when(F.expr(o), F.lit(v)) if new is None else F.when(F.expr(o), F.lit(v)).otherwise(new)
-        mod = mod.withColumn(c, F.coalesce(new, F.col(c)).cast(df.schema[c].dataType))
-        n_changed = n_changed + F.expr(cond).cast("int")
+        n_changed = n_changed + F.coalesce(F.expr(" OR ".join(f"({o})" for o, _ in opts)), F.lit(False)).cast("int")
+        value = F.col(c)
+        for o, v in opts:  # later scenarios win, like successive dict updates
+            value = F.when(F.expr(o), F.lit(v)).otherwise(value)
+        new[c] = value.cast(df.schema[c].dataType)
+    x = variant(df, new, "risk_all")
     any_rule = " OR ".join(f"({cond})" for cond, _, _ in SCENARIOS)
-    cnt = df.select("respondent_id", n_changed.alias("n_changes"), F.expr(any_rule).alias("_any"))
-    new_risk = mod.select("respondent_id", risk_fn(mod).alias("risk_all"))
-    return cnt.where("_any").join(new_risk, "respondent_id").select("respondent_id", "risk_all", F.col("n_changes").cast("long"))
+    return x.where(any_rule).select("respondent_id", "risk_all", n_changed.cast("long").alias("n_changes"))
 
 
 def advice(df: DataFrame) -> DataFrame:
@@ -188,3 +202,13 @@ def linear_contributions(df: DataFrame, weights: dict, means: DataFrame) -> Data
     x = df.crossJoin(F.broadcast(means))
     stack = ", ".join(f"'{c}', CAST({w} * (CAST(`{c}` AS DOUBLE) - `m_{c}`) AS DOUBLE)" for c, w in weights.items())
     return x.selectExpr("respondent_id", f"stack({len(weights)}, {stack}) AS (variable, value)")
+
+
+def top_contributions(df: DataFrame, weights: dict, means: DataFrame, k: int) -> DataFrame:
+    """Each row's k largest contributions by absolute value (then by name; nulls last), ranked inside the row: no shuffle."""
+    x = df.crossJoin(F.broadcast(means))
+    each = [F.struct(v.isNull().alias("none"), (-F.abs(v)).alias("order"), F.lit(c).alias("variable"), v.alias("value"))
+            for c, w in weights.items() for v in [(F.lit(w) * (F.col(c).cast("double") - F.col(f"m_{c}"))).cast("double")]]
+    top = F.slice(F.array_sort(F.array(*each)), 1, k)
+    return x.select("respondent_id", F.posexplode(top).alias("_k", "s")).select(
+        "respondent_id", "s.variable", "s.value", (F.col("_k") + 1).alias("rank"))

@@ -44,26 +44,31 @@ def need_unknown(base: DataFrame) -> DataFrame:
     )
 
 
+def code_values(base: DataFrame) -> DataFrame:
+    """(dimension, code) of all distinct codes in the base, from one pass: a row gives its seven
+    codes as structs, and the distinct is pre-aggregated in each task."""
+    pairs = F.array(*[F.struct(F.lit(t).alias("dimension"), F.col(src).cast("int").alias("code")) for t, _, src, _, _ in S.DIMENSIONS])
+    return base.select(F.explode(pairs).alias("p")).select("p.*").distinct()
+
+
+def codebook_pairs(spark: SparkSession) -> DataFrame:
+    """(dimension, code, label) of every codebook row."""
+    rows = [(t, int(k), v) for t, _, _, _, members in S.DIMENSIONS for k, v in members.items()]
+    return spark.createDataFrame(rows, "dimension string, code int, label string")
+
+
 def outside_codes(base: DataFrame, spark: SparkSession) -> DataFrame:
     """Distinct codes of every coded fact column that are absent from its dimension (set difference)."""
-    parts = []
-    for table, key, src, _, _ in S.DIMENSIONS:
-        codes = base.select(F.col(src).cast("int").alias("code")).where(F.col("code").isNotNull()).distinct()
-        dim = codebook_dim(spark, table).select(F.col(key).alias("code"))
-        parts.append(codes.join(F.broadcast(dim), "code", "left_anti").select(F.lit(table).alias("dimension"), "code"))
-    return reduce(DataFrame.unionByName, parts)
+    known = F.broadcast(codebook_pairs(spark).drop("label"))
+    return code_values(base).where("code is not null").join(known, ["dimension", "code"], "left_anti")
 
 
-def published_dim(spark: SparkSession, base: DataFrame, table: str) -> DataFrame:
-    """Codebook rows, with the (-1, 'Inconnu') member first only when the data needs it.
-
-    Decided lazily on the cluster: the unknown row is joined to the one-row
-    check result, so nothing is collected to the driver.
-    """
-    _, key, _, label, _ = S.DIM_BY_TABLE[table]
-    need = need_unknown(base).where((F.col("dimension") == table) & F.col("need_unknown"))
-    unknown = need.select(F.lit(S.UNKNOWN_KEY).cast("int").alias(key), F.lit(S.UNKNOWN_LABEL).alias(label))
-    return unknown.unionByName(codebook_dim(spark, table))
+def load_dims(spark: SparkSession, base: DataFrame) -> DataFrame:
+    """All published dimensions as (dimension, dim_key, dim_label): the codebook, and the (-1, 'Inconnu')
+    member where the one-pass check says that the data need it."""
+    need = need_unknown(base).where("need_unknown").select(
+        "dimension", F.lit(S.UNKNOWN_KEY).cast("int").alias("dim_key"), F.lit(S.UNKNOWN_LABEL).alias("dim_label"))
+    return codebook_pairs(spark).withColumnsRenamed({"code": "dim_key", "label": "dim_label"}).unionByName(need)
 
 
 def published_dims(spark: SparkSession, base: DataFrame) -> dict:
@@ -83,13 +88,21 @@ def published_dims(spark: SparkSession, base: DataFrame) -> dict:
     return out
 
 
+def published_dim(spark: SparkSession, base: DataFrame, table: str) -> DataFrame:
+    """One published dimension."""
+    return published_dims(spark, base)[table]
+
+
 def orphans_against(fact: DataFrame, dims: dict) -> DataFrame:
-    """Fact keys absent from the given (published) dimensions, per dimension."""
-    parts = []
-    for table, key, _, _, _ in S.DIMENSIONS:
-        n = fact.select(key).join(F.broadcast(dims[table].select(key)), key, "left_anti").agg(F.count(F.lit(1)).alias("orphans"))
-        parts.append(n.select(F.lit(table).alias("dimension"), F.col("orphans").cast("long")))
-    return reduce(DataFrame.unionByName, parts)
+    """Fact keys absent from the given (published) dimensions, per dimension: one pass over the fact.
+
+    The keys of a dimension are a handful, so each is tested as a membership list.
+    """
+    keys = {t: [r[0] for r in dims[t].select(key).collect()] for t, key, *_ in S.DIMENSIONS}
+    aggs = [F.count_if(F.col(key).isNull() | ~F.col(key).isin(keys[t])).alias(t) for t, key, *_ in S.DIMENSIONS]
+    stack = ", ".join(f"'{t}', `{t}`" for t, *_ in S.DIMENSIONS)
+    return fact.agg(*aggs).selectExpr(f"stack({len(S.DIMENSIONS)}, {stack}) AS (dimension, orphans)").select(
+        "dimension", F.col("orphans").cast("long"))
 
 
 def build_fact(spark: SparkSession, base: DataFrame, via: str = "join") -> DataFrame:
@@ -120,18 +133,10 @@ def dimension_join(spark: SparkSession, base: DataFrame, table: str) -> DataFram
     return j.select("respondent_id", F.coalesce(F.col(key), F.lit(S.UNKNOWN_KEY)).alias(key), label)
 
 
-def orphans(spark: SparkSession, fact: DataFrame, base: DataFrame | None = None) -> DataFrame:
-    """Foreign keys of the fact with no dimension row, per dimension (anti-joins).
-
-    Checked against the published dimension (codebook + unknown member when
-    needed), before anything is written.
-    """
-    parts = []
-    for table, key, _, _, _ in S.DIMENSIONS:
-        dim = codebook_dim(spark, table) if base is None else published_dim(spark, base, table)
-        n = fact.select(key).join(F.broadcast(dim.select(key)), key, "left_anti").agg(F.count(F.lit(1)).alias("orphans"))
-        parts.append(n.select(F.lit(table).alias("dimension"), F.col("orphans").cast("long")))
-    return reduce(DataFrame.unionByName, parts)
+def orphans(spark: SparkSession, fact: DataFrame, base: DataFrame) -> DataFrame:
+    """Foreign keys of the fact with no row in the dimension as published for ``base`` (codebook, and the
+    unknown member where the base needs it), per dimension: one pass over the base, one over the fact."""
+    return orphans_against(fact, published_dims(spark, base))
 
 
 def unknown_counts(fact: DataFrame) -> DataFrame:

@@ -6,13 +6,11 @@ Score of an entry for a text = sum over its distinct normalised keys of
   1 else if the key has >= 5 letters and occurs in the text (substring);
 the best entry wins (first in base order on ties); below 2 means no match.
 
-Every text is processed whole. A key without a space can only occur inside
-one token, so single-word keys are tested once per distinct *vocabulary*
-token (a corpus-wide distinct, far smaller than the token stream) instead of
-once per document; the few phrase keys are searched in the normalised text.
-Hits are joined back per (text, token), summed per (text, entry), and the best
-entry per text is a ``max`` over (score, -position). All built-in
-expressions; no UDF, no all-pairs step.
+Every text is processed whole, in one projection without a shuffle: the keys
+are a constant list, each is searched in the normalised text (a whole word in
+the text padded with blanks), points are added up per entry and the best
+entry is the greatest of one struct per entry. All built-in expressions; no
+UDF, no join, no explode.
 """
 
 from __future__ import annotations
@@ -63,42 +61,24 @@ def normalised_keys() -> list[tuple[str, list[str]]]:
     return out
 
 
-def _key_table(spark):
-    """(key, pos, faq_id, is_phrase) for every distinct normalised key of every entry."""
-    rows = [(k, i, eid, " " in k) for i, (eid, keys) in enumerate(normalised_keys()) for k in keys]
-    return spark.createDataFrame(rows, "key string, pos int, faq_id string, is_phrase boolean")
+def _points(key: str) -> Column:
+    """Points of one key, from the columns ``_norm`` and ``_padded``; a key that doesn't occur costs one search."""
+    held = F.instr("_norm", key) > 0
+    if " " in key:
+        return F.when(held, 3).otherwise(0)
+    part = 1 if len(key) >= 5 else 0
+    return F.when(held, F.when(F.instr("_padded", f" {key} ") > 0, 2).otherwise(part)).otherwise(0)
 
 
 def match(df: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
-    """Best knowledge-base entry per row: (keep..., faq_id or null, best_score)."""
-    spark = df.sparkSession
-    entries = normalised_keys()
-    singles = sorted({k for _, ks in entries for k in ks if " " not in k})
-    phrases = sorted({k for _, ks in entries for k in ks if " " in k})
+    """Best knowledge-base entry per row: (keep..., faq_id or null, best_score). A null text matches nothing."""
     x = df.select(*keep, TX.normalise(text_col).alias("_norm"))
-
-    # Single-word keys: distinct tokens per text, keys tested on the vocabulary only.
-    toks = x.select(*keep, F.explode(F.array_distinct(F.split(F.trim("_norm"), " +"))).alias("tok")).where(F.col("tok") != "")
-    vocab = toks.select("tok").distinct()
-    tok = F.col("tok")
-    cand = F.array(*[F.lit(k) for k in singles])
-    hits = vocab.select("tok", F.explode(F.filter(cand, lambda k: (k == tok) | ((F.length(k) >= 5) & (F.instr(tok, k) > 0)))).alias("key"))
-    hits = hits.withColumn("whole", (F.col("tok") == F.col("key")).cast("int"))
-    word_pts = toks.join(hits, "tok").groupBy(*keep, "key").agg(F.max("whole").alias("_w")).select(
-        *keep, "key", F.when(F.col("_w") == 1, F.lit(2)).otherwise(F.lit(1)).alias("pts"))
-
-    # Phrase keys: containment in the normalised text.
-    ph = F.array(*[F.struct(F.lit(k).alias("key"), (F.instr("_norm", k) > 0).alias("hit")) for k in phrases])
-    phrase_pts = x.select(*keep, F.explode(F.filter(ph, lambda s: s["hit"])).alias("p")).select(
-        *keep, F.col("p.key").alias("key"), F.lit(3).alias("pts"))
-
-    keys = F.broadcast(_key_table(spark).select("key", "pos", "faq_id"))
-    per_entry = word_pts.unionByName(phrase_pts).join(keys, "key").groupBy(*keep, "pos", "faq_id").agg(
-        F.sum("pts").alias("score"))
-    best = per_entry.groupBy(*keep).agg(F.max(F.struct("score", (-F.col("pos")).alias("neg_pos"), "faq_id")).alias("_b"))
-    out = x.select(*keep).join(best, keep, "left")
-    score = F.coalesce(F.col("_b.score"), F.lit(0)).cast("long")
-    return out.select(*keep, F.when(score >= MIN_SCORE, F.col("_b.faq_id")).alias("faq_id"), score.alias("best_score"))
+    x = x.select(*keep, "_norm", F.concat(F.lit(" "), F.col("_norm"), F.lit(" ")).alias("_padded"))
+    entries = [F.struct(F.coalesce(sum((_points(k) for k in keys), F.lit(0)), F.lit(0)).alias("score"), F.lit(-i).alias("neg_pos"),
+                        F.lit(eid).alias("faq_id")) for i, (eid, keys) in enumerate(normalised_keys())]
+    best = x.select(*keep, F.greatest(*entries).alias("_b"))
+    score = F.col("_b.score").cast("long")
+    return best.select(*keep, F.when(score >= MIN_SCORE, F.col("_b.faq_id")).alias("faq_id"), score.alias("best_score"))
 
 
 def match_sql(table: str, text_col: str, keep: list[str]) -> str:

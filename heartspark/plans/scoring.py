@@ -163,14 +163,10 @@ def _scenario_sql():
          "CAST(ROW_NUMBER() OVER (PARTITION BY respondent_id ORDER BY risk_new - risk_current, scenario_id) AS BIGINT) AS rank FROM x")
 
 
-def _scorecard_fn(df):
-    return C.scorecard_risk()
-
-
 @q("sc_scenarios", _scenario_sql())
 def sc_scenarios(spark, sf):
     """Each row x each applicable what-if scenario: rescored risk and delta, ranked ascending (also jn_scenarios)."""
-    return SC.scenarios(_scored(spark, sf), _scorecard_fn, "risk")
+    return SC.scenarios(_scored(spark, sf), SC.scorecard_variant, "risk")
 
 
 def _scenario_all_sql():
@@ -194,7 +190,7 @@ def _scenario_all_sql():
 @q("sc_scenario_all", _scenario_all_sql())
 def sc_scenario_all(spark, sf):
     """All applicable changes together: attainable risk and number of changed variables."""
-    return SC.scenario_all(_scored(spark, sf), _scorecard_fn, "risk")
+    return SC.scenario_all(_scored(spark, sf), SC.scorecard_variant, "risk")
 
 
 def _advice_sql():
@@ -255,11 +251,10 @@ def _topc_sql(k):
 
 
 def _topc(spark, sf, k):
-    c = _contrib(spark, sf)
-    t = ordering.top_k_per_group(c, k, ["respondent_id"], [F.desc(F.abs("value")), F.asc("variable")])
-    names = spark.createDataFrame(list(S.VARIABLE_NAMES.items()), "variable string, display_name string")
-    j = t.join(F.broadcast(names), "variable", "left")
-    return j.select("respondent_id", "variable", F.coalesce("display_name", "variable").alias("display_name"),
+    b = survey_base(spark, sf)
+    means = b.agg(*[F.avg(F.col(c).cast("double")).alias(f"m_{c}") for c in S.SCORECARD_POINTS])
+    j = SC.top_contributions(b, S.SCORECARD_POINTS, means, k)
+    return j.select("respondent_id", "variable", F.coalesce(C.map_lookup(S.VARIABLE_NAMES, "variable"), "variable").alias("display_name"),
                     F.when(F.col("value") > 0, F.col("value")).alias("increases"),
                     F.when(F.col("value") <= 0, F.col("value")).alias("decreases"), "rank")
 

@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..operators import star
-from ..sources.tables import fact, survey_base as analytical_base
+from ..sources.tables import fact, report_fact, survey_base as analytical_base
 from .common import Registry
 from .sqlbase import ctes, dim_values, with_fact
 
@@ -70,26 +67,26 @@ def _dim_load_sql():
 @q("dim_load", _dim_load_sql())
 def dim_load(spark, sf):
     """All published dimensions (codebook + 'Inconnu' only when needed) as (dimension, key, label)."""
-    base = analytical_base(spark, sf)
-    parts = []
-    for table, key, _, label, _ in S.DIMENSIONS:
-        d = star.published_dim(spark, base, table)
-        parts.append(d.select(F.lit(table).alias("dimension"), F.col(key).alias("dim_key"), F.col(label).alias("dim_label")))
-    return reduce(DataFrame.unionByName, parts)
+    return star.load_dims(spark, analytical_base(spark, sf))
 
 
-def _orph_sql():
-    parts = []
-    for i, (table, key, _, _, _) in enumerate(S.DIMENSIONS):
-        parts.append(f"SELECT '{table}' AS dimension, CAST(COUNT(*) AS BIGINT) AS orphans FROM fact f "
-                     f"LEFT JOIN {dim_values(table)} d ON f.{key} = d.{key} WHERE d.{key} IS NULL")
-    return with_fact() + " UNION ALL ".join(parts)
+# Written by hand, apart from the operator: a dimension has the codes of its codebook, and -1 exactly
+# if some row of the base is null or outside it.
+_ORPHANS_SQL = with_fact() + " UNION ALL ".join(
+    f"SELECT '{dim}' AS dimension, CAST(COUNT(*) FILTER (WHERE f.{key} IS NULL OR (f.{key} NOT BETWEEN {low} AND {high} AND NOT (f.{key} = -1 AND "
+    f"EXISTS (SELECT 1 FROM base WHERE {src} IS NULL OR {src} NOT BETWEEN {low} AND {high})))) AS BIGINT) AS orphans FROM fact f"
+    for dim, key, src, low, high in (
+        ("dim_age", "age_key", "age_group", 1, 13), ("dim_education", "education_key", "education", 1, 6),
+        ("dim_income", "income_key", "income", 1, 8), ("dim_sex", "sex_key", "sex", 0, 1),
+        ("dim_genhlth", "genhlth_key", "gen_hlth", 1, 5), ("dim_diabetes", "diabetes_key", "diabetes", 0, 2),
+        ("dim_bmi_class", "bmi_class_key", "bmi_class", 1, 6)))
 
 
-@q("jn_orphans", _orph_sql())
+@q("jn_orphans", _ORPHANS_SQL)
 def jn_orphans(spark, sf):
-    """Fact keys without a codebook dimension row, per dimension (left anti-joins)."""
-    return star.orphans(spark, fact(spark, sf))
+    """Fact keys without a row in the published dimension, per dimension."""
+    base = analytical_base(spark, sf)
+    return star.orphans(spark, report_fact(spark, sf), base)
 
 
 def _unknown_sql():

@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -63,3 +63,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """A reliable checkpoint in the cluster's checkpoint folder: computed once, read by everything after it."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

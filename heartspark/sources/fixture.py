@@ -93,11 +93,9 @@ def respondents_from_orders(orders: DataFrame, keep: tuple[str, ...] = ()) -> Da
 
 
 def respondents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fixture respondents read from ``{sf_dir}/orders.parquet`` (ids come from the order key,
-    so the rows may be spread over the cores when the file has fewer splits than cores)."""
-    from .tables import spread
+    """Fixture respondents read from ``{sf_dir}/orders.parquet`` (ids come from the order key)."""
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey")
-    return respondents_from_orders(spread(orders))
+    return respondents_from_orders(orders)
 
 
 def raw_survey(spark: SparkSession, sf_dir: str) -> DataFrame:

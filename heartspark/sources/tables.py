@@ -8,19 +8,6 @@ from ..operators import transform as TR
 from . import fixture
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin an input that arrives in fewer splits than the cluster has cores.
-
-    A single large row group would otherwise run every narrow step (text
-    normalisation, tokenising) in one task. With enough input splits -- the
-    normal case on a cluster -- this is a no-op and adds no shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

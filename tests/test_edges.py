@@ -71,6 +71,39 @@ def test_bad_codes(spark):
     assert len(star.published_dim(spark, base, "dim_sex").collect()) == 2
     orph = {r["dimension"]: r["orphans"] for r in star.orphans(spark, star.build_fact(spark, base), base).collect()}
     assert all(v == 0 for v in orph.values())
+    # Against the codebook alone the unknown keys are orphans.
+    bare = {t: star.codebook_dim(spark, t) for t, *_ in S.DIMENSIONS}
+    lost = {r["dimension"]: r["orphans"] for r in star.orphans_against(star.build_fact(spark, base), bare).collect()}
+    assert lost == {t: {"dim_age": 1, "dim_income": 1}.get(t, 0) for t, *_ in S.DIMENSIONS}
+    assert {tuple(r) for r in star.outside_codes(base, spark).collect()} == {("dim_income", 9)}
+    loaded = [tuple(r) for r in star.load_dims(spark, base).collect()]
+    assert {r for r in loaded if r[1] == -1} == {("dim_age", -1, "Inconnu"), ("dim_income", -1, "Inconnu")} and len(loaded) == 45
+
+
+def test_close_risks_keep_their_order(spark):
+    """Two risks of a peer group 1e-15 apart: the lower one has no peer below it."""
+    low, high = 0.3, 0.3 + 1e-15
+    rows = [(i, 5, 1, high if i % 2 else low) for i in range(40)] + [(100 + i, 9, 0, 0.1) for i in range(3)]
+    df = spark.createDataFrame(rows, "respondent_id long, age_group int, sex int, risk double")
+    got = {r.respondent_id: (r.grain, r.percentile_pct) for r in SC.peer_position(df).collect()}
+    assert got[0] == ("age_sex", 0.0) and got[1] == ("age_sex", 50.0) and got[100] == ("all", 0.0)
+
+
+def test_contributions_rank_inside_the_row(spark):
+    df = spark.createDataFrame([(1, 1, 0, 3), (2, None, 1, 2)], "respondent_id long, a int, b int, c int")
+    means = spark.createDataFrame([(0.0, 1.0, 2.0)], "m_a double, m_b double, m_c double")
+    out = SC.top_contributions(df, {"a": 1, "b": 2, "c": -1}, means, 2)
+    assert "Exchange hashpartitioning" not in out._jdf.queryExecution().toString()
+    assert [tuple(r) for r in out.orderBy("respondent_id", "rank").collect()] == [(1, "b", -2.0, 1), (1, "a", 1.0, 2), (2, "b", 0.0, 1), (2, "c", 0.0, 2)]
+
+
+def test_text_match_has_no_shuffle(spark):
+    from heartspark.operators import textmatch as TM
+    df = spark.createDataFrame([(1, None), (2, ""), (3, "Mon Cholestérol et si HDL"), (4, "obésités")], "id long, t string")
+    out = TM.match(df, "t", ["id"])
+    assert "Exchange" not in out._jdf.queryExecution().toString()
+    got = {r.id: (r.faq_id, r.best_score) for r in out.collect()}
+    assert got[1] == (None, 0) and got[2] == (None, 0) and got[3] == ("cholesterol", 4) and got[4] == (None, 1)
 
 
 def test_risk_bands_and_levels(spark):
@@ -93,9 +126,9 @@ def test_peer_fallback(spark):
 
 def test_scenarios_and_advice(spark):
     base = analytical(spark, [dict(fruits=0, veggies=1), dict(), dict(smoker=1, high_bp=1)]).withColumn("risk", C.scorecard_risk())
-    sc = SC.scenarios(base, lambda d: C.scorecard_risk()).where("respondent_id = 1").collect()
+    sc = SC.scenarios(base).where("respondent_id = 1").collect()
     assert len(sc) == 1 and sc[0].scenario == "Fruits et légumes au quotidien"
-    alls = {r.respondent_id: r for r in SC.scenario_all(base, lambda d: C.scorecard_risk()).collect()}
+    alls = {r.respondent_id: r for r in SC.scenario_all(base).collect()}
     assert alls[1].n_changes == 2 and 2 not in alls and alls[3].risk_all < base.where("respondent_id = 3").first().risk
     adv = SC.advice(base).orderBy("respondent_id", "priority").collect()
     assert [r.title for r in adv if r.respondent_id == 2] == [SC.ADVICE_DEFAULT]

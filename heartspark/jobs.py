@@ -29,9 +29,10 @@ class IntegrityError(Exception):
 
 def run_etl(spark: SparkSession, csv_path: str, out_path: str, sample: int | None = None) -> dict:
     t0 = time.time()
-    raw = IO.read_survey_csv(spark, csv_path, sample=sample)
-    if S.TARGET not in TR.rename(raw).columns:
-        raise CK.QualityCheckFailed(f"target column '{S.TARGET}' missing")
+    raw = IO.read_survey_csv(spark, csv_path, sample=sample, strict=False)
+    missing = [v for k, v in S.RENAME.items() if k not in raw.columns]
+    if missing:
+        raise CK.QualityCheckFailed("; ".join(f"{'target ' if c == S.TARGET else ''}column '{c}' missing" for c in missing))
     base = TR.transform_all(raw).persist()
     report = CK.check_report(base, sample_mode=sample is not None,
                              raw=TR.rename(raw).drop("_src_file", "_src_block")).persist()

@@ -30,21 +30,28 @@ def _tmp(spark, name):
 _RAW_SQL = ctes() + "SELECT " + ", ".join(f"CAST({v} AS DOUBLE) AS {k}" for k, v in S.RENAME.items()) + " FROM survey"
 
 
+def _write_survey(spark, sf, path, order=list):
+    """The survey as CSV files in the order of the respondents, the columns in the order that ``order`` gives them."""
+    back = {v: k for k, v in S.RENAME.items()}
+    r = fixture.respondents(spark, sf)
+    raw = r.select("respondent_id", *[F.col(c).cast("double").alias(back[c]) for c in S.SOURCE_COLUMNS])
+    raw = raw.repartitionByRange("respondent_id").sortWithinPartitions("respondent_id").drop("respondent_id")
+    IO.write_csv(raw.select(*order(raw.columns)), path)
+
+
 @q("src_survey_csv", _RAW_SQL)
 def src_survey_csv(spark, sf):
-    """Raw survey rows written as CSV (header, CamelCase names), read back with the declared schema, FAILFAST."""
+    """Raw survey rows written as CSV with the columns in another order, read back by name, FAILFAST."""
     path = _tmp(spark, "survey_csv")
-    raw = fixture.raw_survey(spark, sf).drop("_src_file", "_src_block")
-    IO.write_csv(raw, path)
+    _write_survey(spark, sf, path, lambda names: names[::-1])
     return IO.read_survey_csv(spark, path).drop("_src_file", "_src_block")
 
 
 @q("src_survey_csv_sample", _RAW_SQL + " WHERE respondent_id <= 1000")
 def src_survey_csv_sample(spark, sf):
-    """Sample mode: the first 1 000 rows of the file."""
+    """Sample mode: the first 1 000 rows in file order."""
     path = _tmp(spark, "survey_csv_sample")
-    raw = fixture.raw_survey(spark, sf).drop("_src_file", "_src_block")
-    IO.write_csv(raw.coalesce(1), path)
+    _write_survey(spark, sf, path)
     return IO.read_survey_csv(spark, path, sample=1000).drop("_src_file", "_src_block")
 
 
@@ -53,8 +60,7 @@ def etl_from_csv(spark, sf):
     """The whole ETL chain from the CSV file: rename, type, derive, flag, dense file-order id."""
     from ..operators import transform as TR
     path = _tmp(spark, "survey_csv_etl")
-    raw = fixture.raw_survey(spark, sf).drop("_src_file", "_src_block")
-    IO.write_csv(raw.coalesce(1), path)
+    _write_survey(spark, sf, path)
     return TR.transform_all(IO.read_survey_csv(spark, path))
 
 
@@ -122,13 +128,17 @@ def cat_inventory(spark, sf):
     return IO.inventory(spark, listed)
 
 
-@q("cat_exists", ctes() + "SELECT 'analytical_base' AS table_name, CAST(COUNT(*) > 0 AS BIGINT) AS present FROM base")
+@q("cat_exists", ctes() + "SELECT 'analytical_base' AS table_name, CAST(COUNT(*) > 0 AS BIGINT) AS present FROM base "
+   "UNION ALL SELECT 'analytical_base_missing', 0")
 def cat_exists(spark, sf):
-    """Require the analytical table before building the star (catalog lookup)."""
-    analytical_base(spark, sf).createOrReplaceTempView("analytical_base")
-    ok = spark.catalog.tableExists("analytical_base")
-    return spark.table("analytical_base").agg((F.count(F.lit(1)) > 0).cast("long").alias("present")).select(
-        F.lit("analytical_base").alias("table_name"), (F.col("present") * F.lit(1 if ok else 0)).alias("present"))
+    """Tables that a stage requires, and whether the catalog has them: the stored analytical table, and one that isn't there."""
+    path = _tmp(spark, "analytical_exists")
+    IO.write_parquet(survey_base(spark, sf), path)
+    name = f"analytical_base_{uuid.uuid4().hex[:8]}"
+    spark.read.parquet(path).createOrReplaceTempView(name)
+    rows = [("analytical_base", int(spark.catalog.tableExists(name))), ("analytical_base_missing", int(spark.catalog.tableExists(f"{name}_missing")))]
+    spark.catalog.dropTempView(name)
+    return spark.createDataFrame(rows, "table_name string, present long")
 
 
 @q("cat_preview", with_fact() + "SELECT * FROM fact ORDER BY respondent_id LIMIT 10")
@@ -153,40 +163,68 @@ def cat_summarize(spark, sf):
     return fact(spark, sf).select("bmi", "total_unhealthy_days", "risk_factor_count").summary()
 
 
-@q("cat_columns", with_fact() + " UNION ALL ".join(
-    f"SELECT CAST({i + 1} AS BIGINT) AS position, '{c}' AS column_name, CAST(COUNT({c}) AS BIGINT) AS n_non_null FROM fact"
-    for i, c in enumerate(S.FACT_COLUMNS)))
+_FACT_TYPES = {"bmi": "float"}
+
+
+@q("cat_columns", "SELECT * FROM (VALUES " + ", ".join(
+    f"(CAST({i + 1} AS BIGINT), '{c}', '{_FACT_TYPES.get(c, 'bigint' if c == 'respondent_id' else 'int')}')" for i, c in enumerate(S.FACT_COLUMNS))
+    + ") t(position, column_name, data_type)")
 def cat_columns(spark, sf):
-    """Ordered columns of the fact with their non-null counts (one aggregate, unpivoted)."""
-    f = fact(spark, sf)
-    one = f.agg(*[F.count(c).alias(c) for c in f.columns])
-    stack = ", ".join(f"CAST({i + 1} AS BIGINT), '{c}', `{c}`" for i, c in enumerate(f.columns))
-    return one.selectExpr(f"stack({len(f.columns)}, {stack}) AS (position, column_name, n_non_null)")
+    """Ordered columns of the fact with their types, from its schema alone."""
+    return IO.columns_of(fact(spark, sf))
+
+
+_PROFILE_COLUMNS = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in S.FEATURES)
 
 
-@q("src_batch_profiles", ctes() + "SELECT " + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in S.FEATURES) + " FROM base")
+@q("src_batch_profiles", ctes() + f"SELECT {_PROFILE_COLUMNS}, CAST(respondent_id AS VARCHAR) AS reference FROM base")
 def src_batch_profiles(spark, sf):
-    """A profile batch (21 features, no target) written as CSV and read with the declared schema."""
+    """A profile batch (21 features, no target) in another column order and with a column more, read by name."""
     path = _tmp(spark, "profiles_csv")
-    IO.write_csv(survey_base(spark, sf).select(*[F.col(c).cast("double") for c in S.FEATURES]), path)
+    _write_profiles(spark, sf, path)
     return IO.read_profiles_csv(spark, path)
 
 
-@q("sink_scored_csv", ctes() + f"SELECT respondent_id, {C.scorecard_risk_sql()} AS risque_estime, "
-   f"CAST({C.scorecard_risk_sql()} >= {S.DECISION_THRESHOLD} AS BIGINT) AS signale FROM base")
+def _write_profiles(spark, sf, path, without=()):
+    b = survey_base(spark, sf)
+    names = [c for c in S.FEATURES[::-1] if c not in without]
+    IO.write_csv(b.select(*[F.col(c).cast("double") for c in names[:5]], F.col("respondent_id").cast("string").alias("reference"),
+                          *[F.col(c).cast("double") for c in names[5:]]), path)
+
+
+@q("chk_batch_file", "SELECT * FROM (VALUES ('missing_column', 'bmi', CAST(1 AS BIGINT), CAST(1 AS BIGINT)), "
+   "('missing_column', 'smoker', CAST(1 AS BIGINT), CAST(1 AS BIGINT))) t(\"check\", column_name, observed, failed) UNION ALL " + ctes().replace("WITH", "SELECT * FROM (WITH", 1)
+   + "SELECT 'empty' AS \"check\", '*' AS column_name, CAST(COUNT(*) AS BIGINT) AS observed, CAST(COUNT(*) = 0 AS BIGINT) AS failed FROM base"
+   + "".join(f" UNION ALL SELECT 'nulls', '{c}', CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS BIGINT), CAST(COUNT(*) FILTER (WHERE {c} IS NULL) > 0 AS BIGINT) FROM base"
+             for c in S.FEATURES if c not in ("bmi", "smoker")) + ") x")
+def chk_batch_file(spark, sf):
+    """The batch contract held against a file that lacks two features: each is reported by name."""
+    from ..operators import checks as CK
+    path = _tmp(spark, "profiles_missing")
+    _write_profiles(spark, sf, path, without=("bmi", "smoker"))
+    return CK.batch_contract(IO.read_profiles_csv(spark, path, strict=False), list(S.FEATURES))
+
+
+_BANDED = C.scorecard_risk_sql()
+
+
+@q("sink_scored_csv", ctes() + f"SELECT {_PROFILE_COLUMNS}, CAST(respondent_id AS VARCHAR) AS reference, {_BANDED} AS risque_estime, "
+   f"CAST({_BANDED} >= {S.DECISION_THRESHOLD} AS BIGINT) AS signale FROM base")
 def sink_scored_csv(spark, sf):
-    """Scored batch exported as CSV, read back."""
-    path = _tmp(spark, "scored_csv")
-    s = survey_base(spark, sf).select("respondent_id", C.scorecard_risk().alias("risque_estime"))
+    """A profile file scored and exported as CSV with all its columns, read back."""
+    source, path = _tmp(spark, "to_score"), _tmp(spark, "scored_csv")
+    _write_profiles(spark, sf, source)
+    s = IO.read_profiles_csv(spark, source)
+    s = s.withColumn("risque_estime", C.scorecard_risk())
     s = s.withColumn("signale", (F.col("risque_estime") >= S.DECISION_THRESHOLD).cast("int"))
     IO.write_csv(s, path)
-    return spark.read.schema("respondent_id long, risque_estime double, signale int").option("header", True).csv(path)
+    return spark.read.schema(s.schema).option("header", True).option("enforceSchema", False).csv(path)
 
 
 @q("sink_ref_sample", ctes() + f"SELECT respondent_id, age_group, sex, bmi, gen_hlth, heart_disease, {C.scorecard_risk_sql()} AS risque "
    f"FROM base ORDER BY {arith_hash_sql('respondent_id', S.SEED)}, respondent_id LIMIT 25000")
 def sink_ref_sample(spark, sf):
-    """Reference sample: at most 25 000 scored rows, 7 columns, to Parquet (src_ref_parquet reads it back)."""
+    """Reference sample: at most 25 000 scored rows to Parquet (src_ref_parquet reads it back)."""
     path = _tmp(spark, "ref_sample")
     b = survey_base(spark, sf).select("respondent_id", "age_group", "sex", "bmi", "gen_hlth", S.TARGET,
                                       C.scorecard_risk().alias("risque"))

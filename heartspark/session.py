@@ -38,11 +38,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process, which sees its own temporary folders."""
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder; create a scratch one only when unset.
 
     On a cluster ``spark.checkpoint.dir`` names shared storage and is used as is.
-    Only an unset value (local tests) gets a fresh scratch folder.
+    Only a local session without it gets a fresh scratch folder; elsewhere that is an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
@@ -53,6 +58,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     existing = sc.getCheckpointDir()
     if existing:
         return existing
+    if not is_local(sc.master):
+        raise RuntimeError("spark.checkpoint.dir isn't set: on a cluster it must name a folder that all executors share")
     path = tempfile.mkdtemp(prefix="heartspark-ckpt-", dir="/tmp")
     spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)

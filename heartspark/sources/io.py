@@ -17,19 +17,50 @@ RAW_SCHEMA = T.StructType([T.StructField(c, T.DoubleType(), True) for c in S.REN
 PROFILE_SCHEMA = T.StructType([T.StructField(c, T.DoubleType(), True) for c in S.FEATURES])
 
 
-def read_survey_csv(spark: SparkSession, path: str, sample: int | None = None) -> DataFrame:
-    """The raw survey file: declared 22-DOUBLE schema (no inference), header row, fail fast on a bad row.
+class MissingColumns(ValueError):
+    """A file lacks declared columns; ``names`` tells which."""
 
-    ``sample`` keeps the first n rows (sample mode); a missing path fails in Spark's own analysis.
+    def __init__(self, names: list[str], path: str):
+        self.names = names
+        super().__init__(f"missing column(s) {', '.join(names)} in {path}")
+
+
+def read_csv_by_name(spark: SparkSession, path: str, declared: T.StructType, strict: bool = True) -> DataFrame:
+    """CSV files whose header names the columns, in any order: declared columns typed and first, others kept as text.
+
+    The first header gives the names; Spark holds every file's own header against
+    them (``enforceSchema`` off), so files in different orders are an error, not a
+    mix-up. A missing declared column is a ``MissingColumns`` error, or left out
+    if not ``strict``, for checks that report it.
     """
-    df = (spark.read.schema(RAW_SCHEMA).option("header", True).option("mode", "FAILFAST").csv(path))
-    df = df.select("*", F.col("_metadata.file_path").alias("_src_file"), F.col("_metadata.file_block_start").alias("_src_block"))
-    return df.limit(sample) if sample else df
+    names = spark.read.option("header", True).option("inferSchema", False).csv(path).columns
+    missing = [f.name for f in declared.fields if f.name not in names]
+    if missing and strict:
+        raise MissingColumns(missing, path)
+    types = {f.name: f.dataType for f in declared.fields}
+    found = T.StructType([T.StructField(n, types.get(n, T.StringType()), True) for n in names])
+    df = spark.read.schema(found).option("header", True).option("enforceSchema", False).option("mode", "FAILFAST").csv(path)
+    first = [f.name for f in declared.fields if f.name in names]
+    return df.select(*[F.col(f"`{c}`") for c in first + [n for n in names if n not in types]], F.col("_metadata"))
 
 
-def read_profiles_csv(spark: SparkSession, path: str) -> DataFrame:
-    """A batch of profiles to score: the 21 model features by name (declared schema)."""
-    return spark.read.schema(PROFILE_SCHEMA).option("header", True).option("mode", "FAILFAST").csv(path)
+def read_survey_csv(spark: SparkSession, path: str, sample: int | None = None, strict: bool = True) -> DataFrame:
+    """The raw survey file: 22 DOUBLE columns by name (no inference), header row, fail fast on a bad row.
+
+    ``sample`` keeps the first n rows in file order (sample mode); a missing path fails in Spark's own analysis.
+    """
+    df = read_csv_by_name(spark, path, RAW_SCHEMA, strict)
+    df = df.select(*[c for c in RAW_SCHEMA.names if c in df.columns], F.col("_metadata.file_path").alias("_src_file"),
+                   F.col("_metadata.file_block_start").alias("_src_block"))
+    if not sample:
+        return df
+    return (df.withColumn("_src_row", F.monotonically_increasing_id()).orderBy("_src_file", "_src_block", "_src_row")
+            .limit(sample).drop("_src_row"))
+
+
+def read_profiles_csv(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
+    """A batch of profiles to score: the 21 model features by name, further columns kept after them as text."""
+    return read_csv_by_name(spark, path, PROFILE_SCHEMA, strict).drop("_metadata")
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:

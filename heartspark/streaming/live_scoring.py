@@ -19,11 +19,16 @@ from ..operators import transform as TR
 from ..sources.io import RAW_SCHEMA
 
 
-def read_raw_stream(spark: SparkSession, path: str, fmt: str = "csv", max_files: int = 1) -> DataFrame:
-    """Stream the raw survey files arriving under ``path`` with the declared 22-column schema."""
-    r = spark.readStream.schema(RAW_SCHEMA).option("maxFilesPerTrigger", max_files)
+def read_raw_stream(spark: SparkSession, path: str, fmt: str = "csv", max_files: int | None = None) -> DataFrame:
+    """Stream the raw survey files arriving under ``path`` with the declared 22-column schema.
+
+    ``max_files`` limits the files of a batch, if given. A CSV file whose header differs is an error.
+    """
+    r = spark.readStream.schema(RAW_SCHEMA)
+    if max_files is not None:
+        r = r.option("maxFilesPerTrigger", max_files)
     if fmt == "csv":
-        r = r.option("header", True)
+        r = r.option("header", True).option("enforceSchema", False)
     return r.format(fmt).load(path)
 
 

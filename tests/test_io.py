@@ -44,3 +44,64 @@ def test_json_document_roundtrip(spark, tmp_path):
     IO.write_json_doc(doc, str(tmp_path / "j"))
     back = IO.read_json_doc(spark, str(tmp_path / "j"), doc.schema).first()
     assert [r["v"] for r in back["items"]] == [0, 2, 4] and back["m"]["2"] == 2
+
+
+def _survey(tmp_path, spark, order):
+    raw = fixture.raw_survey(spark, SF).drop("_src_file", "_src_block")
+    IO.write_csv(raw.select(*order(raw.columns)), str(tmp_path / "csv"))
+    return raw, str(tmp_path / "csv")
+
+
+def test_columns_are_taken_by_name(spark, tmp_path):
+    raw, path = _survey(tmp_path, spark, lambda names: [names[1], names[0], *names[2:]])
+    back = IO.read_survey_csv(spark, path).drop("_src_file", "_src_block")
+    assert back.columns == raw.columns and back.exceptAll(raw).count() == 0
+
+
+def test_missing_column_is_named(spark, tmp_path):
+    from heartspark import jobs
+    from heartspark.operators import checks as CK
+    _, path = _survey(tmp_path, spark, lambda names: [n for n in names if n not in ("BMI", "HeartDiseaseorAttack")])
+    with pytest.raises(IO.MissingColumns, match="BMI"):
+        IO.read_survey_csv(spark, path)
+    with pytest.raises(CK.QualityCheckFailed, match="target column 'heart_disease'.*bmi|bmi.*|target"):
+        jobs.run_etl(spark, path, str(tmp_path / "out"))
+    left = TR.rename(IO.read_survey_csv(spark, path, strict=False))
+    report = CK.check_report(left.withColumn("respondent_id", F.monotonically_increasing_id()), sample_mode=True)
+    assert report.where("check = 'target_present'").first()["failed"] == 1
+    profiles = left.drop("_src_file", "_src_block")
+    IO.write_csv(profiles.withColumn("note", F.lit("x")), str(tmp_path / "profiles"))
+    with pytest.raises(IO.MissingColumns, match="bmi"):
+        IO.read_profiles_csv(spark, str(tmp_path / "profiles"))
+    batch = IO.read_profiles_csv(spark, str(tmp_path / "profiles"), strict=False)
+    assert "note" in batch.columns
+    failed = CK.batch_contract(batch, list(S.FEATURES)).where("failed = 1").collect()
+    assert [(r["check"], r["column_name"]) for r in failed] == [("missing_column", "bmi")]
+
+
+def test_files_in_different_orders_fail(spark, tmp_path):
+    raw = fixture.raw_survey(spark, SF).drop("_src_file", "_src_block")
+    path = str(tmp_path / "csv")
+    raw.coalesce(1).write.option("header", True).csv(path)
+    raw.select(*raw.columns[::-1]).coalesce(1).write.mode("append").option("header", True).csv(path)
+    with pytest.raises(Exception):
+        IO.read_survey_csv(spark, path).collect()
+
+
+def test_no_local_folder_on_a_cluster():
+    from heartspark import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        @staticmethod
+        def getCheckpointDir():
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())
+    assert session.is_local("local[8]") and session.is_local("local") and not session.is_local("local-cluster[1,1,1024]")

@@ -19,6 +19,9 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 
+#: A bound that convergence to the tolerance comes before.
+MOST_ITERATIONS = 300
+
 
 def scaler_pipeline(cols: list[str] = S.FEATURES, center: bool = True) -> Pipeline:
     return Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="_raw"),
@@ -53,7 +56,7 @@ def loadings(model, spark, cols: list[str] = S.FEATURES, n_comp: int = 2) -> Dat
     return spark.createDataFrame(rows, "variable string, " + ", ".join(f"pc{k + 1} double" for k in range(n_comp)))
 
 
-def kmeans_best(x: DataFrame, k: int = 4, seeds=range(10), max_iter: int = 100):
+def kmeans_best(x: DataFrame, k: int = 4, seeds=range(10), max_iter: int = MOST_ITERATIONS):
     """k-means with several seeds (k-means|| init), keeping the lowest within-cluster cost."""
     best = None
     for s in seeds:
@@ -74,7 +77,7 @@ def choose_k(x: DataFrame, ks=range(2, 9), seeds=range(10), parallelism: int = 8
                              distanceMeasure="squaredEuclidean")
 
     def one(k, s):
-        m = KMeans(k=k, seed=int(s), featuresCol="features", predictionCol="cluster").fit(x)
+        m = KMeans(k=k, seed=int(s), maxIter=MOST_ITERATIONS, featuresCol="features", predictionCol="cluster").fit(x)
         return k, m, float(m.summary.trainingCost)
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
         fits = list(pool.map(lambda ks_: one(*ks_), [(k, s) for k in ks for s in seeds]))

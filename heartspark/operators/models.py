@@ -24,6 +24,11 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from . import curves as CV
 
+#: Bins of tree splits: more than any feature has codes (bmi has the most), so that no split point is lost.
+MAX_BINS = 128
+#: Iterations are bounds that convergence to the tolerance comes before.
+LOGREG_ITERATIONS, SVM_ITERATIONS = 1000, 3000
+
 SCALED = S.FEATURES_CONTINUOUS + S.FEATURES_ORDINAL
 PASSTHROUGH = S.FEATURES_BINARY
 
@@ -61,19 +66,19 @@ def estimator(family: str, params: dict, weighted: bool = True, sum_weights: flo
     if family == "logreg":
         c = params.get("C", 1.0)
         reg = 1.0 / (c * (sum_weights or 1.0))
-        return LogisticRegression(regParam=reg, elasticNetParam=0.0, standardization=False, maxIter=100, **common)
+        return LogisticRegression(regParam=reg, elasticNetParam=0.0, standardization=False, maxIter=LOGREG_ITERATIONS, **common)
     if family == "tree":
         return DecisionTreeClassifier(maxDepth=params.get("max_depth", 5), minInstancesPerNode=params.get("min_samples_leaf", 1),
-                                      seed=S.SEED, **common)
+                                      maxBins=MAX_BINS, seed=S.SEED, **common)
     if family == "forest":
         return RandomForestClassifier(numTrees=params.get("n_estimators", 200), maxDepth=params.get("max_depth", 8),
-                                      minInstancesPerNode=params.get("min_samples_leaf", 1), seed=S.SEED, **common)
+                                      minInstancesPerNode=params.get("min_samples_leaf", 1), maxBins=MAX_BINS, seed=S.SEED, **common)
     if family == "boosting":
         return GBTClassifier(maxIter=params.get("n_estimators", 300), maxDepth=params.get("max_depth", 3),
-                             stepSize=params.get("learning_rate", 0.1), seed=S.SEED, **common)
+                             stepSize=params.get("learning_rate", 0.1), maxBins=MAX_BINS, seed=S.SEED, **common)
     if family == "svm":
         c = params.get("C", 1.0)
-        return LinearSVC(regParam=1.0 / (c * (sum_weights or 1.0)), standardization=False, maxIter=100, **common)
+        return LinearSVC(regParam=1.0 / (c * (sum_weights or 1.0)), standardization=False, maxIter=SVM_ITERATIONS, **common)
     raise ValueError(family)
 
 

@@ -4,28 +4,30 @@ For one tree, the path-dependent conditional expectation of a feature subset
 S is: at a split on a feature in S follow the row's side, otherwise average
 both children weighted by their training cover. Its Shapley values are the
 row's contributions (local accuracy: they add up to the margin minus the
-expected margin). They depend on the row only through the side it takes at
-each internal split, so a tree with m internal splits has at most 2^m
-distinct contribution vectors. For shallow trees (the boosting model uses
-depth 3, m <= 7) those vectors are tabulated once from the model, broadcast
-(size bounded by the model, not the data), and applied batch by batch in
-``mapInPandas`` with vectorised lookups -- numpy inside Spark tasks, no
-per-row Python loop.
+expected margin).
+
+A tree is the sum of its leaves, and a leaf depends on the few features of its
+path: feature k counts with o_k = 1 if the row takes the path at all of its
+splits on k, else 0, and when averaged with z_k, the product of the cover
+shares of those splits. Since the Shapley weight of a subset of size s among m
+features is the integral of t^s (1 - t)^(m - 1 - s) over [0, 1], feature j gets
+
+    value * (o_j - z_j) * integral of prod_{k != j} (o_k t + z_k (1 - t)) dt,
+
+a polynomial of degree m - 1 that Gauss-Legendre points integrate exactly. The
+cost is polynomial in the depth, with no limit on it. The model (bounded by its
+trees, not by the data) is broadcast and applied batch by batch in
+``mapInPandas``, vectorised over the rows.
 """
 
 from __future__ import annotations
 
-import itertools
-import math
-
 import numpy as np
 import pandas as pd
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_SPLITS = 12  # 4096 patterns per tree; deeper trees are out of scope for the table method
-
 
 def _tree_nodes(java_root):
     """Flatten a Spark tree: list of dicts (feature, threshold, left, right, cover, value)."""
@@ -48,54 +50,68 @@ def _tree_nodes(java_root):
     return nodes
 
 
-def _tree_table(nodes, n_features: int):
-    """(split node list, pattern -> contribution table, expected value) for one tree."""
-    splits = [i for i, n in enumerate(nodes) if n["feature"] is not None]
-    if len(splits) > MAX_SPLITS:
-        raise NotImplementedError(f"tree with {len(splits)} splits: too deep for the pattern table")
-    bit = {node: b for b, node in enumerate(splits)}
-    patterns = np.arange(2 ** len(splits))
-    goes_left = {node: ((patterns >> b) & 1).astype(bool) for node, b in bit.items()}
+def _leaves(nodes):
+    """(splits, leaves): splits as (feature, threshold); a leaf is (value, features, z of each, its
+    (split, goes left) conditions of each)."""
+    splits, leaves = [], []
 
-    def expect(i, subset):
+    def walk(i, path):
         n = nodes[i]
         if n["feature"] is None:
-            return np.full(len(patterns), n["value"])
-        left, right = expect(n["left"], subset), expect(n["right"], subset)
-        if n["feature"] in subset:
-            return np.where(goes_left[i], left, right)
-        cl, cr = nodes[n["left"]]["cover"], nodes[n["right"]]["cover"]
-        return (cl * left + cr * right) / (cl + cr)
-
-    used = sorted({nodes[i]["feature"] for i in splits})
-    m = len(used)
-    table = np.zeros((len(patterns), n_features))
-    cache = {}
-
-    def v(subset):
-        key = frozenset(subset)
-        if key not in cache:
-            cache[key] = expect(0, key)
-        return cache[key]
-    for j in used:
-        others = [f for f in used if f != j]
-        for size in range(len(others) + 1):
-            w = math.factorial(size) * math.factorial(m - size - 1) / math.factorial(m)
-            for sub in itertools.combinations(others, size):
-                table[:, j] += w * (v(set(sub) | {j}) - v(set(sub)))
-    base = float(v(set())[0])
-    return [(nodes[i]["feature"], nodes[i]["threshold"]) for i in splits], table, base
-
-
-def explain_gbt(gbt_model, n_features: int, scale: float = 2.0):
-    """Tables for every tree of a Spark GBT classifier, in log-odds units (margin x 2)."""
-    tables, base = [], 0.0
+            by = {}
+            for split, left, share in path:
+                by.setdefault(splits[split][0], []).append((split, left, share))
+            leaves.append((n["value"], list(by), [float(np.prod([p[2] for p in c])) for c in by.values()],
+                           [[p[:2] for p in c] for c in by.values()]))
+            return
+        k = len(splits)
+        splits.append((n["feature"], n["threshold"]))
+        for side, left in ((n["left"], True), (n["right"], False)):
+            walk(side, [*path, (k, left, nodes[side]["cover"] / n["cover"])])
+
+    walk(0, [])
+    return splits, leaves
+
+
+def explain_gbt(gbt_model, scale: float = 2.0):
+    """(weight, splits, leaves) of every tree of a Spark GBT classifier, and the expected value, in log-odds units (margin x 2)."""
+    trees, base = [], 0.0
     for tree, w in zip(gbt_model.trees, gbt_model.treeWeights):
-        nodes = _tree_nodes(tree._java_obj.rootNode())
-        splits, table, b = _tree_table(nodes, n_features)
-        tables.append((splits, table * (w * scale)))
-        base += b * w * scale
-    return tables, base
+        splits, leaves = _leaves(_tree_nodes(tree._java_obj.rootNode()))
+        trees.append((w * scale, splits, leaves))
+        base += w * scale * sum(v * float(np.prod(z)) for v, _, z, _ in leaves)
+    return trees, base
+
+
+def shap_values(trees, X: np.ndarray, n_features: int) -> np.ndarray:
+    """Contributions (rows x features) of the trees' sum."""
+    phi = np.zeros((len(X), n_features))
+    for weight, splits, leaves in trees:
+        goes_left = [X[:, f] <= t for f, t in splits]
+        for value, features, z, conditions in leaves:
+            m = len(features)
+            if not m or value == 0.0:
+                continue
+            taken = []
+            for own in conditions:
+                o = np.ones(len(X), bool)
+                for split, left in own:
+                    o &= goes_left[split] == left
+                taken.append(o.astype(float))
+            points, weights = np.polynomial.legendre.leggauss((m + 1) // 2)
+            parts = np.zeros((m, len(X)))
+            for t, w in zip((points + 1) / 2, weights / 2):
+                terms = [o * t + zk * (1 - t) for o, zk in zip(taken, z)]
+                before = [np.ones(len(X))]
+                for term in terms[:-1]:
+                    before.append(before[-1] * term)
+                after = np.ones(len(X))
+                for j in range(m - 1, -1, -1):
+                    parts[j] += w * before[j] * after
+                    after = after * terms[j]
+            for j, f in enumerate(features):
+                phi[:, f] += weight * value * (taken[j] - z[j]) * parts[j]
+    return phi
 
 
 def contributions(pipeline_model, df: DataFrame, feature_names: list[str], id_col: str = "respondent_id") -> DataFrame:
@@ -106,8 +122,8 @@ def contributions(pipeline_model, df: DataFrame, feature_names: list[str], id_co
     """
     spark = df.sparkSession
     gbt = pipeline_model.stages[-1]
-    tables, base = explain_gbt(gbt, len(feature_names))
-    bc = spark.sparkContext.broadcast(tables)
+    trees, base = explain_gbt(gbt)
+    bc = spark.sparkContext.broadcast(trees)
     names = list(feature_names)
     prep = pipeline_model.stages[:-1]
     x = df
@@ -116,17 +132,10 @@ def contributions(pipeline_model, df: DataFrame, feature_names: list[str], id_co
     x = x.select(F.col(id_col).alias("id"), vector_to_array("features").alias("x"))
 
     def run(batches):
-        tabs = bc.value
         for pdf in batches:
             if len(pdf) == 0:
                 continue
-            X = np.vstack(pdf["x"].to_numpy())
-            phi = np.zeros((len(pdf), len(names)))
-            for splits, table in tabs:
-                idx = np.zeros(len(pdf), dtype=np.int64)
-                for b, (f, thr) in enumerate(splits):
-                    idx |= (X[:, f] <= thr).astype(np.int64) << b
-                phi += table[idx]
+            phi = shap_values(bc.value, np.vstack(pdf["x"].to_numpy()), len(names))
             yield pd.DataFrame({
                 id_col: np.repeat(pdf["id"].to_numpy(), len(names)),
                 "variable": np.tile(names, len(pdf)),

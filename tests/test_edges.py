@@ -159,3 +159,19 @@ def test_risk_band_include_zero(spark):
     df = spark.createDataFrame([(0.0,), (0.03,)], "p double")
     assert [r.b for r in df.select(C.risk_band("p", include_zero=True).alias("b")).collect()] == [1, 1]
     assert [r.b for r in df.select(C.risk_band("p").alias("b")).collect()] == [None, 1]
+
+
+def test_correlation_is_pairwise(spark):
+    """A null leaves a row out of the pairs of its own column only."""
+    import numpy as np
+    from heartspark.operators import stats as ST
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(50, 3))
+    x[:, 1] += x[:, 0]
+    rows = [tuple(None if rng.random() < 0.2 else float(v) for v in r) for r in x]
+    got = {(r.var1, r.var2): r["corr"] for r in ST.corr_pairs(spark.createDataFrame(rows, "a double, b double, c double"), ["a", "b", "c"]).collect()}
+    assert len(got) == 9
+    for i, a in enumerate("abc"):
+        for j, b in enumerate("abc"):
+            both = np.array([(r[i], r[j]) for r in rows if r[i] is not None and r[j] is not None])
+            assert abs(got[a, b] - np.corrcoef(both.T)[0, 1]) < 1e-8

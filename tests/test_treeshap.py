@@ -3,6 +3,7 @@ import itertools
 import math
 
 import numpy as np
+import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -51,9 +52,11 @@ def test_contributions_match_brute_force(spark):
         assert np.allclose(g, exp, atol=1e-12)
 
 
-def test_local_accuracy(spark):
+@pytest.mark.parametrize("depth", [3, 5, 7])
+def test_local_accuracy(spark, depth):
+    """At every depth of the boosting grid: there is no limit on the splits of a tree."""
     b = survey_base(spark, "/root/testdata/sf0.001").select("respondent_id", *S.FEATURES, S.TARGET)
-    m = MD.fit(b, "boosting", {"n_estimators": 10, "max_depth": 3, "learning_rate": 0.1})
+    m = MD.fit(b, "boosting", {"n_estimators": 3, "max_depth": depth, "learning_rate": 0.1})
     c = TS.contributions(m, b, MD.SCALED + MD.PASSTHROUGH)
     s = c.groupBy("respondent_id").agg(F.sum("value").alias("s"), F.first("base").alias("base"))
     raw = m.transform(b).select("respondent_id", (vector_to_array("rawPrediction")[1] * 2).alias("lo"))

@@ -9,9 +9,10 @@ distinct scores, so the whole computation is linear and exact.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from . import ordering
 
 DIGITS = 9
@@ -82,6 +83,30 @@ def summary_from_counts(counts: DataFrame, threshold: float = 0.5) -> DataFrame:
     return a.crossJoin(t)
 
 
+def summary_by_group(counts: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """The same metrics for many models at once: (grp, score, pos, neg) -> (grp, roc_auc, pr_auc, precision, recall, f1).
+
+    One bucketed running sum along (grp, score descending), the groups in disjoint
+    ranges of the leading key, less each group's start; scores lie in [0, 1].
+    """
+    c = cut_lineage(counts.withColumn("_k", -F.col("score")))
+    lead = F.col("grp") * 2 + F.col("_k")
+    cum = ordering.running_sum(c, [F.col("grp"), F.col("_k")], ["pos", "neg"], lead=lead)
+    tot = c.groupBy("grp").agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    w = Window.orderBy("grp").rowsBetween(Window.unboundedPreceding, -1)  # one row per model
+    tot = tot.select("grp", "P", "N", F.coalesce(F.sum("P").over(w), F.lit(0)).alias("_p0"), F.coalesce(F.sum("N").over(w), F.lit(0)).alias("_n0"))
+    x = cum.join(F.broadcast(tot), "grp").withColumns({"tp": F.col("cum_pos") - F.col("_p0"), "fp": F.col("cum_neg") - F.col("_n0")})
+    at = F.col("score") >= threshold
+    g = x.groupBy("grp").agg(
+        F.round(F.sum(F.col("neg") * (F.col("tp") - F.col("pos") * 0.5)) / (F.first("P") * F.first("N")), DIGITS).alias("roc_auc"),
+        F.round(F.sum(F.col("pos") / F.col("P") * (F.col("tp") / (F.col("tp") + F.col("fp")))), DIGITS).alias("pr_auc"),
+        F.sum(F.when(at, F.col("pos")).otherwise(0)).alias("_tp"), F.sum(F.when(at, F.col("neg")).otherwise(0)).alias("_fp"), F.first("P").alias("_P"))
+    prec = F.coalesce(F.try_divide(F.col("_tp").cast("double"), (F.col("_tp") + F.col("_fp")).cast("double")), F.lit(0.0))
+    rec = F.coalesce(F.try_divide(F.col("_tp").cast("double"), F.col("_P").cast("double")), F.lit(0.0))
+    g = g.select("grp", "roc_auc", "pr_auc", prec.alias("precision"), rec.alias("recall"))
+    return g.withColumn("f1", F.coalesce(F.try_divide(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")), F.lit(0.0)))
+
+
 def pick_threshold(df: DataFrame, score: str, label: str, target_recall: float) -> DataFrame:
     """Highest threshold whose recall reaches ``target_recall`` (from the PR points)."""
     c = curve(df, score, label).where(F.col("recall") >= target_recall)

@@ -4,6 +4,7 @@ except the fitted scaler statistics, which have an exact SQL oracle."""
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ from .. import schema as S
 from ..operators import curves as CV
 from ..operators import logistic as LG
 from ..operators import models as MD
+from ..operators import neighbours as NB
 from ..operators import sampling as SP
 from ..sources.tables import survey_base
 from .common import Registry
@@ -29,6 +31,7 @@ BEST = {
 }
 LOGREG_GRID = [{"C": c} for c in (0.001, 0.01, 0.1, 1, 10)]
 TREE_GRID = [{"max_depth": d, "min_samples_leaf": m} for d in (3, 5, 7, 10) for m in (20, 100)]
+KNN_GRID = [{"n_neighbors": k, "weights": w} for k in (15, 25, 50) for w in ("uniform", "distance")]
 SVM_GRID = [{"C": c} for c in (0.01, 0.1, 1)]
 
 
@@ -127,37 +130,116 @@ def ml_grid_svm(spark, sf):
     return MD.grid(_folds(spark, sf), "svm", SVM_GRID)
 
 
+def _knn_counts(scored, settings, grp):
+    """(grp, score, pos, neg) of scored rows, one group per setting."""
+    each = F.array(*[F.struct(F.lit(grp(i)).alias("grp"), F.col(f"s{i}").alias("score")) for i in range(len(settings))])
+    rows = scored.select(S.TARGET, F.explode(each).alias("e"))
+    return rows.groupBy(F.col("e.grp").alias("grp"), F.col("e.score").alias("score")).agg(
+        F.sum(F.col(S.TARGET).cast("long")).alias("pos"), F.sum((1 - F.col(S.TARGET)).cast("long")).alias("neg"))
+
+
+@q("ml_knn")
+def ml_knn(spark, sf):
+    """The six kNN settings fitted on a bounded sample of the training part (rows_used says how many); metrics on test."""
+    train, test = _split(spark, sf)
+    scored, used = NB.knn_scores(NB.preprocessing(train), train, test, KNN_GRID, ["respondent_id", S.TARGET])
+    got = {r["grp"]: r for r in CV.summary_by_group(_knn_counts(scored, KNN_GRID, lambda i: i)).collect()}
+    rows = [(p["n_neighbors"], p["weights"], *[got[i][c] for c in ("roc_auc", "pr_auc", "precision", "recall", "f1")], used) for i, p in enumerate(KNN_GRID)]
+    return spark.createDataFrame(rows, "n_neighbors long, weights string, roc_auc double, pr_auc double, precision double, recall double, f1 double, rows_used long")
+
+
+@q("ml_grid_knn")
+def ml_grid_knn(spark, sf):
+    """Cross-validated grid of kNN (k 15/25/50, uniform or distance votes) on bounded samples of the training folds."""
+    folds = _folds(spark, sf)
+    started, counts = time.time(), None
+    for f in range(S.N_FOLDS):
+        train, held = folds.where(F.col("fold") != f), folds.where(F.col("fold") == f)
+        scored, _ = NB.knn_scores(NB.preprocessing(train), train, held, KNN_GRID, ["respondent_id", S.TARGET])
+        own = _knn_counts(scored, KNN_GRID, lambda i, f=f: i * S.N_FOLDS + f)
+        counts = own if counts is None else counts.unionByName(own)
+    got = {r["grp"]: r for r in CV.summary_by_group(counts).collect()}
+    return _grid_frame(spark, KNN_GRID, got, S.N_FOLDS, time.time() - started)
+
+
+@q("ml_smote", ctes(f"sp AS ({SP.split_sql()}), n AS (SELECT heart_disease, COUNT(*) AS n FROM sp WHERE split = 'train' GROUP BY 1)")
+   + "SELECT heart_disease, CAST(n AS BIGINT) AS rows_before, (SELECT CAST(MAX(n) AS BIGINT) FROM n) AS rows_after, "
+   "(SELECT CAST(MAX(n) AS BIGINT) FROM n) - CAST(n AS BIGINT) AS rows_made FROM n")
+def ml_smote(spark, sf):
+    """SMOTE on the training part: rows of each class before and after, and the synthetic rows made."""
+    train, _ = _split(spark, sf)
+    made, info = NB.smote(spark, NB.preprocessing(train), train)
+    n = made.groupBy(S.TARGET).agg(F.count(F.lit(1)).alias("rows_made"))
+    sizes = spark.createDataFrame([(c, info["before"][c], info["after"][c]) for c in sorted(info["before"])], f"{S.TARGET} int, rows_before long, rows_after long")
+    return sizes.join(F.broadcast(n), S.TARGET, "left").withColumn("rows_made", F.coalesce("rows_made", F.lit(0)))
+
+
+def strategy_table(spark, metrics):
+    """(strategy, means over the folds, chosen): the strategy with the highest mean ROC-AUC; weighting wins ties."""
+    rows = [(s, *[sum(m[c] for m in own) / len(own) for c in ("roc_auc", "pr_auc", "precision", "recall", "f1")]) for s, own in metrics.items()]
+    best = max(rows, key=lambda r: (r[1], r[0] == "weighting"))[0]
+    return spark.createDataFrame([(*r, best) for r in rows], "strategy string, roc_auc double, pr_auc double, precision double, recall double, f1 double, chosen string")
+
+
 @q("ml_pick_strategy")
 def ml_pick_strategy(spark, sf):
-    """Class weighting vs no re-weighting by cross-validated ROC-AUC; weighting wins ties."""
+    """Class weighting against SMOTE inside each fold, on the logistic family's best setting; weighting wins ties.
+
+    Fold f's model sees its own training folds, and for SMOTE the synthetic rows made from them alone.
+    """
     folds = _folds(spark, sf)
-    w = MD.grid(folds, "logreg", [BEST["logreg"]], weighted=True).select(F.lit("weighting").alias("strategy"), F.lit(0).alias("pref"), "roc_auc", "pr_auc", "f1")
-    u = MD.grid(folds, "logreg", [BEST["logreg"]], weighted=False).select(F.lit("none").alias("strategy"), F.lit(1).alias("pref"), "roc_auc", "pr_auc", "f1")
-    both = w.unionByName(u)
-    best = both.orderBy(F.desc("roc_auc"), "pref").limit(1).select(F.col("strategy").alias("chosen"))
-    return both.crossJoin(best).drop("pref")
+    c = BEST["logreg"]["C"]
+    rows = LG.as_rows(folds)
+    weighted = CV.summary_by_group(LG.held_out_counts(rows, LG.fit_all(rows, [c], list(range(S.N_FOLDS))))).collect()
+    plain = []
+    for f in range(S.N_FOLDS):
+        train, held = folds.where(F.col("fold") != f), folds.where(F.col("fold") == f)
+        prep = NB.preprocessing(train)
+        made, _ = NB.smote(spark, prep, train)
+        real = NB.vectors(prep, train, S.TARGET).select("x", F.col(S.TARGET).cast("int").alias("y"), F.lit(0).alias("fold"))
+        both = MD.materialize(real.unionByName(made.select("x", F.col(S.TARGET).alias("y"), F.lit(0).alias("fold"))))
+        model = LG.fit_all(both, [c], [-1], weighted=False)[0, -1]
+        scored = NB.vectors(prep, held, S.TARGET).select("x", F.col(S.TARGET).cast("int").alias("y"), F.lit(0).alias("fold"))
+        plain.append(CV.summary_by_group(LG.held_out_counts(scored, {(0, 0): model})).first())
+    return strategy_table(spark, {"weighting": weighted, "smote": plain})
+
+
+def fold_scores(folds, family, params, f):
+    """Metrics of the model of fold f on its own training rows and on the held-out ones."""
+    train, held = folds.where(F.col("fold") != f), folds.where(F.col("fold") == f)
+    m = MD.fit(train, family, params)
+    return MD.metrics(MD.score(m, train)).first().asDict(), MD.metrics(MD.score(m, held)).first().asDict()
+
+
+def over_folds(folds, family, params, parallelism=S.N_FOLDS):
+    """fold_scores of every fold; the fits are independent distributed jobs, submitted concurrently."""
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        return list(pool.map(lambda f: fold_scores(folds, family, params, f), range(S.N_FOLDS)))
+
+
+def fit_gap_rows(scores):
+    """(metric, training mean, validation mean, gap, gap in percent of the training score) from pairs of metrics per fold."""
+    out = []
+    for c in ("roc_auc", "pr_auc"):
+        a, b = (sum(pair[k][c] for pair in scores) / len(scores) for k in (0, 1))
+        out.append((c, a, b, a - b, (a - b) / a * 100))
+    return out
 
 
 @q("ml_fit_gap")
 def ml_fit_gap(spark, sf):
-    """Training vs validation ROC-AUC and PR-AUC of the boosting model, gap and relative gap (%)."""
-    folds = _folds(spark, sf)
-    tr, va = folds.where("fold != 0"), folds.where("fold = 0")
-    m = MD.fit(tr, "boosting", BEST["boosting"])
-    a = MD.metrics(MD.score(m, tr)).select(F.col("roc_auc").alias("train_roc_auc"), F.col("pr_auc").alias("train_pr_auc"))
-    b = MD.metrics(MD.score(m, va)).select(F.col("roc_auc").alias("val_roc_auc"), F.col("pr_auc").alias("val_pr_auc"))
-    j = a.crossJoin(b)
-    return j.select("*", (F.col("train_roc_auc") - F.col("val_roc_auc")).alias("gap_roc_auc"),
-                    ((F.col("train_roc_auc") - F.col("val_roc_auc")) / F.col("val_roc_auc") * 100).alias("gap_roc_auc_pct"))
+    """Training against validation ROC-AUC and PR-AUC of the boosting model, means over all five folds,
+    with the gap and the gap relative to the training score (%)."""
+    scores = over_folds(_folds(spark, sf), "boosting", BEST["boosting"])
+    return spark.createDataFrame(fit_gap_rows(scores), "metric string, train_mean double, val_mean double, gap double, gap_pct double")
 
 
 @q("ml_learning_curve")
 def ml_learning_curve(spark, sf):
-    """Validation ROC-AUC at 10..100 % of the training folds (stratified hash prefixes), mean and std over folds.
+    """Training and validation ROC-AUC at 10..100 % of the training folds (stratified by hash), mean and std over folds.
 
     The 30 (fraction, fold) fits are independent distributed jobs, submitted concurrently.
     """
-    from concurrent.futures import ThreadPoolExecutor
     folds = _folds(spark, sf)
     sizes = {r["fold"]: r["count"] for r in folds.groupBy("fold").count().collect()}
     total = sum(sizes.values())
@@ -167,27 +249,33 @@ def ml_learning_curve(spark, sf):
         tr, va = folds.where(F.col("fold") != f), folds.where(F.col("fold") == f)
         sub = SP.stratified_subsample(tr, max(1, int((total - sizes[f]) * frac)))
         m = MD.fit(sub, "logreg", BEST["logreg"])
-        return frac, MD.metrics(MD.score(m, va)).first()["roc_auc"]
+        return frac, MD.metrics(MD.score(m, sub)).first()["roc_auc"], MD.metrics(MD.score(m, va)).first()["roc_auc"]
     with ThreadPoolExecutor(max_workers=8) as pool:
         res = list(pool.map(lambda a: one(*a), [(fr, f) for fr in fracs for f in range(S.N_FOLDS)]))
     rows = []
     for frac in fracs:
-        aucs = [a for fr, a in res if fr == frac]
-        mean = sum(aucs) / len(aucs)
-        std = (sum((a - mean) ** 2 for a in aucs) / len(aucs)) ** 0.5
-        rows.append((frac, mean, std))
-    return spark.createDataFrame(rows, "fraction double, val_roc_auc_mean double, val_roc_auc_std double")
+        row = [frac]
+        for k in (1, 2):
+            aucs = [r[k] for r in res if r[0] == frac]
+            mean = sum(aucs) / len(aucs)
+            row += [mean, (sum((a - mean) ** 2 for a in aucs) / len(aucs)) ** 0.5]
+        rows.append(tuple(row))
+    return spark.createDataFrame(rows, "fraction double, train_roc_auc_mean double, train_roc_auc_std double, "
+                                       "val_roc_auc_mean double, val_roc_auc_std double")
 
 
 @q("ml_validation_curve")
 def ml_validation_curve(spark, sf):
-    """Training and validation ROC-AUC by tree depth 1, 2, 3, 4, 6, 8, 10; the best depth is flagged."""
+    """Training and validation ROC-AUC by tree depth 1, 2, 3, 4, 6, 8, 10, means over all five folds; the best depth is flagged."""
     folds = _folds(spark, sf)
-    tr, va = folds.where("fold != 0"), folds.where("fold = 0")
+    depths = (1, 2, 3, 4, 6, 8, 10)
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        res = list(pool.map(lambda a: (a[0], fold_scores(folds, "tree", {"max_depth": a[0], "min_samples_leaf": 100}, a[1])),
+                            [(d, f) for d in depths for f in range(S.N_FOLDS)]))
     rows = []
-    for d in (1, 2, 3, 4, 6, 8, 10):
-        m = MD.fit(tr, "tree", {"max_depth": d, "min_samples_leaf": 100})
-        rows.append((d, MD.metrics(MD.score(m, tr)).first()["roc_auc"], MD.metrics(MD.score(m, va)).first()["roc_auc"]))
+    for d in depths:
+        own = [pair for depth, pair in res if depth == d]
+        rows.append((d, sum(p[0]["roc_auc"] for p in own) / len(own), sum(p[1]["roc_auc"] for p in own) / len(own)))
     best = max(rows, key=lambda r: (r[2], -r[0]))[0]
     return spark.createDataFrame([(d, a, b, d == best) for d, a, b in rows],
                                  "depth long, train_roc_auc double, val_roc_auc double, best boolean")

@@ -1,4 +1,5 @@
 """Sanity checks for the rows-only (trained) operators, SURVEY 5.3 item 4, plus exact invariants."""
+import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
@@ -6,6 +7,7 @@ import __spark_entry__ as E
 from heartspark import schema as S
 from heartspark.functions import columns as C
 from heartspark.operators import models as MD
+from heartspark.operators import sampling as SP
 from heartspark.operators import scoring as SC
 from heartspark.sources.tables import survey_base
 
@@ -51,3 +53,26 @@ def test_model_save_load_roundtrip(spark, tmp_path):
     a = MD.score(m, b).select("respondent_id", F.col("score").alias("a"))
     c = MD.score(loaded, b).select("respondent_id", F.col("score").alias("c"))
     assert a.join(c, "respondent_id").where("a != c").count() == 0
+
+
+def test_fit_gap_is_relative_to_the_training_score():
+    from heartspark.plans import ml
+    rows = ml.fit_gap_rows([({"roc_auc": 0.9, "pr_auc": 0.5}, {"roc_auc": 0.8, "pr_auc": 0.4}), ({"roc_auc": 0.7, "pr_auc": 0.5}, {"roc_auc": 0.7, "pr_auc": 0.3})])
+    assert [r[0] for r in rows] == ["roc_auc", "pr_auc"]
+    assert rows[0][1:] == pytest.approx((0.8, 0.75, 0.05, 6.25)) and rows[1][1:] == pytest.approx((0.5, 0.35, 0.15, 30.0))
+
+
+def test_weighting_wins_ties(spark):
+    from heartspark.plans import ml
+    same = {"roc_auc": 0.8, "pr_auc": 0.4, "precision": 0.1, "recall": 0.2, "f1": 0.3}
+    assert {r.chosen for r in ml.strategy_table(spark, {"smote": [same], "weighting": [same]}).collect()} == {"weighting"}
+    assert {r.chosen for r in ml.strategy_table(spark, {"smote": [same | {"roc_auc": 0.81}], "weighting": [same]}).collect()} == {"smote"}
+
+
+def test_calibration_keeps_rows_and_nears_the_rate(spark):
+    b = survey_base(spark, "/root/testdata/sf0.01").select("respondent_id", *S.FEATURES, S.TARGET)
+    both = MD.materialize(SP.split_with_folds(b))
+    folds, test = both.where("split = 'train'").drop("split"), both.where("split = 'test'").drop("split", "fold")
+    out = MD.isotonic_calibrated(folds, test, "logreg", {"C": 1.0}).toPandas()
+    assert len(out) == test.count() and out.respondent_id.is_unique
+    assert abs(out.score_calibrated.mean() - out[S.TARGET].mean()) < 0.03 < abs(out.score_raw.mean() - out[S.TARGET].mean())

@@ -7,11 +7,10 @@ per map task before the shuffle, never a third of the table in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from . import ordering
 from .transform import attach_profile_counts, profile_counts
 
 PROFILE22 = S.SOURCE_COLUMNS
@@ -85,7 +84,8 @@ def irreducible(base: DataFrame) -> DataFrame:
 
 def profile_compare(base: DataFrame) -> DataFrame:
     """Four rates (%), duplicated rows vs unique rows."""
-    x = dup_flag(base).join(base, "respondent_id")
+    g = base.groupBy(*PROFILE22).agg(F.count(F.lit(1)).alias("_n"))
+    # Each indicator is a function of the profile, so the profiles' counts are all that is needed.
     ind = {
         "zero_mental_days": F.col("ment_hlth_days") == 0,
         "zero_physical_days": F.col("phys_hlth_days") == 0,
@@ -94,9 +94,10 @@ def profile_compare(base: DataFrame) -> DataFrame:
     }
     aggs = []
     for k, cond in ind.items():
-        aggs.append((F.avg(F.when(F.col("dup_flag") == 1, cond.cast("int"))) * 100).alias(f"d__{k}"))
-        aggs.append((F.avg(F.when(F.col("dup_flag") == 0, cond.cast("int"))) * 100).alias(f"u__{k}"))
-    one = x.agg(*aggs)
+        for name, rows in (("d", F.col("_n") > 1), ("u", F.col("_n") == 1)):
+            aggs.append((F.sum(F.when(rows & cond, F.col("_n")).when(rows & cond.isNotNull(), 0)) / F.sum(F.when(rows & cond.isNotNull(), F.col("_n"))) * 100)
+                        .alias(f"{name}__{k}"))
+    one = g.agg(*aggs)
     stack = ", ".join(f"'{k}', d__{k}, u__{k}" for k in ind)
     return one.selectExpr(f"stack({len(ind)}, {stack}) AS (indicator, duplicated_pct, unique_pct)")
 
@@ -121,6 +122,9 @@ def arith_hash_sql(id_col: str, seed: int) -> str:
     return f"CAST((({h2}) * 16807 + 12345) % {_P} AS BIGINT)"
 
 
+#: Equal ranges of a hash; at most so many counts a seed come to the driver.
+BUCKETS = 16_384
+
 FRACTIONS = [0.05, 0.10, 0.25, 0.50, 1.00]
 SEEDS = [11, 22, 33]
 
@@ -129,30 +133,45 @@ def rate_by_size(base: DataFrame, fractions=FRACTIONS, seeds=SEEDS) -> DataFrame
     """Duplicate rate (keep first, %) of hash samples of 5 sizes, mean over 3 seeds.
 
     Sample (f, s) = the floor(n*f) rows with the smallest key_s = (hash_s(id), id).
-    The cut key of each sample is the row at position = sample size, found by
-    an exact selection that sorts only the buckets holding those positions. A profile
-    is in the sample iff its smallest key is within the cut, so one grouped
-    min per seed and 15 conditional counts finish it.
+    Hashes are spread evenly over their range, so arithmetic gives buckets
+    without looking for bounds: one pass over the ids counts the buckets of all
+    seeds, a second sorts the few that hold a cut and picks the cut keys (15
+    rows, which become literals). A profile is in a sample iff its smallest
+    key is within the cut, so one pass over the base with a grouped min per
+    seed and 15 conditional counts finishes it.
     """
-    ids = base.select("respondent_id")
-    n_all = ids.agg(F.count(F.lit(1)).alias("n_all"))
-    cuts = None
+    ids = base.select(F.col("respondent_id").alias("id"))
+    each = ids.select("id", F.explode(F.array(*[F.struct(F.lit(s).alias("seed"), arith_hash("id", s).alias("h")) for s in seeds])).alias("x")).select("id", "x.*")
+    each = each.withColumn("bucket", F.floor(F.col("h") * BUCKETS / (_P + 1)).cast("int"))
+    counted = each.groupBy("seed", "bucket").count().collect()  # at most BUCKETS rows a seed
+    n_all = sum(r["count"] for r in counted) // len(seeds)
+    sizes = [int(n_all * f) for f in fractions]
+    wanted = []
     for s in seeds:
-        sizes = n_all.select(F.explode(F.array(*[
-            F.struct(F.lit(i).alias("fi"), F.floor(F.col("n_all") * F.lit(f)).cast("long").alias("size"))
-            for i, f in enumerate(fractions)])).alias("x")).select("x.*")
-        c = ordering.kth_smallest(ids.withColumn("_h", arith_hash("respondent_id", s)),
-                                  [F.col("_h"), F.col("respondent_id")], sizes, pos_col="size").select(
-            "fi", "size", F.lit(s).alias("seed"), F.struct("_h", "respondent_id").alias("cut"))
-        cuts = c if cuts is None else cuts.unionByName(c)
-    keyed = base.select(*PROFILE22, *[F.struct(arith_hash("respondent_id", s).alias("_h"),
-                                               F.col("respondent_id")).alias(f"_k{s}") for s in seeds])
+        before = 0
+        for r in sorted((r for r in counted if r["seed"] == s), key=lambda r: r["bucket"]):
+            wanted += [(s, r["bucket"], i, size - before) for i, size in enumerate(sizes) if before < size <= before + r["count"]]
+            before += r["count"]
+    if not wanted:
+        return base.sparkSession.createDataFrame([], "fraction double, sample_size long, dup_rate_pct double")
+    spots = base.sparkSession.createDataFrame(wanted, "seed int, bucket int, fi int, place int")
+    inside = each.join(F.broadcast(spots.select("seed", "bucket").distinct()), ["seed", "bucket"])
+    inside = inside.withColumn("place", F.row_number().over(Window.partitionBy("seed", "bucket").orderBy("h", "id")))
+    cuts = {(r["seed"], r["fi"]): (r["h"], r["id"]) for r in inside.join(F.broadcast(spots), ["seed", "bucket", "place"]).collect()}
+    keyed = base.select(*PROFILE22, *[F.struct(arith_hash("respondent_id", s).alias("h"), F.col("respondent_id").alias("id")).alias(f"_k{s}") for s in seeds])
     g = keyed.groupBy(*PROFILE22).agg(*[F.min(f"_k{s}").alias(f"_m{s}") for s in seeds])
-    m_by_seed = F.element_at(F.create_map(*[x for s in seeds for x in (F.lit(s), F.col(f"_m{s}"))]), F.col("seed"))
-    per = g.crossJoin(F.broadcast(cuts)).where(m_by_seed <= F.col("cut")).groupBy("fi", "size", "seed").agg(
-        F.count(F.lit(1)).alias("d"))
-    rates = per.select("fi", "size", "seed", ((F.col("size") - F.col("d")) / F.col("size") * 100).alias("r"))
-    piv = rates.groupBy("fi", "size").agg(*[F.max(F.when(F.col("seed") == s, F.col("r"))).alias(f"r{s}") for s in seeds])
-    mean = sum([F.col(f"r{s}") for s in seeds[1:]], F.col(f"r{seeds[0]}")) / len(seeds)
-    fr = F.element_at(F.array(*[F.lit(f) for f in fractions]), F.col("fi") + 1)
-    return piv.select(fr.alias("fraction"), F.col("size").alias("sample_size"), mean.alias("dup_rate_pct"))
+
+    def within(s: int, i: int):
+        h, last = cuts[s, i]
+        m = F.col(f"_m{s}")
+        return (m["h"] < h) | ((m["h"] == h) & (m["id"] <= last))
+
+    found = [(s, i) for i in range(len(fractions)) for s in seeds if (s, i) in cuts]
+    one = g.agg(*[F.count_if(within(s, i)).alias(f"d_{s}_{i}") for s, i in found])
+    rows = []
+    for i, f in enumerate(fractions):
+        rates = [(F.lit(sizes[i]) - F.col(f"d_{s}_{i}")) / F.lit(sizes[i]) * 100 for s in seeds if (s, i) in cuts]
+        if rates:
+            rows.append(F.struct(F.lit(f).alias("fraction"), F.lit(sizes[i]).cast("long").alias("sample_size"),
+                                 (sum(rates[1:], rates[0]) / len(rates)).alias("dup_rate_pct")))
+    return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")

@@ -232,6 +232,18 @@ def sink_ref_sample(spark, sf):
     return spark.read.parquet(path)
 
 
+@q("sink_ref_sample_profiles")
+def sink_ref_sample_profiles(spark, sf):
+    """The reference sample with each row's k-means profile (``profil``), to Parquet and read back."""
+    from .mining import _profiled
+    path = _tmp(spark, "ref_sample_profiles")
+    b = survey_base(spark, sf).select("respondent_id", "age_group", "sex", "bmi", "gen_hlth", S.TARGET,
+                                      C.scorecard_risk().alias("risque"))
+    labels = _profiled(spark, sf).select("respondent_id", F.col("profile").alias("profil"))
+    IO.write_parquet(SP.hash_sample(b, 25000).join(labels, "respondent_id", "left"), path)
+    return spark.read.parquet(path)
+
+
 @q("sink_ref_aggregates")
 def sink_ref_aggregates(spark, sf):
     """The nested population document written as JSON and read back (src_ref_json)."""

@@ -136,17 +136,48 @@ def dm_hierarchy(spark, sf):
     return lab.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), (F.avg(S.TARGET) * 100).alias("target_pct"))
 
 
+# The profile tables on given labels (education code as the cluster), which SQL can hold the operators against.
+_GIVEN = ctes("lab AS (SELECT *, education AS cluster FROM base)")
+
+
+def _given(spark, sf):
+    return survey_base(spark, sf).withColumn("cluster", F.col("education"))
+
+
+@q("dm_profile_summary_given", _GIVEN + "SELECT CAST(cluster AS BIGINT) AS cluster, CAST(ROW_NUMBER() OVER (ORDER BY AVG(heart_disease), cluster) AS BIGINT) AS profile, "
+   "CAST(COUNT(*) AS BIGINT) AS n, CAST(COUNT(*) AS DOUBLE) / (SELECT COUNT(*) FROM lab) * 100 AS share_pct, AVG(heart_disease) * 100 AS target_pct FROM lab GROUP BY cluster")
+def dm_profile_summary_given(spark, sf):
+    """Size, share, target rate and rank of given clusters."""
+    return MN.profile_summary(_given(spark, sf))
+
+
+@q("dm_profile_means_given", _GIVEN + "SELECT CAST(cluster AS BIGINT) AS cluster, " + ", ".join(f"ROUND(AVG(CAST({c} AS DOUBLE)), 9) AS {c}" for c in PROFILE12) + " FROM lab GROUP BY cluster")
+def dm_profile_means_given(spark, sf):
+    """Mean of the 12 descriptive variables of given clusters."""
+    m = MN.profile_means(_given(spark, sf), PROFILE12, "cluster")
+    return m.select("cluster", *[F.round(c, 9).alias(c) for c in PROFILE12])
+
+
+@q("dm_profile_signature_given", _GIVEN + " UNION ALL ".join(
+    f"SELECT CAST(cluster AS BIGINT) AS cluster, '{c}' AS variable, ROUND((AVG(CAST({c} AS DOUBLE)) - (SELECT AVG(CAST({c} AS DOUBLE)) FROM lab)) / "
+    f"(SELECT STDDEV_SAMP(CAST({c} AS DOUBLE)) FROM lab), 9) AS signature FROM lab GROUP BY cluster" for c in S.FEATURES))
+def dm_profile_signature_given(spark, sf):
+    """(cluster mean - mean) / std of the 21 features of given clusters."""
+    return MN.profile_signature(_given(spark, sf), S.FEATURES, "cluster").withColumn("signature", F.round("signature", 9))
+
+
 @q("sc_population")
 def sc_population(spark, sf):
-    """Reference-population document: totals, real rate, mean risk, profiles (array of structs), mean risk by age and sex (maps)."""
+    """Reference-population document: totals, real rate, mean risk, threshold, profiles (array of structs, with the mean age
+    code), mean risk by age and sex (maps)."""
     from ..functions import columns as C
     lab = _profiled(spark, sf)
     base = survey_base(spark, sf).withColumn("risk", C.scorecard_risk())
     tot = base.agg(F.count(F.lit(1)).alias("n"), (F.avg(S.TARGET) * 100).alias("real_rate_pct"),
-                   (F.avg("risk") * 100).alias("mean_risk_pct"))
+                   (F.avg("risk") * 100).alias("mean_risk_pct"), F.lit(float(S.DECISION_THRESHOLD)).alias("threshold"))
     prof = MN.profile_summary(lab).join(
-        lab.groupBy("cluster").agg(F.avg("bmi").alias("mean_bmi"), ((1 - F.avg("any_healthcare")) * 100).alias("uninsured_pct")), "cluster")
-    profiles = prof.agg(F.sort_array(F.collect_list(F.struct("profile", "n", "share_pct", "target_pct", "mean_bmi", "uninsured_pct"))).alias("profiles"))
+        lab.groupBy("cluster").agg(F.avg("bmi").alias("mean_bmi"), F.avg("age_group").alias("mean_age_group"), ((1 - F.avg("any_healthcare")) * 100).alias("uninsured_pct")), "cluster")
+    profiles = prof.agg(F.sort_array(F.collect_list(F.struct("profile", "n", "share_pct", "target_pct", "mean_bmi", "mean_age_group", "uninsured_pct"))).alias("profiles"))
     by_age = base.groupBy("age_group").agg((F.avg("risk") * 100).alias("v")).agg(
         F.map_from_entries(F.collect_list(F.struct(F.col("age_group").cast("string"), "v"))).alias("mean_risk_by_age"))
     by_sex = base.groupBy("sex").agg((F.avg("risk") * 100).alias("v")).agg(

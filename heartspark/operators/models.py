@@ -10,6 +10,7 @@ distributed curve operators.
 
 from __future__ import annotations
 
+import json
 import time
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -195,18 +196,55 @@ def grid(folds: DataFrame, family: str, settings: list[dict], weighted: bool = T
     return df.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("roc_auc"), "setting")))
 
 
+class CalibratedModel:
+    """k pipelines, each with an isotonic map fitted on the rows that it hasn't seen; scores are averages over the k.
+
+    ``metadata`` (JSON values: family, parameters, features, threshold, ...) is saved with the model.
+    """
+
+    def __init__(self, parts: list, metadata: dict):
+        self.parts, self.metadata = parts, metadata
+
+    @staticmethod
+    def fit(folds: DataFrame, family: str, params: dict, k: int = S.N_FOLDS, parallelism: int = S.N_FOLDS) -> CalibratedModel:
+        from concurrent.futures import ThreadPoolExecutor
+        folds = materialize(folds)
+
+        def one(f: int):
+            tr, va = folds.where(F.col("fold") != f), folds.where(F.col("fold") == f)
+            m = fit(tr, family, params)
+            # The map is fitted on counts of scores at 4 digits: at most 20 002 rows reach the driver, whatever the fold's size.
+            counts = score(m, va).groupBy(F.round("score", 4).alias("score"), S.TARGET).agg(F.count(F.lit(1)).cast("double").alias("n"))
+            return m, IsotonicRegression(featuresCol="score", labelCol=S.TARGET, weightCol="n", isotonic=True).fit(counts)
+
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            parts = list(pool.map(one, range(k)))
+        return CalibratedModel(parts, {"family": family, "params": params, "features": S.FEATURES, "folds": k})
+
+    def score(self, df: DataFrame, raw: str = "score_raw", calibrated: str = "score_calibrated") -> DataFrame:
+        """``df`` with the mean raw and mean calibrated score; the transforms are chained on one frame, without a join."""
+        out, k = df, len(self.parts)
+        for f, (m, iso) in enumerate(self.parts):
+            out = score(m, out, f"_raw{f}")
+            out = iso.setFeaturesCol(f"_raw{f}").setPredictionCol(f"_cal{f}").transform(out)
+        mean = lambda name: sum([F.col(f"{name}{f}") for f in range(1, k)], F.col(f"{name}0")) / k
+        return out.withColumns({raw: mean("_raw"), calibrated: mean("_cal")}).drop(*[f"{n}{f}" for n in ("_raw", "_cal") for f in range(k)])
+
+    def save(self, spark, path: str) -> None:
+        for f, (m, iso) in enumerate(self.parts):
+            m.write().overwrite().save(f"{path}/pipeline-{f}")
+            iso.write().overwrite().save(f"{path}/isotonic-{f}")
+        spark.createDataFrame([(json.dumps(self.metadata),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/metadata")
+
+    @staticmethod
+    def load(spark, path: str) -> CalibratedModel:
+        from pyspark.ml.regression import IsotonicRegressionModel
+        metadata = json.loads(spark.read.text(f"{path}/metadata").first()[0])
+        return CalibratedModel([(PipelineModel.load(f"{path}/pipeline-{f}"), IsotonicRegressionModel.load(f"{path}/isotonic-{f}"))
+                                for f in range(metadata["folds"])], metadata)
+
+
 def isotonic_calibrated(folds: DataFrame, test: DataFrame, family: str, params: dict, k: int = S.N_FOLDS) -> DataFrame:
     """k (model, isotonic map) pairs, each calibrated on its held-out fold; the test score is their average."""
-    folds = materialize(folds)
-    out = test.select("respondent_id", *S.FEATURES, S.TARGET)
-    for f in range(k):
-        tr, va = folds.where(F.col("fold") != f), folds.where(F.col("fold") == f)
-        m = fit(tr, family, params)
-        # The map is fitted on counts of scores at 4 digits: at most 10 001 rows reach the driver, whatever the fold's size.
-        counts = score(m, va).groupBy(F.round("score", 4).alias("score"), S.TARGET).agg(F.count(F.lit(1)).cast("double").alias("n"))
-        iso = IsotonicRegression(featuresCol="score", labelCol=S.TARGET, weightCol="n", isotonic=True).fit(counts)
-        out = score(m, out, f"raw{f}")
-        out = iso.setFeaturesCol(f"raw{f}").setPredictionCol(f"cal{f}").transform(out)
-    raw = sum([F.col(f"raw{f}") for f in range(1, k)], F.col("raw0")) / k
-    cal = sum([F.col(f"cal{f}") for f in range(1, k)], F.col("cal0")) / k
-    return out.select("respondent_id", S.TARGET, raw.alias("score_raw"), cal.alias("score_calibrated"))
+    out = CalibratedModel.fit(folds, family, params, k).score(test)
+    return out.select("respondent_id", S.TARGET, "score_raw", "score_calibrated")

@@ -254,18 +254,31 @@ def sink_ref_aggregates(spark, sf):
     return IO.read_json_doc(spark, path, doc.schema)
 
 
+def _saved_model(spark, sf):
+    """The calibrated model of the training part, saved with its metadata; its path."""
+    from ..operators import curves as CV
+    from ..operators import models as MD
+    from .ml import BEST, KEPT, _folds, _split
+    model = MD.CalibratedModel.fit(_folds(spark, sf), KEPT, BEST[KEPT])
+    _, test = _split(spark, sf)
+    scored = model.score(test)
+    picked = CV.pick_threshold(scored, "score_calibrated", S.TARGET, S.TARGET_RECALL).first()
+    model.metadata |= {"threshold": picked["threshold"], "recall": picked["recall"], "precision": picked["precision"],
+                       "metrics": MD.metrics(scored, "score_calibrated", threshold=picked["threshold"]).first().asDict()}
+    path = _tmp(spark, "model")
+    model.save(spark, path)
+    return path
+
+
 @q("sink_model")
 def sink_model(spark, sf):
-    """Persist the fitted pipeline, load it back (src_model) and score with the loaded copy."""
-    from pyspark.ml import PipelineModel
+    """The calibrated model and its metadata saved, loaded back (src_model) and used to score the test part."""
     from ..operators import models as MD
-    from .ml import BEST, _split
-    train, test = _split(spark, sf)
-    m = MD.fit(train, "logreg", BEST["logreg"])
-    path = _tmp(spark, "model")
-    m.write().overwrite().save(path)
-    loaded = PipelineModel.load(path)
-    return MD.score(loaded, test).select("respondent_id", "score")
+    from .ml import _split
+    loaded = MD.CalibratedModel.load(spark, _saved_model(spark, sf))
+    _, test = _split(spark, sf)
+    out = loaded.score(test).select("respondent_id", "score_raw", "score_calibrated")
+    return out.withColumns({"family": F.lit(loaded.metadata["family"]), "threshold": F.lit(loaded.metadata["threshold"])})
 
 
 @q("src_ref_parquet", ctes() + f"SELECT age_group, sex, CAST(COUNT(*) AS BIGINT) AS n, ROUND(AVG({C.scorecard_risk_sql()}), 12) AS mean_risk "
@@ -293,35 +306,41 @@ def src_ref_json(spark, sf):
 
 @q("src_model")
 def src_model(spark, sf):
-    """Load a saved pipeline and score the whole table with it."""
-    from pyspark.ml import PipelineModel
+    """A saved calibrated model loaded and the whole table scored with it, flagged at its own threshold."""
     from ..operators import models as MD
-    from .ml import BEST, _split
-    train, _ = _split(spark, sf)
-    path = _tmp(spark, "model_src")
-    MD.fit(train, "tree", BEST["tree"]).write().overwrite().save(path)
-    loaded = PipelineModel.load(path)
-    return MD.score(loaded, survey_base(spark, sf).select("respondent_id", *S.FEATURES), "risk").select("respondent_id", "risk")
+    loaded = MD.CalibratedModel.load(spark, _saved_model(spark, sf))
+    rows = loaded.score(survey_base(spark, sf).select("respondent_id", *S.FEATURES))
+    return rows.select("respondent_id", F.col("score_calibrated").alias("risk"),
+                       (F.col("score_calibrated") >= loaded.metadata["threshold"]).cast("int").alias("signale"))
 
 
 @q("ml_results")
 def ml_results(spark, sf):
-    """Nested results document (test metrics, confusion, irreducible error, baseline) written as JSON and read back."""
+    """Nested results document of the kept, calibrated model (test metrics, threshold, confusion, class report, fit gap,
+    calibration, irreducible error, baseline, importance) written as JSON and read back."""
     from ..operators import curves as CV
     from ..operators import duplicates as D
     from ..operators import models as MD
-    from .ml import BEST, _split
-    train, test = _split(spark, sf)
-    m = MD.fit(train, "logreg", BEST["logreg"])
-    sc = MD.score(m, test)
-    th = CV.pick_threshold(sc, "score", S.TARGET, S.TARGET_RECALL)
-    conf = CV.threshold_metrics(sc.crossJoin(F.broadcast(th.select(F.col("threshold").alias("_t")))), "score", S.TARGET, F.col("_t"))
-    met = MD.metrics(sc)
-    irr = D.irreducible(survey_base(spark, sf))
-    base_acc = survey_base(spark, sf).agg((1 - F.avg(S.TARGET)).alias("majority_accuracy"))
-    doc = (met.select(F.struct("*").alias("test")).crossJoin(th.select(F.struct("*").alias("threshold")))
-           .crossJoin(conf.select(F.struct("*").alias("confusion"))).crossJoin(irr.select(F.struct("*").alias("irreducible_error")))
-           .crossJoin(base_acc.select(F.struct("*").alias("baseline"))).withColumn("model", F.lit("logreg")))
+    from .ml import BEST, KEPT, _folds, _split, fit_gap_rows, fold_scores, shift_of
+    folds = _folds(spark, sf)
+    _, test = _split(spark, sf)
+    model = MD.CalibratedModel.fit(folds, KEPT, BEST[KEPT])
+    sc = model.score(test).cache()
+    th = CV.pick_threshold(sc, "score_calibrated", S.TARGET, S.TARGET_RECALL)
+    cut = th.first()["threshold"]
+    conf = CV.threshold_metrics(sc, "score_calibrated", S.TARGET, float(cut))
+    gap = spark.createDataFrame(fit_gap_rows([fold_scores(folds, KEPT, BEST[KEPT], 0)]), "metric string, train double, validation double, gap double, gap_pct double")
+    base = survey_base(spark, sf)
+    listed = lambda df, name: df.agg(F.sort_array(F.collect_list(F.struct(*df.columns))).alias(name))
+    one = lambda df, name: df.select(F.struct("*").alias(name))
+    doc = one(MD.metrics(sc, "score_calibrated", threshold=float(cut)), "test")
+    for part in (one(th, "threshold"), one(conf, "confusion"), listed(CV.class_report(conf), "class_report"), listed(gap, "fit_gap_first_fold"),
+                 one(shift_of(sc), "calibration"), listed(CV.reliability(sc, "score_calibrated", S.TARGET), "reliability"),
+                 one(D.irreducible(base), "irreducible_error"),
+                 one(base.agg((1 - F.avg(S.TARGET)).alias("majority_accuracy"), (F.avg(S.TARGET) * 100).alias("real_rate_pct")), "baseline")):
+        doc = doc.crossJoin(part)  # every part is one row
+    doc = doc.withColumns({"model": F.lit(KEPT), "params": F.lit(str(BEST[KEPT])), "features": F.array(*[F.lit(c) for c in S.FEATURES])})
     path = _tmp(spark, "results_json")
     IO.write_json_doc(doc, path)
+    sc.unpersist()
     return IO.read_json_doc(spark, path, doc.schema)

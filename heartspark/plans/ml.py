@@ -14,6 +14,7 @@ from ..operators import logistic as LG
 from ..operators import models as MD
 from ..operators import neighbours as NB
 from ..operators import sampling as SP
+from ..operators import scoring as SC
 from ..sources.tables import survey_base
 from .common import Registry
 from .sqlbase import ctes
@@ -29,6 +30,8 @@ BEST = {
     "boosting": {"n_estimators": 300, "learning_rate": 0.05, "max_depth": 3},
     "svm": {"C": 1.0},
 }
+# The family that the grids keep, which diagnostics and the saved model use.
+KEPT = "boosting"
 LOGREG_GRID = [{"C": c} for c in (0.001, 0.01, 0.1, 1, 10)]
 TREE_GRID = [{"max_depth": d, "min_samples_leaf": m} for d in (3, 5, 7, 10) for m in (20, 100)]
 KNN_GRID = [{"n_neighbors": k, "weights": w} for k in (15, 25, 50) for w in ("uniform", "distance")]
@@ -283,23 +286,62 @@ def ml_validation_curve(spark, sf):
 
 @q("ml_calibrate")
 def ml_calibrate(spark, sf):
-    """Isotonic calibration, 5 folds averaged: test rows with raw and calibrated scores."""
-    folds = _folds(spark, sf)
+    """Isotonic calibration of the kept family, 5 folds averaged: test rows with raw and calibrated scores."""
     _, test = _split(spark, sf)
-    return MD.isotonic_calibrated(folds, test, "logreg", BEST["logreg"])
+    return MD.isotonic_calibrated(_folds(spark, sf), test, KEPT, BEST[KEPT])
+
+
+def shift_of(scored):
+    """ROC-AUC, PR-AUC and mean probability before and after calibration, and the real rate, of rows with both scores."""
+    before = MD.metrics(scored, "score_raw").select(F.col("roc_auc").alias("roc_auc_before"), F.col("pr_auc").alias("pr_auc_before"))
+    after = MD.metrics(scored, "score_calibrated").select(F.col("roc_auc").alias("roc_auc_after"), F.col("pr_auc").alias("pr_auc_after"))
+    means = scored.agg((F.avg("score_raw") * 100).alias("mean_before_pct"), (F.avg("score_calibrated") * 100).alias("mean_after_pct"),
+                       (F.avg(S.TARGET) * 100).alias("real_rate_pct"))
+    return before.crossJoin(after).crossJoin(means)
 
 
 @q("ml_calibration_shift")
 def ml_calibration_shift(spark, sf):
-    """ROC-AUC, PR-AUC and mean probability before and after calibration, and the real rate."""
-    folds = _folds(spark, sf)
+    """What calibration does to the kept family's test scores."""
     _, test = _split(spark, sf)
-    c = MD.isotonic_calibrated(folds, test, "logreg", BEST["logreg"]).cache()
-    before = MD.metrics(c, "score_raw").select(F.col("roc_auc").alias("roc_auc_before"), F.col("pr_auc").alias("pr_auc_before"))
-    after = MD.metrics(c, "score_calibrated").select(F.col("roc_auc").alias("roc_auc_after"), F.col("pr_auc").alias("pr_auc_after"))
-    means = c.agg((F.avg("score_raw") * 100).alias("mean_before_pct"), (F.avg("score_calibrated") * 100).alias("mean_after_pct"),
-                  (F.avg(S.TARGET) * 100).alias("real_rate_pct"))
-    return before.crossJoin(after).crossJoin(means)
+    return shift_of(MD.materialize(MD.isotonic_calibrated(_folds(spark, sf), test, KEPT, BEST[KEPT])))
+
+
+def _auc_sql(score):
+    n = f"(SELECT {score} AS s, CAST(SUM(heart_disease) AS DOUBLE) AS p, CAST(SUM(1 - heart_disease) AS DOUBLE) AS n FROM given GROUP BY 1)"
+    c = f"(SELECT s, p, n, SUM(p) OVER (ORDER BY s DESC) AS tp, SUM(n) OVER (ORDER BY s DESC) AS fp, SUM(p) OVER () AS pp, SUM(n) OVER () AS nn FROM {n} x)"
+    return f"(SELECT ROUND(SUM(n * (tp - p * 0.5)) / (MAX(pp) * MAX(nn)), 9) FROM {c} y)", f"(SELECT ROUND(SUM(p / pp * (tp / (tp + fp))), 9) FROM {c} y)"
+
+
+_RAW, _CAL = _auc_sql("score_raw"), _auc_sql("score_calibrated")
+
+
+@q("ml_calibration_shift_given", ctes("given AS (SELECT heart_disease, CAST(risk_factor_count AS DOUBLE) / 8 AS score_raw, "
+   "CAST(CAST(risk_factor_count / 2 AS INTEGER) AS DOUBLE) / 10 AS score_calibrated FROM base)") + f"SELECT {_RAW[0]} AS roc_auc_before, {_RAW[1]} AS pr_auc_before, "
+   f"{_CAL[0]} AS roc_auc_after, {_CAL[1]} AS pr_auc_after, ROUND(AVG(score_raw) * 100, 9) AS mean_before_pct, ROUND(AVG(score_calibrated) * 100, 9) AS mean_after_pct, "
+   "AVG(heart_disease) * 100 AS real_rate_pct FROM given")
+def ml_calibration_shift_given(spark, sf):
+    """The same figures on given scores (risk factors, and the same in steps)."""
+    r = F.col("risk_factor_count")
+    given = survey_base(spark, sf).select(S.TARGET, (r.cast("double") / 8).alias("score_raw"), (F.round(r / 2).cast("int").cast("double") / 10).alias("score_calibrated"))
+    return shift_of(given).withColumns({c: F.round(c, 9) for c in ("mean_before_pct", "mean_after_pct")})
+
+
+@q("sc_scenarios_model")
+def sc_scenarios_model(spark, sf):
+    """The what-if scenarios rescored by a fitted tree, whose splits use all the features that scenarios change."""
+    train, _ = _split(spark, sf)
+    m = MD.fit(train, "tree", BEST["tree"])
+    rows = MD.score(m, survey_base(spark, sf).select("respondent_id", *S.FEATURES), "risk")
+    return SC.scenarios(rows, SC.model_variant(m), "risk")
+
+
+@q("sc_position_model")
+def sc_position_model(spark, sf):
+    """Peer positions on a fitted model's score."""
+    train, _ = _split(spark, sf)
+    m = MD.fit(train, "logreg", BEST["logreg"])
+    return SC.peer_position(MD.score(m, survey_base(spark, sf).select("respondent_id", *S.FEATURES), "risk"), "risk")
 
 
 @q("sc_score_model")

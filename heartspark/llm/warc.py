@@ -129,7 +129,9 @@ def resolve(records: DataFrame, stretches: int = STRETCHES) -> DataFrame:
     # A record id that is there twice would double its revisits: the first in order counts.
     responses = responses.groupBy("target_id").agg(F.min(F.struct(F.to_json("stored").alias("stored"), "stored_digest")).alias("x")).select(
         "target_id", F.from_json("x.stored", "map<string,string>").alias("stored"), c("x.stored_digest").alias("stored_digest"))
-    both = revisits.join(responses, "target_id", "left")
+    # Revisits without a target don't take part in the join, where they would all have the same key.
+    both = revisits.where("target_id is not null").join(responses, "target_id", "left").unionByName(
+        revisits.where("target_id is null"), allowMissingColumns=True)
     mine, theirs = (lambda k: c("headers")[k]), (lambda k: c("stored")[k])
     verdict = (F.when(c("target_id").isNull(), "missing")
                .when(mine("etag").isNotNull() & theirs("etag").isNotNull(), F.when(_weak(mine("etag")) == _weak(theirs("etag")), "resolved").otherwise("mismatch"))

@@ -82,12 +82,13 @@ some_class AS ({chars}),
 class AS (SELECT row, k, n FROM some_class UNION ALL
   SELECT d.row, {len(classes)}, length(x) - coalesce(s.n, 0) FROM d LEFT JOIN (SELECT row, sum(n) AS n FROM some_class GROUP BY row) s USING (row)),
 bins AS (SELECT v FROM (VALUES {listed}) listed(v)),
+letters AS (SELECT row, len([v FOR v IN regexp_split_to_array(lower(x), '[^\p{{L}}]+') IF v <> '']) AS n FROM d),
 said AS (SELECT row, v, count(*) AS n FROM (SELECT row, unnest(regexp_split_to_array(lower(x), '[^\p{{L}}]+')) AS v FROM d) JOIN bins USING (v) GROUP BY row, v),
 common AS (SELECT row, v, coalesce(n, 0) AS n FROM d CROSS JOIN bins LEFT JOIN said USING (row, v) UNION ALL
-  SELECT b.row, '', greatest(0, b.n_words - coalesce(s.n, 0)) FROM base b LEFT JOIN (SELECT row, sum(n) AS n FROM said GROUP BY row) s USING (row)),
+  SELECT l.row, '', l.n - coalesce(s.n, 0) FROM letters l LEFT JOIN (SELECT row, sum(n) AS n FROM said GROUP BY row) s USING (row)),
 hist AS (SELECT row, 'char' AS h, k::VARCHAR AS bin, n::DOUBLE / greatest(1, sum(n) OVER (PARTITION BY row)) AS p FROM class UNION ALL
   SELECT row, 'word', v, n::DOUBLE / greatest(1, sum(n) OVER (PARTITION BY row)) FROM common),
-one AS (SELECT min(row) AS row, lang FROM base WHERE n_words >= 50 AND lang IN ({langs}) GROUP BY lang, x),
+one AS (SELECT min(row) AS row, lang FROM base JOIN letters USING (row) WHERE n >= 50 AND lang IN ({langs}) GROUP BY lang, x),
 shape AS (SELECT row, h, bin, p, lang AS rl FROM hist JOIN one USING (row)),
 mean1 AS (SELECT rl, h, bin, avg(p) AS q FROM shape GROUP BY rl, h, bin),
 near AS (SELECT row FROM shape JOIN mean1 USING (rl, h, bin) WHERE h = 'char' GROUP BY row HAVING sqrt(greatest(0.0, sum(
@@ -99,9 +100,9 @@ dist AS (SELECT row, rl, h, sqrt(greatest(0.0, sum(
   FROM hist JOIN ref USING (h, bin) GROUP BY row, rl, h),
 two AS (SELECT row, rl, max(js) FILTER (WHERE h = 'char') AS c, max(js) FILTER (WHERE h = 'word') - 1.8 / sqrt(greatest(1, any_value(n_words))) AS w
   FROM dist JOIN base USING (row) GROUP BY row, rl),
-nearest AS (SELECT row, min(greatest(c - 0.21, w - 0.32, least(c - 0.165, w - 0.10))) AS excess FROM two GROUP BY row),
+nearest AS (SELECT row, min(greatest(c - 0.21, w - 0.32, least(c - 0.165, w - 0.10))) AS excess FROM two JOIN base USING (row) WHERE lang IS NULL OR lang = rl GROUP BY row),
 judged AS (SELECT b.*, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-  coalesce(excess > 0, false) AND n_words >= 50 AND (lang IS NULL OR lang IN (SELECT rl FROM ref)) AS apart
+  coalesce(excess > 0, false) AND n_words >= 50 AS apart
   FROM base b LEFT JOIN nearest USING (row))
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,
   n_repeat_words::BIGINT AS n_repeat_words, base_failed, NOT base_failed AND NOT apart AS kept FROM judged

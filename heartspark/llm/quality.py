@@ -2,8 +2,8 @@
 
 Plain counts reject very short and very repetitive texts. For the rest, two histograms of each
 text, one over character classes and one over common words, are compared with the references of
-each language by the Jensen-Shannon distance (base 2, from 0 to 1). A text is rejected if, for
-every language, one of the distances is beyond its limit or both are beyond lower limits.
+each language by the Jensen-Shannon distance (base 2, from 0 to 1). A text is rejected if one of the
+distances from its language is beyond its limit or both are beyond lower limits.
 
 The references are means over all different texts of a language with enough words, taken again
 without those that are far from the first means. The common words of a short text scatter by chance, roughly as one over the square root of its words; so
@@ -12,18 +12,19 @@ their limit widens by that much, and neither histogram is judged below a number
 Results by definition: null and empty texts have no words and fail the plain rules; texts of any
 length are counted whole; texts whose language is given but has no reference are judged by the
 plain rules alone, and so are all texts where there is no reference; texts without a language are
-compared with all references; copies count once in the references; each row has a result row;
+compared with all references and rejected if none is near; copies count once in the references; each row has a result row;
 an empty table gives an empty result; further columns of the input are left out.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import log2
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .rows import cut, let, pick, text_or_empty
+from .rows import col, cut, let, pick, text_or_empty
 
 WORD_GAP = r"[\x20\x09-\x0D]+"
 
@@ -51,8 +52,13 @@ class Limits:
     word_scatter: float = 1.8  # times 1 / sqrt(words), added to limits of the word distance
 
 
+def split_at(text: Column, other: str) -> Column:
+    """Words between blanks, after what ``other`` matches has become blanks. (Splitting at one character needs no regular expression.)"""
+    return F.array_remove(F.split(F.regexp_replace(text, other, " "), " "), "")
+
+
 def words_of(text: Column) -> Column:
-    return F.filter(F.split(text, WORD_GAP), lambda w: w != "")
+    return split_at(text, r"[\x09-\x0D]+")
 
 
 def n_repeat_words(words: Column) -> Column:
@@ -79,17 +85,17 @@ def n_repeat_words(words: Column) -> Column:
 
     def by_hash(w: Column, starts: Column) -> Column:
         key = lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).bitwiseAND(F.lit(-1 << bits)).bitwiseOR(i.cast("long"))
-        top = lambda x: F.shiftright(x, bits)
         position = lambda x: x.bitwiseAND(F.lit((1 << bits) - 1)).cast("int")
-        near = lambda a, k, x: F.coalesce(top(F.get(a, k)) == top(x), F.lit(False))
 
-        def checked(again: Column) -> Column:
-            clash = F.exists(F.transform(again, lambda x, k: near(again, k - 1, x) & (
-                window(w, position(x)) != window(w, position(F.get(again, k - 1))))), lambda differ: differ)
-            return F.when(clash, by_string(w, starts)).otherwise(covered(F.transform(again, lambda x: position(x).cast("long"))))
+        def checked(a: Column, again: Column) -> Column:
+            """``again``: where in ``a`` a key has the same hash as the one before."""
+            clash = F.exists(again, lambda k: window(w, position(F.get(a, k))) != window(w, position(F.get(a, k - 1))))
+            both = F.array_distinct(F.flatten(F.transform(again, lambda k: F.array(
+                position(F.get(a, k - 1)).cast("long"), position(F.get(a, k)).cast("long")))))
+            return F.when(clash, by_string(w, starts)).otherwise(covered(both))
 
         return let(F.sort_array(F.transform(starts, key)), lambda a: let(
-            F.filter(a, lambda x, k: near(a, k - 1, x) | near(a, k + 1, x)), checked))
+            F.filter(starts, lambda k: F.shiftright(F.get(a, k).bitwiseXOR(F.get(a, k - 1)), bits) == 0), lambda again: checked(a, again)))
 
     n = F.size(words)
     starts = F.sequence(F.lit(0), n - 3)
@@ -104,32 +110,54 @@ def _removed(c: Column, pattern: str) -> Column:
 CLASSES = (r"\p{Lu}+", r"[0-9]+", WORD_GAP, r"[.,;:'\"()-]+", r"[!-/:-@\[-`{-~]+")
 
 
-def histograms(rows: DataFrame) -> DataFrame:
-    """Adds ``chars`` and ``common`` (arrays of counts) and ``text`` 's ``n_words`` to rows with a ``text``."""
-    rows = rows.withColumn("rest", _removed(F.col("text"), "[a-z]+"))
-    left, counts = F.col("rest"), [F.length("text") - F.length("rest")]
-    for pattern in CLASSES:
-        less = _removed(left, pattern)
-        counts.append(F.length(left) - F.length(less))
-        left = less
-    letters = F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda w: w.isin(WORDS))
-    bins = F.lit(WORDS)
-    common = let(letters, lambda c: F.transform(bins, lambda w: F.size(c) - F.size(F.array_remove(c, w))))
-    rows = rows.withColumns({"chars": F.array(*counts, F.length(left)), "common": common, "words": words_of(F.col("text"))})
-    return rows.withColumn("n_words", F.size("words").cast("long")).withColumn("common", F.concat(
-        "common", F.array(F.greatest(F.lit(0), F.col("n_words").cast("int") - F.aggregate("common", F.lit(0), lambda a, n: a + n)))))
+def counts_of(found: Column) -> Column:
+    """How often each of WORDS is in an array, from the runs of the sorted array."""
+    def by_run(ordered: Column) -> Column:
+        n = F.size(ordered)
+        every = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+        starts = F.filter(every, lambda k: ~F.get(ordered, k).eqNullSafe(F.get(ordered, k - 1)))
+        return let(starts, lambda at: let(F.transform(at, lambda k: F.get(ordered, k)), lambda heads: F.transform(
+            F.lit(WORDS), lambda w: let(F.array_position(heads, w).cast("int"), lambda p: F.when(p == 0, F.lit(0)).otherwise(
+                F.coalesce(F.get(at, p), n) - F.get(at, p - 1))))))
+
+    return let(F.sort_array(found), by_run)
+
+
+def char_counts(text: Column) -> Column:
+    """Counts of a-z, of each of CLASSES and of all other characters."""
+    def less(left: Column, counts: list[Column], patterns: tuple[str, ...]) -> Column:
+        if not patterns:
+            return F.array(*counts, F.length(left))
+        return let(_removed(left, patterns[0]), lambda rest: less(rest, [*counts, F.length(left) - F.length(rest)], patterns[1:]))
+
+    return less(text, [], ("[a-z]+", *CLASSES))
+
+
+def word_counts(text: Column) -> Column:
+    """Counts of each of WORDS and of all other words of letters alone."""
+    return let(split_at(F.lower(text), r"[^\p{L} ]+"), lambda x: let(F.filter(x, lambda w: w.isin(WORDS)), lambda found: F.concat(
+        counts_of(found), F.array(F.size(x) - F.size(found)))))
 
 
 def shares(counts: Column) -> Column:
-    return let(F.aggregate(counts, F.lit(0), lambda a, n: a + n), lambda total: F.transform(
-        counts, lambda n: n.cast("double") / F.greatest(total, F.lit(1))))
+    return let(counts, lambda each: let(F.aggregate(each, F.lit(0), lambda a, n: a + n), lambda total: F.transform(
+        each, lambda n: n.cast("double") / F.greatest(total, F.lit(1)))))
+
+
+def _sum(terms: Column) -> Column:
+    return F.aggregate(terms, F.lit(0.0), lambda s, t: s + t)
 
 
-def js_distance(p: Column, q: Column) -> Column:
-    """Jensen-Shannon distance of two histograms of shares."""
-    part = lambda a, m: F.when(a > 0, a * F.log2(a / m)).otherwise(F.lit(0.0))
-    terms = F.zip_with(p, q, lambda a, b: part(a, (a + b) / 2) + part(b, (a + b) / 2))
-    return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(terms, F.lit(0.0), lambda s, t: s + t) / 2))
+def _x_log_x(x: Column) -> Column:
+    """x log2 x, 0 at 0 (where Spark's logarithm is null)."""
+    return F.coalesce(x * F.log2(x), F.lit(0.0))
+
+
+def js_distance(p: Column, q: list[float]) -> Column:
+    """Jensen-Shannon distance of two histograms of shares, from sums of x log x of both and of their sum; 1 if p is empty."""
+    known = sum(x * log2(x) for x in q if x > 0)
+    both = _sum(F.transform(F.zip_with(p, F.lit(q), lambda a, b: a + b), _x_log_x))
+    return F.sqrt(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1 + (_sum(F.transform(p, _x_log_x)) + known - both) / 2)))
 
 
 def _means(rows: DataFrame) -> dict[str, tuple[list[float], list[float]]]:
@@ -148,40 +176,62 @@ def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     comes to the driver is a few hundred numbers.
     """
     rows = pick(docs, lang=lang_col, text=text_col).where(F.col("lang").isin(sorted(COMMON)))
-    rows = histograms(rows.withColumn("text", text_or_empty(F.col("text"))))
-    rows = rows.where(F.col("n_words") >= limits.reference_words)
-    rows = rows.select("lang", F.xxhash64("text").alias("h1"), F.hash("text").alias("h2"), "chars", "common").dropDuplicates(["lang", "h1", "h2"])
+    text = text_or_empty(F.col("text"))
+    rows = rows.select("lang", F.xxhash64(text).alias("h1"), F.hash(text).alias("h2"), char_counts(text).alias("chars"), word_counts(text).alias("common"))
+    rows = rows.dropDuplicates(["lang", "h1", "h2"])
     rows = cut(docs.sparkSession, rows.select("lang", "chars", "common"))
+    rows = rows.where(F.aggregate("common", F.lit(0), lambda a, n: a + n) >= limits.reference_words)
     rows = rows.select("lang", shares(F.col("chars")).alias("char_shares"), shares(F.col("common")).alias("word_shares"))
     first = _means(rows)
     near = F.lit(False)
     for lang, (chars, _) in first.items():
-        near = near | ((F.col("lang") == lang) & (js_distance(F.col("char_shares"), F.lit(chars)) <= limits.reference_distance))
+        near = near | ((F.col("lang") == lang) & (js_distance(F.col("char_shares"), chars) <= limits.reference_distance))
     return first | _means(rows.where(near))
 
 
-def measure(docs: DataFrame, refs: dict[str, tuple[list[float], list[float]]], limits: Limits = Limits()) -> DataFrame:
-    """Adds to rows with ``text`` and ``lang`` the base columns, the distances of the nearest language and ``kept``."""
-    rows = histograms(docs.withColumn("text", text_or_empty(F.col("text"))))
-    line = r"[^\x20\x09-\x0D]"
-    lines = F.filter(F.split("text", "\n", -1), lambda x: x.rlike(line))
-    rows = rows.withColumns({
-        "word_chars": F.length(F.array_join("words", "")).cast("long"),
-        "n_symbols": (F.length("text") - F.length(F.translate("text", "#*$%&|<>", ""))).cast("long"),
-        "n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
-        "n_repeat_words": n_repeat_words(F.col("words")), "char_shares": shares(F.col("chars")), "word_shares": shares(F.col("common"))})
-    rows = rows.withColumn("base_failed", (F.col("n_words") < limits.least_words)
-                           | (100 * F.col("n_repeat_words") > limits.repeat_percent * F.col("n_words")))
-    known = F.col("lang").isNull() | F.col("lang").isin(sorted(refs))
-    scatter = limits.word_scatter / F.sqrt(F.greatest(F.col("n_words"), F.lit(1)).cast("double"))
-    # Over its limit by so much, for the language where that is least.
+def plain_counts(text: Column) -> Column:
+    """The base columns as a struct."""
+    lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    return let(words_of(text), lambda words: F.struct(
+        F.size(words).cast("long").alias("n_words"), F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
+        (F.length(text) - F.length(F.translate(text, "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
+        let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
+        n_repeat_words(words).alias("n_repeat_words")))
+
+
+def excess_of(text: Column, lang: Column, n_words: Column, refs: dict[str, tuple[list[float], list[float]]], limits: Limits) -> Column:
+    """By how much the distances are over their limits, for the text's language or, without one, for the
+    language where that is least; null if there is no reference."""
+    scatter = limits.word_scatter / F.sqrt(F.greatest(n_words, F.lit(1)).cast("double"))
+
     def over(c: Column, w: Column) -> Column:
-        return F.greatest(c - limits.char_distance, w - limits.word_distance, F.least(c - limits.both_char, w - limits.both_word))
+        return let(F.struct(c.alias("c"), w.alias("w")), lambda d: F.greatest(
+            d["c"] - limits.char_distance, d["w"] - limits.word_distance, F.least(d["c"] - limits.both_char, d["w"] - limits.both_word)))
+
+    def of(c: Column, w: Column) -> Column:
+        each = {k: over(js_distance(c, rc), js_distance(w, rw) - scatter) for k, (rc, rw) in refs.items()}
+        own = F.when(lang.isNull(), F.array_min(F.array(*each.values())))
+        for k, excess in each.items():
+            own = own.when(lang == k, excess)
+        return own
+
+    if not refs:
+        return F.lit(None).cast("double")
+    return let(shares(char_counts(text)), lambda c: let(shares(word_counts(text)), lambda w: of(c, w)))
+
+
+def verdict(text: Column, lang: Column, refs: dict[str, tuple[list[float], list[float]]], limits: Limits = Limits()) -> Column:
+    """The base columns, ``base_failed``, ``kept`` and ``excess`` as a struct: one expression, in which nothing is computed twice."""
+    text = text_or_empty(text)
+
+    def judged(n: Column) -> Column:
+        failed = (n["n_words"] < limits.least_words) | (100 * n["n_repeat_words"] > limits.repeat_percent * n["n_words"])
+        return let(F.struct(failed.alias("failed"), excess_of(text, lang, n["n_words"], refs, limits).alias("excess")), lambda v: F.struct(
+            *[n[k].alias(k) for k in OUT[:5]], v["failed"].alias("base_failed"),
+            (~v["failed"] & ~F.coalesce((v["excess"] > 0) & (n["n_words"] >= limits.judged_words), F.lit(False))).alias("kept"),
+            v["excess"].alias("excess")))
 
-    excess = [over(js_distance(F.col("char_shares"), F.lit(c)), js_distance(F.col("word_shares"), F.lit(w)) - scatter) for c, w in refs.values()]
-    rows = rows.withColumn("excess", F.array_min(F.array(*excess)) if excess else F.lit(None).cast("double"))
-    apart = F.coalesce((F.col("excess") > 0) & known & (F.col("n_words") >= limits.judged_words), F.lit(False))
-    return rows.withColumn("kept", ~F.col("base_failed") & ~apart)
+    return let(plain_counts(text), judged)
 
 
 OUT = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "excess")
@@ -190,13 +240,12 @@ OUT = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "b
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", limits: Limits = Limits()) -> DataFrame:
     """(id, counts, base_failed, kept, excess) of each row: one pass for the references, one for the verdicts; texts aren't shuffled."""
     refs = references(docs, text_col, lang_col, limits)
-    rows = measure(pick(docs, id=id_col, lang=lang_col, text=text_col), refs, limits)
-    return rows.select(F.col("id").alias(id_col), *OUT)
+    rows = pick(docs, id=id_col, lang=lang_col, text=text_col)
+    rows = rows.select("id", verdict(F.col("text"), F.col("lang"), refs, limits).alias("v"))
+    return rows.select(F.col("id").alias(id_col), *[F.col("v")[k].alias(k) for k in OUT])
 
 
 def keep(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", limits: Limits = Limits()) -> DataFrame:
     """The kept rows of ``docs``, with their own columns."""
     refs = references(docs, text_col, lang_col, limits)
-    whole = docs.select(F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]).alias("row"))
-    rows = whole.select("row", F.col("row")[lang_col].alias("lang"), F.col("row")[text_col].alias("text"))
-    return measure(rows, refs, limits).where("kept").select("row.*")
+    return docs.where(verdict(col(text_col), col(lang_col), refs, limits)["kept"])

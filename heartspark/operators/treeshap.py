@@ -28,6 +28,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ship_package
+
 
 def _tree_nodes(java_root):
     """Flatten a Spark tree: list of dicts (feature, threshold, left, right, cover, value)."""
@@ -123,6 +125,7 @@ def contributions(pipeline_model, df: DataFrame, feature_names: list[str], id_co
     spark = df.sparkSession
     gbt = pipeline_model.stages[-1]
     trees, base = explain_gbt(gbt)
+    ship_package(spark)
     bc = spark.sparkContext.broadcast(trees)
     names = list(feature_names)
     prep = pipeline_model.stages[:-1]

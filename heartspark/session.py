@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -76,3 +77,21 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """A reliable checkpoint in the cluster's checkpoint folder: computed once, read by everything after it."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package's modules to the executors (once per session), as ``--py-files`` does: functions that
+    run in Python workers import them there, wherever the driver has the package from."""
+    sc = spark.sparkContext
+    if getattr(sc, "_heartspark_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="heartspark-py-"), "heartspark.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.join("heartspark", os.path.relpath(full, root)))
+    sc.addPyFile(path)
+    sc._heartspark_shipped = True

@@ -26,6 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ship_package
 from .rows import map_texts, pick
 from .token_count import KEPT_PRETOKENS
 
@@ -179,6 +180,7 @@ def decode(df: DataFrame, tiktoken_file: bytes, id_col: str = "doc_id", ids_col:
             out = [b"".join(map(token.__getitem__, ids or ())) for ids in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["id", "decoded"])
 
+    ship_package(df.sparkSession)
     source = pick(df, id=id_col, ids=ids_col)
     kind = source.schema["id"].dataType.simpleString()
     return source.mapInArrow(run, f"id {kind}, decoded binary").withColumnRenamed("id", id_col)

@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ship_package
 from .rows import pick
 
 #: Code points looked at together; longer texts are cut into such pieces, which overlap by an n-gram.
@@ -172,6 +173,7 @@ def count_grams(rows: DataFrame) -> DataFrame:
         for lang, (h, n) in held.items():
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(h), pa.string()), pa.array(h.view(np.int64)), pa.array(n)], names=["lang", "h", "n"])
 
+    ship_package(rows.sparkSession)
     return rows.mapInArrow(run, "lang string, h bigint, n bigint").groupBy("lang", "h").agg(F.sum("n").alias("n"))
 
 
@@ -216,6 +218,7 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", part:
 
 def predict(df: DataFrame, learned: Filter, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, lang_pred, score) of each row. The filter, some MB at most, goes to each executor once."""
+    ship_package(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(learned)
 
     def run(batches):

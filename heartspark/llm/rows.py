@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, ship_package
 
 
 def col(name: str) -> Column:
@@ -47,6 +47,7 @@ def map_texts(df: DataFrame, fields: list[tuple[str, str, pa.DataType]], make: C
     null texts are passed as ''. The text itself isn't returned. Rows are taken and given back
     one Arrow batch at a time, so a task holds one batch and what ``make`` keeps.
     """
+    ship_package(df.sparkSession)
     keep = df.columns[:-1]
     kinds = [pa.field(name, kind) for name, _, kind in fields]
 

@@ -317,13 +317,13 @@ _RAW, _CAL = _auc_sql("score_raw"), _auc_sql("score_calibrated")
 
 
 @q("ml_calibration_shift_given", ctes("given AS (SELECT heart_disease, CAST(risk_factor_count AS DOUBLE) / 8 AS score_raw, "
-   "CAST(CAST(risk_factor_count / 2 AS INTEGER) AS DOUBLE) / 10 AS score_calibrated FROM base)") + f"SELECT {_RAW[0]} AS roc_auc_before, {_RAW[1]} AS pr_auc_before, "
+   "CAST(FLOOR(risk_factor_count / 2) AS DOUBLE) / 10 AS score_calibrated FROM base)") + f"SELECT {_RAW[0]} AS roc_auc_before, {_RAW[1]} AS pr_auc_before, "
    f"{_CAL[0]} AS roc_auc_after, {_CAL[1]} AS pr_auc_after, ROUND(AVG(score_raw) * 100, 9) AS mean_before_pct, ROUND(AVG(score_calibrated) * 100, 9) AS mean_after_pct, "
    "AVG(heart_disease) * 100 AS real_rate_pct FROM given")
 def ml_calibration_shift_given(spark, sf):
     """The same figures on given scores (risk factors, and the same in steps)."""
     r = F.col("risk_factor_count")
-    given = survey_base(spark, sf).select(S.TARGET, (r.cast("double") / 8).alias("score_raw"), (F.round(r / 2).cast("int").cast("double") / 10).alias("score_calibrated"))
+    given = survey_base(spark, sf).select(S.TARGET, (r.cast("double") / 8).alias("score_raw"), (F.floor(r / 2).cast("double") / 10).alias("score_calibrated"))
     return shift_of(given).withColumns({c: F.round(c, 9) for c in ("mean_before_pct", "mean_after_pct")})
 
 

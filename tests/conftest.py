@@ -21,6 +21,6 @@ def spark():
 def duck():
     import duckdb
     con = duckdb.connect()
-    for t in ["orders", "conversations", "documents", "labels"]:
+    for t in ["orders", "conversations", "documents", "labels", "pages", "benchmark"]:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF0001}/{t}.parquet')")
     return con

@@ -85,20 +85,15 @@ def encode_pretoken(symbols: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
     return tuple(ids)
 
 
-class Encoded(dict):
-    """By pre-token: its ids, the ids as decimals joined by a space, the bytes that the ids decode to."""
+class Kept(dict):
+    """What ``make`` gives for each pre-token, computed when first asked for and kept up to a bound."""
 
-    def __init__(self, ranks: dict[bytes, int]):
+    def __init__(self, make):
         super().__init__()
-        self.ranks = ranks
-        self.token = {rank: token for token, rank in ranks.items()}
+        self.make = make
 
-    def decode(self, ids) -> bytes:
-        return b"".join(map(self.token.__getitem__, ids))
-
-    def __missing__(self, pretoken: str) -> tuple[tuple[int, ...], str, bytes]:
-        ids = encode_pretoken(pretoken.encode(), self.ranks)
-        out = ids, " ".join(map(str, ids)), self.decode(ids)
+    def __missing__(self, pretoken: str):
+        out = self.make(pretoken)
         if len(pretoken) <= 64:
             if len(self) >= KEPT_PRETOKENS:
                 self.clear()
@@ -109,32 +104,45 @@ class Encoded(dict):
 class Codec:
     """Encodes texts and decodes ids by one rank file.
 
-    Decoding joins the bytes of the ids one after the other, so what the ids of a pre-token decode
-    to is looked up together with them.
+    Decoding joins the bytes of the ids one after the other, so for digests what the ids of a
+    pre-token decode to is kept together with them.
     """
 
     def __init__(self, tiktoken_file: bytes, pattern: str):
-        self.encoded = Encoded(read_ranks(tiktoken_file))
+        ranks = read_ranks(tiktoken_file)
+        self.token = {rank: token for token, rank in ranks.items()}
         self.pretokens = regex.compile(pattern).findall
+        self.ids = Kept(lambda pretoken: encode_pretoken(pretoken.encode(), ranks))
 
-    def entries(self, text: str) -> list[tuple[tuple[int, ...], str, bytes]]:
-        return [*map(self.encoded.__getitem__, self.pretokens(text))]
+        def said(pretoken: str) -> tuple[str, bytes]:
+            """The ids as decimals joined by a space, and the bytes that they decode to."""
+            ids = encode_pretoken(pretoken.encode(), ranks)
+            return " ".join(map(str, ids)), self.decode(ids)
+
+        self.said = Kept(said)
+
+    def release(self) -> None:
+        """Gives the ids kept for a task's texts back, as other work may follow in the same Python worker."""
+        self.ids.clear()
 
     def encode(self, text: str) -> list[int]:
-        return [*chain.from_iterable(map(itemgetter(0), self.entries(text)))]
+        return [*chain.from_iterable(map(self.ids.__getitem__, self.pretokens(text)))]
+
+    def decode(self, ids) -> bytes:
+        return b"".join(map(self.token.__getitem__, ids))
 
     def digests(self, text: str) -> tuple[int, str, str]:
         """Number of ids, digest of the ids, digest of the bytes that they decode to."""
-        entries = self.entries(text)
-        ids = " ".join(map(itemgetter(1), entries))
-        decoded = b"".join(map(itemgetter(2), entries))
+        said = [*map(self.said.__getitem__, self.pretokens(text))]
+        ids = " ".join(map(itemgetter(0), said))
+        decoded = b"".join(map(itemgetter(1), said))
         return (ids.count(" ") + 1 if ids else 0, hashlib.sha256(ids.encode()).hexdigest(),
                 hashlib.sha256(decoded).hexdigest())
 
     def round_trip(self, text: str) -> tuple[list[int], int, bool]:
         """Ids, their number, whether they decode to the text."""
         ids = self.encode(text)
-        return ids, len(ids), self.encoded.decode(ids) == text.encode()
+        return ids, len(ids), self.decode(ids) == text.encode()
 
 
 _CODECS: dict[int, Codec] = {}

@@ -45,7 +45,8 @@ def map_texts(df: DataFrame, fields: list[tuple[str, str, pa.DataType]], make: C
 
     ``make()`` runs once per task and returns a function from a text to a tuple of values;
     null texts are passed as ''. The text itself isn't returned. Rows are taken and given back
-    one Arrow batch at a time, so a task holds one batch and what ``make`` keeps.
+    one Arrow batch at a time, so a task holds one batch and what ``make`` keeps; if that has a
+    ``release``, it is called at the end of the task.
     """
     ship_package(df.sparkSession)
     keep = df.columns[:-1]
@@ -59,6 +60,7 @@ def map_texts(df: DataFrame, fields: list[tuple[str, str, pa.DataType]], make: C
             cols = [pa.array([r[i] for r in rows], f.type) for i, f in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(i) for i in range(n)] + cols, names=[*keep, *[f.name for f in kinds]])
+        getattr(getattr(one, "__self__", None), "release", lambda: None)()
 
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields[:-1]]
                        + [f"`{name}` {kind}" for name, kind, _ in fields])

@@ -292,7 +292,7 @@ def test_pipeline(spark):
     assert set(got) == kept
     secret = re.compile("|".join(r.pattern.replace("(?i:", "(?:") for r in secrets.RULES))
     for i, r in got.items():
-        text = codec.encoded.decode(r.ids).decode()
+        text = codec.decode(r.ids).decode()
         assert r.exact and r.n_tokens == len(r.ids)
         if "[REDACTED]" not in text:
             assert text == rows[i].text

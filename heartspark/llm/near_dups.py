@@ -10,12 +10,14 @@ Points are made in order of time and a process ends once it has passed the lates
 that about m log m points and one for each shingle are made, whatever the counts.
 
 Signatures are cut into bands; documents that agree in a band share a bucket. In each bucket a
-pivot is compared with all others, by the exact overlap of the multisets; documents found
-similar form classes, and classes of a bucket that have had no pivot give the next ones, until
-every class in every bucket has had one. So a link is found if one of its documents is a pivot
-in a shared bucket or alone in its class there; the pivot of a class is the document with the most
-neighbours in all buckets, which is the original rather than one of its copies. No group's pairs are
-listed: each round has at most PIVOTS pairs per row of a bucket.
+pivot is compared with all others, by the exact overlap of the multisets, and documents found
+similar form classes. The pivot is the document with the most neighbours in all buckets, which is
+the original rather than one of its copies. In buckets that then hold several classes, what two
+documents share lies in the pivot and in shingles that many have beyond it, bounded by the smaller of
+their overlaps with those, or among rare shingles, where a join counts it exactly. Pairs of
+different classes that this bound allows are compared in full. So no pair of a bucket that can be
+similar is left out, and pairs of a group of copies aren't listed: copies are similar to the
+original, and those that aren't share little beyond it.
 
 Documents with the same multiset are copies; one stands for all of them.
 
@@ -30,19 +32,22 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (pa.compute)
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship_package
 from .decontaminate import tokens
 from .rows import col, col_of, cut, pick
 
 WIDTH = 5
 #: At a similarity of 0.8 all BANDS miss with a probability of (1 - 0.8 ** ROWS) ** BANDS = 7e-6.
 ROWS, BANDS = 5, 30
-#: Pivots of a bucket after its first one, each round.
-PIVOTS = 4
+#: A shingle beyond the pivot that more documents have is reckoned with the pivot (which bounds, so nothing is lost).
+RARE = 16
+#: Ids of documents in shared buckets are broadcast up to so many (of 16 bytes).
+BROADCAST_IDS = 1_000_000
 #: Tokens worked on together in a task.
-CHUNK = 1 << 19
+CHUNK = 1 << 18
 PAD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -180,6 +185,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(id, class_id, copy_of, n_shingles): documents that chains of links connect share the least id
     as class; ``copy_of`` is the least id with the same multiset (the own id without words)."""
     spark, c = docs.sparkSession, F.col
+    ship_package(spark)
     rows = pick(docs, id=id_col, text=text_col)
     kind = rows.schema["id"].dataType.simpleString()
     hashed = rows.select("id", tokens(c("text")).alias("t"))
@@ -193,46 +199,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sizes = cut(spark, bands.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"))
     shared = cut(spark, bands.join(sizes, "bucket"))
     central = cut(spark, shared.groupBy("id").agg(F.sum("size").alias("central")))
-    shared = cut(spark, shared.join(central, "id").select("bucket", "id", "central"))
-    texts = rows.join(central.select("id"), "id").select("id", tokens(c("text")).alias("t"))
-    bags = texts.mapInArrow(_bags, f"id {kind}, bag array<bigint>").groupBy("id").agg(F.max("bag").alias("bag")).persist()
-    class_of = central.select("id", c("id").alias("class_id"))
-    pivots = tested = None
-    first = True
-    while True:
-        now = cut(spark, shared.join(class_of, "id"))
-        open_buckets = now.groupBy("bucket").agg(F.min("class_id").alias("x"), F.max("class_id").alias("y")).where("x < y").select("bucket")
-        open_rows = cut(spark, now.join(open_buckets, "bucket", "left_semi"))
-        if pivots is not None:
-            served = pivots.join(class_of, "id").select("bucket", "class_id").distinct()
-            waiting = open_rows.join(served, ["bucket", "class_id"], "left_anti")
-        else:
-            waiting = open_rows
-        leaders = waiting.groupBy("bucket", "class_id").agg(F.max(F.struct("central", "id")).alias("x"))
-        if first:
-            chosen = leaders.groupBy("bucket").agg(F.max(F.struct("x", "class_id")).alias("y")).select("bucket", c("y.class_id").alias("class_id"), c("y.x.id").alias("id"))
-        else:
-            rank = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("x")))
-            chosen = leaders.withColumn("k", rank).where(c("k") <= PIVOTS).select("bucket", "class_id", c("x.id").alias("id"))
-        chosen = cut(spark, chosen)
-        met = open_rows.alias("r").join(chosen.alias("p"), "bucket").where(c("r.class_id") != c("p.class_id"))
-        pairs = met.select(F.least("r.id", "p.id").alias("a"), F.greatest("r.id", "p.id").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = cut(spark, pairs)
-        if not chosen.limit(1).count():
-            break
-        pivots = chosen.select("bucket", "id") if pivots is None else cut(spark, pivots.unionByName(chosen.select("bucket", "id")))
-        tested = pairs if tested is None else cut(spark, tested.unionByName(pairs))
-        both = pairs.join(bags.select(c("id").alias("a"), c("bag").alias("x")), "a").join(bags.select(c("id").alias("b"), c("bag").alias("y")), "b")
-        common = F.size(F.array_intersect("x", "y"))
-        links = cut(spark, both.select("a", "b", (common / (F.size("x") + F.size("y") - common)).alias("s")).where(c("s") >= similarity).select("a", "b"))
-        first = False
-        if links.limit(1).count():
-            classes = links.join(class_of.select(c("id").alias("a"), c("class_id").alias("ca")), "a").join(class_of.select(c("id").alias("b"), c("class_id").alias("cb")), "b")
-            joined = merged(spark, classes.select(c("ca").alias("a"), c("cb").alias("b")).where("a != b"))
-            class_of = cut(spark, class_of.join(joined, c("class_id") == c("node"), "left").select("id", F.coalesce("least", "class_id").alias("class_id")))
-    bags.unpersist()
+    shared = cut(spark, shared.join(central.join(one.select("id", "n"), "id"), "id").select("bucket", "id", "central", "n"))
+    class_of = _classes(rows, shared, central.select("id"), kind, similarity)
     classed = copies.join(class_of.select(c("id").alias("lead"), "class_id"), "lead", "left").select(
         "id", F.coalesce("class_id", "lead").alias("class_id"), c("lead").alias("copy_of"), "n")
     return (rows.select("id").distinct().alias("r").join(classed.alias("k"), c("r.id") == c("k.id"), "left")
@@ -240,6 +208,71 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     F.coalesce("k.n", F.lit(0)).cast("long").alias("n_shingles")))
 
 
+def _classes(rows: DataFrame, shared: DataFrame, ids: DataFrame, kind: str, similarity: float) -> DataFrame:
+    """(id, class_id) of the documents in ``shared`` (bucket, id, central, n), whose texts are in ``rows``."""
+    spark, c = rows.sparkSession, F.col
+    # Up to so many ids are sent to all executors, so that other texts needn't be shuffled.
+    few = ids.count() <= BROADCAST_IDS
+    texts = rows.join(F.broadcast(ids) if few else ids, "id").select("id", tokens(c("text")).alias("t"))
+    bags = texts.mapInArrow(_bags, f"id {kind}, bag array<bigint>").groupBy("id").agg(F.max("bag").alias("bag")).persist()
+    class_of = ids.select("id", c("id").alias("class_id"))
+
+    def linked(class_of: DataFrame, links: DataFrame) -> DataFrame:
+        if not links.limit(1).count():
+            return class_of
+        classes = links.join(class_of.select(c("id").alias("a"), c("class_id").alias("ca")), "a").join(
+            class_of.select(c("id").alias("b"), c("class_id").alias("cb")), "b")
+        joined = merged(spark, classes.select(c("ca").alias("a"), c("cb").alias("b")).where("a != b"))
+        return cut(spark, class_of.join(joined, c("class_id") == c("node"), "left").select("id", F.coalesce("least", "class_id").alias("class_id")))
+
+    def with_bags(pairs: DataFrame) -> DataFrame:
+        return pairs.join(bags.select(c("id").alias("a"), c("bag").alias("x")), "a").join(bags.select(c("id").alias("b"), c("bag").alias("y")), "b")
+
+    # In each bucket the most central document against all others: overlap, and what the others have beyond the pivot.
+    pivots = cut(spark, shared.groupBy("bucket").agg(F.max(F.struct("central", "id"))["id"].alias("pivot")))
+    met = cut(spark, shared.join(pivots, "bucket").select("bucket", "id", "n", "pivot"))
+    common = F.size(F.array_intersect("x", "y"))
+    against = with_bags(met.where("id != pivot").select(c("id").alias("a"), c("pivot").alias("b")).distinct())
+    against = cut(spark, against.select(
+        c("a").alias("id"), c("b").alias("pivot"), common.alias("over"), F.array_except("x", "y").alias("rest"),
+        (common / (F.size("x") + F.size("y") - common) >= similarity).alias("similar")))
+    class_of = linked(class_of, against.where("similar").select(c("id").alias("a"), c("pivot").alias("b")))
+
+    # Rows of buckets that hold several classes, once for each pivot.
+    here = met.join(class_of, "id")
+    mixed = here.groupBy("bucket").agg(F.min("class_id").alias("x"), F.max("class_id").alias("y")).where("x < y").select("bucket")
+    here = cut(spark, here.join(mixed, "bucket", "left_semi").select("id", "n", "pivot", "class_id").distinct())
+    here = cut(spark, here.join(against.drop("similar"), ["id", "pivot"], "left").select(
+        "id", "n", "pivot", "class_id", F.coalesce("over", "n").alias("over"), "rest"))
+
+    def possible(most):
+        return most / (c("r.n") + c("q.n") - most) >= similarity
+
+    # What two documents share is in the pivot or in shingles that many have beyond it, at most the smaller of their
+    # overlaps with those, or among the rest, where it is counted.
+    beyond = here.select("pivot", "id", F.explode("rest").alias("e"))
+    held = here.select("pivot", "class_id", F.explode("rest").alias("e")).groupBy("pivot", "e").agg(
+        F.count("*").alias("docs"), F.min("class_id").alias("x"), F.max("class_id").alias("y"))
+    held = cut(spark, held.where("x < y").select("pivot", "e", "docs"))
+    common_held = beyond.join(held.where(c("docs") > RARE), ["pivot", "e"]).groupBy("pivot", "id").agg(F.count("*").alias("more"))
+    here = cut(spark, here.join(common_held, ["pivot", "id"], "left").select(
+        "id", "n", "pivot", "class_id", (c("over") + F.coalesce("more", F.lit(0))).alias("over")))
+    beyond = beyond.join(held.where(c("docs") <= RARE).select("pivot", "e"), ["pivot", "e"])
+    beyond = cut(spark, beyond.join(here, ["pivot", "id"]))
+    apart = (c("r.id") < c("q.id")) & (c("r.class_id") != c("q.class_id"))
+    both = beyond.alias("r").join(beyond.alias("q"), (c("r.pivot") == c("q.pivot")) & (c("r.e") == c("q.e")) & apart)
+    counted = both.groupBy("r.pivot", c("r.id").alias("a"), c("q.id").alias("b")).agg(
+        (F.count("*") + F.first(F.least("r.over", "q.over"))).alias("most"), F.first(c("r.n") + c("q.n")).alias("sizes"))
+    counted = counted.where(c("most") / (c("sizes") - c("most")) >= similarity).select("a", "b")
+    inside = here.alias("r").join(here.alias("q"), (c("r.pivot") == c("q.pivot")) & apart & possible(F.least("r.over", "q.over"))).select(
+        c("r.id").alias("a"), c("q.id").alias("b"))
+    pairs = cut(spark, counted.unionByName(inside).distinct())
+    links = cut(spark, with_bags(pairs).where(common / (F.size("x") + F.size("y") - common) >= similarity).select("a", "b"))
+    class_of = linked(class_of, links)
+    bags.unpersist()
+    return class_of
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8) -> DataFrame:
     """The rows of ``docs`` whose id is the least of its class, with their own columns."""
     found = near_duplicates(docs, id_col, text_col, similarity)

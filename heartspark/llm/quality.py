@@ -2,8 +2,8 @@
 
 Plain counts reject very short and very repetitive texts. For the rest, two histograms of each
 text, one over character classes and one over common words, are compared with the references of
-each language by the Jensen-Shannon distance (base 2, from 0 to 1). A text is rejected if one of the
-distances from its language is beyond its limit or both are beyond lower limits.
+each language by the Jensen-Shannon distance (base 2, from 0 to 1). A text is rejected if, for
+every language, one of the distances is beyond its limit or both are beyond lower limits.
 
 The references are means over all different texts of a language with enough words, taken again
 without those that are far from the first means. The common words of a short text scatter by chance, roughly as one over the square root of its words; so
@@ -12,7 +12,7 @@ their limit widens by that much, and neither histogram is judged below a number
 Results by definition: null and empty texts have no words and fail the plain rules; texts of any
 length are counted whole; texts whose language is given but has no reference are judged by the
 plain rules alone, and so are all texts where there is no reference; texts without a language are
-compared with all references and rejected if none is near; copies count once in the references; each row has a result row;
+compared with all references; copies count once in the references; each row has a result row;
 an empty table gives an empty result; further columns of the input are left out.
 """
 
@@ -133,10 +133,11 @@ def char_counts(text: Column) -> Column:
     return less(text, [], ("[a-z]+", *CLASSES))
 
 
-def word_counts(text: Column) -> Column:
-    """Counts of each of WORDS and of all other words of letters alone."""
-    return let(split_at(F.lower(text), r"[^\p{L} ]+"), lambda x: let(F.filter(x, lambda w: w.isin(WORDS)), lambda found: F.concat(
-        counts_of(found), F.array(F.size(x) - F.size(found)))))
+def word_counts(text: Column, n_words: Column) -> Column:
+    """Counts of each of WORDS and of all other words, of ``n_words`` in all."""
+    letters = split_at(F.lower(text), r"[^\p{L} ]+")
+    return let(F.filter(letters, lambda w: w.isin(WORDS)), lambda found: F.concat(
+        counts_of(found), F.array(F.greatest(F.lit(0), n_words.cast("int") - F.size(found)))))
 
 
 def shares(counts: Column) -> Column:
@@ -153,11 +154,16 @@ def _x_log_x(x: Column) -> Column:
     return F.coalesce(x * F.log2(x), F.lit(0.0))
 
 
-def js_distance(p: Column, q: list[float]) -> Column:
-    """Jensen-Shannon distance of two histograms of shares, from sums of x log x of both and of their sum; 1 if p is empty."""
+def with_sums(p: Column) -> Column:
+    """A histogram of shares with what js_distance() needs of it for every reference: its sum and that of x log x."""
+    return F.struct(p.alias("p"), _sum(p).alias("mass"), _sum(F.transform(p, _x_log_x)).alias("x_log_x"))
+
+
+def js_distance(h: Column, q: list[float]) -> Column:
+    """Jensen-Shannon distance of a histogram (as of with_sums) from a reference, from sums of x log x of both and of their sum."""
     known = sum(x * log2(x) for x in q if x > 0)
-    both = _sum(F.transform(F.zip_with(p, F.lit(q), lambda a, b: a + b), _x_log_x))
-    return F.sqrt(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1 + (_sum(F.transform(p, _x_log_x)) + known - both) / 2)))
+    both = F.aggregate(F.zip_with(h["p"], F.lit(q), lambda a, b: a + b), F.lit(0.0), lambda s, x: s + _x_log_x(x))
+    return F.sqrt(F.greatest(F.lit(0.0), F.least(F.lit(1.0), (h["mass"] + sum(q) + h["x_log_x"] + known - both) / 2)))
 
 
 def _means(rows: DataFrame) -> dict[str, tuple[list[float], list[float]]]:
@@ -177,15 +183,16 @@ def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     """
     rows = pick(docs, lang=lang_col, text=text_col).where(F.col("lang").isin(sorted(COMMON)))
     text = text_or_empty(F.col("text"))
-    rows = rows.select("lang", F.xxhash64(text).alias("h1"), F.hash(text).alias("h2"), char_counts(text).alias("chars"), word_counts(text).alias("common"))
+    rows = rows.select("lang", F.xxhash64(text).alias("h1"), F.hash(text).alias("h2"), char_counts(text).alias("chars"), let(
+        F.size(words_of(text)), lambda n: F.struct(n.alias("n"), word_counts(text, n).alias("common"))).alias("words"))
     rows = rows.dropDuplicates(["lang", "h1", "h2"])
-    rows = cut(docs.sparkSession, rows.select("lang", "chars", "common"))
-    rows = rows.where(F.aggregate("common", F.lit(0), lambda a, n: a + n) >= limits.reference_words)
+    rows = cut(docs.sparkSession, rows.select("lang", "chars", "words.n", "words.common"))
+    rows = rows.where(F.col("n") >= limits.reference_words)
     rows = rows.select("lang", shares(F.col("chars")).alias("char_shares"), shares(F.col("common")).alias("word_shares"))
     first = _means(rows)
     near = F.lit(False)
     for lang, (chars, _) in first.items():
-        near = near | ((F.col("lang") == lang) & (js_distance(F.col("char_shares"), chars) <= limits.reference_distance))
+        near = near | ((F.col("lang") == lang) & (js_distance(with_sums(F.col("char_shares")), chars) <= limits.reference_distance))
     return first | _means(rows.where(near))
 
 
@@ -200,8 +207,8 @@ def plain_counts(text: Column) -> Column:
 
 
 def excess_of(text: Column, lang: Column, n_words: Column, refs: dict[str, tuple[list[float], list[float]]], limits: Limits) -> Column:
-    """By how much the distances are over their limits, for the text's language or, without one, for the
-    language where that is least; null if there is no reference."""
+    """By how much the distances are over their limits, for the language where that is least; null for a
+    language without a reference, or if there is none at all."""
     scatter = limits.word_scatter / F.sqrt(F.greatest(n_words, F.lit(1)).cast("double"))
 
     def over(c: Column, w: Column) -> Column:
@@ -209,15 +216,12 @@ def excess_of(text: Column, lang: Column, n_words: Column, refs: dict[str, tuple
             d["c"] - limits.char_distance, d["w"] - limits.word_distance, F.least(d["c"] - limits.both_char, d["w"] - limits.both_word)))
 
     def of(c: Column, w: Column) -> Column:
-        each = {k: over(js_distance(c, rc), js_distance(w, rw) - scatter) for k, (rc, rw) in refs.items()}
-        own = F.when(lang.isNull(), F.array_min(F.array(*each.values())))
-        for k, excess in each.items():
-            own = own.when(lang == k, excess)
-        return own
+        return F.array_min(F.array(*[over(js_distance(c, rc), js_distance(w, rw) - scatter) for rc, rw in refs.values()]))
 
     if not refs:
         return F.lit(None).cast("double")
-    return let(shares(char_counts(text)), lambda c: let(shares(word_counts(text)), lambda w: of(c, w)))
+    nearest = let(with_sums(shares(char_counts(text))), lambda c: let(with_sums(shares(word_counts(text, n_words))), lambda w: of(c, w)))
+    return F.when(lang.isNull() | lang.isin(sorted(refs)), nearest)
 
 
 def verdict(text: Column, lang: Column, refs: dict[str, tuple[list[float], list[float]]], limits: Limits = Limits()) -> Column:

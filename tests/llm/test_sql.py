@@ -102,6 +102,26 @@ def test_quality_keeps_clean(spark):
     assert counts.get((0, True), 0) <= 0.1 * counts[(0, False)]
 
 
+def test_quality_wrong_label(spark):
+    """Clean prose under another language's label is near its own language's reference and stays; other words are all words between blanks."""
+    from pyspark.sql import functions as F
+    langs = sorted(quality.COMMON)
+    moved = (F.pmod("doc_id", F.lit(8)) == 3) & F.col("lang").isin(langs)
+    other = F.element_at(F.create_map(*[F.lit(x) for pair in zip(langs, langs[1:] + langs[:1]) for x in pair]), F.col("lang"))
+
+    def relabelled(path):
+        docs = spark.read.parquet(f"{path}/documents.parquet")
+        return docs.select("doc_id", "text", F.when(moved, other).otherwise(F.col("lang")).alias("lang"), moved.alias("moved"))
+
+    docs = relabelled(SF0001).drop("moved").unionByName(spark.createDataFrame(
+        [(-1, "the-12 34 56,78 of 9 " * 30, "en"), (-2, " ".join(f"{i} x-y'z" for i in range(60)), "fr")], "doc_id long, text string, lang string"))
+    against(spark, quality.quality(docs).drop("excess"), edge_con(docs), oracles.quality())
+    docs = relabelled("/root/testdata/sf0.01")
+    q = quality.quality(docs).join(docs.where("moved").select("doc_id"), "doc_id").join(
+        spark.read.parquet("/root/testdata/sf0.01/labels.parquet"), "doc_id").where("quality = 1 and not base_failed").select("kept").collect()
+    assert len(q) > 10 and sum(not r.kept for r in q) <= 0.01 * len(q)
+
+
 def test_warc_edges(spark):
     pages = [(1, "http://A.example/x/", "one"), (2, "https://www.a.example/x#f", "two"), (3, None, None), (None, "http://a.example/x", "three"),
              (5, "", ""), (5, "", ""), (6, "http://a.example/x?b=1&a=2&utm_source=z", "x\r\n\r\ny")]

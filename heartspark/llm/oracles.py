@@ -33,10 +33,12 @@ def _either_case(word: str) -> str:
 
 def secrets() -> str:
     names = "|".join(map(_either_case, ("password", "passwd", "secret", "token", "api_?key")))
+    pem = (r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----((\r?\n(Proc-Type|DEK-Info): [^\r\n]*){1,9}\r?\n)?([^-]*-----END [A-Z ]{0,30}PRIVATE KEY-----"
+           r"|(\r?\n[\t ]*[A-Za-z0-9+/=]+[\t ]*\r?(?m:$)|(\\r)?\\n[A-Za-z0-9+/=]{16,})*)")
     kinds = [
         ("assign", rf"""({names})["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""", 2, 8),
         ("access", "AKIA[A-Z0-9]+", 0, 16), ("hex", "[0-9a-f]+", 0, 32),
-        ("private_key", "-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----", 0, 1), ("github", "gh[pousr]_[A-Za-z0-9]{36,}", 0, 1),
+        ("private_key", pem, 0, 1), ("github", "gh[pousr]_[A-Za-z0-9]{36,}", 0, 1),
         ("slack", "xox[abeoprs]-[A-Za-z0-9-]{10,}", 0, 1), ("google", "AIza[0-9A-Za-z_-]{35}", 0, 1),
         ("stripe", "[rs]k_live_[0-9A-Za-z]{16,}", 0, 1),
         ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 1)]

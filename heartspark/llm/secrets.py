@@ -46,9 +46,13 @@ BASE = (
     Rule("access", r"AKIA[A-Z0-9]{12,}"),
     Rule("hex", r"[0-9a-f]{32,}"),
 )
+#: A PEM key through its END line; without one, to the end of the base64 lines below the first line (also with line ends escaped as in JSON).
+PEM = (r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----(?:(?:\r?\n(?:Proc-Type|DEK-Info): [^\r\n]*){1,9}\r?\n)?"
+       r"(?:[^-]*-----END [A-Z ]{0,30}PRIVATE KEY-----"
+       r"|(?:\r?\n[\t\x20]*[A-Za-z0-9+/=]+[\t\x20]*\r?(?![^\n])|(?:\\r)?\\n[A-Za-z0-9+/=]{16,})*+)")
 #: Fixed formats of common credentials.
 MORE = (
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----"),
+    Rule("private_key", PEM, version=2),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abeoprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", r"AIza[0-9A-Za-z_-]{35}"),

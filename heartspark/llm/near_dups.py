@@ -129,6 +129,16 @@ def _chunks(column: pa.ListArray):
         a = b
 
 
+def _prints(doc: np.ndarray, h: np.ndarray, count: np.ndarray, docs: int) -> list[np.ndarray]:
+    """Number of shingles and fingerprint of the multiset (two integers), for ``docs`` documents."""
+    prints = [np.bincount(doc, count, docs).astype(np.int64)]
+    for salt in (0x51ED270B9F652295, 0xC3A5C85C97CB3127):
+        total = np.zeros(docs, np.uint64)
+        np.add.at(total, doc, mix(h ^ np.uint64(salt)) * count.astype(np.uint64))
+        prints.append(total.view(np.int64))
+    return prints
+
+
 def _sign(batches):
     """id, tokens -> id, number of shingles, fingerprint of the multiset (two integers), band keys (null without words)."""
     for batch in batches:
@@ -136,22 +146,16 @@ def _sign(batches):
         for a, b, values, offsets in _chunks(column):
             doc, h, count = shingles(values, offsets)
             docs = b - a
-            weight = count.astype(np.uint64)
-            prints = []
-            for salt in (0x51ED270B9F652295, 0xC3A5C85C97CB3127):
-                total = np.zeros(docs, np.uint64)
-                np.add.at(total, doc, mix(h ^ np.uint64(salt)) * weight)
-                prints.append(total.view(np.int64))
-            n = np.bincount(doc, count, docs).astype(np.int64)
+            prints = _prints(doc, h, count, docs)
             keys = band_keys(signatures(doc, h, count, docs)).view(np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(docs + 1, dtype=np.int32) * BANDS), pa.array(keys.reshape(-1)))
-            lists = pa.compute.if_else(pa.array(n > 0), lists, pa.scalar(None, lists.type))
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, docs), pa.array(n), *map(pa.array, prints), lists],
+            lists = pa.compute.if_else(pa.array(prints[0] > 0), lists, pa.scalar(None, lists.type))
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, docs), *map(pa.array, prints), lists],
                                              names=["id", "n", "p", "q", "bands"])
 
 
 def _bags(batches):
-    """id, tokens -> id, hashes of (shingle, how many of it came before): overlaps of such sets are those of the multisets."""
+    """id, tokens -> id, what _prints() gives, hashes of (shingle, how many of it came before): overlaps of such sets are those of the multisets."""
     for batch in batches:
         column = batch.column(1)
         for a, b, values, offsets in _chunks(column):
@@ -160,8 +164,8 @@ def _bags(batches):
             nth = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
             tagged = mix(h[which] + nth.astype(np.uint64) * PAD).view(np.int64)
             ends = np.concatenate([[0], np.cumsum(np.bincount(doc, count, b - a))]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.ListArray.from_arrays(pa.array(ends), pa.array(tagged))],
-                                             names=["id", "bag"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *map(pa.array, _prints(doc, h, count, b - a)),
+                                              pa.ListArray.from_arrays(pa.array(ends), pa.array(tagged))], names=["id", "n", "p", "q", "bag"])
 
 
 def merged(spark: SparkSession, links: DataFrame) -> DataFrame:
@@ -214,7 +218,9 @@ def _classes(rows: DataFrame, shared: DataFrame, ids: DataFrame, kind: str, simi
     # Up to so many ids are sent to all executors, so that other texts needn't be shuffled.
     few = ids.count() <= BROADCAST_IDS
     texts = rows.join(F.broadcast(ids) if few else ids, "id").select("id", tokens(c("text")).alias("t"))
-    bags = texts.mapInArrow(_bags, f"id {kind}, bag array<bigint>").groupBy("id").agg(F.max("bag").alias("bag")).persist()
+    bags = texts.mapInArrow(_bags, f"id {kind}, n bigint, p bigint, q bigint, bag array<bigint>")
+    # Of rows with one id, the bag of the text that was signed.
+    bags = bags.groupBy("id").agg(F.max(F.struct("n", "p", "q", "bag"))["bag"].alias("bag")).persist()
     class_of = ids.select("id", c("id").alias("class_id"))
 
     def linked(class_of: DataFrame, links: DataFrame) -> DataFrame:

@@ -168,6 +168,20 @@ def test_near_duplicates(spark, edge_docs, empty_docs):
     assert kept.columns == edge_docs.columns and kept.count() == 11
 
 
+def test_near_duplicates_of_ids_with_two_texts(spark):
+    """The greatest multiset of an id counts in its signature and in its overlaps."""
+    rng = random.Random(12)
+    text = lambda n: [f"w{rng.randrange(3000)}" for _ in range(n)]
+    rows = []
+    for k in range(0, 48, 4):
+        great, small = text(100 + k), text(60)
+        rows += [(k, great), (k, small), (k + 1, [*great[:-1], "x"]), (k + 2, [*small[:-1], "x"]), (k + 3, text(50))]
+    greatest = {i: " ".join(max((t for j, t in rows if j == i), key=len)) for i, _ in rows}
+    got = near_dups.near_duplicates(spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id long, text string"))
+    want = classes_by_hand(greatest)
+    assert {r.doc_id: r.class_id for r in got.collect()} == want and want[1] == 0 and want[2] == 2
+
+
 def test_op7_whole_table(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF0001}/documents.parquet").collect()}
     assert {r.doc_id: r.class_id for r in queries.op7_bag_minhash(spark, SF0001).collect()} == classes_by_hand(texts)

@@ -3,7 +3,8 @@
 Every version of every path is addressed by the SHA-256 of its content. A ledger keeps, for each
 blob, the rules (kind and version) that it has been scanned by and what they found. A scan reads
 the text of one version of each blob for which some pair of blob and rule isn't in the ledger,
-runs the missing rules on it, and joins findings back to all versions by content address.
+runs the missing rules on it, and joins findings back to all versions by content address. Each span
+carries its rule's version, and only spans of the given rules' versions are joined back.
 
 Spans are in code points, the end exclusive, and are found by splitting the text at the matches:
 lengths of pieces and matches add up to positions. Matches of a rule don't overlap and are taken
@@ -61,7 +62,7 @@ MORE = (
 )
 RULES = BASE + MORE
 
-SPAN = "struct<start:bigint,end:bigint,rank:int,kind:string>"
+SPAN = "struct<start:bigint,end:bigint,rank:int,kind:string,version:int>"
 
 
 def spans_of(text: Column, rule: Rule, rank: int) -> Column:
@@ -79,7 +80,8 @@ def spans_of(text: Column, rule: Rule, rank: int) -> Column:
 
     def step(acc: Column, s: Column) -> Column:
         start = acc["at"] + s["gap"]
-        span = F.struct(start.alias("start"), (start + s["n"]).alias("end"), F.lit(rank).alias("rank"), F.lit(rule.kind).alias("kind"))
+        span = F.struct(start.alias("start"), (start + s["n"]).alias("end"), F.lit(rank).alias("rank"), F.lit(rule.kind).alias("kind"),
+                        F.lit(rule.version).alias("version"))
         return F.struct((start + s["n"]).alias("at"), F.when(s["ok"], F.array_append(acc["found"], span)).otherwise(acc["found"]).alias("found"))
 
     found = F.aggregate(steps, F.struct(F.lit(0).cast("long").alias("at"), empty.alias("found")), step, lambda acc: acc["found"])
@@ -127,9 +129,11 @@ def scan(versions: DataFrame, ledger: DataFrame | None = None, id_col: str = "do
     spans = F.coalesce("new", none)
     if ledger is not None:
         found = found.join(seen.select("blob", "known"), "blob", "left")
-        current = F.array(*[F.lit(r.kind) for r in rules])
-        # Findings of rules that are no longer among the given ones stay in the ledger only.
-        spans = F.concat(spans, F.filter(F.coalesce("known", none), lambda s: F.array_contains(current, s["kind"])))
+        name = lambda s: F.concat_ws("@", s["kind"], s["version"])
+        # Findings of rules and versions that are no longer among the given ones stay in the ledger only; ranks are the given rules'.
+        known = F.filter(F.coalesce("known", none), lambda s: F.array_contains(every, name(s)))
+        known = F.transform(known, lambda s: s.withField("rank", (F.array_position(every, name(s)) - 1).cast("int")))
+        spans = F.concat(spans, known)
     findings = found.select(F.col("id").alias(id_col), "blob", by_start(spans).alias("spans"))
     return findings, scanned
 

@@ -68,6 +68,23 @@ def test_ledger_scans_only_unseen(spark):
     assert {r.doc_id: len(r.spans) for r in found.collect()} == {1: 1, 2: 1, 3: 1, 4: 1, 5: 1}
 
 
+def test_ledger_new_version(spark):
+    """A new version of a rule replaces the findings of the old one, also for blobs that the ledger knows."""
+    docs = spark.createDataFrame([(1, "word-12 and word-3"), (2, "clean"), (3, "token=abcdefgh1 word-7")], "doc_id long, text string")
+    one, two = (*secrets.BASE, secrets.Rule("word", "word")), (secrets.Rule("word", r"word-\d+", version=2), *secrets.BASE)
+    _, ledger = secrets.scan(docs, rules=one)
+    ledger = spark.createDataFrame(ledger.collect(), ledger.schema)
+    found, added = secrets.scan(docs, ledger, rules=two)
+    fresh, _ = secrets.scan(docs, rules=two)
+    assert {tuple(r.rules) for r in added.collect()} == {("word@2",)} and found.schema == fresh.schema
+    assert sorted(map(str, found.collect())) == sorted(map(str, fresh.collect()))
+    # And back: the version is in the ledger already.
+    ledger = ledger.unionByName(spark.createDataFrame(added.collect(), added.schema))
+    found, added = secrets.scan(docs, ledger, rules=one)
+    assert added.count() == 0
+    assert sorted(map(str, found.collect())) == sorted(map(str, secrets.scan(docs, rules=one)[0].collect()))
+
+
 def test_redaction(spark):
     key = "0123456789abcdef0123456789abcdef"
     rows_ = [(1, f"é token={key} end", 5), (2, None, None), (3, "nothing", 7), (4, f"{key}", 32)]

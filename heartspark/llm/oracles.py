@@ -134,3 +134,67 @@ SELECT page_id, key AS canonical_url, id::BIGINT AS target_page_id,
     'content-type: text/html; charset=utf-8', 'date: ' || s2, 'etag: W/' || tag) END AS headers
 FROM t
 """
+
+
+CONVERSATIONS = r"""
+WITH RECURSIVE crc AS (
+  SELECT [list_reduce(list_prepend(i::UBIGINT, [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]),
+    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END) FOR i IN range(256)] AS tab
+), keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    [ord(c)::UBIGINT FOR c IN string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), '')] AS key FROM conversations
+), hit AS (
+  SELECT conv_id, turn, role, text, xor(list_reduce(list_prepend(4294967295::UBIGINT, key),
+    lambda c, b: xor(tab[(xor(c, b) & 255)::BIGINT + 1], c >> 8)), 4294967295::UBIGINT) % 20 AS d FROM keyed, crc
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN d = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN d = 1 THEN '' WHEN d = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE WHEN d = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM hit WHERE d <> 0
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(length(role) || ':' || role || text)) AS i FROM damaged
+), faulty AS (
+  SELECT *, left(role, 1) AS c, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+    WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+    WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS was, lead(i) OVER (PARTITION BY conv_id ORDER BY i) IS NULL AS final FROM placed
+), turns AS (
+  SELECT *, CASE c WHEN 's' THEN 1 WHEN 'u' THEN 2 WHEN 'a' THEN 3 ELSE 0 END AS k, CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END AS more,
+    fault IN ('blank', 'duplicate') AS gone FROM faulty
+), costs AS (
+  SELECT conv_id, max(i) + 1 AS i, 0 AS c0, 6 AS cs, 3 AS cu, 0 AS ca FROM turns GROUP BY conv_id
+  UNION ALL
+  SELECT conv_id, i, least(z0, 3 + least(zu, 3 + za)), least(zs, 3 + least(zu, 3 + za)), least(zu, 3 + za), least(za, 3 + zu) FROM (
+    SELECT t.conv_id, t.i,
+      least(4 + n.c0, CASE WHEN gone THEN 9999999 ELSE more + least(3 + n.cu, CASE k WHEN 1 THEN n.cs WHEN 2 THEN n.cu ELSE 9999999 END) END) AS z0,
+      least(4 + n.cs, CASE WHEN gone THEN 9999999 ELSE more + least(3 + n.cu, CASE k WHEN 2 THEN n.cu ELSE 9999999 END) END) AS zs,
+      least(4 + n.cu, CASE WHEN gone THEN 9999999 ELSE more + least(3 + n.ca, CASE k WHEN 3 THEN n.ca ELSE 9999999 END) END) AS zu,
+      least(4 + n.ca, CASE WHEN gone THEN 9999999 ELSE more + least(3 + n.cu, CASE k WHEN 2 THEN n.cu ELSE 9999999 END) END) AS za
+    FROM costs n JOIN turns t ON t.conv_id IS NOT DISTINCT FROM n.conv_id AND t.i = n.i - 1)
+), vec AS (
+  SELECT conv_id, i, [c0, cs, cu, ca] AS v FROM costs
+), walk AS (
+  SELECT conv_id, 1::BIGINT AS i, 0 AS s, 0 AS step, '' AS e, NULL::VARCHAR AS line, v[1] AS cost FROM vec WHERE i = 1
+  UNION ALL
+  SELECT conv_id, CASE WHEN e = 'I' THEN i ELSE i + 1 END, CASE WHEN e = 'D' THEN s WHEN e = 'K' THEN k ELSE need END, step + 1, e,
+    CASE e WHEN 'I' THEN nm || ':' WHEN 'K' THEN role || ':' || text WHEN 'R' THEN nm || ':' || text END, cost FROM (
+    SELECT w.conv_id, w.i, w.s, w.step, w.cost, t.k, t.role, t.text, CASE WHEN w.s = 2 THEN 3 ELSE 2 END AS need, CASE WHEN w.s = 2 THEN 'assistant' ELSE 'user' END AS nm,
+      CASE WHEN t.i IS NULL THEN 'I' WHEN 4 + n.v[w.s + 1] = h.v[w.s + 1] THEN 'D'
+        WHEN 3 + h.v[CASE WHEN w.s = 2 THEN 4 ELSE 3 END] = h.v[w.s + 1] THEN 'I'
+        WHEN ((w.s IN (0, 1, 3) AND t.k = 2) OR (w.s = 2 AND t.k = 3) OR (w.s = 0 AND t.k = 1)) AND t.more + n.v[t.k + 1] = h.v[w.s + 1] THEN 'K' ELSE 'R' END AS e
+    FROM walk w JOIN vec h ON h.conv_id IS NOT DISTINCT FROM w.conv_id AND h.i = w.i
+      LEFT JOIN turns t ON t.conv_id IS NOT DISTINCT FROM w.conv_id AND t.i = w.i
+      LEFT JOIN vec n ON n.conv_id IS NOT DISTINCT FROM w.conv_id AND n.i = w.i + 1
+    WHERE t.i IS NOT NULL OR w.s IN (1, 2))
+), repaired AS (
+  SELECT conv_id, max(cost) AS cost, string_agg(e, '' ORDER BY step) AS audit, coalesce(string_agg(line, chr(10) ORDER BY step), '') AS body FROM walk GROUP BY conv_id
+), counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 'blank') AS blank,
+    count(*) FILTER (WHERE fault = 'duplicate') AS duplicate, count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+    count(*) FILTER (WHERE was IS NOT NULL AND was || c NOT IN ('su', 'ua', 'au')) AS illegal FROM turns GROUP BY conv_id
+)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost, coalesce(audit, '') AS audit,
+  sha256(coalesce(body, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+  LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM o.conv_id
+"""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat, conversation_repair, decontaminate, html_text, language_id, near_dups, oracles, quality, secrets, token_count, warc, whitening
+from . import byte_bpe, chat, class_lm, conversation_repair, decontaminate, html_text, language_id, near_dups, oracles, quality, secrets, token_count, warc, whitening
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -101,9 +101,13 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(_table(spark, sf_dir, "embeddings"))
 
 
+def op13_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return class_lm.score(_table(spark, sf_dir, "documents"), class_lm.held_out())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_byte_bpe, op2_spaced_seeds, op3_html_min_cut, op4_chat_trees, op5_secret_ledger, op6_quality_divergence, op7_bag_minhash, op8_language_filters,
-    op9_warc_revisits, op10_token_counts, op11_conversation_repair, op12_whitening)
+    op9_warc_revisits, op10_token_counts, op11_conversation_repair, op12_whitening, op13_class_lm)
 }
 
 #: DuckDB SQL of those that SQL can express.

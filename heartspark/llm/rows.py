@@ -8,7 +8,9 @@ results carry the id and the operator's own columns.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from math import isqrt
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,6 +69,35 @@ def map_texts(df: DataFrame, fields: list[tuple[str, str, pa.DataType]], make: C
     return df.mapInArrow(run, schema)
 
 
+def summed(df: DataFrame, part: Callable[[pa.RecordBatch], np.ndarray], size: int, kind=np.float64) -> np.ndarray:
+    """The sum of ``part(batch)``, ``size`` numbers, over all Arrow batches: one pass. Tasks add up their own batches;
+    if there are many tasks, groups of their sums are added before the driver's."""
+    ship_package(df.sparkSession)
+    each = pa.list_(pa.from_numpy_dtype(kind))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        found = np.zeros(size, kind)
+        for batch in batches:
+            if batch.num_rows:
+                found += part(batch)
+        yield pa.RecordBatch.from_arrays([pa.array([found], each)], names=["s"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        found = np.zeros(size, kind)
+        for batch in batches:
+            for s in batch.column(0).to_pylist():
+                found += np.array(s, kind)
+        yield pa.RecordBatch.from_arrays([pa.array([found], each)], names=["s"])
+
+    schema = f"s array<{'double' if kind is np.float64 else 'bigint'}>"
+    sums = df.mapInArrow(run, schema)
+    groups = isqrt(df.rdd.getNumPartitions())
+    if groups > 8:
+        sums = sums.repartition(groups).mapInArrow(add, schema)
+    rows = sums.toArrow()["s"].to_pylist()
+    return np.sum(np.array(rows, kind), axis=0) if rows else np.zeros(size, kind)
+
+
 def cut(spark: SparkSession, df: DataFrame) -> DataFrame:
     """Writes ``df`` to the shared checkpoint folder and reads it back: a lost executor costs
     a reread, and plans of loops stay short."""

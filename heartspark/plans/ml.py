@@ -9,7 +9,9 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from ..operators import boosting as BO
 from ..operators import curves as CV
+from ..operators import forest as FO
 from ..operators import logistic as LG
 from ..operators import models as MD
 from ..operators import neighbours as NB
@@ -35,6 +37,10 @@ KEPT = "boosting"
 LOGREG_GRID = [{"C": c} for c in (0.001, 0.01, 0.1, 1, 10)]
 TREE_GRID = [{"max_depth": d, "min_samples_leaf": m} for d in (3, 5, 7, 10) for m in (20, 100)]
 KNN_GRID = [{"n_neighbors": k, "weights": w} for k in (15, 25, 50) for w in ("uniform", "distance")]
+FOREST_GRID = [{"max_depth": d, "min_samples_leaf": m} for d in (8, 12, 16) for m in (5, 20)]
+FOREST_TREES = 200
+BOOSTING_GRID = [{"max_depth": d, "learning_rate": r, "reg_lambda": p} for d in (3, 5, 7) for r in (0.05, 0.1) for p in (1, 5)]
+BOOSTING_ROUNDS = 300
 SVM_GRID = [{"C": c} for c in (0.01, 0.1, 1)]
 
 
@@ -127,6 +133,33 @@ def ml_grid_tree(spark, sf):
     return MD.grid(_folds(spark, sf), "tree", TREE_GRID)
 
 
+def boosting_setting(params):
+    return BO.Setting(params["max_depth"], params["learning_rate"], float(params.get("reg_lambda", 1)), params.get("n_estimators", BOOSTING_ROUNDS))
+
+
+@q("ml_grid_boosting")
+def ml_grid_boosting(spark, sf):
+    """Cross-validated grid of the boosting family (depth 3/5/7 x rate .05/.1 x leaf penalty 1/5, 300 rounds): all 60 models grow together."""
+    folds = _folds(spark, sf)
+    started = time.time()
+    fit = BO.fit_all(folds, LG.FEATURES, [boosting_setting(p) for p in BOOSTING_GRID], list(range(S.N_FOLDS)))
+    got = {r["grp"]: r for r in CV.summary_by_group(fit.held_out_counts()).collect()}
+    fit.release()
+    return _grid_frame(spark, BOOSTING_GRID, got, S.N_FOLDS, time.time() - started)
+
+
+@q("ml_grid_forest")
+def ml_grid_forest(spark, sf):
+    """Cross-validated grid of the forest family (depth 8/12/16 x leaf 5/20, 200 trees): trees are grown once to depth 16 and read at each depth."""
+    folds = _folds(spark, sf)
+    started = time.time()
+    depths, leaves = ([*dict.fromkeys(p[name] for p in FOREST_GRID)] for name in ("max_depth", "min_samples_leaf"))
+    held = list(range(S.N_FOLDS))
+    fit = FO.fit_all(folds, LG.FEATURES, FOREST_TREES, max(depths), leaves, held)
+    got = {r["grp"]: r for r in CV.summary_by_group(fit.held_out_counts(depths, leaves, held)).collect()}
+    return _grid_frame(spark, FOREST_GRID, got, S.N_FOLDS, time.time() - started)
+
+
 @q("ml_grid_svm")
 def ml_grid_svm(spark, sf):
     """Cross-validated grid of the linear SVM (C .01/.1/1), sigmoid-calibrated on each training fold."""

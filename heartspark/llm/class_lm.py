@@ -46,7 +46,7 @@ from .rows import col, cut, summed, text_or_empty
 
 END = b"\n"  # no word holds a blank
 LONG_WORD = 64
-CHUNK_TOKENS = 1 << 20
+CHUNK_TOKENS = 1 << 21
 FREQUENT = 1 << 17
 CLASSES = 64  # the last one begins as that of all words that aren't frequent
 GROUPS = 16

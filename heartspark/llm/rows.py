@@ -42,10 +42,30 @@ def let(value: Column, f) -> Column:
     return F.get(F.transform(F.array(value), f), F.lit(0))
 
 
+#: Code points of texts that are worked on together.
+TEXTS_CHARS = 1 << 21
+
+
 def map_texts(df: DataFrame, fields: list[tuple[str, str, pa.DataType]], make: Callable[[], Callable[[str], tuple]]) -> DataFrame:
+    """Adds one column per field, computed from the last column (a text) of each row by the function that ``make()`` gives; see map_text_lists()."""
+    def lists():
+        one = make()
+
+        class Each:
+            release = staticmethod(getattr(getattr(one, "__self__", None), "release", lambda: None))
+
+            def all(self, texts: list[str]) -> Iterable[tuple]:
+                return map(one, texts)
+
+        return Each().all
+
+    return map_text_lists(df, fields, lists)
+
+
+def map_text_lists(df: DataFrame, fields: list[tuple[str, str, pa.DataType]], make: Callable[[], Callable[[list[str]], Iterable[tuple]]]) -> DataFrame:
     """Adds one column per field, computed from the last column (a text) of each row.
 
-    ``make()`` runs once per task and returns a function from a text to a tuple of values;
+    ``make()`` runs once per task and returns a function from some texts to a tuple of values for each;
     null texts are passed as ''. The text itself isn't returned. Rows are taken and given back
     one Arrow batch at a time, so a task holds one batch and what ``make`` keeps; if that has a
     ``release``, it is called at the end of the task.
@@ -55,14 +75,21 @@ def map_texts(df: DataFrame, fields: list[tuple[str, str, pa.DataType]], make: C
     kinds = [pa.field(name, kind) for name, _, kind in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        one = make()
+        work = make()
         for batch in batches:
             n = len(keep)
-            rows = [one(t or "") for t in batch.column(n).to_pylist()]
+            rows, some, size = [], [], 0
+            for t in batch.column(n).to_pylist():
+                some.append(t or "")
+                size += len(some[-1])
+                if size >= TEXTS_CHARS:
+                    rows += work(some)
+                    some, size = [], 0
+            rows += work(some)
             cols = [pa.array([r[i] for r in rows], f.type) for i, f in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(i) for i in range(n)] + cols, names=[*keep, *[f.name for f in kinds]])
-        getattr(getattr(one, "__self__", None), "release", lambda: None)()
+        getattr(getattr(work, "__self__", None), "release", lambda: None)()
 
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields[:-1]]
                        + [f"`{name}` {kind}" for name, kind, _ in fields])

@@ -1,8 +1,7 @@
-"""Unsupervised mining on the 21 standardised features: PCA, k-means, bisecting k-means.
+"""Unsupervised mining on the 21 standardised features: PCA, k-means, profiles of clusters.
 
-All estimators are Spark ML (distributed Gram matrix for PCA, Lloyd iterations
-with tree aggregation for k-means); silhouette uses ``ClusteringEvaluator`` on
-every row, which is linear in Spark, so no sampling is needed.
+PCA is Spark ML (a distributed Gram matrix); k-means, its silhouettes and the Ward linkage work on
+every row by way of its distinct points (``lloyd``, ``ward``).
 """
 
 from __future__ import annotations
@@ -10,17 +9,14 @@ from __future__ import annotations
 import math
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.clustering import BisectingKMeans, KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
-
-#: A bound that convergence to the tolerance comes before.
-MOST_ITERATIONS = 300
+from . import lloyd
+from .lloyd import Points
 
 
 def scaler_pipeline(cols: list[str] = S.FEATURES, center: bool = True) -> Pipeline:
@@ -56,36 +52,17 @@ def loadings(model, spark, cols: list[str] = S.FEATURES, n_comp: int = 2) -> Dat
     return spark.createDataFrame(rows, "variable string, " + ", ".join(f"pc{k + 1} double" for k in range(n_comp)))
 
 
-def kmeans_best(x: DataFrame, k: int = 4, seeds=range(10), max_iter: int = MOST_ITERATIONS):
-    """k-means with several seeds (k-means|| init), keeping the lowest within-cluster cost."""
-    best = None
-    for s in seeds:
-        m = KMeans(k=k, seed=int(s), maxIter=max_iter, featuresCol="features", predictionCol="cluster").fit(x)
-        cost = m.summary.trainingCost
-        if best is None or cost < best[1]:
-            best = (m, cost)
-    return best
-
-
-def choose_k(x: DataFrame, ks=range(2, 9), seeds=range(10), parallelism: int = 8) -> list[tuple]:
-    """For each k: the best of ``len(seeds)`` k-means runs (lowest cost), its cost and silhouette.
+def kmeans_best(points: Points, k: int = 4, seeds=range(10)) -> lloyd.Run:
+    """Of several seeds the run with the lowest within-cluster cost, then the first; all advance in the same passes."""
+    runs, _ = lloyd.fit_all(points, [(k, s) for s in seeds])
+    return min(runs, key=lambda r: r.cost)
 
-    The (k, seed) fits are independent distributed jobs, submitted concurrently from driver threads.
-    """
-    from concurrent.futures import ThreadPoolExecutor
-    ev = ClusteringEvaluator(featuresCol="features", predictionCol="cluster", metricName="silhouette",
-                             distanceMeasure="squaredEuclidean")
 
-    def one(k, s):
-        m = KMeans(k=k, seed=int(s), maxIter=MOST_ITERATIONS, featuresCol="features", predictionCol="cluster").fit(x)
-        return k, m, float(m.summary.trainingCost)
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        fits = list(pool.map(lambda ks_: one(*ks_), [(k, s) for k in ks for s in seeds]))
-    out = []
-    for k in ks:
-        _, m, cost = min((f for f in fits if f[0] == k), key=lambda f: f[2])
-        out.append((k, cost, float(ev.evaluate(m.transform(x)))))
-    return out
+def choose_k(points: Points, ks=range(2, 9), seeds=range(10)) -> list[tuple[int, float, float]]:
+    """(k, cost, silhouette) of the best of ``len(seeds)`` runs for each k; all runs of all k advance in the same passes."""
+    runs, _ = lloyd.fit_all(points, [(k, s) for k in ks for s in seeds])
+    best = [min((r for r in runs if r.k == k), key=lambda r: r.cost) for k in ks]
+    return [(r.k, r.cost, s) for r, s in zip(best, lloyd.silhouettes(points, [r.centres for r in best]))]
 
 
 def profile_summary(labelled: DataFrame, cluster: str = "cluster", target: str = S.TARGET) -> DataFrame:
@@ -109,13 +86,6 @@ def profile_signature(labelled: DataFrame, cols: list[str], cluster: str = "prof
     return means.selectExpr(cluster, f"stack({len(cols)}, {stack}) AS (variable, signature)")
 
 
-def bisecting(x: DataFrame, k: int = 4, seed: int = S.SEED):
-    """Bisecting k-means. Feed it uncentred (std-scaled) features: Euclidean clusters do not
-    depend on a translation, and Spark's split perturbation is proportional to the
-    parent centre, so an exactly centred root would never split."""
-    return BisectingKMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(x)
-
-
 def pcs_columns(model, x: DataFrame, n: int = 2) -> DataFrame:
     t = model.transform(x)
     arr = vector_to_array("pcs")

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from ..operators import lloyd as LL
 from ..operators import mining as MN
 from ..operators import models as MD
 from ..operators import sampling as SP
+from ..operators import ward as WD
 from ..sources.tables import survey_base
 from .common import Registry
 from .sqlbase import ctes
@@ -19,9 +21,9 @@ PROFILE12 = ["age_group", "bmi", "gen_hlth", "high_bp", "high_chol", "diff_walk"
              "education", "any_healthcare", "smoker", "stroke"]
 
 
-def _x(spark, sf, center: bool = True):
+def _x(spark, sf):
     b = survey_base(spark, sf).select("respondent_id", *S.FEATURES, S.TARGET, "has_care_access")
-    x, _ = MN.scaled(b, center=center)
+    x, _ = MN.scaled(b)
     return MD.materialize(x)
 
 
@@ -87,15 +89,19 @@ def dm_pca_scores(spark, sf):
 
 @q("dm_choose_k")
 def dm_choose_k(spark, sf):
-    """k = 2..8: within-cluster cost and silhouette (squared Euclidean, every row)."""
-    x = _x(spark, sf)
-    return spark.createDataFrame(MN.choose_k(x), "k long, inertia double, silhouette double")
+    """k = 2..8, ten seeds each: within-cluster cost and silhouette (squared Euclidean, every row) of the best seed; all 70 runs share their passes."""
+    points = LL.points_of(_x(spark, sf))
+    rows = MN.choose_k(points)
+    points.release()
+    return spark.createDataFrame(rows, "k long, inertia double, silhouette double")
 
 
 def _kmeans_labelled(spark, sf):
     x = _x(spark, sf)
-    m, _ = MN.kmeans_best(x, 4, range(10))
-    return m.transform(x)
+    points = LL.points_of(x)
+    best = MN.kmeans_best(points, 4, range(10))
+    points.release()
+    return LL.assigned(x, best.centres)
 
 
 @q("dm_kmeans")
@@ -128,14 +134,30 @@ def dm_profile_signature(spark, sf):
     return MN.profile_signature(_profiled(spark, sf), S.FEATURES)
 
 
+def _linked(spark, sf):
+    x = _x(spark, sf)
+    points = LL.points_of(x)
+    centres, weights = WD.micro_clusters(points)
+    points.release()
+    return x, centres, WD.linkage(centres, weights)
+
+
 @q("dm_hierarchy")
 def dm_hierarchy(spark, sf):
-    """Divisive hierarchical grouping into 4 (bisecting k-means on every row): size and target rate."""
-    x = _x(spark, sf, center=False)
-    lab = MN.bisecting(x).transform(x)
+    """Ward linkage of every row (through micro-clusters), cut into 4 groups: size and target rate."""
+    x, centres, merges = _linked(spark, sf)
+    lab = LL.assigned(x, centres, labels=WD.groups(merges, len(centres), 4))
     return lab.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), (F.avg(S.TARGET) * 100).alias("target_pct"))
 
 
+@q("dm_dendrogram")
+def dm_dendrogram(spark, sf):
+    """The last 30 merges of the linkage: the clusters joined, height and rows of the new one."""
+    _, centres, merges = _linked(spark, sf)
+    rows = [(i - len(merges), a, b, height, int(n)) for i, (a, b, height, n) in enumerate(merges)][-30:]
+    return spark.createDataFrame(rows, "step long, first long, second long, height double, n long")
+
+
 # The profile tables on given labels (education code as the cluster), which SQL can hold the operators against.
 _GIVEN = ctes("lab AS (SELECT *, education AS cluster FROM base)")
 

@@ -17,7 +17,8 @@ Ties in gain go to the first feature, then the lowest cut. Rows of a model's hel
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import json
+from dataclasses import asdict, dataclass, field, fields, replace
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,8 @@ from .passes import summed
 #: Trees of a model that passes add to the kept margins, at most; margins that are made from margins before a checkpoint.
 NEW_TREES, CHAIN = 4, 12
 NO_GAIN = 1e-9
+MADE = 100
+TASK_WORK = 1 << 15  # rows times models that are worth a task
 
 
 @dataclass(frozen=True)
@@ -74,6 +77,7 @@ class Growing:
     """A model on its way: its setting, its held-out fold, its trees, and the present tree's level."""
     setting: Setting
     held: int
+    share: float = 1.0  # of the rows that aren't held out, those that train: the first by hash of id, so that smaller shares are part of greater ones
     trees: list[Tree] = field(default_factory=list)
     kept: int = 0  # trees that the kept margins have
     tree: Tree | None = None
@@ -96,7 +100,8 @@ def best_splits(sums: np.ndarray, starts: np.ndarray, penalty: float, least_weig
     left = both - np.repeat(np.concatenate([np.zeros((len(sums), 2, 1)), both], axis=2)[:, :, starts[:-1]], np.diff(starts), axis=2)
     gl, hl = left[:, 0], left[:, 1]
     gr, hr = g - gl, h - hl
-    ok = (hl >= least_weight) & (hr >= least_weight)
+    least = least_weight * (1 - NO_GAIN)  # sums of the least weight itself may come out a rounding below
+    ok = (hl >= least) & (hr >= least)
     ok[:, starts[1:] - 1] = False  # a feature's last bin has nothing on its right
     with np.errstate(divide="ignore", invalid="ignore"):
         gain = np.where(ok, gl ** 2 / (hl + penalty) + gr ** 2 / (hr + penalty) - g * g / (h + penalty), 0.0)
@@ -135,6 +140,18 @@ def advance(m: Growing, found: np.ndarray, starts: np.ndarray) -> None:
             m.start()
 
 
+def trains(m: Growing, fold: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """Which rows a model learns from. Folds from MADE on hold made rows, each fold's only for the model that holds it out."""
+    return (fold != m.held) & ((fold < MADE) | (fold == MADE + m.held)) & (order < m.share)
+
+
+def order_of(ids: np.ndarray) -> np.ndarray:
+    """Where rows stand by hash of id, from 0 to 1."""
+    x = ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)) * 2.0 ** -53
+
+
 def margins_of(m: Growing, codes: np.ndarray, kept: np.ndarray) -> np.ndarray:
     """Kept margins and what newer trees add."""
     out = kept
@@ -143,17 +160,18 @@ def margins_of(m: Growing, codes: np.ndarray, kept: np.ndarray) -> np.ndarray:
     return out
 
 
-def _level_sums(rows: DataFrame, models: list[Growing], active: list[int], bins: Bins, positive: float) -> list[np.ndarray]:
+def _level_sums(rows: DataFrame, models: list[Growing], active: list[int], bins: Bins, positive: float, tasks: int | None = None) -> list[np.ndarray]:
     """Of each active model, the (slots, 2, bins) sums of its level."""
     d, starts = len(bins.names), bins.starts
     width = int(starts[-1])
     ends = np.cumsum([0] + [len(models[k].slots) * 2 * width for k in active])
-    light = [(k, Growing(m.setting, m.held, m.trees[m.kept:], 0, m.tree, m.level, m.slots)) for k in active for m in [models[k]]]
+    light = [(k, replace(models[k], trees=models[k].trees[models[k].kept:], kept=0, sisters={}, sums={})) for k in active]
 
     def part(batch: pa.RecordBatch) -> np.ndarray:
         out = np.zeros(ends[-1])
         for i in range(batch.num_rows):
-            codes, y, fold, _ = block_of(batch, i, d)
+            codes, y, fold, ids = block_of(batch, i, d)
+            order = order_of(ids)
             kept = np.frombuffer(batch.column(4)[i].as_py()).reshape(len(models), -1)
             placed = codes + starts[:-1, None].astype(np.int32)
             weight = np.where(y == 1, positive, 1.0)
@@ -161,7 +179,7 @@ def _level_sums(rows: DataFrame, models: list[Growing], active: list[int], bins:
                 slot = np.full(len(m.tree.feature), -1, np.int64)
                 slot[list(m.slots)] = list(m.slots.values())
                 at = slot[m.tree.nodes(codes, m.level)]
-                own = np.flatnonzero((at >= 0) & (fold != m.held))
+                own = np.flatnonzero((at >= 0) & trains(m, fold, order))
                 if not len(own):
                     continue
                 some = codes[:, own]
@@ -173,14 +191,14 @@ def _level_sums(rows: DataFrame, models: list[Growing], active: list[int], bins:
                 sums[:, 1] += np.bincount(cells, np.tile(h, d), sums.shape[0] * width).reshape(-1, width)
         return out
 
-    found = summed(rows, part, int(ends[-1]))
+    found = summed(rows, part, int(ends[-1]), tasks)
     return [found[ends[j]:ends[j + 1]].reshape(-1, 2, width) for j in range(len(active))]
 
 
 def _with_margins(rows: DataFrame, models: list[Growing], bins: Bins) -> DataFrame:
     """The rows with margins of all finished trees."""
     d = len(bins.names)
-    light, names = [Growing(m.setting, m.held, m.trees[m.kept:]) for m in models], rows.columns
+    light, names = [replace(m, trees=m.trees[m.kept:], kept=0, tree=None, sisters={}, sums={}) for m in models], rows.columns
 
     def run(batches):
         for batch in batches:
@@ -205,6 +223,28 @@ def _first_margins(rows: DataFrame, n: int) -> DataFrame:
     return rows.mapInArrow(run, "codes binary, y binary, fold binary, id binary, margins binary")
 
 
+@dataclass
+class Booster:
+    """A fitted model by itself."""
+    setting: Setting
+    trees: list[Tree]
+    bins: Bins
+
+    def margins(self, codes: np.ndarray) -> np.ndarray:
+        return sum((tree.value[tree.nodes(codes, self.setting.depth)] for tree in self.trees), np.zeros(codes.shape[1]))
+
+    def to_json(self) -> str:
+        return json.dumps({"setting": asdict(self.setting), "names": self.bins.names, "cuts": [c.tolist() for c in self.bins.cuts],
+                           "trees": [{f.name: getattr(t, f.name).tolist() for f in fields(Tree)} for t in self.trees]})
+
+    @staticmethod
+    def from_json(text: str) -> Booster:
+        x = json.loads(text)
+        kinds = {"feature": np.int16, "cut": np.uint8, "value": float, "weight": float}
+        return Booster(Setting(**x["setting"]), [Tree(**{k: np.array(v, kinds[k]) for k, v in t.items()}) for t in x["trees"]],
+                       Bins(x["names"], [np.array(c, float) for c in x["cuts"]]))
+
+
 @dataclass
 class Boosted:
     """All models of a fit, and the rows with their margins."""
@@ -213,51 +253,56 @@ class Boosted:
     rows: DataFrame
     passes: int
 
-    def held_out_counts(self) -> DataFrame:
-        """(grp, score, pos, neg): rows of each model's held-out fold; grp = place of the model among all."""
-        d, held = len(self.bins.names), [m.held for m in self.models]
+    def counts(self, training: bool = False) -> DataFrame:
+        """(grp, score, pos, neg): rows of each model's held-out fold; grp = place of the model among all.
+        With ``training`` grp is twice that, and twice that and 1 are the rows that the model learnt from."""
+        d, models = len(self.bins.names), [replace(m, trees=[], tree=None, sisters={}, sums={}) for m in self.models]
 
         def run(batches):
             for batch in batches:
                 for i in range(batch.num_rows):
-                    _, y, fold, _ = block_of(batch, i, d)
-                    margins = np.frombuffer(batch.column(4)[i].as_py()).reshape(len(held), -1)
-                    for k, f in enumerate(held):
-                        own = fold == f
-                        score, at = np.unique(1.0 / (1.0 + np.exp(-margins[k, own])), return_inverse=True)
-                        pos = np.bincount(at, y[own], len(score)).astype(np.int64)
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(score), k, np.int32)), pa.array(score), pa.array(pos),
-                                                          pa.array(np.bincount(at, minlength=len(score)).astype(np.int64) - pos)], names=["grp", "score", "pos", "neg"])
+                    _, y, fold, ids = block_of(batch, i, d)
+                    margins = np.frombuffer(batch.column(4)[i].as_py()).reshape(len(models), -1)
+                    for k, m in enumerate(models):
+                        parts = [(2 * k, fold == m.held), (2 * k + 1, trains(m, fold, order_of(ids)))] if training else [(k, fold == m.held)]
+                        for grp, own in parts:
+                            score, at = np.unique(1.0 / (1.0 + np.exp(-margins[k, own])), return_inverse=True)
+                            pos = np.bincount(at, y[own], len(score)).astype(np.int64)
+                            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(score), grp, np.int32)), pa.array(score), pa.array(pos),
+                                                              pa.array(np.bincount(at, minlength=len(score)).astype(np.int64) - pos)], names=["grp", "score", "pos", "neg"])
 
         out = self.rows.mapInArrow(run, "grp int, score double, pos long, neg long")
         return out.groupBy("grp", "score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
 
+    def boosters(self) -> list[Booster]:
+        return [Booster(m.setting, m.trees, self.bins) for m in self.models]
+
     def release(self) -> None:
         self.rows.unpersist()
 
 
 def fit_all(folds: DataFrame, names: list[str], settings: list[Setting], held: list[int], positive: float | None = None, label: str = S.TARGET,
-            bins: Bins | None = None) -> Boosted:
-    """Models (setting, held-out fold) in this order of nesting; a held-out fold of -1 holds nothing out.
+            bins: Bins | None = None, shares: list[float] | None = None) -> Boosted:
+    """Models (setting, share of the training rows, held-out fold) in this order of nesting; a held-out fold of -1 holds nothing out.
 
     ``folds`` has the features, the label, ``fold`` and ``respondent_id``. ``positive``: weight of positive rows, by default as
     many as negatives are per positive.
     """
     ship_package(folds.sparkSession)
     bins = bins or learn_bins(folds, names)
+    n = {int(r[0]): int(r[1]) for r in folds.groupBy(label).count().collect()}
     if positive is None:
-        n = {int(r[0]): int(r[1]) for r in folds.groupBy(label).count().collect()}
         positive = n.get(0, 0) / n[1] if n.get(1) else 1.0
-    models = [Growing(s, f) for s in settings for f in held]
-    # Rows are read once a level and tree: dealt to all cores once, however few files or tasks they come from.
-    spread = max(folds.rdd.getNumPartitions(), folds.sparkSession.sparkContext.defaultParallelism)
-    rows = _first_margins(cut_lineage(packed(folds.repartition(spread, "respondent_id"), bins, label)), len(models)).persist(StorageLevel.MEMORY_AND_DISK)
+    models = [Growing(s, f, share) for s in settings for share in shares or [1.0] for f in held]
+    # Rows are read once a level and tree: dealt once to as many tasks as their work is worth, however few files they come from.
+    tasks = max(folds.rdd.getNumPartitions(), min(folds.sparkSession.sparkContext.defaultParallelism, sum(n.values()) * len(models) // TASK_WORK + 1))
+    rows = _first_margins(cut_lineage(packed(folds.repartition(tasks, "respondent_id"), bins, label)), len(models)).persist(StorageLevel.MEMORY_AND_DISK)
     for m in models:
         if not m.done():
             m.start()
     passes = chain = 0
     while active := [k for k, m in enumerate(models) if not m.done()]:
-        for k, found in zip(active, _level_sums(rows, models, active, bins, positive)):
+        for k, found in zip(active, _level_sums(rows, models, active, bins, positive, tasks)):
             advance(models[k], found, bins.starts)
         passes += 1
         if any(len(m.trees) - m.kept >= NEW_TREES for m in models) or all(m.done() for m in models):
@@ -279,21 +324,20 @@ def _renewed(rows: DataFrame, models: list[Growing], bins: Bins, chain: int) ->
     return new, chain
 
 
-def scores(df: DataFrame, model: Growing, bins: Bins, name: str = "score") -> DataFrame:
-    """``df`` with the model's probability of a positive row."""
+def scores(df: DataFrame, models: list[Booster], names: list[str]) -> DataFrame:
+    """``df`` with each model's probability of a positive row; the models have the same bins."""
     ship_package(df.sparkSession)
-    alone = Growing(model.setting, model.held, model.trees)
-    shared = df.sparkSession.sparkContext.broadcast(alone)
-    d, names = len(bins.names), [*df.columns, name]
+    bins = models[0].bins
+    shared = df.sparkSession.sparkContext.broadcast(models)
+    d, columns = len(bins.names), [*df.columns, *names]
 
     def run(batches):
-        m = shared.value
         for batch in batches:
             n = batch.num_columns - d
             codes = bins.codes([batch.column(n + i).to_numpy(zero_copy_only=False) for i in range(d)])
-            p = 1.0 / (1.0 + np.exp(-margins_of(m, codes, np.zeros(batch.num_rows))))
-            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(n)], pa.array(p)], names=names)
+            found = [pa.array(1.0 / (1.0 + np.exp(-m.margins(codes)))) for m in shared.value]
+            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(n)], *found], names=columns)
 
     features = [F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(bins.names)]
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields] + [f"`{name}` double"])
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields] + [f"`{name}` double" for name in names])
     return df.select("*", *features).mapInArrow(run, schema)

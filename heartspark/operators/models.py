@@ -12,18 +12,22 @@ from __future__ import annotations
 
 import json
 import time
+from dataclasses import asdict
 
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from ..session import ship_package
+from . import boosting, isotonic
 from . import curves as CV
+from .isotonic import IsotonicMap
 
 #: Bins of tree splits: more than any feature has codes (bmi has the most), so that no split point is lost.
 MAX_BINS = 128
@@ -197,51 +201,83 @@ def grid(folds: DataFrame, family: str, settings: list[dict], weighted: bool = T
 
 
 class CalibratedModel:
-    """k pipelines, each with an isotonic map fitted on the rows that it hasn't seen; scores are averages over the k.
+    """k models, each with an exact isotonic map fitted on the rows that it hasn't seen; scores are averages over the k.
 
+    Boosted models of all folds are fitted together (``boosting``), those of other families one by one as Spark ML pipelines.
     ``metadata`` (JSON values: family, parameters, features, threshold, ...) is saved with the model.
     """
 
-    def __init__(self, parts: list, metadata: dict):
-        self.parts, self.metadata = parts, metadata
+    def __init__(self, models: list, maps: list[IsotonicMap], metadata: dict):
+        self.models, self.maps, self.metadata = models, maps, metadata
 
     @staticmethod
     def fit(folds: DataFrame, family: str, params: dict, k: int = S.N_FOLDS, parallelism: int = S.N_FOLDS) -> CalibratedModel:
-        from concurrent.futures import ThreadPoolExecutor
-        folds = materialize(folds)
-
-        def one(f: int):
-            tr, va = folds.where(F.col("fold") != f), folds.where(F.col("fold") == f)
-            m = fit(tr, family, params)
-            # The map is fitted on counts of scores at 4 digits: at most 20 002 rows reach the driver, whatever the fold's size.
-            counts = score(m, va).groupBy(F.round("score", 4).alias("score"), S.TARGET).agg(F.count(F.lit(1)).cast("double").alias("n"))
-            return m, IsotonicRegression(featuresCol="score", labelCol=S.TARGET, weightCol="n", isotonic=True).fit(counts)
-
-        with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            parts = list(pool.map(one, range(k)))
-        return CalibratedModel(parts, {"family": family, "params": params, "features": S.FEATURES, "folds": k})
+        if family == "boosting":
+            fitted = boosting.fit_all(folds, S.FEATURES, [boosting_setting(params)], list(range(k)))
+            models, maps = fitted.boosters(), isotonic.fit_groups(fitted.counts())
+            fitted.release()
+        else:
+            from concurrent.futures import ThreadPoolExecutor
+            folds = materialize(folds)
+            with ThreadPoolExecutor(max_workers=parallelism) as pool:
+                models = list(pool.map(lambda f: fit(folds.where(F.col("fold") != f), family, params), range(k)))
+            counts = None
+            for f, m in enumerate(models):
+                own = CV.score_counts(score(m, folds.where(F.col("fold") == f)), "score", S.TARGET).withColumn("grp", F.lit(f))
+                counts = own if counts is None else counts.unionByName(own)
+            maps = isotonic.fit_groups(counts)
+        return CalibratedModel(models, [maps.get(f, IsotonicMap([], [])) for f in range(k)], {"family": family, "params": params, "features": S.FEATURES, "folds": k})
 
     def score(self, df: DataFrame, raw: str = "score_raw", calibrated: str = "score_calibrated") -> DataFrame:
         """``df`` with the mean raw and mean calibrated score; the transforms are chained on one frame, without a join."""
-        out, k = df, len(self.parts)
-        for f, (m, iso) in enumerate(self.parts):
-            out = score(m, out, f"_raw{f}")
-            out = iso.setFeaturesCol(f"_raw{f}").setPredictionCol(f"_cal{f}").transform(out)
-        mean = lambda name: sum([F.col(f"{name}{f}") for f in range(1, k)], F.col(f"{name}0")) / k
-        return out.withColumns({raw: mean("_raw"), calibrated: mean("_cal")}).drop(*[f"{n}{f}" for n in ("_raw", "_cal") for f in range(k)])
+        names = [f"_raw{f}" for f in range(len(self.models))]
+        if self.metadata["family"] == "boosting":
+            out = boosting.scores(df, self.models, names)
+        else:
+            out = df
+            for m, name in zip(self.models, names):
+                out = score(m, out, name)
+        maps, n = self.maps, len(df.columns)
+
+        def run(batches):
+            for batch in batches:
+                raws = [batch.column(n + f).to_numpy(zero_copy_only=False) for f in range(len(maps))]
+                means = [sum(x) / len(maps) for x in (raws, [m.apply(x) for m, x in zip(maps, raws)])]
+                yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(n)], *[pa.array(x) for x in means]], names=columns)
+
+        columns = [*df.columns, raw, calibrated]
+        schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields] + [f"`{c}` double" for c in (raw, calibrated)])
+        ship_package(df.sparkSession)
+        return out.select(*[F.col(f"`{c}`") for c in df.columns], *names).mapInArrow(run, schema)
 
     def save(self, spark, path: str) -> None:
-        for f, (m, iso) in enumerate(self.parts):
-            m.write().overwrite().save(f"{path}/pipeline-{f}")
-            iso.write().overwrite().save(f"{path}/isotonic-{f}")
-        spark.createDataFrame([(json.dumps(self.metadata),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/metadata")
+        texts = [("metadata", json.dumps(self.metadata)), *[(f"isotonic-{f}", json.dumps(asdict(m))) for f, m in enumerate(self.maps)]]
+        for f, m in enumerate(self.models):
+            if isinstance(m, boosting.Booster):
+                texts.append((f"model-{f}", m.to_json()))
+            else:
+                m.write().overwrite().save(f"{path}/pipeline-{f}")
+        spark.createDataFrame(texts, "name string, value string").coalesce(1).write.mode("overwrite").json(f"{path}/documents")
 
     @staticmethod
     def load(spark, path: str) -> CalibratedModel:
-        from pyspark.ml.regression import IsotonicRegressionModel
-        metadata = json.loads(spark.read.text(f"{path}/metadata").first()[0])
-        return CalibratedModel([(PipelineModel.load(f"{path}/pipeline-{f}"), IsotonicRegressionModel.load(f"{path}/isotonic-{f}"))
-                                for f in range(metadata["folds"])], metadata)
+        texts = {r["name"]: r["value"] for r in spark.read.schema("name string, value string").json(f"{path}/documents").collect()}
+        metadata = json.loads(texts["metadata"])
+        models = [boosting.Booster.from_json(texts[f"model-{f}"]) if f"model-{f}" in texts else PipelineModel.load(f"{path}/pipeline-{f}")
+                  for f in range(metadata["folds"])]
+        return CalibratedModel(models, [IsotonicMap(**json.loads(texts[f"isotonic-{f}"])) for f in range(metadata["folds"])], metadata)
+
+
+def boosting_setting(params: dict) -> boosting.Setting:
+    return boosting.Setting(params["max_depth"], params["learning_rate"], float(params.get("reg_lambda", 1)), params.get("n_estimators", 300))
+
+
+def boosted(train: DataFrame, params: dict) -> boosting.Booster:
+    """One boosted model of all rows."""
+    fitted = boosting.fit_all(train.withColumn("fold", F.lit(0)), S.FEATURES, [boosting_setting(params)], [-1])
+    model = fitted.boosters()[0]
+    fitted.release()
+    return model
 
 
 def isotonic_calibrated(folds: DataFrame, test: DataFrame, family: str, params: dict, k: int = S.N_FOLDS) -> DataFrame:

@@ -12,11 +12,12 @@ from pyspark.sql import DataFrame
 from ..session import ship_package
 
 
-def summed(df: DataFrame, part: Callable[[pa.RecordBatch], np.ndarray], size: int) -> np.ndarray:
+def summed(df: DataFrame, part: Callable[[pa.RecordBatch], np.ndarray], size: int, tasks: int | None = None) -> np.ndarray:
     """The sum of ``part(batch)``, ``size`` doubles, over all Arrow batches of ``df``.
 
     A task adds up its own batches and gives one row back. If there are many tasks, groups of about the
     square root of their number are added before the driver adds the groups, so that what reaches it stays small.
+    ``tasks``: the number of partitions of ``df``, for callers that know it (asking costs another planning of the query).
     """
     ship_package(df.sparkSession)
 
@@ -38,7 +39,7 @@ def summed(df: DataFrame, part: Callable[[pa.RecordBatch], np.ndarray], size: in
         yield row(found)
 
     sums = df.mapInArrow(run, "s binary")
-    groups = isqrt(df.rdd.getNumPartitions())
+    groups = isqrt(df.rdd.getNumPartitions() if tasks is None else tasks)
     if groups > 8:
         sums = sums.repartition(groups).mapInArrow(add, "s binary")
     found = np.zeros(size)

@@ -317,11 +317,12 @@ def src_model(spark, sf):
 @q("ml_results")
 def ml_results(spark, sf):
     """Nested results document of the kept, calibrated model (test metrics, threshold, confusion, class report, fit gap,
-    calibration, irreducible error, baseline, importance) written as JSON and read back."""
+    calibration, learning curve, irreducible error, baseline, importance by mean absolute contribution) written as JSON and read back."""
     from ..operators import curves as CV
     from ..operators import duplicates as D
     from ..operators import models as MD
-    from .ml import BEST, KEPT, _folds, _split, fit_gap_rows, fold_scores, shift_of
+    from ..operators import treeshap as TS
+    from .ml import BEST, KEPT, _folds, _split, boosted_pairs, curve_rows, fit_gap_rows, shift_of
     folds = _folds(spark, sf)
     _, test = _split(spark, sf)
     model = MD.CalibratedModel.fit(folds, KEPT, BEST[KEPT])
@@ -329,12 +330,18 @@ def ml_results(spark, sf):
     th = CV.pick_threshold(sc, "score_calibrated", S.TARGET, S.TARGET_RECALL)
     cut = th.first()["threshold"]
     conf = CV.threshold_metrics(sc, "score_calibrated", S.TARGET, float(cut))
-    gap = spark.createDataFrame(fit_gap_rows([fold_scores(folds, KEPT, BEST[KEPT], 0)]), "metric string, train double, validation double, gap double, gap_pct double")
+    shares = [0.1, 0.28, 0.46, 0.64, 0.82, 1.0]
+    pairs = boosted_pairs(folds, [MD.boosting_setting(BEST[KEPT])], shares)
+    gap = spark.createDataFrame(fit_gap_rows(pairs[0, len(shares) - 1]), "metric string, train double, validation double, gap double, gap_pct double")
+    learning = spark.createDataFrame(curve_rows([pairs[0, j] for j in range(len(shares))], shares),
+                                     "fraction double, train_mean double, train_std double, validation_mean double, validation_std double")
+    importance = TS.booster_contributions(model.models[0], test).groupBy("variable").agg(F.avg(F.abs("value")).alias("mean_abs")).select("mean_abs", "variable")
     base = survey_base(spark, sf)
     listed = lambda df, name: df.agg(F.sort_array(F.collect_list(F.struct(*df.columns))).alias(name))
     one = lambda df, name: df.select(F.struct("*").alias(name))
     doc = one(MD.metrics(sc, "score_calibrated", threshold=float(cut)), "test")
-    for part in (one(th, "threshold"), one(conf, "confusion"), listed(CV.class_report(conf), "class_report"), listed(gap, "fit_gap_first_fold"),
+    for part in (one(th, "threshold"), one(conf, "confusion"), listed(CV.class_report(conf), "class_report"), listed(gap, "fit_gap"), listed(learning, "learning_curve"),
+                 listed(importance, "importance"),
                  one(shift_of(sc), "calibration"), listed(CV.reliability(sc, "score_calibrated", S.TARGET), "reliability"),
                  one(D.irreducible(base), "irreducible_error"),
                  one(base.agg((1 - F.avg(S.TARGET)).alias("majority_accuracy"), (F.avg(S.TARGET) * 100).alias("real_rate_pct")), "baseline")):

@@ -4,11 +4,11 @@ except the fitted scaler statistics, which have an exact SQL oracle."""
 from __future__ import annotations
 
 import time
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from ..operators import binned as BN
 from ..operators import boosting as BO
 from ..operators import curves as CV
 from ..operators import forest as FO
@@ -41,6 +41,8 @@ FOREST_GRID = [{"max_depth": d, "min_samples_leaf": m} for d in (8, 12, 16) for
 FOREST_TREES = 200
 BOOSTING_GRID = [{"max_depth": d, "learning_rate": r, "reg_lambda": p} for d in (3, 5, 7) for r in (0.05, 0.1) for p in (1, 5)]
 BOOSTING_ROUNDS = 300
+# Rounds of the validation curve, whose deepest models take ten passes a round.
+CURVE_ROUNDS = 60
 SVM_GRID = [{"C": c} for c in (0.01, 0.1, 1)]
 
 
@@ -83,7 +85,18 @@ def _family(name, family):
 _family("ml_logreg", "logreg")
 _family("ml_tree", "tree")
 _family("ml_forest", "forest")
-_family("ml_boosting", "boosting")
+
+
+@q("ml_boosting")
+def ml_boosting(spark, sf):
+    """The boosting family's published best setting (leaf penalty 1), fitted on train; metrics on test."""
+    train, test = _split(spark, sf)
+    started = time.time()
+    model = MD.boosted(train, BEST["boosting"])
+    out = MD.metrics(BO.scores(test, [model], ["score"]))
+    return out.withColumns({"fit_seconds": F.lit(round(time.time() - started, 3)), "model": F.lit("boosting")})
+
+
 _family("ml_svm", "svm")
 
 
@@ -133,17 +146,13 @@ def ml_grid_tree(spark, sf):
     return MD.grid(_folds(spark, sf), "tree", TREE_GRID)
 
 
-def boosting_setting(params):
-    return BO.Setting(params["max_depth"], params["learning_rate"], float(params.get("reg_lambda", 1)), params.get("n_estimators", BOOSTING_ROUNDS))
-
-
 @q("ml_grid_boosting")
 def ml_grid_boosting(spark, sf):
     """Cross-validated grid of the boosting family (depth 3/5/7 x rate .05/.1 x leaf penalty 1/5, 300 rounds): all 60 models grow together."""
     folds = _folds(spark, sf)
     started = time.time()
-    fit = BO.fit_all(folds, LG.FEATURES, [boosting_setting(p) for p in BOOSTING_GRID], list(range(S.N_FOLDS)))
-    got = {r["grp"]: r for r in CV.summary_by_group(fit.held_out_counts()).collect()}
+    fit = BO.fit_all(folds, LG.FEATURES, [MD.boosting_setting(p | {"n_estimators": BOOSTING_ROUNDS}) for p in BOOSTING_GRID], list(range(S.N_FOLDS)))
+    got = {r["grp"]: r for r in CV.summary_by_group(fit.counts()).collect()}
     fit.release()
     return _grid_frame(spark, BOOSTING_GRID, got, S.N_FOLDS, time.time() - started)
 
@@ -219,38 +228,37 @@ def strategy_table(spark, metrics):
 
 @q("ml_pick_strategy")
 def ml_pick_strategy(spark, sf):
-    """Class weighting against SMOTE inside each fold, on the logistic family's best setting; weighting wins ties.
+    """Class weighting against SMOTE inside each fold, on the kept family's best setting; weighting wins ties.
 
-    Fold f's model sees its own training folds, and for SMOTE the synthetic rows made from them alone.
+    Fold f's model sees its own training folds, and for SMOTE the synthetic rows made from them alone, without class weights.
     """
     folds = _folds(spark, sf)
-    c = BEST["logreg"]["C"]
-    rows = LG.as_rows(folds)
-    weighted = CV.summary_by_group(LG.held_out_counts(rows, LG.fit_all(rows, [c], list(range(S.N_FOLDS))))).collect()
-    plain = []
-    for f in range(S.N_FOLDS):
-        train, held = folds.where(F.col("fold") != f), folds.where(F.col("fold") == f)
+    setting, held = MD.boosting_setting(BEST[KEPT]), list(range(S.N_FOLDS))
+    bins = BN.learn_bins(folds, LG.FEATURES)
+    columns = ["respondent_id", *S.FEATURES, S.TARGET, "fold"]
+    both = folds.select(*[F.col(c).cast("double").alias(c) if c in S.FEATURES else F.col(c) for c in columns])
+    for f in held:
+        train = folds.where(F.col("fold") != f)
         prep = NB.preprocessing(train)
         made, _ = NB.smote(spark, prep, train)
-        real = NB.vectors(prep, train, S.TARGET).select("x", F.col(S.TARGET).cast("int").alias("y"), F.lit(0).alias("fold"))
-        both = MD.materialize(real.unionByName(made.select("x", F.col(S.TARGET).alias("y"), F.lit(0).alias("fold"))))
-        model = LG.fit_all(both, [c], [-1], weighted=False)[0, -1]
-        scored = NB.vectors(prep, held, S.TARGET).select("x", F.col(S.TARGET).cast("int").alias("y"), F.lit(0).alias("fold"))
-        plain.append(CV.summary_by_group(LG.held_out_counts(scored, {(0, 0): model})).first())
-    return strategy_table(spark, {"weighting": weighted, "smote": plain})
-
-
-def fold_scores(folds, family, params, f):
-    """Metrics of the model of fold f on its own training rows and on the held-out ones."""
-    train, held = folds.where(F.col("fold") != f), folds.where(F.col("fold") == f)
-    m = MD.fit(train, family, params)
-    return MD.metrics(MD.score(m, train)).first().asDict(), MD.metrics(MD.score(m, held)).first().asDict()
-
-
-def over_folds(folds, family, params, parallelism=S.N_FOLDS):
-    """fold_scores of every fold; the fits are independent distributed jobs, submitted concurrently."""
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        return list(pool.map(lambda f: fold_scores(folds, family, params, f), range(S.N_FOLDS)))
+        own = NB.raw_columns(prep, made).withColumns({"respondent_id": -1 - F.col("j"), "fold": F.lit(BO.MADE + f)})
+        both = both.unionByName(own.select(*columns))
+    out = {}
+    for name, rows, positive in (("weighting", folds, None), ("smote", MD.materialize(both), 1.0)):
+        fit = BO.fit_all(rows, LG.FEATURES, [setting], held, positive=positive, bins=bins)
+        out[name] = [r.asDict() for r in CV.summary_by_group(fit.counts()).collect()]
+        fit.release()
+    return strategy_table(spark, out)
+
+
+def boosted_pairs(folds, settings, shares=None):
+    """(setting, share) places -> of every fold, metrics on the rows that its model learnt from and on the held-out ones; all models grow together."""
+    held, shares = list(range(S.N_FOLDS)), shares or [1.0]
+    fit = BO.fit_all(folds, LG.FEATURES, settings, held, shares=shares)
+    got = {r["grp"]: r.asDict() for r in CV.summary_by_group(fit.counts(training=True)).collect()}
+    fit.release()
+    place = lambda i, j, f: ((i * len(shares) + j) * len(held) + f) * 2
+    return {(i, j): [(got[place(i, j, f) + 1], got[place(i, j, f)]) for f in held] for i in range(len(settings)) for j in range(len(shares))}
 
 
 def fit_gap_rows(scores):
@@ -264,57 +272,44 @@ def fit_gap_rows(scores):
 
 @q("ml_fit_gap")
 def ml_fit_gap(spark, sf):
-    """Training against validation ROC-AUC and PR-AUC of the boosting model, means over all five folds,
+    """Training against validation ROC-AUC and PR-AUC of the kept family, means over all five folds,
     with the gap and the gap relative to the training score (%)."""
-    scores = over_folds(_folds(spark, sf), "boosting", BEST["boosting"])
+    scores = boosted_pairs(_folds(spark, sf), [MD.boosting_setting(BEST[KEPT])])[0, 0]
     return spark.createDataFrame(fit_gap_rows(scores), "metric string, train_mean double, val_mean double, gap double, gap_pct double")
 
 
-@q("ml_learning_curve")
-def ml_learning_curve(spark, sf):
-    """Training and validation ROC-AUC at 10..100 % of the training folds (stratified by hash), mean and std over folds.
-
-    The 30 (fraction, fold) fits are independent distributed jobs, submitted concurrently.
-    """
-    folds = _folds(spark, sf)
-    sizes = {r["fold"]: r["count"] for r in folds.groupBy("fold").count().collect()}
-    total = sum(sizes.values())
-    fracs = (0.1, 0.28, 0.46, 0.64, 0.82, 1.0)
-
-    def one(frac, f):
-        tr, va = folds.where(F.col("fold") != f), folds.where(F.col("fold") == f)
-        sub = SP.stratified_subsample(tr, max(1, int((total - sizes[f]) * frac)))
-        m = MD.fit(sub, "logreg", BEST["logreg"])
-        return frac, MD.metrics(MD.score(m, sub)).first()["roc_auc"], MD.metrics(MD.score(m, va)).first()["roc_auc"]
-    with ThreadPoolExecutor(max_workers=8) as pool:
-        res = list(pool.map(lambda a: one(*a), [(fr, f) for fr in fracs for f in range(S.N_FOLDS)]))
+def curve_rows(pairs, places):
+    """(place, training mean, std, validation mean, std) of ROC-AUC over the folds."""
     rows = []
-    for frac in fracs:
-        row = [frac]
-        for k in (1, 2):
-            aucs = [r[k] for r in res if r[0] == frac]
+    for place, own in zip(places, pairs):
+        row = [place]
+        for k in (0, 1):
+            aucs = [pair[k]["roc_auc"] for pair in own]
             mean = sum(aucs) / len(aucs)
             row += [mean, (sum((a - mean) ** 2 for a in aucs) / len(aucs)) ** 0.5]
         rows.append(tuple(row))
-    return spark.createDataFrame(rows, "fraction double, train_roc_auc_mean double, train_roc_auc_std double, "
-                                       "val_roc_auc_mean double, val_roc_auc_std double")
+    return rows
+
+
+@q("ml_learning_curve")
+def ml_learning_curve(spark, sf):
+    """Training and validation ROC-AUC of the kept family at 10..100 % of the training folds, mean and std over folds.
+    A smaller share's rows (first by hash) are part of a greater one's; all 30 models grow together."""
+    shares = [0.1, 0.28, 0.46, 0.64, 0.82, 1.0]
+    pairs = boosted_pairs(_folds(spark, sf), [MD.boosting_setting(BEST[KEPT])], shares)
+    return spark.createDataFrame(curve_rows([pairs[0, j] for j in range(len(shares))], shares),
+                                 "fraction double, train_roc_auc_mean double, train_roc_auc_std double, val_roc_auc_mean double, val_roc_auc_std double")
 
 
 @q("ml_validation_curve")
 def ml_validation_curve(spark, sf):
-    """Training and validation ROC-AUC by tree depth 1, 2, 3, 4, 6, 8, 10, means over all five folds; the best depth is flagged."""
-    folds = _folds(spark, sf)
-    depths = (1, 2, 3, 4, 6, 8, 10)
-    with ThreadPoolExecutor(max_workers=8) as pool:
-        res = list(pool.map(lambda a: (a[0], fold_scores(folds, "tree", {"max_depth": a[0], "min_samples_leaf": 100}, a[1])),
-                            [(d, f) for d in depths for f in range(S.N_FOLDS)]))
-    rows = []
-    for d in depths:
-        own = [pair for depth, pair in res if depth == d]
-        rows.append((d, sum(p[0]["roc_auc"] for p in own) / len(own), sum(p[1]["roc_auc"] for p in own) / len(own)))
-    best = max(rows, key=lambda r: (r[2], -r[0]))[0]
-    return spark.createDataFrame([(d, a, b, d == best) for d, a, b in rows],
-                                 "depth long, train_roc_auc double, val_roc_auc double, best boolean")
+    """Training and validation ROC-AUC of the kept family by tree depth 1, 2, 3, 4, 6, 8, 10, means over all five folds; the best depth
+    is flagged. All 35 models grow together; trees as deep as 10 have ``CURVE_ROUNDS`` rounds here."""
+    depths = [1, 2, 3, 4, 6, 8, 10]
+    pairs = boosted_pairs(_folds(spark, sf), [MD.boosting_setting(BEST[KEPT] | {"max_depth": d, "n_estimators": CURVE_ROUNDS}) for d in depths])
+    rows = curve_rows([pairs[i, 0] for i in range(len(depths))], depths)
+    best = max(rows, key=lambda r: (r[3], -r[0]))[0]
+    return spark.createDataFrame([(d, a, v, d == best) for d, a, _, v, _ in rows], "depth long, train_roc_auc double, val_roc_auc double, best boolean")
 
 
 @q("ml_calibrate")
@@ -379,17 +374,17 @@ def sc_position_model(spark, sf):
 
 @q("sc_score_model")
 def sc_score_model(spark, sf):
-    """Score every row with the fitted boosting pipeline (positive-class probability)."""
+    """Score every row with the fitted boosting model (positive-class probability)."""
     train, _ = _split(spark, sf)
-    m = MD.fit(train, "boosting", BEST["boosting"])
-    return MD.score(m, survey_base(spark, sf).select("respondent_id", *S.FEATURES), "risk").select("respondent_id", "risk")
+    m = MD.boosted(train, BEST["boosting"])
+    return BO.scores(survey_base(spark, sf).select("respondent_id", *S.FEATURES), [m], ["risk"]).select("respondent_id", "risk")
 
 
 def _tree_contrib(spark, sf):
     from ..operators import treeshap as TS
     train, _ = _split(spark, sf)
-    m = MD.fit(train, "boosting", BEST["boosting"])
-    return TS.contributions(m, survey_base(spark, sf).select("respondent_id", *S.FEATURES), MD.SCALED + MD.PASSTHROUGH)
+    m = MD.boosted(train, BEST["boosting"])
+    return TS.booster_contributions(m, survey_base(spark, sf).select("respondent_id", *S.FEATURES))
 
 
 @q("ml_contrib_tree")

@@ -38,7 +38,7 @@ def by_hand(rows, setting, held, positive):
                 for cut in (values[1:] + values[:-1]) / 2:
                     left = own & (x[:, f] <= cut)
                     gl, hl = g[left].sum(), h[left].sum()
-                    if hl < setting.least_weight or hs - hl < setting.least_weight:
+                    if min(hl, hs - hl) < setting.least_weight * (1 - 1e-9):
                         continue
                     gain = gl ** 2 / (hl + setting.penalty) + (gs - gl) ** 2 / (hs - hl + setting.penalty) - gs ** 2 / (hs + setting.penalty)
                     if gain > 1e-9 and (best is None or gain > best[0] * (1 + 1e-9)):
@@ -87,7 +87,7 @@ def test_trees_equal_those_by_hand(spark, monkeypatch):
     fit = B.fit_all(df, NAMES, settings, [0, 1, -1], bins=bins)
     positive = sum(r[4] == 0 for r in rows) / sum(r[4] for r in rows)
     counts = {}
-    for r in fit.held_out_counts().collect():
+    for r in fit.counts().collect():
         counts.setdefault(r.grp, []).append((round(r.score, 9), r.pos, r.neg))
     for k, m in enumerate(fit.models):
         trees, margin = by_hand(rows, m.setting, m.held, positive)
@@ -98,12 +98,34 @@ def test_trees_equal_those_by_hand(spark, monkeypatch):
             for s, y in held:
                 want.setdefault(round(s, 9), [0, 0])[1 - y] += 1
             assert sorted(counts[k]) == sorted((s, p, n) for s, (p, n) in want.items())
-    done = {r.respondent_id: r.score for r in B.scores(df.select("respondent_id", *NAMES), fit.models[-1], bins).collect()}
+    done = {r.respondent_id: r.score for r in B.scores(df.select("respondent_id", *NAMES), [B.Booster.from_json(fit.boosters()[-1].to_json())], ["score"]).collect()}
     assert all(math.isclose(done[r[0]], 1 / (1 + math.exp(-margin[r[0]])), rel_tol=1e-9) for r in rows)
     assert fit.passes <= 7 * 4
     fit.release()
 
 
+def test_shares_and_made_rows(spark):
+    """A model of a share learns from the first rows by hash alone, and made rows go to the model that holds out their fold."""
+    rows = table(240)
+    made = [(1000 + i, *r[1:5], B.MADE + r[5]) for i, r in enumerate(rows[:60])]
+    df = spark.createDataFrame(rows + made, "respondent_id long, a int, b int, c double, heart_disease int, fold int")
+    order = B.order_of(np.array([r[0] for r in rows + made]))
+    setting = B.Setting(3, 0.1, 1.0, 4)
+    fit = B.fit_all(df, NAMES, [setting], [0, 1], positive=2.0, shares=[0.4, 1.0])
+    sizes = {}
+    for r in fit.counts(training=True).collect():
+        sizes[r.grp] = sizes.get(r.grp, 0) + r.pos + r.neg
+    for k, m in enumerate(fit.models):
+        own = [r for r, o in zip(rows + made, order) if o < m.share and r[5] != m.held and (r[5] < B.MADE or r[5] == B.MADE + m.held)]
+        assert sizes[2 * k] == 120 and sizes[2 * k + 1] == len(own)
+        inside = {r[0] for r in own}
+        trees, _ = by_hand([(*r[:5], int(r[0] in inside)) for r in rows + made], setting, 0, 2.0)
+        assert all(same(as_tuples(a, fit.bins), b) for a, b in zip(m.trees, trees))
+    small, whole = fit.models[0], fit.models[2]
+    assert (small.share, whole.share) == (0.4, 1.0) and sizes[1] < 0.6 * sizes[5]
+    fit.release()
+
+
 @pytest.mark.parametrize("rows", [[(0, 1, 0, 0.5, 1, 0)], [(i, 3, 1, 2.0, i % 2, i % 2) for i in range(40)]])
 def test_nothing_to_split(spark, rows):
     """One row, one class, one value for each feature: trees of one leaf."""

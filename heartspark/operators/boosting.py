@@ -31,8 +31,8 @@ from ..session import cut_lineage, ship_package
 from .binned import Bins, block_of, learn_bins, packed
 from .passes import summed
 
-#: Trees of a model that passes add to the kept margins, at most; margins that are made from margins before a checkpoint.
-NEW_TREES, CHAIN = 4, 12
+#: Trees of a model, and of all models, that passes add to the kept margins, at most; margins that are made from margins before a checkpoint.
+NEW_TREES, ALL_NEW_TREES, CHAIN = 32, 240, 12
 NO_GAIN = 1e-9
 MADE = 100
 TASK_WORK = 1 << 15  # rows times models that are worth a task
@@ -163,7 +163,7 @@ def margins_of(m: Growing, codes: np.ndarray, kept: np.ndarray) -> np.ndarray:
 def _level_sums(rows: DataFrame, models: list[Growing], active: list[int], bins: Bins, positive: float, tasks: int | None = None) -> list[np.ndarray]:
     """Of each active model, the (slots, 2, bins) sums of its level."""
     d, starts = len(bins.names), bins.starts
-    width = int(starts[-1])
+    width, n_models = int(starts[-1]), len(models)
     ends = np.cumsum([0] + [len(models[k].slots) * 2 * width for k in active])
     light = [(k, replace(models[k], trees=models[k].trees[models[k].kept:], kept=0, sisters={}, sums={})) for k in active]
 
@@ -172,7 +172,7 @@ def _level_sums(rows: DataFrame, models: list[Growing], active: list[int], bins:
         for i in range(batch.num_rows):
             codes, y, fold, ids = block_of(batch, i, d)
             order = order_of(ids)
-            kept = np.frombuffer(batch.column(4)[i].as_py()).reshape(len(models), -1)
+            kept = np.frombuffer(batch.column(4)[i].as_py()).reshape(n_models, -1)
             placed = codes + starts[:-1, None].astype(np.int32)
             weight = np.where(y == 1, positive, 1.0)
             for j, (k, m) in enumerate(light):
@@ -301,27 +301,30 @@ def fit_all(folds: DataFrame, names: list[str], settings: list[Setting], held: l
         if not m.done():
             m.start()
     passes = chain = 0
+    old = None
     while active := [k for k, m in enumerate(models) if not m.done()]:
         for k, found in zip(active, _level_sums(rows, models, active, bins, positive, tasks)):
             advance(models[k], found, bins.starts)
         passes += 1
-        if any(len(m.trees) - m.kept >= NEW_TREES for m in models) or all(m.done() for m in models):
+        if old is not None:  # the pass has made the new margins
+            old.unpersist()
+            old = None
+        new = [len(m.trees) - m.kept for m in models]
+        if max(new) >= NEW_TREES or sum(new) >= ALL_NEW_TREES or all(m.done() for m in models):
+            old = rows
             rows, chain = _renewed(rows, models, bins, chain)
     return Boosted(models, bins, rows, passes)
 
 
 def _renewed(rows: DataFrame, models: list[Growing], bins: Bins, chain: int) -> tuple[DataFrame, int]:
-    """Rows whose kept margins have all trees; the old ones are let go once the new ones are there."""
+    """Rows whose kept margins have all trees; whatever reads them next makes them."""
     new = _with_margins(rows, models, bins)
     chain = (chain + 1) % CHAIN
     if chain == 0:
         new = cut_lineage(new)
-    new = new.persist(StorageLevel.MEMORY_AND_DISK)
-    new.count()
-    rows.unpersist()
     for m in models:
         m.kept = len(m.trees)
-    return new, chain
+    return new.persist(StorageLevel.MEMORY_AND_DISK), chain
 
 
 def scores(df: DataFrame, models: list[Booster], names: list[str]) -> DataFrame:

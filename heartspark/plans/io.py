@@ -258,13 +258,13 @@ def _saved_model(spark, sf):
     """The calibrated model of the training part, saved with its metadata; its path."""
     from ..operators import curves as CV
     from ..operators import models as MD
-    from .ml import BEST, KEPT, _folds, _split
-    model = MD.CalibratedModel.fit(_folds(spark, sf), KEPT, BEST[KEPT])
+    from .ml import _split, calibrated_model
+    model = calibrated_model(spark, sf)
     _, test = _split(spark, sf)
     scored = model.score(test)
     picked = CV.pick_threshold(scored, "score_calibrated", S.TARGET, S.TARGET_RECALL).first()
-    model.metadata |= {"threshold": picked["threshold"], "recall": picked["recall"], "precision": picked["precision"],
-                       "metrics": MD.metrics(scored, "score_calibrated", threshold=picked["threshold"]).first().asDict()}
+    model = MD.CalibratedModel(model.models, model.maps, model.metadata | {"threshold": picked["threshold"], "recall": picked["recall"], "precision": picked["precision"],
+                       "metrics": MD.metrics(scored, "score_calibrated", threshold=picked["threshold"]).first().asDict()})
     path = _tmp(spark, "model")
     model.save(spark, path)
     return path
@@ -322,10 +322,10 @@ def ml_results(spark, sf):
     from ..operators import duplicates as D
     from ..operators import models as MD
     from ..operators import treeshap as TS
-    from .ml import BEST, KEPT, _folds, _split, boosted_pairs, curve_rows, fit_gap_rows, shift_of
+    from .ml import BEST, KEPT, _folds, _split, boosted_pairs, calibrated_model, curve_rows, fit_gap_rows, shift_of
     folds = _folds(spark, sf)
     _, test = _split(spark, sf)
-    model = MD.CalibratedModel.fit(folds, KEPT, BEST[KEPT])
+    model = calibrated_model(spark, sf)
     sc = model.score(test).cache()
     th = CV.pick_threshold(sc, "score_calibrated", S.TARGET, S.TARGET_RECALL)
     cut = th.first()["threshold"]

@@ -190,11 +190,11 @@ def dm_profile_signature_given(spark, sf):
 
 @q("sc_population")
 def sc_population(spark, sf):
-    """Reference-population document: totals, real rate, mean risk, threshold, profiles (array of structs, with the mean age
-    code), mean risk by age and sex (maps)."""
-    from ..functions import columns as C
+    """Reference-population document: totals, real rate, mean risk by the calibrated model, threshold, profiles (array of structs, with the
+    mean age code), mean risk by age and sex (maps)."""
+    from .ml import calibrated_model
     lab = _profiled(spark, sf)
-    base = survey_base(spark, sf).withColumn("risk", C.scorecard_risk())
+    base = MD.materialize(calibrated_model(spark, sf).score(survey_base(spark, sf).select("respondent_id", *S.FEATURES, S.TARGET), calibrated="risk"))
     tot = base.agg(F.count(F.lit(1)).alias("n"), (F.avg(S.TARGET) * 100).alias("real_rate_pct"),
                    (F.avg("risk") * 100).alias("mean_risk_pct"), F.lit(float(S.DECISION_THRESHOLD)).alias("threshold"))
     prof = MN.profile_summary(lab).join(

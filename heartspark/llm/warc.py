@@ -13,21 +13,28 @@ stage needs all rows of a URL in one task.
 Results by definition: a null URL is the canonical URL ''; null times come before all others, so a
 revisit without a time has no earlier response; responses of the same URL and time are tied, and
 the greatest record id counts; revisits that repeat are each resolved; a header whose value is null
-counts as absent; an empty table gives an empty result; further columns are left out.
+counts as absent; records that are neither responses nor revisits (warcinfo, request, ...) and responses without a status line are
+parsed, with null where something is missing, and take no part in resolving; an empty table gives an empty result; further columns are left out.
 """
 
 from __future__ import annotations
 
+import re
+import zlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import ship_package
 from .rows import cut, let, pick, text_or_empty
 
 CRLF = "\r\n"
 #: Headers of a 304 that update the stored response.
 UPDATES = ("age", "cache-control", "content-location", "date", "etag", "expires", "last-modified", "vary", "warning")
-#: Stretches of time that points are dealt by.
-STRETCHES = 64
+#: Stretches of time that points are dealt by: so many, and more if they would hold more rows than this.
+STRETCHES, STRETCH_ROWS = 64, 1 << 20
 
 
 def canonical_url(url: Column) -> Column:
@@ -69,9 +76,10 @@ def _headers(block: Column) -> Column:
 
 
 def parse_records(df: DataFrame, record_col: str = "record") -> DataFrame:
-    """(kind, record_id, url, at, status, headers, digest) of WARC records given as text, without bodies.
+    """(kind, record_id, url, at, status, headers, digest, payload_digest) of WARC records given as text, without bodies.
 
-    ``digest`` is the SHA-256 of the body. What doesn't start as a WARC record is left out.
+    ``digest`` is the SHA-256 of the body, ``payload_digest`` what the record's own header says (algorithm, colon, value). Dates may
+    have any precision that the format allows. What doesn't start as a WARC record is left out.
     """
     rows = pick(df, record=record_col).where(F.col("record").startswith("WARC/"))
     c = F.col
@@ -82,24 +90,79 @@ def parse_records(df: DataFrame, record_col: str = "record") -> DataFrame:
         "http", F.when(c("end") > 0, F.substring(c("block"), F.lit(1), c("end") - 1)).otherwise(c("block")))
     body = F.when(c("end") > 0, F.substring(c("block"), c("end") + 4, F.length("block"))).otherwise(F.lit(""))
     return rows.select(
-        c("warc")["warc-type"].alias("kind"), F.regexp_extract(c("warc")["warc-record-id"], r"^<urn:record:(.*)>$", 1).alias("record_id"),
-        c("warc")["warc-target-uri"].alias("url"), F.to_timestamp(c("warc")["warc-date"], "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("at"),
-        F.regexp_extract("http", r"^HTTP/\S+ (\d+)", 1).cast("int").alias("status"),
+        c("warc")["warc-type"].alias("kind"), F.regexp_replace(c("warc")["warc-record-id"], r"^<(urn:record:)?|>$", "").alias("record_id"),
+        F.regexp_replace(c("warc")["warc-target-uri"], r"^<|>$", "").alias("url"), F.regexp_replace(c("warc")["warc-date"], r"T(\d\d:\d\d)(?=Z|[+-])", "T$1:00").try_cast("timestamp").alias("at"),
+        F.regexp_extract("http", r"^HTTP/\S+ (\d+)", 1).try_cast("int").alias("status"),
         _headers(F.regexp_replace("http", r"^HTTP/[^\r\n]*\r?\n?", "")).alias("headers"),
-        F.sha2(body, 256).alias("digest"))
+        F.sha2(body, 256).alias("digest"), c("warc")["warc-payload-digest"].alias("payload_digest"))
+
+
+LENGTH = re.compile(rb"(?im)^content-length:[ \t]*(\d+)[ \t]*\r?$")
+START = re.compile(rb"(?:^|(?<=\n))WARC/\d+\.\d+\r\n")
+
+
+def gunzipped(data: bytes, step: int = 1 << 16) -> Iterator[bytes]:
+    """The members of a gzip file, one after the other."""
+    at = 0
+    while at < len(data):
+        member, parts = zlib.decompressobj(31), []
+        while at < len(data) and not member.eof:
+            piece = data[at:at + step]
+            parts.append(member.decompress(piece))
+            at += len(piece) - len(member.unused_data)
+        yield b"".join(parts)
+        while data[at:at + 1] == b"\0":  # padding
+            at += 1
+
+
+def split_records(data: bytes) -> Iterator[bytes]:
+    """WARC records of either version, each as long as its Content-Length says, so that a body may hold anything. What is no record
+    between two records is passed over, up to the next line that starts one."""
+    at = 0
+    while m := START.search(data, at):
+        head = data.find(b"\r\n\r\n", m.end())
+        size = LENGTH.search(data, m.end(), head) if head >= 0 else None
+        if size is None:
+            at = m.end()
+            continue
+        end = head + 4 + int(size[1])
+        yield data[m.start():end] + b"\r\n\r\n"
+        at = end
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """Records of uncompressed WARC files, split by Spark's text reader at record starts."""
-    rows = spark.read.option("lineSep", "WARC/1.1\r\n").text(path).where("value != ''")
-    return rows.select(F.concat(F.lit("WARC/1.1\r\n"), "value").alias("record"))
+    """(record) of WARC files, plain or gzip by record. A file is one task's, so its size is that of the format's advice (1 GB), and 2 GB at most."""
+    ship_package(spark)
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                data = batch.column(0)[i].as_py()
+                some, size = [], 0
+                for part in gunzipped(data) if data[:2] == b"\x1f\x8b" else [data]:
+                    for record in split_records(part):
+                        some.append(record)
+                        size += len(record)
+                        if size > 1 << 24:
+                            yield pa.RecordBatch.from_arrays([pa.array(some, pa.binary())], names=["record"])
+                            some, size = [], 0
+                yield pa.RecordBatch.from_arrays([pa.array(some, pa.binary())], names=["record"])
+
+    files = spark.read.format("binaryFile").load(path).select("content")
+    return files.mapInArrow(run, "record binary").select(F.col("record").cast("string").alias("record"))
 
 
 def _weak(tag: Column) -> Column:
     return F.regexp_replace(tag, r"^[Ww]/", "")
 
 
-def resolve(records: DataFrame, stretches: int = STRETCHES) -> DataFrame:
+def _said_digest(c: Column) -> Column:
+    """A digest header in a form to compare: the algorithm in lower case; hexadecimal and base 32 say the same in either case."""
+    name = F.lower(F.trim(F.substring_index(c, ":", 1)))
+    return F.concat(name, F.lit(":"), F.lower(F.trim(F.substring(c, F.instr(c, ":") + 1, F.length(c)))))
+
+
+def resolve(records: DataFrame, stretches: int | None = None) -> DataFrame:
     """(record_id, canonical_url, at, target_id, outcome, headers) of each revisit in ``records``.
 
     ``records`` as parse_records() gives them. ``outcome``: ``resolved``, ``mismatch`` (validators
@@ -108,12 +171,15 @@ def resolve(records: DataFrame, stretches: int = STRETCHES) -> DataFrame:
     resolved revisits and null else, as ``name: value`` lines in order of names.
     """
     c = F.col
-    rows = pick(records, kind="kind", record_id="record_id", url="url", at="at", status="status", headers="headers", digest="digest")
+    if "payload_digest" not in records.columns:
+        records = records.withColumn("payload_digest", F.lit(None).cast("string"))
+    rows = pick(records, kind="kind", record_id="record_id", url="url", at="at", status="status", headers="headers", digest="digest", said="payload_digest")
     rows = rows.withColumns({"key": canonical_url(c("url")), "us": F.coalesce(F.unix_micros("at"), F.lit(-1 << 62))})
     rows = cut(records.sparkSession, rows)
     full = (c("kind") == "response") & c("status").between(200, 299)
     points = rows.where(full | (c("kind") == "revisit")).groupBy("key", "us").agg(
         F.max(F.when(full, c("record_id"))).alias("response"))
+    stretches = stretches or max(STRETCHES, rows.count() // STRETCH_ROWS)
     # Stretches hold about as many rows each, whatever the spread of times.
     bounds = sorted(set(rows.approxQuantile("us", [k / stretches for k in range(1, stretches)], 0.25 / stretches)))
     points = points.withColumn("stretch", F.size(F.filter(F.lit([int(b) for b in bounds]).cast("array<bigint>"), lambda b: b <= c("us"))))
@@ -125,18 +191,23 @@ def resolve(records: DataFrame, stretches: int = STRETCHES) -> DataFrame:
     carried = known.withColumn("far", F.last("latest", ignorenulls=True).over(across)).select("key", "stretch", "far")
     found = near.join(carried, ["key", "stretch"]).select("key", "us", F.coalesce("near", "far").alias("target_id"))
     revisits = rows.where(c("kind") == "revisit").join(found, ["key", "us"], "left")
-    responses = rows.where(full).select(c("record_id").alias("target_id"), c("headers").alias("stored"), c("digest").alias("stored_digest"))
+    responses = rows.where(full).select(c("record_id").alias("target_id"), c("headers").alias("stored"), c("digest").alias("stored_digest"), c("said").alias("stored_said"))
     # A record id that is there twice would double its revisits: the first in order counts.
-    responses = responses.groupBy("target_id").agg(F.min(F.struct(F.to_json("stored").alias("stored"), "stored_digest")).alias("x")).select(
-        "target_id", F.from_json("x.stored", "map<string,string>").alias("stored"), c("x.stored_digest").alias("stored_digest"))
+    responses = responses.groupBy("target_id").agg(F.min(F.struct(F.to_json("stored").alias("stored"), "stored_digest", "stored_said")).alias("x")).select(
+        "target_id", F.from_json("x.stored", "map<string,string>").alias("stored"), c("x.stored_digest").alias("stored_digest"), c("x.stored_said").alias("stored_said"))
     # Revisits without a target don't take part in the join, where they would all have the same key.
     both = revisits.where("target_id is not null").join(responses, "target_id", "left").unionByName(
         revisits.where("target_id is null"), allowMissingColumns=True)
     mine, theirs = (lambda k: c("headers")[k]), (lambda k: c("stored")[k])
+    algorithm = F.lower(F.substring_index(c("said"), ":", 1))
     verdict = (F.when(c("target_id").isNull(), "missing")
                .when(mine("etag").isNotNull() & theirs("etag").isNotNull(), F.when(_weak(mine("etag")) == _weak(theirs("etag")), "resolved").otherwise("mismatch"))
                .when(mine("last-modified").isNotNull() & theirs("last-modified").isNotNull(),
                      F.when(mine("last-modified") == theirs("last-modified"), "resolved").otherwise("mismatch"))
+               # Digests of one algorithm are compared as the records say them; a SHA-256 in hexadecimal also with that of the stored body.
+               .when(algorithm == F.lower(F.substring_index(c("stored_said"), ":", 1)), F.when(_said_digest(c("said")) == _said_digest(c("stored_said")), "resolved").otherwise("mismatch"))
+               .when((algorithm == "sha256") & _said_digest(c("said")).rlike("^sha256:[0-9a-f]{64}$"),
+                     F.when(_said_digest(c("said")) == F.concat(F.lit("sha256:"), "stored_digest"), "resolved").otherwise("mismatch"))
                .when(mine("x-payload-digest").isNotNull(), F.when(mine("x-payload-digest") == c("stored_digest"), "resolved").otherwise("mismatch"))
                .otherwise("unverified"))
     kept = F.map_filter("stored", lambda k, v: v.isNotNull() & ~(k.isin(*UPDATES) & F.coalesce(c("headers")[k].isNotNull(), F.lit(False))))

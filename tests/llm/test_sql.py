@@ -233,3 +233,55 @@ def test_chat_depth_and_escapes(spark):
     r = f.select(chat.read_turns(f.formatted).alias("t"), chat.read_loss(f.formatted, f.loss_spans).alias("loss")).collect()
     assert len(r) == 1 and [tuple(t) for t in r[0].t] == [(x[2], x[3]) for x in rows_]
     assert r[0].loss == "".join(x[3] for x in rows_ if x[2] == "assistant")
+
+
+def warc_record(kind, rid, body, date="2020-01-02T03:04:05Z", version="1.0", url="http://a.org/x", more=""):
+    head = f"WARC/{version}\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <urn:uuid:{rid}>\r\nWARC-Date: {date}\r\nWARC-Target-URI: {url}\r\n{more}"
+    return f"{head}Content-Length: {len(body)}\r\n\r\n".encode() + body + b"\r\n\r\n"
+
+
+def real_records():
+    """What crawlers write: an info record, a request, a response whose body holds a record's first lines and odd bytes, a response without a status
+    line, revisits that have a payload digest only, dates of any precision, both versions."""
+    ok = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n"
+    body = b"<p>\xff\xfe caf\xc3\xa9 \r\n\r\nWARC/1.0\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc</p>"
+    gone = b"HTTP/1.1 304 Not Modified\r\nCache-Control: max-age=9\r\n\r\n"
+    digest = "WARC-Payload-Digest: sha1:ABCDEFGHIJKLMNOPQRSTUVWXYZ234567\r\n"
+    return [
+        warc_record("warcinfo", "info", b"software: crawler\r\nformat: WARC File Format 1.0\r\n", "2020"),
+        warc_record("request", "ask", b"GET /x HTTP/1.1\r\nHost: a.org\r\n\r\n"),
+        warc_record("response", "full", ok + body, "2020-01-02T03:04:05Z", more=digest),
+        warc_record("response", "odd", b"no status line", "2020-01-02T03:04Z", "1.1", "dns:a.org"),
+        warc_record("revisit", "same", gone, "2020-01-02T03:04:05.123456Z", "1.1", more=digest.replace("sha1", "SHA1")),
+        warc_record("revisit", "other", gone, "2021-05-06", more=digest.replace("ABC", "XYZ")),
+        warc_record("revisit", "undated", gone, "not a date", more=digest),
+        warc_record("revisit", "md5", gone, "2022-01-01T00:00:00+01:00", more="WARC-Payload-Digest: md5:00\r\n"),
+    ], body
+
+
+@pytest.mark.parametrize("packing", ["plain", "members", "whole"])
+def test_real_warc_files(spark, tmp_path, packing):
+    import gzip
+    import hashlib
+    from datetime import datetime
+    records, body = real_records()
+    data = {"plain": b"".join(records), "members": b"".join(map(gzip.compress, records)), "whole": gzip.compress(b"junk\r\n" + b"".join(records))}[packing]
+    (tmp_path / "x.warc.gz").write_bytes(data)
+    found = warc.parse_records(warc.read_warc(spark, str(tmp_path)))
+    rows = {r.record_id.split(":")[-1]: r for r in found.collect()}
+    assert list(sorted(rows)) == sorted(["info", "ask", "full", "odd", "same", "other", "undated", "md5"])
+    assert rows["full"].digest == hashlib.sha256(body).hexdigest() and rows["full"].status == 200 and rows["full"].headers == {"content-type": "text/html"}
+    assert (rows["info"].status, rows["odd"].status, rows["ask"].kind) == (None, None, "request")
+    assert rows["full"].at == datetime(2020, 1, 2, 3, 4, 5) and rows["same"].at.microsecond == 123456 and rows["odd"].at == datetime(2020, 1, 2, 3, 4)
+    assert rows["other"].at == datetime(2021, 5, 6) and rows["info"].at == datetime(2020, 1, 1) and rows["undated"].at is None
+    done = {r.record_id.split(":")[-1]: r for r in warc.resolve(found).collect()}
+    assert {k: r.outcome for k, r in done.items()} == {"same": "resolved", "other": "mismatch", "undated": "missing", "md5": "unverified"}
+    assert done["same"].headers == "cache-control: max-age=9\ncontent-type: text/html" and done["same"].target_id == rows["full"].record_id
+
+
+def test_records_are_cut_by_length():
+    """No line of a body starts a record, a length that is missing or too great harms no other record."""
+    whole = b"".join(real_records()[0])
+    assert list(warc.split_records(whole)) == real_records()[0]
+    broken = b"WARC/1.0\r\nWARC-Type: metadata\r\n\r\nno length\r\n\r\n"
+    assert list(warc.split_records(broken + whole)) == real_records()[0] and list(warc.split_records(b"")) == []

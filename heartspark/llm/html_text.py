@@ -26,9 +26,7 @@ from pyspark.sql import DataFrame
 
 from .rows import map_texts, pick
 
-TOKEN = re.compile(
-    r"<!--(?:.*?-->|.*)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*)>", re.S)
+TAG_TOKEN = re.compile(r"<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*)>", re.S)
 #: Elements without text to read.
 RAW = frozenset("script style noscript template textarea title svg math iframe object select option button head".split())
 #: Of these, the content is no markup: only the end tag ends it.
@@ -55,103 +53,149 @@ NAMED = dict.fromkeys("article content post entry story main body text prose".sp
 HEADING = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 
 
-class Block:
-    __slots__ = ("parts", "path", "odds", "linked")
+STOPS = CONTAINERS | {"td", "th", "li"}
 
-    def __init__(self, path: tuple[int, ...], odds: float):
-        self.parts: list[str] = []
-        self.path, self.odds, self.linked = path, odds, 0
 
+class Block:
+    """``depth`` is that of the element that the block is directly in, not counting inline ones, ``parent`` the element around that (0: none); ``common``
+    is the depth of the nearest element that holds both this block and the one before."""
+    __slots__ = ("parts", "parent", "depth", "common", "odds", "linked", "text")
 
-def blocks_of(page: str) -> list[tuple[str, tuple[int, ...], float, float]]:
-    """(text, element ids from the root, log-odds from ancestors, share of linked characters) in page order."""
+    def __init__(self, parent: int, depth: int, common: int, odds: float):
+        self.parts: list[str] = []
+        self.parent, self.depth, self.common, self.odds, self.linked, self.text = parent, depth, common, odds, 0, ""
+
+
+class Open:
+    """Open elements, and where in the stack each tag's, the block elements and those that stop an implied end are: what a tag does takes
+    constant time and that of the elements that it ends, however deep the page is."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, int, float]] = []  # tag, element id, log-odds of it and its ancestors
+        self.of: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.stops: list[int] = []
+        self.raw = self.links = 0
+        self.low = 0  # the fewest open block elements since the last block of text began
+
+    def top(self, tag: str) -> int:
+        """The place of the innermost open element of this tag, or -1."""
+        places = self.of.get(tag)
+        return places[-1] if places else -1
+
+    def push(self, tag: str, element: int, odds: float) -> None:
+        at = len(self.stack)
+        self.stack.append((tag, element, odds))
+        self.of.setdefault(tag, []).append(at)
+        if tag not in INLINE:
+            self.blocks.append(at)
+        if tag in STOPS:
+            self.stops.append(at)
+        self.raw += tag in RAW
+        self.links += tag == "a"
+
+    def pop(self, to: int) -> bool:
+        """Ends the elements from a place on; whether a block element is among them."""
+        broke = False
+        while len(self.stack) > to:
+            tag, _, _ = self.stack.pop()
+            self.of[tag].pop()
+            if tag not in INLINE:
+                self.blocks.pop()
+                broke = True
+            if tag in STOPS:
+                self.stops.pop()
+            self.raw -= tag in RAW
+            self.links -= tag == "a"
+        self.low = min(self.low, len(self.blocks))
+        return broke
+
+
+def next_token(page: str, at: int, last: int, last_data: int) -> tuple[int, int, re.Match | None] | None:
+    """(start, end, tag) of the first markup from a place on; comments and the like have no tag. What doesn't end is text. ``last`` and
+    ``last_data`` are the places of the last ``>`` and ``]]>``: where no closing mark is left, none is looked for."""
+    while (i := page.find("<", at)) >= 0:
+        if page.startswith("<!--", i):
+            end = page.find("-->", i + 4)
+            return i, len(page) if end < 0 else end + 3, None
+        if i > last:
+            return None
+        if page.startswith("<![CDATA[", i) and i < last_data:
+            return i, page.find("]]>", i) + 3, None
+        if page.startswith(("<!", "<?"), i):
+            return i, page.find(">", i) + 1, None
+        if m := TAG_TOKEN.match(page, i):
+            return i, m.end(), m
+        at = i + 1
+    return None
+
+
+def blocks_of(page: str) -> list[Block]:
+    """Blocks with their text, in page order."""
     out: list[Block] = []
-    stack: list[tuple[str, int, float]] = []  # tag, element id, log-odds of it and its ancestors
-    n, at, skip, current, links = 0, 0, 0, None, 0
+    open_ = Open()
+    n, at, current = 0, 0, None
 
     def said(text: str) -> None:
         nonlocal current
-        if not text or skip:
+        if not text or open_.raw:
             return
         if current is None:
             if not text.strip():
                 return
-            path = tuple(e[1] for e in stack if e[0] not in INLINE)
-            current = Block(path, stack[-1][2] if stack else 0.0)
+            blocks, stack = open_.blocks, open_.stack
+            current = Block(stack[blocks[-2]][1] if len(blocks) > 1 else 0, len(blocks), open_.low, stack[-1][2] if stack else 0.0)
+            open_.low = len(blocks)
             out.append(current)
         current.parts.append(text)
-        if links:
+        if open_.links:
             current.linked += len(text)
 
-    def pop(to: int) -> None:
-        nonlocal skip, links, current
-        for tag, _, _ in stack[to:]:
-            skip -= tag in RAW
-            links -= tag == "a"
-            if tag not in INLINE:
-                current = None
-        del stack[to:]
-
-    size = len(page)
-    while at < size:
-        m = TOKEN.search(page, at)
-        if m is None:
-            said(page[at:])
-            break
-        if m.start() > at:
-            said(page[at:m.start()])
-        at = m.end()
-        tag = m["tag"]
-        if tag is None:
-            continue
-        tag = tag.lower()
-        if m["end"]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    pop(k)
-                    break
-                if tag in INLINE and stack[k][0] not in INLINE:
-                    break
-            continue
-        if tag == "br":
-            said(" ")
-            continue
-        if tag not in INLINE:
-            current = None
-            closes = CLOSES.get(tag)
-            for k in range(len(stack) - 1, -1, -1):
-                open_tag = stack[k][0]
-                if open_tag == "p" or closes and open_tag in closes:
-                    pop(k)
-                    break
-                if open_tag in CONTAINERS or open_tag in ("td", "th", "li"):
-                    break
-            if tag == "body":
-                for k in range(len(stack)):
-                    if stack[k][0] == "head":
-                        pop(k)
-                        break
-        if tag in VOID or m["attrs"].endswith("/") and tag in ("svg", "math"):
-            continue
-        odds = (stack[-1][2] if stack else 0.0) + TAG.get(tag, 0.0)
-        if m["attrs"]:
-            names = {w for found in ATTRIBUTE.findall(m["attrs"]) for w in WORDS.findall("".join(found).lower())}
-            said_by = [NAMED[w] for w in names if w in NAMED]
-            if said_by:  # one word against content outweighs those for it
-                odds += min(said_by)
-        n += 1
-        stack.append((tag, n, odds))
-        skip += tag in RAW
-        links += tag == "a"
-        if tag in UNPARSED:
-            end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(page, at)
-            at = end.start() if end else size
+    size, last, last_data = len(page), page.rfind(">"), page.rfind("]]>")
+    while step := next_token(page, at, last, last_data):
+        start, end, m = step
+        if start > at:
+            said(page[at:start])
+        at = end
+        if m is not None:
+            tag = m["tag"].lower()
+            if m["end"]:
+                k = open_.top(tag)
+                # An inline end doesn't reach beyond a block element.
+                if k >= 0 and not (tag in INLINE and open_.blocks and open_.blocks[-1] > k) and open_.pop(k):
+                    current = None
+            elif tag == "br":
+                said(" ")
+            else:
+                if tag not in INLINE:
+                    current = None
+                    k = max(open_.top(x) for x in ("p", *CLOSES.get(tag, ())))
+                    if k >= 0 and k >= (open_.stops[-1] if open_.stops else -1):
+                        open_.pop(k)
+                    if tag == "body" and open_.of.get("head"):
+                        open_.pop(open_.of["head"][0])
+                if tag not in VOID and not (m["attrs"].endswith("/") and tag in ("svg", "math")):
+                    odds = (open_.stack[-1][2] if open_.stack else 0.0) + TAG.get(tag, 0.0)
+                    if m["attrs"]:
+                        names = {w for said_ in ATTRIBUTE.findall(m["attrs"]) for w in WORDS.findall("".join(said_).lower())}
+                        said_by = [NAMED[w] for w in names if w in NAMED]
+                        if said_by:  # one word against content outweighs those for it
+                            odds += min(said_by)
+                    n += 1
+                    open_.push(tag, n, odds)
+                    if tag in UNPARSED:
+                        close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(page, at)
+                        at = close.start() if close else size
+    said(page[at:])
     done = []
+    common = None
     for b in out:
         raw = "".join(b.parts)
-        text = " ".join(html.unescape(raw).split())
-        if text:
-            done.append((text, b.path, b.odds, min(1.0, b.linked / max(1, len(raw)))))
+        b.text = " ".join(html.unescape(raw).split())
+        common = b.common if common is None else min(common, b.common)
+        if b.text:
+            b.linked, b.common, common = min(1.0, b.linked / max(1, len(raw))), common, None
+            done.append(b)
     return done
 
 
@@ -161,26 +205,16 @@ def log_odds(text: str, odds: float, linked: float) -> float:
     return odds + min(3.0, log2(1 + len(text)) / 3 - 1.0) + min(1.0, 0.5 * ends) - 4.0 * linked
 
 
-def proximity(a: tuple[int, ...], b: tuple[int, ...]) -> int:
-    """Edges of the DOM between two elements, by their paths from the root."""
-    k = 0
-    for x, y in zip(a, b):
-        if x != y:
-            break
-        k += 1
-    return len(a) + len(b) - 2 * k
-
-
-def edges_of(paths: list[tuple[int, ...]], smooth: float) -> list[tuple[int, int, float]]:
-    """Smoothness edges (i, j, capacity): neighbours in the page, and next ones under the same parent."""
+def edges_of(blocks: list[Block], smooth: float) -> list[tuple[int, int, float]]:
+    """Smoothness edges (i, j, capacity): neighbours in the page, by the DOM's edges between them, and next ones under the same parent."""
     out, last = [], {}
-    for i, path in enumerate(paths):
+    for i, b in enumerate(blocks):
         if i:
-            out.append((i - 1, i, smooth * 2.0 ** -max(0, proximity(paths[i - 1], path) - 2)))
-        parent = path[:-1]
-        if (j := last.get(parent)) is not None and j != i - 1:
+            between = blocks[i - 1].depth + b.depth - 2 * b.common
+            out.append((i - 1, i, smooth * 2.0 ** -min(1000, max(0, between - 2))))
+        if (j := last.get(b.parent)) is not None and j != i - 1:
             out.append((j, i, smooth / 2))
-        last[parent] = i
+        last[b.parent] = i
     return out
 
 
@@ -258,9 +292,8 @@ def main_text(page: str, smooth: float = 2.0) -> str:
     blocks = blocks_of(page)
     if not blocks:
         return ""
-    odds = [log_odds(text, z, linked) for text, _, z, linked in blocks]
-    kept = min_cut(odds, edges_of([path for _, path, _, _ in blocks], smooth))
-    return " ".join(b[0] for b, keep in zip(blocks, kept) if keep)
+    kept = min_cut([log_odds(b.text, b.odds, b.linked) for b in blocks], edges_of(blocks, smooth))
+    return " ".join(b.text for b, keep in zip(blocks, kept) if keep)
 
 
 def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", smooth: float = 2.0) -> DataFrame:

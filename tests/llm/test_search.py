@@ -323,3 +323,34 @@ def test_stages_return_the_columns_of_documents(spark):
                 assert out.dtypes == docs.dtypes
                 out.count()
     assert corpus_pipeline.encode(spark, docs.where("false"), SF0001).count() == 0
+
+
+HOSTILE = {
+    "nested": "<div>" * 100_000 + "x", "nested text": "<div>some text " * 70_000, "unclosed tags": "<a " * 330_000, "quotes": '<a "' * 250_000,
+    "data": "<![CDATA[>" * 100_000, "comments": "<!--" * 250_000, "inline": "<i>" * 300_000 + "</b>" * 10,
+    "ends beyond a block": "<b><div>" + "<i>" * 150_000 + "</b>" * 150_000, "paragraphs": "<p>word. " * 120_000, "items": "<ul><li>" * 100_000,
+}
+
+
+@pytest.mark.parametrize("name", HOSTILE)
+def test_hostile_pages_take_linear_time(name):
+    """1 MB of what makes a scanner go back: no more than some seconds, as four times that takes about four times as long."""
+    import time
+    page, took = HOSTILE[name], []
+    for part in (page[:len(page) // 4], page):
+        started = time.process_time()
+        html_text.main_text(part)
+        took.append(time.process_time() - started)
+    assert took[1] < 10 and took[1] < 12 * took[0] + 1
+
+
+def test_scanner():
+    """Quotes may hold marks, unclosed markup is text, ends reach their element, implied ends stop at containers."""
+    say = lambda page: [b.text for b in html_text.blocks_of(page)]
+    assert say('a<img alt="x>y">b<p title=\'<b>\'>c<p>d') == ["ab", "c", "d"]
+    assert say("1 < 2 <b>and</b> 3 <div") == ["1 < 2 and 3 <div"]
+    assert say("<ul><li>a<ul><li>b</ul>c<li>d</ul>") == ["a", "b", "c", "d"]
+    assert say("<b>x<div>y</b>z</div>w") == ["x", "yz", "w"]
+    assert say("<script>if (a<b) '</p>'</script>t<!-- <p>no --><![CDATA[ no ]]>u<!-- rest") == ["tu"]
+    near = html_text.blocks_of("<div><p>a</p><p>b</p></div><div><p>c</p></div>d")
+    assert [(b.depth, b.common) for b in near] == [(2, 0), (2, 1), (2, 0), (0, 0)]

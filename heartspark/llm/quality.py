@@ -156,7 +156,7 @@ def _x_log_x(x: Column) -> Column:
 
 def with_sums(p: Column) -> Column:
     """A histogram of shares with what js_distance() needs of it for every reference: its sum and that of x log x."""
-    return F.struct(p.alias("p"), _sum(p).alias("mass"), _sum(F.transform(p, _x_log_x)).alias("x_log_x"))
+    return let(p, lambda x: F.struct(x.alias("p"), _sum(x).alias("mass"), _sum(F.transform(x, _x_log_x)).alias("x_log_x")))
 
 
 def js_distance(h: Column, q: list[float]) -> Column:
@@ -201,7 +201,7 @@ def plain_counts(text: Column) -> Column:
     lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     return let(words_of(text), lambda words: F.struct(
         F.size(words).cast("long").alias("n_words"), F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
-        (F.length(text) - F.length(F.translate(text, "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
+        (F.length(text) - F.length(_removed(text, "[#*$%&|<>]+"))).cast("long").alias("n_symbols"),
         let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
         n_repeat_words(words).alias("n_repeat_words")))
 

@@ -14,8 +14,12 @@ windows of documents are hashed, joined and verified in one pass over the texts
 A larger benchmark is joined by shuffling document hashes (without the texts), and the tokens of
 documents with hits are joined back for the same verification.
 
-Results by definition: null and empty texts have no tokens and no hits; items and documents with
-fewer tokens than a mask's span have no seeds and can't be found; of items with the same tokens
+Of a stretch of 13 tokens the masks meet every pattern of substitutions that verification accepts. Items of fewer
+tokens than a stretch have masks of their own, as long as the item: cut into one part more, or two more, than it may have substitutions,
+some choice of parts that a mask counts is always whole. (Their lengths are read from the benchmark; texts are hashed for these only.)
+
+Results by definition: null and empty texts have no tokens and no hits, items without tokens can't be found; items of up to
+four tokens are found word for word, of five to nine with one substitution, of ten to twelve with two; of items with the same tokens
 the one with the least id stands for all (``classes`` tells which); repeated document rows are
 one document; documents of one id and different texts count together; a null document id is an id,
 items without an id are left out; an empty table on either side gives an empty result; further columns are left out.
@@ -23,13 +27,15 @@ items without an id are left out; an empty table on either side gives an empty r
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .rows import col, col_of, cut, let, pick, text_or_empty
 
 #: Fixed masks of weight 6 and span 9: 1 counts, 0 is ignored.
-MASKS = ("110110101", "101011011", "111001101")
+MASKS = ("111110001", "101011011", "111001101")
 SPAN = len(MASKS[0])
 #: The benchmark is broadcast up to so many seeds and tokens (of 24 and 8 bytes).
 MOST_SEEDS, MOST_TOKENS = 2_000_000, 8_000_000
@@ -51,13 +57,32 @@ def seeds(t: Column, masks: tuple[str, ...] = MASKS) -> Column:
         F.concat(*[under(t, k, m) for k, m in enumerate(masks)])))
 
 
-def around(t: Column, at: Column, stretch: int, span: int) -> Column:
+def masks_of(n: int, least_share: float) -> list[list[int]]:
+    """Positions that count, for items of ``n`` tokens: whichever tokens are substituted that ``least_share`` allows, some mask misses them."""
+    allowed = int(n * (1 - least_share) + 1e-9)
+    parts = {0: 1, 1: 3, 2: 4}.get(allowed, allowed + 1)
+    parts = min(parts, n)
+    part = [i * parts // n for i in range(n)]
+    return [[i for i in range(n) if part[i] in kept] for kept in combinations(range(parts), max(1, parts - allowed))]
+
+
+def short_seeds(t: Column, lengths: list[int], least_share: float) -> Column:
+    """(n, seed, pos) of all windows of these lengths under the masks of each."""
+    def under(t: Column, n: int, k: int, counting: list[int]) -> Column:
+        return F.when(F.size(t) >= n, F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.size(t) - n)), lambda at: F.struct(
+            F.lit(n).alias("n"), F.xxhash64(F.lit(-n), F.lit(k), *[F.get(t, at + i) for i in counting]).alias("seed"), at.alias("pos")))).otherwise(
+            F.array().cast("array<struct<n:int,seed:bigint,pos:int>>"))
+
+    return let(t, lambda t: F.concat(*[under(t, n, k, m) for n in lengths for k, m in enumerate(masks_of(n, least_share))]))
+
+
+def around(t: Column, at: Column, stretch: int, span: int | Column) -> Column:
     """The tokens that stretches over the window at ``at`` can reach: all that verification needs of a text, however long."""
     low = F.greatest(F.lit(0), at - (stretch - 1))
     return F.slice(t, low + 1, at + span + stretch - 1 - low)
 
 
-def best_overlap(near: Column, item: Column, at: Column, item_at: Column, stretch: int, span: int) -> Column:
+def best_overlap(near: Column, item: Column, at: Column, item_at: Column, stretch: int, span: int | Column) -> Column:
     """Most equal tokens in a stretch of the alignment that overlaps the seed's window, as a share of the stretch.
 
     ``near``: what around() gives; ``at`` and ``item_at``: the window's start in the document and in the item.
@@ -91,29 +116,47 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     verified seed hits and the largest share of equal tokens of a stretch."""
     spark, span, c = docs.sparkSession, len(masks[0]), F.col
     items = pick(benchmark, item_id=item_id_col, text=item_text_col).select("item_id", tokens(F.col("text")).alias("item"))
-    items = cut(spark, items.where((F.size("item") >= span) & c("item_id").isNotNull()).groupBy("item").agg(F.min("item_id").alias("item_id")))
+    items = cut(spark, items.where((F.size("item") > 0) & c("item_id").isNotNull()).groupBy("item").agg(F.min("item_id").alias("item_id")))
+    rows = pick(docs, id=id_col, text=text_col).select("id", tokens(F.col("text")).alias("t"))
+    sizes = items.groupBy(F.least(F.size("item"), F.lit(max(stretch, span))).alias("n")).agg(F.sum(F.size("item")).alias("size")).collect()
+    size = {r["n"]: r["size"] for r in sizes}  # by length below a stretch, and of all longer items
+    least = max(stretch, span)
+    lengths = sorted(n for n in size if n < least)
 
-    def exploded(rows: DataFrame, *keep: str) -> DataFrame:
+    def long_seeds(rows: DataFrame, *keep: str) -> DataFrame:
         # The array is made in a step of its own: the compiled explode and join then pass over it without copying "t" for each seed.
         found = rows.withColumns({"windows": F.size("t") - (span - 1), "seeds": seeds(c("t"), masks)})
         # (An outer explode, as Spark would compute the array once more for a filter on its size.)
         found = found.select(*keep, "windows", F.posexplode_outer("seeds").alias("k", "seed")).where("seed is not null")
         return found.select(*keep, "seed", F.pmod("k", "windows").alias("pos"))
 
-    item_seeds = exploded(items.withColumn("t", c("item")), "item_id").withColumnRenamed("pos", "item_pos").distinct()
-    size = items.agg(F.coalesce(F.sum(F.size("item")), F.lit(0))).first()[0]
-    rows = pick(docs, id=id_col, text=text_col).select("id", tokens(F.col("text")).alias("t"))
-    hit = [c("id"), c("item_id"), c("pos"), c("item_pos"), around(c("t"), c("pos"), stretch, span).alias("near")]
-    if len(masks) * size <= most_seeds and size <= most_tokens:
-        # Compiled into one pass: of a text only the tokens around its hits leave it.
-        hits = exploded(rows, "id", "t").join(F.broadcast(item_seeds), "seed").select(*hit).join(F.broadcast(items), "item_id")
-    else:
-        met = exploded(rows, "id").join(item_seeds, "seed").select("id", "item_id", "pos", "item_pos").distinct()
-        texts = rows.withColumnRenamed("id", "doc").distinct()
-        hits = met.join(texts, c("id").eqNullSafe(c("doc"))).select(*hit).join(items, "item_id")
-    share = best_overlap(c("near"), c("item"), c("pos"), c("item_pos"), stretch, span)
-    verified = hits.select("id", "item_id", "pos", "item_pos", share.alias("share")).where(c("share") >= least_share)
-    return verified.groupBy("id", "item_id").agg(
+    def seeds_of_short(rows: DataFrame, *keep: str) -> DataFrame:
+        every = short_seeds(c("t"), lengths, least_share)
+        # Of an item, the windows that are the whole of it.
+        found = rows.withColumn("seeds", F.filter(every, lambda s: s["n"] == F.size("t")) if "item" in rows.columns else every).select(*keep, F.explode_outer("seeds").alias("s")).where("s is not null")
+        return found.select(*keep, c("s.seed").alias("seed"), c("s.pos").alias("pos"))
+
+    def verified(exploded, own: DataFrame, span: int | Column, n_seeds: int, n_tokens: int) -> DataFrame:
+        item_seeds = exploded(own.withColumn("t", c("item")), "item_id").withColumnRenamed("pos", "item_pos").distinct()
+        hit = [c("id"), c("item_id"), c("pos"), c("item_pos")]
+        reach = F.lit(least) if isinstance(span, Column) else span
+        if n_seeds <= most_seeds and n_tokens <= most_tokens:
+            # Compiled into one pass: of a text only the tokens around its hits leave it.
+            hits = exploded(rows, "id", "t").join(F.broadcast(item_seeds), "seed").select(*hit, around(c("t"), c("pos"), stretch, reach).alias("near"))
+            hits = hits.join(F.broadcast(own), "item_id")
+        else:
+            met = exploded(rows, "id").join(item_seeds, "seed").select("id", "item_id", "pos", "item_pos").distinct()
+            texts = rows.withColumnRenamed("id", "doc").distinct()
+            hits = met.join(texts, c("id").eqNullSafe(c("doc"))).select(*hit, around(c("t"), c("pos"), stretch, reach).alias("near")).join(own, "item_id")
+        share = best_overlap(c("near"), c("item"), c("pos"), c("item_pos"), stretch, span)
+        return hits.select("id", "item_id", "pos", "item_pos", share.alias("share")).where(c("share") >= least_share)
+
+    n_long = size.get(least, 0)
+    found = verified(long_seeds, items.where(F.size("item") >= least), span, len(masks) * n_long, n_long)
+    if lengths:
+        n_masks = sum(len(masks_of(n, least_share)) * size[n] // n for n in lengths)
+        found = found.unionByName(verified(seeds_of_short, items.where(F.size("item") < least), F.size("item"), n_masks, sum(size[n] for n in lengths)))
+    return found.groupBy("id", "item_id").agg(
         F.countDistinct("pos", "item_pos").alias("n_hits"), F.max("share").alias("share")).withColumnRenamed("id", id_col)
 
 

@@ -1,4 +1,5 @@
 """Decontamination, near duplicates, main text, languages and the pipeline against brute force."""
+import itertools
 import random
 import re
 from collections import Counter, defaultdict
@@ -24,10 +25,13 @@ def overlaps_by_hand(docs, items, stretch=13, least=0.8):
     masks = [[i for i, c in enumerate(m) if c == "1"] for m in decontaminate.MASKS]
     for d, doc in docs:
         for i, item in items:
-            if len(item) < span:
-                continue
             hits = set()
-            for p in range(len(doc) - span + 1):
+            if len(item) < stretch:
+                for p in range(len(doc) - len(item) + 1):
+                    same = [a == b for a, b in zip(item, doc[p:])]
+                    if item and any(all(same[k] for k in m) for m in decontaminate.masks_of(len(item), least)) and sum(same) / len(item) >= least:
+                        hits.add((p, 0, sum(same) / len(item)))
+            for p in () if len(item) < stretch else range(len(doc) - span + 1):
                 for q in range(len(item) - span + 1):
                     if any(all(doc[p + k] == item[q + k] for k in m) for m in masks):
                         n = min(stretch, len(item))
@@ -46,7 +50,7 @@ def test_overlaps(spark):
     rng = random.Random(5)
     vocabulary = [f"w{k}" for k in range(400)]
     text = lambda n: [rng.choice(vocabulary) for _ in range(n)]
-    items = [(i, text(rng.choice([5, 9, 15, 40]))) for i in range(12)]
+    items = [(i, text(rng.choice([1, 4, 5, 9, 10, 12, 13, 15, 40]))) for i in range(24)]
     docs = []
     for d in range(60):
         doc = text(rng.randrange(0, 60))
@@ -62,7 +66,22 @@ def test_overlaps(spark):
         got = decontaminate.overlaps(frame(docs, "doc_id"), frame(items, "item_id"), most_seeds=bound)
         got = {(r.doc_id, r.item_id): (r.n_hits, r.share) for r in got.collect()}
         assert {k: (n, round(s, 9)) for k, (n, s) in got.items()} == {k: (n, round(s, 9)) for k, (n, s) in want.items()}
-    assert 10 < len(want) < 40
+    assert 20 < len(want) < 90 and len({len(items[i][1]) for _, i in want}) >= 5
+
+
+def test_no_accepted_pattern_is_without_a_seed():
+    """Of items from one token on, and of a lone stretch of longer ones, every choice of substitutions that verification accepts."""
+    for n in range(1, 14):
+        for k in range(n + 1):
+            if (n - k) / n < 0.8:
+                break
+            for gone in itertools.combinations(range(n), k):
+                if n < 13:
+                    found = any(not set(gone) & set(m) for m in decontaminate.masks_of(n, 0.8))
+                else:
+                    masks = [[i for i, c in enumerate(m) if c == "1"] for m in decontaminate.MASKS]
+                    found = any(all(a + i not in gone for i in m) for m in masks for a in range(n - decontaminate.SPAN + 1))
+                assert found, (n, gone)
 
 
 def test_op2_finds_whole_passages(spark):

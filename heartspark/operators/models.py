@@ -16,8 +16,7 @@ from dataclasses import asdict
 
 import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -31,8 +30,8 @@ from .isotonic import IsotonicMap
 
 #: Bins of tree splits: more than any feature has codes (bmi has the most), so that no split point is lost.
 MAX_BINS = 128
-#: Iterations are bounds that convergence to the tolerance comes before.
-LOGREG_ITERATIONS, SVM_ITERATIONS = 1000, 3000
+#: A bound that convergence to the tolerance comes before.
+LOGREG_ITERATIONS = 1000
 
 SCALED = S.FEATURES_CONTINUOUS + S.FEATURES_ORDINAL
 PASSTHROUGH = S.FEATURES_BINARY
@@ -81,9 +80,6 @@ def estimator(family: str, params: dict, weighted: bool = True, sum_weights: flo
     if family == "boosting":
         return GBTClassifier(maxIter=params.get("n_estimators", 300), maxDepth=params.get("max_depth", 3),
                              stepSize=params.get("learning_rate", 0.1), maxBins=MAX_BINS, seed=S.SEED, **common)
-    if family == "svm":
-        c = params.get("C", 1.0)
-        return LinearSVC(regParam=1.0 / (c * (sum_weights or 1.0)), standardization=False, maxIter=SVM_ITERATIONS, **common)
     raise ValueError(family)
 
 
@@ -123,27 +119,10 @@ def evaluate(train: DataFrame, test: DataFrame, family: str, params: dict, weigh
     t0 = time.time()
     m = fit(train, family, params, weighted)
     sc = score(m, test)
-    if family == "svm":
-        sc = platt(train, params, weighted, m, sc)
     out = metrics(sc, "score", S.TARGET, threshold)
     return out.withColumn("fit_seconds", F.lit(round(time.time() - t0, 3)))
 
 
-def platt(train: DataFrame, params: dict, weighted: bool, model: PipelineModel, scored_test: DataFrame, inner: int = 3) -> DataFrame:
-    """Sigmoid calibration of a margin: a one-feature logistic regression fitted on margins of rows that
-    their model hasn't seen (``inner`` folds of the training rows by hash), applied to the model's own margins."""
-    folds = train.withColumn("_inner", F.pmod(F.xxhash64("respondent_id"), F.lit(inner)).cast("int"))
-    margins = None
-    for f in range(inner):
-        m = fit(folds.where(F.col("_inner") != f).drop("_inner"), "svm", params, weighted)
-        held = score(m, folds.where(F.col("_inner") == f).drop("_inner"), "margin").select("margin", S.TARGET)
-        margins = held if margins is None else margins.unionByName(held)
-    va = VectorAssembler(inputCols=["margin"], outputCol="mfeat")
-    lr = LogisticRegression(featuresCol="mfeat", labelCol=S.TARGET, regParam=0.0).fit(va.transform(margins))
-    out = lr.transform(va.transform(scored_test.withColumnRenamed("score", "margin")))
-    return out.select(*[c for c in scored_test.columns if c != "score"], vector_to_array("probability")[1].alias("score"))
-
-
 def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage before iterative training: a reliable checkpoint in the cluster's checkpoint folder.
 
@@ -162,8 +141,6 @@ def _fold_metrics(folds: DataFrame, family: str, p: dict, weighted: bool, f: int
     m = fit(tr, family, p, weighted, counts)
     seconds = time.time() - started
     sc = score(m, va)
-    if family == "svm":
-        sc = platt(tr, p, weighted, m, sc)
     return metrics(sc).first().asDict() | {"fit_seconds": seconds}
 
 

@@ -6,9 +6,11 @@ Score of an entry for a text = sum over its distinct normalised keys of
   1 else if the key has >= 5 letters and occurs in the text (substring);
 the best entry wins (first in base order on ties); below 2 means no match.
 
-Every text is processed whole, in one projection without a shuffle: the keys
-are a constant list, each is searched in the normalised text (a whole word in
-the text padded with blanks), points are added up per entry and the best
+Every text is processed whole, in one projection without a shuffle. A key without
+a space lies inside one word, so only the text's distinct words count for it: whole words
+come from one intersection with the list of keys, and keys of five letters are searched
+in the joined distinct words, if a single pattern (the keys as a prefix tree) finds any of
+them there at all. Only phrases search the text. Points are added up per entry and the best
 entry is the greatest of one struct per entry. All built-in expressions; no
 UDF, no join, no explode.
 """
@@ -61,21 +63,35 @@ def normalised_keys() -> list[tuple[str, list[str]]]:
     return out
 
 
+def prefix_pattern(keys: list[str]) -> str:
+    """A regular expression that finds any of the keys, with common beginnings said once."""
+    by: dict[str, list[str]] = {}
+    for k in sorted(set(keys)):
+        by.setdefault(k[0], []).append(k[1:])
+    parts = [c + ("" if "" in rest else prefix_pattern(rest)) for c, rest in by.items()]
+    return parts[0] if len(parts) == 1 else f"(?:{'|'.join(parts)})"
+
+
 def _points(key: str) -> Column:
-    """Points of one key, from the columns ``_norm`` and ``_padded``; a key that doesn't occur costs one search."""
-    held = F.instr("_norm", key) > 0
+    """Points of one key, from the columns ``_norm``, ``_found`` (whole words), ``_words`` (all distinct ones, joined) and ``_any``."""
     if " " in key:
-        return F.when(held, 3).otherwise(0)
-    part = 1 if len(key) >= 5 else 0
-    return F.when(held, F.when(F.instr("_padded", f" {key} ") > 0, 2).otherwise(part)).otherwise(0)
+        return F.when(F.instr("_norm", key) > 0, 3).otherwise(0)
+    whole = F.array_contains("_found", key)
+    if len(key) < 5:
+        return F.when(whole, 2).otherwise(0)
+    return F.when(F.col("_any"), F.when(whole, 2).when(F.instr("_words", key) > 0, 1).otherwise(0)).otherwise(0)
 
 
 def match(df: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
     """Best knowledge-base entry per row: (keep..., faq_id or null, best_score). A null text matches nothing."""
+    base = normalised_keys()
+    single = sorted({k for _, keys in base for k in keys if " " not in k})
     x = df.select(*keep, TX.normalise(text_col).alias("_norm"))
-    x = x.select(*keep, "_norm", F.concat(F.lit(" "), F.col("_norm"), F.lit(" ")).alias("_padded"))
+    x = x.select(*keep, "_norm", F.array_distinct(F.split("_norm", " ")).alias("_distinct"))
+    x = x.select(*keep, "_norm", F.array_intersect("_distinct", F.lit(single)).alias("_found"), F.array_join("_distinct", " ").alias("_words"))
+    x = x.select(*keep, "_norm", "_found", "_words", F.col("_words").rlike(prefix_pattern([k for k in single if len(k) >= 5])).alias("_any"))
     entries = [F.struct(F.coalesce(sum((_points(k) for k in keys), F.lit(0)), F.lit(0)).alias("score"), F.lit(-i).alias("neg_pos"),
-                        F.lit(eid).alias("faq_id")) for i, (eid, keys) in enumerate(normalised_keys())]
+                        F.lit(eid).alias("faq_id")) for i, (eid, keys) in enumerate(base)]
     best = x.select(*keep, F.greatest(*entries).alias("_b"))
     score = F.col("_b.score").cast("long")
     return best.select(*keep, F.when(score >= MIN_SCORE, F.col("_b.faq_id")).alias("faq_id"), score.alias("best_score"))

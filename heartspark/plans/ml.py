@@ -152,7 +152,7 @@ def _grid_frame(spark, settings, metrics, k, seconds):
 
 def _logistic_grid(spark, sf):
     started = time.time()
-    rows = MD.materialize(LG.as_rows(_folds(spark, sf))).cache()
+    rows = MD.materialize(LG.as_profiles(_folds(spark, sf))).cache()
     models = LG.fit_all(rows, [s["C"] for s in LOGREG_GRID], list(range(S.N_FOLDS)))
     got = {r["grp"]: r for r in CV.summary_by_group(LG.held_out_counts(rows, models)).collect()}
     rows.unpersist()

@@ -390,3 +390,45 @@ def test_scanner():
     assert say("<script>if (a<b) '</p>'</script>t<!-- <p>no --><![CDATA[ no ]]>u<!-- rest") == ["tu"]
     near = html_text.blocks_of("<div><p>a</p><p>b</p></div><div><p>c</p></div>d")
     assert [(b.depth, b.common) for b in near] == [(2, 0), (2, 1), (2, 0), (0, 0)]
+
+
+def grams_by_hand(text):
+    """Windows of four characters with two letters in the middle, and one-letter words, of the lower-case text with blanks for all that is no letter."""
+    said = "".join(c if c.isalpha() else " " for c in f" {text.lower()} ")
+    out = []
+    for i in range(len(said) - 2):
+        w = said[i:i + 4].ljust(4, "\0")
+        if w[1] != " " and w[2] != " " and w[3] != "\0":
+            out.append(w)
+        elif w[0] == " " and w[1] != " " and w[2] == " ":
+            out.append(w[:3])
+    return out
+
+
+def test_languages_equal_exact_sets(spark):
+    """The filter's answers against sets of n-grams without chance hits: the same language, nearly the same score."""
+    rows = spark.read.parquet(f"{SF0001}/documents.parquet").collect()
+    train = [r for r in rows if r.lang is not None and r.text is not None and r.doc_id % 3]
+    counts = defaultdict(Counter)
+    for r in train:
+        counts[r.lang].update(grams_by_hand(r.text))
+    totals = {lang: sum(c.values()) for lang, c in counts.items()}
+    top = defaultdict(float)
+    for lang, c in counts.items():
+        for g, n in c.items():
+            top[g] = max(top[g], n / totals[lang])
+    members = {lang: {g for g, n in c.items() if n >= 2 and n / totals[lang] >= 0.1 * top[g]} for lang, c in sorted(counts.items())}
+    learned = language_id.learn(spark.createDataFrame([(r.text, r.lang) for r in train], "text string, lang string"))
+    texts = [r.text for r in rows] + ["a", "", None, "12 ?", "zq zq", "\u00e9 \u00e0 la"]
+    langs, scores = learned.predict(texts)
+    for text, lang, score in zip(texts, langs, scores):
+        own = grams_by_hand(text or "")
+        if not any(c.isalpha() for c in text or ""):
+            assert (lang, score) == ("und", 0.0)
+            continue
+        hits = {x: sum(g in m for g in own) for x, m in members.items()}
+        best, total = max(hits.values()), sum(hits.values())
+        if total == 0:
+            assert score == 0.0 and lang == max(sorted(totals), key=lambda x: totals[x])
+        elif best >= sorted(hits.values())[-2] + 3:  # a chance hit can't turn it
+            assert lang == max(sorted(hits), key=lambda x: hits[x]) and abs(score - best / total) < 0.02

@@ -116,6 +116,22 @@ def sink_star_export(spark, sf):
     return out
 
 
+@q("sink_star_publish", _inventory_sql())
+def sink_star_publish(spark, sf):
+    """The 8 warehouse tables published as one version beside older ones; inventory of the version in force."""
+    from ..sources import publish as PB
+    root = _tmp(spark, "published")
+    dims, f = _star_tables(spark, sf)
+    PB.publish(spark, root, {**dims, "fact_respondent": f}, frozenset(dims))
+    version, names = PB.current(spark, root)
+    out = None
+    for n in names:
+        t = PB.read(spark, root, n, version)
+        one = t.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("table_name"), "n_rows", F.lit(len(t.columns)).cast("long").alias("n_columns"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @q("cat_inventory", _inventory_sql())
 def cat_inventory(spark, sf):
     """Tables of the catalog with rows and columns (temp views over the exported Parquet files)."""

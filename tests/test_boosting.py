@@ -142,3 +142,44 @@ def test_bins(spark):
     assert list(bins.cuts[0]) == [0.5, 1.5, 2.5, 3.5] and 100 < len(bins.cuts[1]) < binned.MOST_BINS
     codes = bins.codes([np.array([0.0, 2.0, 4.0, 9.0]), np.array([-1.0, 0.0, 300.0, 1e9])])
     assert list(codes[0]) == [0, 2, 4, 4] and codes[1][0] == 0 and codes[1][3] == len(bins.cuts[1])
+
+
+def test_passes_and_one_task_grow_the_same_trees(spark, monkeypatch):
+    """Few rows: each model is one task's and no pass is a job. More: passes, whose trees and margins are the same, however often margins are renewed."""
+    rows = table(240)
+    df = spark.createDataFrame(rows, "respondent_id long, a int, b int, c double, heart_disease int, fold int").repartition(3)
+    settings = [B.Setting(1, 0.3, 1.0, 6), B.Setting(4, 0.5, 1.0, 7)]
+
+    def fitted():
+        fit = B.fit_all(df, NAMES, settings, [0, 1], shares=[0.6, 1.0])
+        counts = sorted((r.grp, round(r.score, 9), r.pos, r.neg) for r in fit.counts(training=True).collect())
+        fit.release()
+        return fit, [[as_tuples(t, fit.bins) for t in m.trees] for m in fit.models], counts
+
+    one, trees, counts = fitted()
+    assert one.passes == 0 and all(len(t) == m.setting.rounds for t, m in zip(trees, one.models))
+    monkeypatch.setattr(B, "LOCAL_ROWS", 0)
+    for renewal in (0.0, 1e18):
+        monkeypatch.setattr(B, "RENEWAL_NS", renewal)
+        passes, others, again = fitted()
+        assert 0 < passes.passes <= 7 * 4 and again == counts
+        assert all(same(a, b) for x, y in zip(trees, others) for a, b in zip(x, y))
+
+
+def test_packs(spark):
+    """Groups of features hold each feature once, have at most 256 cells, lead down trees as the features do, and give the features' counts."""
+    rng = np.random.default_rng(1)
+    widths = [2] * 9 + [1, 3, 31, 128, 87]
+    bins = binned.Bins([f"f{i}" for i in range(len(widths))], [np.arange(w - 1) + 0.5 for w in widths])
+    packs = binned.Packs(bins)
+    assert sorted(f for g in packs.groups for f in g) == list(range(len(widths))) and max(packs.sizes) <= 256 and len(packs.groups) < len(widths) / 2
+    codes = np.stack([rng.integers(0, w, 500) for w in widths]).astype(np.uint8)
+    groups, weight = packs.codes(codes), rng.random(500)
+    sums = np.concatenate([np.bincount(g, weight, size) for g, size in zip(groups, packs.sizes)])[None, :]
+    want = np.concatenate([np.bincount(c, weight, w) for c, w in zip(codes, widths)])
+    assert np.allclose(packs.spread(sums, 1)[0, 0], want)
+    tree = B.Tree.empty(4)
+    for i in [0, 1, 2, 4, 5, 9, 11]:
+        tree.feature[i] = rng.integers(0, len(widths))
+        tree.cut[i] = rng.integers(0, widths[tree.feature[i]])
+    assert all((B.Route(tree, k, packs).nodes(groups) == tree.nodes(codes, k)).all() for k in range(5))

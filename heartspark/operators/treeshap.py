@@ -16,19 +16,28 @@ features is the integral of t^s (1 - t)^(m - 1 - s) over [0, 1], feature j gets
 
 a polynomial of degree m - 1 that Gauss-Legendre points integrate exactly. The
 cost is polynomial in the depth, with no limit on it. The model (bounded by its
-trees, not by the data) is broadcast and applied batch by batch in
-``mapInPandas``, vectorised over the rows.
+trees, not by the data) is broadcast and applied batch by batch,
+vectorised over the rows.
+
+A tree's contributions depend on which way a row goes at each split, and on nothing else. Those of a tree
+of few splits are computed once for all ways, and looked up for rows.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ship_package
+from ..session import ship_package, spread_out
+
+#: Trees of up to this many splits have a table of all their ways.
+TABLE_SPLITS = 10
+#: Rows at a time, which a processor's cache holds.
+STRETCH = 4096
 
 
 def _tree_nodes(java_root):
@@ -85,37 +94,65 @@ def explain_gbt(gbt_model, scale: float = 2.0):
     return trees, base
 
 
-def shap_values(trees, X: np.ndarray, n_features: int) -> np.ndarray:
-    """Contributions (rows x features) of the trees' sum."""
-    phi = np.zeros((len(X), n_features))
-    for weight, splits, leaves in trees:
-        goes_left = [X[:, f] <= t for f, t in splits]
-        for value, features, z, conditions in leaves:
-            m = len(features)
-            if not m or value == 0.0:
-                continue
-            taken = []
-            for own in conditions:
-                o = np.ones(len(X), bool)
-                for split, left in own:
-                    o &= goes_left[split] == left
-                taken.append(o.astype(float))
-            points, weights = np.polynomial.legendre.leggauss((m + 1) // 2)
-            parts = np.zeros((m, len(X)))
-            for t, w in zip((points + 1) / 2, weights / 2):
-                terms = [o * t + zk * (1 - t) for o, zk in zip(taken, z)]
-                before = [np.ones(len(X))]
-                for term in terms[:-1]:
-                    before.append(before[-1] * term)
-                after = np.ones(len(X))
-                for j in range(m - 1, -1, -1):
-                    parts[j] += w * before[j] * after
-                    after = after * terms[j]
-            for j, f in enumerate(features):
-                phi[:, f] += weight * value * (taken[j] - z[j]) * parts[j]
+def _tree_values(goes_left: list[np.ndarray], leaves, n: int) -> dict[int, np.ndarray]:
+    """feature -> contributions of one tree to ``n`` rows, told by the way they go at each split."""
+    phi: dict[int, np.ndarray] = {}
+    for value, features, z, conditions in leaves:
+        m = len(features)
+        if not m or value == 0.0:
+            continue
+        taken = []
+        for own in conditions:
+            o = np.ones(n, bool)
+            for split, left in own:
+                o &= goes_left[split] == left
+            taken.append(o.astype(float))
+        points, weights = np.polynomial.legendre.leggauss((m + 1) // 2)
+        parts = np.zeros((m, n))
+        for t, w in zip((points + 1) / 2, weights / 2):
+            terms = [o * t + zk * (1 - t) for o, zk in zip(taken, z)]
+            before = [np.ones(n)]
+            for term in terms[:-1]:
+                before.append(before[-1] * term)
+            after = np.ones(n)
+            for j in range(m - 1, -1, -1):
+                parts[j] += w * before[j] * after
+                after = after * terms[j]
+        for j, f in enumerate(features):
+            phi[f] = phi.get(f, 0.0) + value * (taken[j] - z[j]) * parts[j]
     return phi
 
 
+def tables(trees) -> list[dict[int, np.ndarray] | None]:
+    """Of each tree, its contributions for every way through its splits (bit i: left at split i); None for trees of many."""
+    out = []
+    for _, splits, leaves in trees:
+        ways = np.arange(1 << len(splits)) if len(splits) <= TABLE_SPLITS else None
+        out.append(None if ways is None else _tree_values([(ways >> i & 1).astype(bool) for i in range(len(splits))], leaves, len(ways)))
+    return out
+
+
+def shap_values(trees, X: np.ndarray, n_features: int, ready=None) -> np.ndarray:
+    """Contributions (rows x features) of the trees' sum. ``ready``: the trees' tables, if they are at hand."""
+    ready = tables(trees) if ready is None else ready
+    phi = np.zeros((n_features, len(X)))
+    for a in range(0, len(X), STRETCH):
+        x = np.ascontiguousarray(X[a:a + STRETCH].T)
+        n = x.shape[1]
+        for (weight, splits, leaves), table in zip(trees, ready):
+            goes_left = (x[f] <= t for f, t in splits)
+            if table is None:
+                found = _tree_values(list(goes_left), leaves, n)
+            else:
+                way = np.zeros(n, np.int64)
+                for i, left in enumerate(goes_left):
+                    way |= left.astype(np.int64) << i
+                found = {f: values.take(way) for f, values in table.items()}
+            for f, values in found.items():
+                phi[f, a:a + n] += weight * values
+    return phi.T
+
+
 def contributions(pipeline_model, df: DataFrame, feature_names: list[str], id_col: str = "respondent_id") -> DataFrame:
     """Per-row contributions (id, variable, value) of the pipeline's final GBT stage; base value in column ``base``.
 
@@ -176,9 +213,14 @@ def booster_contributions(model, df: DataFrame, id_col: str = "respondent_id") -
     bc = df.sparkSession.sparkContext.broadcast(trees)
 
     def run(batches):
-        for pdf in batches:
-            if len(pdf) == 0:
+        ready = tables(bc.value)
+        for batch in batches:
+            n, d = batch.num_rows, len(names)
+            if not n:
                 continue
-            phi = shap_values(bc.value, pdf[names].to_numpy(float), len(names))
-            yield pd.DataFrame({id_col: np.repeat(pdf[id_col].to_numpy(), len(names)), "variable": np.tile(names, len(pdf)), "value": phi.reshape(-1), "base": base})
-    return df.select(F.col(id_col).cast("long").alias(id_col), *names).mapInPandas(run, f"{id_col} long, variable string, value double, base double")
+            x = np.stack([batch.column(1 + i).to_numpy(zero_copy_only=False).astype(float) for i in range(d)], axis=1)
+            phi = shap_values(bc.value, x, d, ready)
+            variables = pa.DictionaryArray.from_arrays(pa.array(np.tile(np.arange(d, dtype=np.int32), n)), pa.array(names)).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.repeat(np.arange(n), d))), variables, pa.array(phi.ravel()), pa.array(np.full(n * d, base))],
+                                             names=[id_col, "variable", "value", "base"])
+    return spread_out(df.select(F.col(id_col).cast("long").alias(id_col), *names)).mapInArrow(run, f"{id_col} long, variable string, value double, base double")

@@ -62,3 +62,27 @@ def test_local_accuracy(spark, depth):
     raw = m.transform(b).select("respondent_id", (vector_to_array("rawPrediction")[1] * 2).alias("lo"))
     worst = s.join(raw, "respondent_id").agg(F.max(F.abs(F.col("s") + F.col("base") - F.col("lo")))).first()[0]
     assert worst < 1e-9
+
+
+def test_tables_of_ways():
+    """A tree of few splits is looked up, one of many is reckoned for the rows, with the same contributions."""
+    import numpy as np
+    from heartspark.operators import boosting as B
+    from heartspark.operators import treeshap as TS
+    from heartspark.operators.binned import Bins
+    rng = np.random.default_rng(2)
+    bins = Bins(["a", "b", "c"], [np.arange(7) + 0.5] * 3)
+    trees = []
+    for depth in (0, 3, 5):
+        tree = B.Tree.empty(depth)
+        inner = 2 ** depth - 1
+        tree.feature[:inner], tree.cut[:inner] = rng.integers(0, 3, inner), rng.integers(0, 7, inner)
+        tree.value[inner:] = rng.normal(size=inner + 1)
+        tree.weight[inner:] = rng.random(inner + 1) + 0.1
+        for i in range(inner - 1, -1, -1):
+            tree.weight[i] = tree.weight[2 * i + 1] + tree.weight[2 * i + 2]
+        trees.append((2.0, *TS._leaves(TS._heap_nodes(tree, bins))))
+    ready = TS.tables(trees)
+    assert [t is None for t in ready] == [False, False, True]
+    x = rng.integers(0, 8, (9000, 3)).astype(float)
+    assert np.allclose(TS.shap_values(trees, x, 3), TS.shap_values(trees, x, 3, [None] * 3))

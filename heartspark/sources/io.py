@@ -84,10 +84,9 @@ def export_star(dims: dict, fact: DataFrame, root: str) -> list[str]:
         write_csv(d, f"{root}/csv/{name}", single_file=True)
         write_parquet(d, f"{root}/parquet/{name}", single_file=True)
         names.append(name)
-    fact = fact.persist()  # written twice; recomputable from lineage if an executor is lost
+    # Computed once: the CSV files are written from the stored Parquet files.
     write_parquet(fact, f"{root}/parquet/fact_respondent")
-    write_csv(fact, f"{root}/csv/fact_respondent")
-    fact.unpersist()
+    write_csv(fact.sparkSession.read.parquet(f"{root}/parquet/fact_respondent"), f"{root}/csv/fact_respondent")
     return names + ["fact_respondent"]
 
 

@@ -105,3 +105,29 @@ def test_no_local_folder_on_a_cluster():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.ensure_checkpoint_dir(Session())
     assert session.is_local("local[8]") and session.is_local("local") and not session.is_local("local-cluster[1,1,1024]")
+
+
+def test_profiles_are_joined_by_one_hash(spark):
+    """Profile sizes with nulls, negative zero and NaN as in a grouped count; the join's keys are one hash, not every column."""
+    rows = [(i, x, y) for i, (x, y) in enumerate([(0.0, 1), (-0.0, 1), (None, 1), (None, 1), (float("nan"), None), (float("nan"), None), (1.0, 2), (2.0, None), (2.0, 1)])]
+    df = spark.createDataFrame(rows, "id long, x double, y int")
+    out = TR.attach_profile_counts(df, ["x", "y"], "n")
+    assert out.columns == ["id", "x", "y", "n"] and {r.id: r.n for r in out.collect()} == {0: 2, 1: 2, 2: 2, 3: 2, 4: 2, 5: 2, 6: 1, 7: 1, 8: 1}
+    joins = [line for line in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line]
+    assert len(joins) == 1 and "xxhash64" not in joins[0] and "_hash" in joins[0] and "coalesce(x" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_dimensions_are_checked_without_the_duplicate_flag(spark, monkeypatch):
+    from heartspark.operators import star
+    from heartspark.plans import io as plans
+    seen = []
+    monkeypatch.setattr(star, "published_dims", lambda spark, base: seen.append(base) or {})
+    plans._star_tables(spark, SF)
+    assert "Join" not in seen[0]._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_star_export_is_the_same_in_both_forms(spark, tmp_path):
+    fact = spark.createDataFrame([(i, i % 3, i / 4) for i in range(50)], "id long, k int, x double").repartition(3)
+    IO.export_star({"dim": fact.select("k").distinct()}, fact, str(tmp_path))
+    csv = spark.read.option("header", True).schema(fact.schema).csv(f"{tmp_path}/csv/fact_respondent")
+    assert sorted(map(tuple, csv.collect())) == sorted(map(tuple, spark.read.parquet(f"{tmp_path}/parquet/fact_respondent").collect())) == sorted(map(tuple, fact.collect()))

@@ -183,3 +183,48 @@ def test_packs(spark):
         tree.feature[i] = rng.integers(0, len(widths))
         tree.cut[i] = rng.integers(0, widths[tree.feature[i]])
     assert all((B.Route(tree, k, packs).nodes(groups) == tree.nodes(codes, k)).all() for k in range(5))
+
+
+def test_a_task_gets_its_models_rows_alone(spark):
+    """The rows dealt to a model's task are those that it learns from or holds out, and carry no cells back."""
+    rows = table(240)
+    made = [(1000 + i, *r[1:5], B.MADE + r[5]) for i, r in enumerate(rows[:60])]
+    df = spark.createDataFrame(rows + made, "respondent_id long, a int, b int, c double, heart_disease int, fold int")
+    fit = B.fit_all(df, NAMES, [B.Setting(2, 0.1, 1.0, 3), B.Setting(3, 0.1, 1.0, 2)], [0, 1], positive=2.0, shares=[0.4, 1.0])
+    order = B.order_of(np.array([r[0] for r in rows + made]))
+    got = {}
+    for r in fit.rows.collect():
+        assert not r.groups and len(r.margins) == 8 * len(r.y)
+        got[r.model] = got.get(r.model, 0) + len(r.y)
+    for k, m in enumerate(fit.models):
+        fold = np.array([r[5] for r in rows + made])
+        assert got[k] == int(((fold == m.held) | B.trains(m, fold, order)).sum()) < len(rows + made)
+    fit.release()
+
+
+def test_ways_down_many_trees():
+    """Levels and masks lead rows to the leaves that the trees' nodes do, in whole trees, cut ones and stumps."""
+    rng = np.random.default_rng(5)
+    widths = [2] * 9 + [1, 3, 31, 128, 87]
+    bins = binned.Bins([f"f{i}" for i in range(len(widths))], [np.arange(w - 1) + 0.5 for w in widths])
+    packs = binned.Packs(bins)
+    codes = np.stack([rng.integers(0, w, 900) for w in widths]).astype(np.uint8)
+    groups = packs.codes(codes)
+    for depth in (1, 3, 6):
+        trees = []
+        for share in (1.0, 0.6, 0.0):
+            tree = B.Tree.empty(depth)
+            for i in range(2 ** depth - 1):
+                if (i == 0 and share) or (i and tree.feature[(i - 1) // 2] >= 0 and rng.random() < share):
+                    tree.feature[i] = rng.integers(0, len(widths))
+                    tree.cut[i] = rng.integers(0, widths[tree.feature[i]])
+            tree.value[:] = rng.normal(size=len(tree.value))
+            trees.append(tree)
+        want = sum(t.value.take(t.nodes(codes, depth)) for t in trees)
+        assert np.allclose(B.margins_by(trees, depth, packs, groups), want)
+        assert np.allclose(B.Booster(B.Setting(depth), trees, bins).margins(codes), want)
+        for tree in trees:
+            at = np.zeros(900, np.int32)
+            for level in range(depth):
+                at = B.Step(tree, level, packs).down(groups, at)
+            assert (at == tree.nodes(codes, depth)).all()

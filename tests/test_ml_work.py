@@ -12,3 +12,16 @@ def test_validation_curve_has_all_rounds(monkeypatch):
     monkeypatch.setattr(ml, "boosted_pairs", lambda folds, settings, shares=None: seen.extend(settings) or pairs)
     ml.ml_validation_curve(SimpleNamespace(createDataFrame=lambda rows, schema: rows), "")
     assert [s.depth for s in seen] == [1, 2, 3, 4, 6, 8, 10] and {s.rounds for s in seen} == {ml.BEST[ml.KEPT]["n_estimators"]}
+
+
+def test_rows_are_prepared_once_a_query(spark, monkeypatch):
+    """The queries that fit, save and score the calibrated model split their rows once."""
+    from heartspark.plans import registry
+    prepare, calls = ml._prepared, []
+    monkeypatch.setattr(ml, "_prepared", lambda spark, sf: calls.append(sf) or prepare(spark, sf))
+    monkeypatch.setattr(ml, "_FITTED", {})
+    monkeypatch.setitem(ml.BEST, ml.KEPT, ml.BEST[ml.KEPT] | {"n_estimators": 2})
+    for name in ("sink_model", "src_model", "ml_calibrate"):
+        ml._FITTED.clear()
+        calls.clear()
+        assert registry.queries()[name](spark, "/root/testdata/sf0.001").count() and len(calls) == 1, name
